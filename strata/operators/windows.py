@@ -63,26 +63,55 @@ def _chunk_expr(df: DataFrame, first_order: str, chunk: str | Column | None, chu
     return None  # no natural monotone chunking for this type: caller must pass a Column
 
 
-def _key_aliases(keys: Sequence[str]) -> list[str]:
-    return [f"__key{i}" for i in range(len(keys))]
+_LOWEST_CHUNK = -(2**63)  # NULL ordering values sort first, so their chunk does too
 
 
-def _join_back(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """LEFT join ``small`` (keys renamed) onto ``big`` on keys + chunk, NULL keys matching."""
-    aliases = _key_aliases(keys)
-    cond = big[_CH].eqNullSafe(small["__sch"])
-    for k, a in zip(keys, aliases):
-        cond = cond & big[k].eqNullSafe(small[a])
-    return big.join(small, cond, "left").drop(*aliases, "__sch")
+def _partition_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """Non-NULL stand-ins for nullable keys: (value or a type default, is-NULL flag).
 
-
-def _renamed_summary(summary: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataFrame:
-    aliases = _key_aliases(keys)
-    return summary.select(
-        *[F.col(k).alias(a) for k, a in zip(keys, aliases)],
-        F.col(_CH).alias("__sch"),
-        *payload,
-    )
+    Window partitioning, the per-chunk summary and the join back all use the
+    same plain columns, so the join finds the big side already partitioned
+    and does not shuffle it again (a NULL-safe join condition would hash on
+    different expressions and re-shuffle everything).
+    """
+    out_cols: list[str] = []
+    added: list[str] = []
+    for i, k in enumerate(keys):
+        field = df.schema[k]
+        dtype = field.dataType
+        if not field.nullable:
+            out_cols.append(k)
+            continue
+        if isinstance(dtype, T.StringType):
+            zero = F.lit("")
+        elif isinstance(dtype, T.NumericType):
+            zero = F.lit(0).cast(dtype)
+        elif isinstance(dtype, T.BooleanType):
+            zero = F.lit(False)
+        elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            zero = F.lit("1970-01-01").cast(dtype)
+        else:
+            zero = None
+        if zero is None:  # no default for this type: keep the column, NULLs join NULL-safely below
+            out_cols.append(k)
+            continue
+        kz, kn = f"__kz{i}", f"__kn{i}"
+        df = df.withColumns({kz: F.coalesce(F.col(k), zero), kn: F.col(k).isNull()})
+        out_cols += [kz, kn]
+        added += [kz, kn]
+    return df, out_cols, added
+
+
+def _join_back(big: DataFrame, small: DataFrame, part: Sequence[str]) -> DataFrame:
+    """LEFT join the per-chunk summary onto the rows on (partition keys, chunk)."""
+    renamed = small.select(*[F.col(c).alias(f"__s{c}") for c in [*part, _CH]], *[
+        c for c in small.columns if c not in (*part, _CH)
+    ])
+    cond = None
+    for c in [*part, _CH]:
+        term = big[c].eqNullSafe(renamed[f"__s{c}"]) if big.schema[c].nullable else big[c] == renamed[f"__s{c}"]
+        cond = term if cond is None else cond & term
+    return big.join(renamed, cond, "left").drop(*[f"__s{c}" for c in [*part, _CH]])
 
 
 def running_total(
@@ -108,20 +137,19 @@ def running_total(
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, cast_out(F.sum(v).over(w)))
 
-    local_w = (
-        Window.partitionBy(*keys, _CH).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = df.withColumn(_CH, ch).withColumn("__local", F.sum(v).over(local_w))
-    totals = local.groupBy(*keys, _CH).agg(F.sum(v).alias("__tot"))
-    before = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = _renamed_summary(
-        totals.withColumn("__off", F.sum("__tot").over(before)), keys, ["__off"]
-    )
-    joined = _join_back(local, offsets, keys)
+    d, part, added = _partition_keys(df.withColumn(_CH, F.coalesce(ch, F.lit(_LOWEST_CHUNK))), keys)
+    local_w = Window.partitionBy(*part, _CH).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = d.withColumn("__local", F.sum(v).over(local_w))
+    # Per-chunk totals come from a pruned, partially aggregated pass over the
+    # input; the offset of a chunk is the sum of all earlier chunks of its key.
+    totals = d.groupBy(*part, _CH).agg(F.sum(v).alias("__tot"))
+    before = Window.partitionBy(*part).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*part, _CH, F.sum("__tot").over(before).alias("__off"))
+    joined = _join_back(local, offsets, part)
     total = F.when(
         F.col("__local").isNull() & F.col("__off").isNull(), F.lit(None)
     ).otherwise(F.coalesce(F.col("__local"), F.lit(0)) + F.coalesce(F.col("__off"), F.lit(0)))
-    return joined.withColumn(out, cast_out(total)).drop("__local", "__off", _CH)
+    return joined.withColumn(out, cast_out(total)).drop("__local", "__off", _CH, *added)
 
 
 def rolling_mean(
@@ -148,10 +176,11 @@ def rolling_mean(
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-back, Window.currentRow)
         return df.withColumn(out, F.avg(F.col(value).cast("double")).over(w))
 
-    w = Window.partitionBy(*keys, _CH).orderBy(*order)
+    d, part, added = _partition_keys(df.withColumn(_CH, F.coalesce(ch, F.lit(_LOWEST_CHUNK))), keys)
+    w = Window.partitionBy(*part, _CH).orderBy(*order)
     frame = w.rowsBetween(-back, Window.currentRow)
-    whole = Window.partitionBy(*keys, _CH)
-    local = df.withColumn(_CH, ch).withColumns(
+    whole = Window.partitionBy(*part, _CH)
+    local = d.withColumns(
         {
             "__rn": F.row_number().over(w),
             "__s": F.sum(F.col(value)).over(frame),
@@ -160,29 +189,27 @@ def rolling_mean(
         }
     )
     # The last `back` rows of every chunk; the `back` rows that precede any
-    # chunk are always among them.
-    tail = local.filter(F.col("__rn") > F.col("__cnt") - back).select(*keys, _CH, *order, value)
-    tw = Window.partitionBy(*keys).orderBy(_CH, *order)
+    # chunk are always among them (earlier chunks contribute suffixes).
+    tail = local.filter(F.col("__rn") > F.col("__cnt") - back).select(*part, _CH, *order, value)
+    tw = Window.partitionBy(*part).orderBy(_CH, *order)
     lags = {f"__p{j}": F.lag(F.col(value), j).over(tw) for j in range(1, back + 1)}
-    first_in_chunk = F.row_number().over(Window.partitionBy(*keys, _CH).orderBy(*order)) == 1
+    first_in_chunk = F.row_number().over(Window.partitionBy(*part, _CH).orderBy(*order)) == 1
     carry = (
         tail.withColumns(lags)
         .withColumn("__first", first_in_chunk)
         .filter(F.col("__first"))
+        .select(*part, _CH, *lags.keys())
     )
-    carry = _renamed_summary(carry, keys, list(lags))
-    joined = _join_back(local, carry, keys)
+    joined = _join_back(local, carry, part)
 
     extra_s = F.lit(0)
     extra_n = F.lit(0)
     for j in range(1, back + 1):
         p = F.col(f"__p{j}")
-        needed = F.col("__rn") <= rows - j
-        extra_s = extra_s + F.when(needed & p.isNotNull(), p).otherwise(F.lit(0))
-        extra_n = extra_n + F.when(needed & p.isNotNull(), F.lit(1)).otherwise(F.lit(0))
+        needed = (F.col("__rn") <= rows - j) & p.isNotNull()
+        extra_s = extra_s + F.when(needed, p).otherwise(F.lit(0))
+        extra_n = extra_n + F.when(needed, F.lit(1)).otherwise(F.lit(0))
     total_s = F.coalesce(F.col("__s"), F.lit(0)) + extra_s
     total_n = F.col("__n") + extra_n
     mean = F.when(total_n > 0, total_s.cast("double") / total_n.cast("double"))
-    return joined.withColumn(out, mean).drop(
-        "__rn", "__s", "__n", "__cnt", _CH, *lags.keys()
-    )
+    return joined.withColumn(out, mean).drop("__rn", "__s", "__n", "__cnt", _CH, *lags.keys(), *added)

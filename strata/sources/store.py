@@ -24,12 +24,26 @@ from strata.session import scratch_path
 _MODES = {"overwrite", "append", "ignore", "error", "errorifexists"}
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
+
+
+def _path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists on its Hadoop file system; None if that cannot be asked."""
+    try:
+        fs, hpath = _hadoop_fs(spark, path)
+        return bool(fs.exists(hpath))
+    except Exception:
+        return None
+
+
 def _delete_path(spark: SparkSession, path: str) -> None:
     """Best-effort recursive delete through the Hadoop file system of ``path``."""
     try:
-        jvm = spark._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+        fs, hpath = _hadoop_fs(spark, path)
+        fs.delete(hpath, True)
     except Exception:
         pass
 
@@ -53,12 +67,24 @@ class LayerStore:
         return {t: self.read(layer, t) for t in tables}
 
     def exists(self, layer: str, table: str) -> bool:
+        found = _path_exists(self.spark, self.path(layer, table))
+        if found is not None:
+            return found
         try:
             self.read(layer, table).schema
             return True
         except AnalysisException:
             return False
 
+    def schema(self, layer: str, table: str):
+        """Schema of an existing table, or None when there is none."""
+        if not self.exists(layer, table):
+            return None
+        try:
+            return self.read(layer, table).schema
+        except AnalysisException:
+            return None
+
     # --------------------------------------------------------------- writes
     def _overlaps(self, df: DataFrame, target: str) -> bool:
         prefix = target.split("://", 1)[-1].rstrip("/") + "/"
@@ -80,10 +106,7 @@ class LayerStore:
         if mode not in _MODES:
             raise ValueError(f"mode must be one of {sorted(_MODES)}")
         target = self.path(layer, table)
-        try:
-            existing = self.read(layer, table).schema
-        except AnalysisException:
-            existing = None
+        existing = self.schema(layer, table)
         if existing is not None and mode == "ignore":
             return 0  # nothing is written, so no observation would ever arrive
         if existing is not None and mode in ("error", "errorifexists"):

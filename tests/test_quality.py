@@ -1,0 +1,53 @@
+from conftest import rows
+
+from strata.operators.quality import clean, dedupe, distinct_pairs, drop_null_keys
+
+SCHEMA = "a int, b string, c double"
+
+
+def dup_rows(spark):
+    data = [
+        (1, "x", 1.0),
+        (1, "x", 1.0),
+        (None, "x", None),
+        (None, "x", None),
+        (2, None, 2.0),
+        (2, None, 2.0),
+        (2, None, 3.0),
+    ]
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def test_dedupe_treats_nulls_as_equal(spark):
+    out = dedupe(dup_rows(spark))
+    assert rows(out) == rows(spark.createDataFrame(
+        [(1, "x", 1.0), (None, "x", None), (2, None, 2.0), (2, None, 3.0)], SCHEMA))
+
+
+def test_dedupe_subset_keeps_one_row_per_key(spark):
+    assert dedupe(dup_rows(spark), ["a"]).count() == 3
+
+
+def test_drop_null_keys_any(spark):
+    df = spark.createDataFrame([(1, "x", 1.0), (None, "y", 1.0), (2, None, 1.0), (None, None, 1.0)], SCHEMA)
+    assert rows(drop_null_keys(df, ["a"]), "a") == [(1,), (2,)]
+    assert rows(drop_null_keys(df, ["a", "b"]), "a", "b") == [(1, "x")]
+    assert drop_null_keys(df, []).count() == 4
+
+
+def test_null_filter_reaches_scan(spark, tmp_root):
+    path = f"{tmp_root}/t"
+    dup_rows(spark).write.parquet(path)
+    plan = drop_null_keys(spark.read.parquet(path), ["a"])._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(a)" in plan
+
+
+def test_clean_equals_dedupe_then_dropna(spark):
+    df = dup_rows(spark)
+    assert rows(clean(df, ["a"])) == rows(df.dropDuplicates().dropna(subset=["a"]))
+    assert rows(clean(df, ["b"])) == rows(df.dropDuplicates().dropna(subset=["b"]))
+
+
+def test_distinct_pairs(spark):
+    df = dup_rows(spark)
+    assert rows(distinct_pairs(df, ["a", "b"])) == [(1, "x"), (2, None), (None, "x")]
