@@ -22,10 +22,12 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_size_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` in bytes, or None when unavailable."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = int(size) if isinstance(size, int) else int(size.toString())
     except Exception:
         return None
+    # Spark reports an unknown size as Long.MaxValue (e.g. Python-local data)
+    return None if size >= (1 << 63) - 1 else size
 
 
 def can_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:

@@ -29,8 +29,19 @@ from strata.operators.enrich import lookup
 TPCH_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+_RESOLVED: dict[tuple[int, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one test table.  The given tables are read-only, so the resolved
+    relation (file listing and footer schema, which costs a small job) is
+    kept per session and path instead of being inferred on every query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _RESOLVED.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _RESOLVED[key] = spark.read.parquet(path)
+    return df
 
 
 def freight(price: str = "l_extendedprice", tax: str = "l_tax"):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.derive import add_amounts, add_delivery_days, add_elapsed_days
 from strata.operators.enrich import lookup, total_installments
-from strata.operators.metrics import distinct_count_by, mean_delivery_by_seller, total_by
+from strata.operators.metrics import distinct_count_by, kpi_tables, mean_delivery_by_seller, total_by
 from strata.operators.quality import clean, dedupe, distinct_pairs
 from strata.operators.reports import top_n
 from strata.plans import medallion
@@ -110,7 +110,8 @@ def overall_mean_delivery(spark, sf):
 
 # ----------------------------------------------------------------- reports
 def _report(spark, sf, name):
-    return medallion.report_tables(spark, _gold(spark, sf))[name]
+    s = _silver(spark, sf)
+    return medallion.report_tables(spark, kpi_tables(s["orders_enriched"], s["order_items_enriched"]))[name]
 
 
 def category_sales_top10(spark, sf):

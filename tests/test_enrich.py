@@ -33,13 +33,16 @@ def test_mapping_form_and_inner(spark):
 
 
 def test_cols_narrow_the_dimension(spark):
-    d = dim(spark).withColumn("extra", dim(spark).v * 2)
+    d = dim(spark)
+    d = d.withColumn("extra", d.v * 2)
     out = lookup(facts(spark), d, "k", cols=["v"])
     assert out.columns == ["k", "fact_id", "v"]
 
 
 def test_broadcast_only_behind_size_check(spark):
-    small = dim(spark)
+    # a relation with statistics (range); Python-local rows have no size estimate
+    small = spark.range(4).selectExpr("cast(id as string) as k", "cast(id as int) as v")
+    assert not can_broadcast(dim(spark), 1 << 40)
     assert can_broadcast(small, 1 << 20)
     assert not can_broadcast(small, 1)
     plan = lookup(facts(spark), small, "k", broadcast=True)._jdf.queryExecution().optimizedPlan().toString()
