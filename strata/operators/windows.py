@@ -179,24 +179,32 @@ def rolling_mean(
     d, part, added = _partition_keys(df.withColumn(_CH, F.coalesce(ch, F.lit(_LOWEST_CHUNK))), keys)
     w = Window.partitionBy(*part, _CH).orderBy(*order)
     frame = w.rowsBetween(-back, Window.currentRow)
-    whole = Window.partitionBy(*part, _CH)
     local = d.withColumns(
         {
             "__rn": F.row_number().over(w),
             "__s": F.sum(F.col(value)).over(frame),
             "__n": F.count(F.col(value)).over(frame),
-            "__cnt": F.count(F.lit(1)).over(whole),
         }
     )
     # The last `back` rows of every chunk; the `back` rows that precede any
-    # chunk are always among them (earlier chunks contribute suffixes).
-    tail = local.filter(F.col("__rn") > F.col("__cnt") - back).select(*part, _CH, *order, value)
+    # chunk are always among them (earlier chunks contribute suffixes).  They
+    # come straight from the input: a row_number limit lets Spark keep only
+    # `back` rows per chunk in each map task (partial WindowGroupLimit), so
+    # this branch shuffles a few rows per chunk, not the table.
+    last_w = Window.partitionBy(*part, _CH).orderBy(*[F.col(c).desc_nulls_last() for c in order])  # reverse of ASC NULLS FIRST
+    tail = (
+        d.select(*part, _CH, *order, value)
+        .withColumn("__rd", F.row_number().over(last_w))
+        .filter(F.col("__rd") <= back)
+        .drop("__rd")
+    )
     tw = Window.partitionBy(*part).orderBy(_CH, *order)
     lags = {f"__p{j}": F.lag(F.col(value), j).over(tw) for j in range(1, back + 1)}
-    first_in_chunk = F.row_number().over(Window.partitionBy(*part, _CH).orderBy(*order)) == 1
+    # the first tail row of a chunk is the one whose predecessor lies in another chunk
+    prev_chunk = F.lag(F.col(_CH), 1).over(tw)
     carry = (
         tail.withColumns(lags)
-        .withColumn("__first", first_in_chunk)
+        .withColumn("__first", prev_chunk.isNull() | (prev_chunk != F.col(_CH)))
         .filter(F.col("__first"))
         .select(*part, _CH, *lags.keys())
     )
@@ -212,4 +220,4 @@ def rolling_mean(
     total_s = F.coalesce(F.col("__s"), F.lit(0)) + extra_s
     total_n = F.col("__n") + extra_n
     mean = F.when(total_n > 0, total_s.cast("double") / total_n.cast("double"))
-    return joined.withColumn(out, mean).drop("__rn", "__s", "__n", "__cnt", _CH, *lags.keys(), *added)
+    return joined.withColumn(out, mean).drop("__rn", "__s", "__n", _CH, *lags.keys(), *added)
