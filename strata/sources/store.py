@@ -133,8 +133,19 @@ class LayerStore:
             _delete_path(self.spark, staged)
         return rows
 
-    def write_all(self, tables: Mapping[str, DataFrame], layer: str, mode: str = "overwrite") -> dict[str, int]:
-        return {name: self.write(df, layer, name, mode=mode) for name, df in tables.items()}
+    def write_all(
+        self, tables: Mapping[str, DataFrame], layer: str, mode: str = "overwrite", parallel: int = 4
+    ) -> dict[str, int]:
+        """Write several independent tables; up to ``parallel`` write jobs are
+        submitted at once so small tables do not leave executors idle while a
+        large one finishes.  Returns rows written per table."""
+        if parallel <= 1 or len(tables) <= 1:
+            return {name: self.write(df, layer, name, mode=mode) for name, df in tables.items()}
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=min(parallel, len(tables))) as pool:
+            futures = {name: pool.submit(self.write, df, layer, name, mode) for name, df in tables.items()}
+            return {name: f.result() for name, f in futures.items()}
 
     def register_views(self, layer: str, tables: Iterable[str]) -> dict[str, DataFrame]:
         """Register (layer, table) reads as temp views named after the tables."""
