@@ -1,26 +1,30 @@
 """Path-addressed layer store: ``<root>/<layer>/<table>``.
 
-Parquet by default, Delta when the session has it.  Plain Parquet overwrite
-is neither atomic nor safe when the plan reads the very path it replaces (the
-old files are deleted before the job has read them), so ``write``:
+Parquet by default, Delta when the session has it.  A plain Parquet
+overwrite deletes the old files before the job runs: a job that fails half
+way leaves no table, and a plan that reads the path it replaces loses its
+input.  So ``write``:
 
 * refuses, unless asked, to change the schema of an existing table;
-* when the input overlaps the target, first writes the result to a staging
-  table below the shared checkpoint folder and then overwrites the target
-  from that copy;
+* overwrites an existing Parquet table by writing a sibling staging folder
+  (same file system, under the layer) and swapping it in only after the
+  write job has committed; a failed job leaves the old table untouched, and
+  a plan may read the table it replaces;
 * counts rows with an ``Observation`` inside the write job (no extra job).
+
+Delta overwrites are already atomic and are written in place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
-
 _MODES = {"overwrite", "append", "ignore", "error", "errorifexists"}
 
 
@@ -86,12 +90,14 @@ class LayerStore:
             return None
 
     # --------------------------------------------------------------- writes
-    def _overlaps(self, df: DataFrame, target: str) -> bool:
-        prefix = target.split("://", 1)[-1].rstrip("/") + "/"
-        for f in df.inputFiles():
-            if f.split("://", 1)[-1].startswith(prefix):
-                return True
-        return False
+    def _swap_in(self, staged: str, target: str) -> None:
+        """Replace ``target`` by the committed folder ``staged`` (same file system)."""
+        fs, t = _hadoop_fs(self.spark, target)
+        _, st = _hadoop_fs(self.spark, staged)
+        if fs.exists(t) and not fs.delete(t, True):
+            raise OSError(f"could not remove {target}; new version kept at {staged}")
+        if not fs.rename(st, t):
+            raise OSError(f"could not move {staged} to {target}")
 
     def write(
         self,
@@ -117,20 +123,24 @@ class LayerStore:
                     f"schema of {target} would change; pass overwrite_schema=True to allow it"
                 )
         staged = None
-        if mode == "overwrite" and existing is not None and self._overlaps(df, target):
-            staged = scratch_path(self.spark, f"stage-{layer}-{table}")
-            df.write.format(self.fmt).mode("errorifexists").save(staged)
-            df = self.spark.read.format(self.fmt).load(staged)
-        obs = Observation(f"rows_{layer}_{table}")
-        writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(self.fmt).mode(mode)
+        if mode == "overwrite" and existing is not None and self.fmt != "delta":
+            staged = f"{self.root}/{layer}/_staging_{table}_{uuid.uuid4().hex[:12]}"
+        obs = Observation(f"rows_{layer}_{table}_{uuid.uuid4().hex[:8]}")
+        writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(self.fmt)
+        writer = writer.mode("errorifexists" if staged else mode)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if self.fmt == "delta" and overwrite_schema:
             writer = writer.option("overwriteSchema", "true")
-        writer.save(target)
+        try:
+            writer.save(staged or target)
+        except Exception:
+            if staged:
+                _delete_path(self.spark, staged)
+            raise
         rows = int(obs.get.get("rows", 0))
         if staged:
-            _delete_path(self.spark, staged)
+            self._swap_in(staged, target)
         return rows
 
     def write_all(

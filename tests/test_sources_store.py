@@ -91,6 +91,18 @@ def test_overwrite_from_own_input_is_safe(spark, tmp_root):
     assert store.read("gold", "t").count() == 50
 
 
+def test_failed_overwrite_keeps_old_table(spark, tmp_root):
+    store = LayerStore(spark, os.path.join(tmp_root, "lake"))
+    store.write(spark.range(100), "gold", "t")
+    # the job itself fails half way (rows 50.. raise), after the old table exists
+    check = F.coalesce(F.assert_true(F.col("id") < 50).cast("long"), F.lit(0))
+    failing = spark.range(100).select((F.col("id") + check).alias("id"))
+    with pytest.raises(Exception):
+        store.write(failing, "gold", "t")
+    assert store.read("gold", "t").count() == 100
+    assert not [d for d in os.listdir(os.path.join(tmp_root, "lake", "gold")) if d.startswith("_staging")]
+
+
 def test_row_counts_and_views(spark, tmp_root):
     store = LayerStore(spark, os.path.join(tmp_root, "lake"))
     store.write_all({"a": spark.range(3), "b": spark.range(7)}, "gold")
