@@ -26,12 +26,27 @@ from strata.sources.store import LayerStore, row_counts
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_PLANS: dict[tuple[str, int, str], tuple[SparkSession, dict[str, DataFrame]]] = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf: str, build) -> dict[str, DataFrame]:
+    """Logical plans derived from the read-only test tables, built once per
+    session and folder.  Only the (lazy) DataFrames are kept: every query
+    still runs its whole plan; what is saved is the driver-side analysis of
+    some thirty joins and projections per query."""
+    key = (kind, id(spark), sf)
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _PLANS[key] = (spark, build())
+    return hit[1]
+
+
 def _silver(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return medallion.silver_tables(bronze_tables(spark, sf))
+    return _memo("silver", spark, sf, lambda: medallion.silver_tables(bronze_tables(spark, sf)))
 
 
 def _cleaned(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return medallion.clean_all(bronze_tables(spark, sf))
+    return _memo("cleaned", spark, sf, lambda: medallion.clean_all(bronze_tables(spark, sf)))
 
 
 def _gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
