@@ -8,8 +8,9 @@ the parquet tables, so the silver and gold plans run unchanged on them:
 * order items: lineitem, price = ``l_extendedprice``, freight =
   ``round(price * l_tax, 2)`` (computed on decimals, exact);
 * payments: one per line, installments = ``l_linenumber``;
-* reviews: one per line, score = ``l_returnflag`` (several per order, so the
-  review lookup fans orders out as in the original data);
+* reviews: one per order, score = the ``o_orderpriority`` digit, and a
+  second one for urgent, partly filled orders (so the review lookup fans a
+  few orders out, as in the original data);
 * customers / sellers: customer / supplier with the nation name as state;
 * products: parts with ``p_size <= 25`` (the rest become lookup misses, like
   uncategorised products), category = ``p_type``;
@@ -85,11 +86,22 @@ def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("l_linenumber").alias("payment_installments"),
         F.col("l_extendedprice").alias("payment_value"),
     )
-    reviews = li.select(
-        F.col("l_linenumber").alias("review_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_returnflag").alias("review_score"),
+    # one review per order, scored 1-5 by the priority digit; urgent, partly
+    # filled orders get a second (score 1), so the review lookup fans a few
+    # orders out as in the original data
+    first = t["orders"].select(
+        F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("review_id"),
+        F.col("o_orderkey").alias("order_id"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("review_score"),
+    )
+    second = t["orders"].filter(
+        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
+    ).select(
+        F.concat(F.lit("r"), F.col("o_orderkey").cast("string"), F.lit("b")).alias("review_id"),
+        F.col("o_orderkey").alias("order_id"),
+        F.lit(1).alias("review_score"),
     )
+    reviews = first.unionByName(second)
     nation = t["nation"].select("n_nationkey", "n_name")
     customers = lookup(t["customer"], nation, {"c_nationkey": "n_nationkey"}, broadcast=True).select(
         F.col("c_custkey").alias("customer_id"),

@@ -30,7 +30,12 @@ b_payments AS (
          l_linenumber AS payment_installments, l_extendedprice AS payment_value
   FROM lineitem),
 b_reviews AS (
-  SELECT l_linenumber AS review_id, l_orderkey AS order_id, l_returnflag AS review_score FROM lineitem),
+  SELECT 'r' || CAST(o_orderkey AS VARCHAR) AS review_id, o_orderkey AS order_id,
+         CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS review_score
+  FROM orders
+  UNION ALL
+  SELECT 'r' || CAST(o_orderkey AS VARCHAR) || 'b', o_orderkey, 1
+  FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'),
 b_customers AS (
   SELECT c_custkey AS customer_id, c_name AS customer_unique_id, c_nationkey AS customer_zip_code_prefix,
          c_mktsegment AS customer_city, n_name AS customer_state
