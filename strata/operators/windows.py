@@ -12,9 +12,14 @@ handling covers joins only).  Both operators therefore work in *chunks*:
   most ``rows - 1`` rows per chunk for the trailing mean) is carried across
   chunk borders with a second window over the summary, and joined back.
 
+A chunk that still holds more than ``skew_rows`` rows (a hot key on one day,
+or many rows tied on the time column) is cut further into sub-chunks at
+bounds sampled from the full ordering (see :func:`_split_hot_chunks`), so
+no window task holds much more than ``skew_rows`` rows of one group.
+
 The summary has one row per (key, chunk); a hot key contributes at most its
-time span divided by the chunk width, so the carry window never sees an
-unbounded group.  The carry join goes to the side already hash-partitioned
+time span divided by the chunk width (plus its sub-chunks), so the carry
+window never sees an unbounded group.  The carry join goes to the side already hash-partitioned
 on ``(key, chunk)``, and the big exchange below the local window is reused
 by both branches, so the input is shuffled once.
 
@@ -34,6 +39,14 @@ from pyspark.sql import types as T
 from strata.functions import day_number, money
 
 _CH = "__chunk"
+_SUB = "__sub"
+
+# Rows of one chunk above which it is cut into sub-chunks (a task's worth).
+DEFAULT_SKEW_ROWS = 2_000_000
+# Sampled rows per planned sub-chunk, and the most sub-chunks one chunk is cut
+# into (each row of a hot chunk is compared with at most this many bounds).
+_SAMPLES_PER_SPLIT = 32
+_MAX_SPLITS = 1024
 
 
 def _chunk_expr(df: DataFrame, first_order: str, chunk: str | Column | None, chunk_seconds: int) -> Column | None:
@@ -102,16 +115,62 @@ def _partition_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list
     return df, out_cols, added
 
 
-def _join_back(big: DataFrame, small: DataFrame, part: Sequence[str]) -> DataFrame:
-    """LEFT join the per-chunk summary onto the rows on (partition keys, chunk)."""
-    renamed = small.select(*[F.col(c).alias(f"__s{c}") for c in [*part, _CH]], *[
-        c for c in small.columns if c not in (*part, _CH)
-    ])
+def _split_hot_chunks(
+    d: DataFrame, part: Sequence[str], order: Sequence[str], skew_rows: int | None, extra: Sequence[str] = ()
+) -> tuple[DataFrame, list[str]]:
+    """Cut chunks holding more than ``skew_rows`` rows into contiguous sub-chunks.
+
+    A deterministic hash sample keeps about ``_SAMPLES_PER_SPLIT`` rows per
+    ``skew_rows`` input rows (hashing the keys, chunk, ordering and ``extra``
+    columns, so a task re-run picks the same rows).  Grouped by
+    ``(keys, chunk)``, the sample estimates each chunk's size; for every chunk
+    estimated above ``skew_rows`` the sorted sampled ordering tuples give
+    ``ceil(rows / skew_rows)`` sub-chunks (at most ``_MAX_SPLITS``), cut at
+    every ``_SAMPLES_PER_SPLIT``-th sample.  A row's sub-chunk is the number of
+    bounds at or below its ordering tuple, so sub-chunks never decrease along
+    the ordering and results are exact whatever the sample looks like; the
+    sample only decides how even the pieces are.
+
+    Size bound of the broadcast: one bound per ``_SAMPLES_PER_SPLIT`` sampled
+    rows, i.e. at most one ordering tuple per ``skew_rows`` input rows (about
+    500k tuples for 10^12 rows at the default), and no rows at all when no
+    chunk is hot.  The sample itself is ``_SAMPLES_PER_SPLIT / skew_rows`` of
+    the input and only its tiny grouped form is shuffled.  Everything stays
+    in one lazy plan: no extra job, and the big side is not shuffled for it.
+    """
+    if skew_rows is None:
+        return d, [_CH]
+    if skew_rows < 1:
+        raise ValueError("skew_rows must be >= 1")
+    key = F.struct(*[F.col(c) for c in order])
+    modulus = 1 << 31
+    rate = min(1.0, _SAMPLES_PER_SPLIT / skew_rows)
+    per_split = max(1, round(rate * skew_rows))  # expected samples in skew_rows rows
+    hashed = F.xxhash64(*part, _CH, *order, *[c for c in extra if c not in order])
+    sampled = F.pmod(hashed, F.lit(modulus)) < F.lit(max(1, int(modulus * rate)))
+    smp = d.filter(sampled).groupBy(*part, _CH).agg(F.sort_array(F.collect_list(key)).alias("__smp"))
+    n = F.size("__smp")
+    splits = F.least(F.ceil(n / F.lit(per_split)), F.lit(_MAX_SPLITS))
+    stride = F.greatest(F.floor(n / splits), F.lit(1))
+    bounds = smp.filter(n > per_split).select(
+        *part,
+        _CH,
+        F.array_distinct(F.filter("__smp", lambda x, i: ((i + 1) % stride == 0) & (i + 1 < n))).alias("__b"),
+    )
+    joined = _join_back(d, F.broadcast(bounds), part, [_CH])
+    sub = F.coalesce(F.size(F.filter(F.col("__b"), lambda b: b <= key)), F.lit(0)).cast("long")
+    return joined.withColumn(_SUB, sub).drop("__b"), [_CH, _SUB]
+
+
+def _join_back(big: DataFrame, small: DataFrame, part: Sequence[str], chunks: Sequence[str]) -> DataFrame:
+    """LEFT join the per-chunk summary onto the rows on (partition keys, chunk columns)."""
+    on = [*part, *chunks]
+    renamed = small.select(*[F.col(c).alias(f"__s{c}") for c in on], *[c for c in small.columns if c not in on])
     cond = None
-    for c in [*part, _CH]:
+    for c in on:
         term = big[c].eqNullSafe(renamed[f"__s{c}"]) if big.schema[c].nullable else big[c] == renamed[f"__s{c}"]
         cond = term if cond is None else cond & term
-    return big.join(renamed, cond, "left").drop(*[f"__s{c}" for c in [*part, _CH]])
+    return big.join(renamed, cond, "left").drop(*[f"__s{c}" for c in on])
 
 
 def running_total(
@@ -123,11 +182,13 @@ def running_total(
     exact_scale: int | None = 2,
     chunk: str | Column | None = "auto",
     chunk_seconds: int = 86400,
+    skew_rows: int | None = DEFAULT_SKEW_ROWS,
 ) -> DataFrame:
     """``sum(value)`` over ROWS UNBOUNDED PRECEDING .. CURRENT ROW per ``keys``.
 
     With ``exact_scale`` the sum runs on ``decimal(18, exact_scale)`` and is
     returned as ``double``, so it does not depend on evaluation order.
+    Chunks with more than ``skew_rows`` rows are split (``None``: never).
     """
     keys, order = list(keys), list(order)
     v = money(value, exact_scale) if exact_scale is not None else F.col(value)
@@ -138,18 +199,19 @@ def running_total(
         return df.withColumn(out, cast_out(F.sum(v).over(w)))
 
     d, part, added = _partition_keys(df.withColumn(_CH, F.coalesce(ch, F.lit(_LOWEST_CHUNK))), keys)
-    local_w = Window.partitionBy(*part, _CH).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value])
+    local_w = Window.partitionBy(*part, *chunks).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = d.withColumn("__local", F.sum(v).over(local_w))
     # Per-chunk totals come from a pruned, partially aggregated pass over the
     # input; the offset of a chunk is the sum of all earlier chunks of its key.
-    totals = d.groupBy(*part, _CH).agg(F.sum(v).alias("__tot"))
-    before = Window.partitionBy(*part).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*part, _CH, F.sum("__tot").over(before).alias("__off"))
-    joined = _join_back(local, offsets, part)
+    totals = d.groupBy(*part, *chunks).agg(F.sum(v).alias("__tot"))
+    before = Window.partitionBy(*part).orderBy(*chunks).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*part, *chunks, F.sum("__tot").over(before).alias("__off"))
+    joined = _join_back(local, offsets, part, chunks)
     total = F.when(
         F.col("__local").isNull() & F.col("__off").isNull(), F.lit(None)
     ).otherwise(F.coalesce(F.col("__local"), F.lit(0)) + F.coalesce(F.col("__off"), F.lit(0)))
-    return joined.withColumn(out, cast_out(total)).drop("__local", "__off", _CH, *added)
+    return joined.withColumn(out, cast_out(total)).drop("__local", "__off", *chunks, *added)
 
 
 def rolling_mean(
@@ -161,11 +223,13 @@ def rolling_mean(
     rows: int = 3,
     chunk: str | Column | None = "auto",
     chunk_seconds: int = 86400,
+    skew_rows: int | None = DEFAULT_SKEW_ROWS,
 ) -> DataFrame:
     """``avg(value)`` over ROWS BETWEEN ``rows - 1`` PRECEDING AND CURRENT ROW.
 
     Partial frames average what exists; NULL values are skipped like ``avg``.
-    Result is ``double``.
+    Result is ``double``.  Chunks with more than ``skew_rows`` rows are split
+    (``None``: never).
     """
     if rows < 1:
         raise ValueError("rows must be >= 1")
@@ -177,7 +241,8 @@ def rolling_mean(
         return df.withColumn(out, F.avg(F.col(value).cast("double")).over(w))
 
     d, part, added = _partition_keys(df.withColumn(_CH, F.coalesce(ch, F.lit(_LOWEST_CHUNK))), keys)
-    w = Window.partitionBy(*part, _CH).orderBy(*order)
+    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value])
+    w = Window.partitionBy(*part, *chunks).orderBy(*order)
     frame = w.rowsBetween(-back, Window.currentRow)
     local = d.withColumns(
         {
@@ -191,24 +256,25 @@ def rolling_mean(
     # come straight from the input: a row_number limit lets Spark keep only
     # `back` rows per chunk in each map task (partial WindowGroupLimit), so
     # this branch shuffles a few rows per chunk, not the table.
-    last_w = Window.partitionBy(*part, _CH).orderBy(*[F.col(c).desc_nulls_last() for c in order])  # reverse of ASC NULLS FIRST
+    last_w = Window.partitionBy(*part, *chunks).orderBy(*[F.col(c).desc_nulls_last() for c in order])  # reverse of ASC NULLS FIRST
     tail = (
-        d.select(*part, _CH, *order, value)
+        d.select(*part, *chunks, *order, value)
         .withColumn("__rd", F.row_number().over(last_w))
         .filter(F.col("__rd") <= back)
         .drop("__rd")
     )
-    tw = Window.partitionBy(*part).orderBy(_CH, *order)
+    tw = Window.partitionBy(*part).orderBy(*chunks, *order)
     lags = {f"__p{j}": F.lag(F.col(value), j).over(tw) for j in range(1, back + 1)}
     # the first tail row of a chunk is the one whose predecessor lies in another chunk
-    prev_chunk = F.lag(F.col(_CH), 1).over(tw)
+    this_chunk = F.struct(*chunks)
+    prev_chunk = F.lag(this_chunk, 1).over(tw)
     carry = (
         tail.withColumns(lags)
-        .withColumn("__first", prev_chunk.isNull() | (prev_chunk != F.col(_CH)))
+        .withColumn("__first", prev_chunk.isNull() | (prev_chunk != this_chunk))
         .filter(F.col("__first"))
-        .select(*part, _CH, *lags.keys())
+        .select(*part, *chunks, *lags.keys())
     )
-    joined = _join_back(local, carry, part)
+    joined = _join_back(local, carry, part, chunks)
 
     extra_s = F.lit(0)
     extra_n = F.lit(0)
@@ -220,4 +286,4 @@ def rolling_mean(
     total_s = F.coalesce(F.col("__s"), F.lit(0)) + extra_s
     total_n = F.col("__n") + extra_n
     mean = F.when(total_n > 0, total_s.cast("double") / total_n.cast("double"))
-    return joined.withColumn(out, mean).drop("__rn", "__s", "__n", _CH, *lags.keys(), *added)
+    return joined.withColumn(out, mean).drop("__rn", "__s", "__n", *chunks, *lags.keys(), *added)

@@ -65,12 +65,14 @@ def test_running_total_matches_brute_force(spark, raw):
     data = _data(raw)
     df = _frame(spark, data)
     expect = _brute(data)
-    for chunk, secs in (("auto", 86400), ("auto", 3 * 3600), (None, 86400)):
+    for chunk, secs, skew in (("auto", 86400, None), ("auto", 3 * 3600, None), (None, 86400, None), ("auto", 86400, 3)):
         got = _collect(
-            running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, chunk=chunk, chunk_seconds=secs),
+            running_total(
+                df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, chunk=chunk, chunk_seconds=secs, skew_rows=skew
+            ),
             "run",
         )
-        assert got == expect, (chunk, secs)
+        assert got == expect, (chunk, secs, skew)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -79,14 +81,16 @@ def test_rolling_mean_matches_brute_force(spark, raw, back):
     data = _data(raw)
     df = _frame(spark, data)
     expect = _brute(data, rows_back=back)
-    for chunk, secs in (("auto", 86400), ("auto", 2 * 3600), (None, 86400)):
+    for chunk, secs, skew in (("auto", 86400, None), ("auto", 2 * 3600, None), (None, 86400, None), ("auto", 86400, 2)):
         got = _collect(
-            rolling_mean(df, ["k"], ["ts", "id"], "v", "avg3", rows=back + 1, chunk=chunk, chunk_seconds=secs),
+            rolling_mean(
+                df, ["k"], ["ts", "id"], "v", "avg3", rows=back + 1, chunk=chunk, chunk_seconds=secs, skew_rows=skew
+            ),
             "avg3",
         )
         assert got.keys() == expect.keys()
         for i in expect:
-            assert (got[i] is None and expect[i] is None) or got[i] == pytest.approx(expect[i]), (chunk, secs, i)
+            assert (got[i] is None and expect[i] is None) or got[i] == pytest.approx(expect[i]), (chunk, secs, skew, i)
 
 
 def test_exact_running_money_sum(spark):
@@ -121,5 +125,62 @@ def test_single_window_exchange_for_big_side(spark, tmp_root):
     window = next(i for i, line in enumerate(lines) if "Window" in line and i > join)
     # the windowed rows go straight into the carry join: no second exchange of the big side
     assert not any("Exchange" in line for line in lines[join + 1 : window])
-    # and the only exchange that carries whole rows (column id) is the one below the window
-    assert sum(1 for i, line in enumerate(lines) if "Exchange" in line and "id#" in lines[i + 1]) == 1
+    # and the only exchange that carries whole rows (row id and value) is the one below the window;
+    # the sample for hot-chunk bounds carries ordering tuples of a few rows only
+    child = lambda i: lines[i + 1] if i + 1 < len(lines) else ""
+    whole = [i for i, line in enumerate(lines) if "Exchange" in line and "id#" in child(i) and "v#" in child(i)]
+    assert len(whole) == 1
+    sample = [i for i, line in enumerate(lines) if "Exchange" in line and "collect_list" in child(i)]
+    assert len(sample) == 1 and "xxhash64" in "".join(lines[sample[0] :])
+
+
+def test_hot_chunk_of_tied_rows_is_split(spark):
+    """One key, one timestamp: only the second ordering column can cut the chunk."""
+    from strata.operators import windows
+
+    data = [(i, "hot", BASE, i % 7) for i in range(400)] + [(1000 + i, "cold", BASE, 1) for i in range(5)]
+    df = _frame(spark, data)
+    d, part, _ = windows._partition_keys(df.withColumn(windows._CH, F.lit(0).cast("long")), ["k"])
+    split, chunks = windows._split_hot_chunks(d, part, ["ts", "id"], 50)
+    assert chunks == [windows._CH, windows._SUB]
+    sizes = {r["__sub"]: r["n"] for r in split.filter(F.col("k") == "hot").groupBy("__sub").agg(F.count("*").alias("n")).collect()}
+    assert len(sizes) >= 4 and max(sizes.values()) < 200  # cut into several runs
+    assert {r["__sub"] for r in split.filter(F.col("k") == "cold").collect()} == {0}
+    # runs are contiguous in the ordering
+    subs = [r["__sub"] for r in split.filter(F.col("k") == "hot").orderBy("id").collect()]
+    assert subs == sorted(subs)
+    expect = _brute(data)
+    assert _collect(running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=50), "run") == expect
+    expect3 = _brute(data, rows_back=2)
+    got3 = _collect(rolling_mean(df, ["k"], ["ts", "id"], "v", "avg3", rows=3, skew_rows=50), "avg3")
+    assert all(got3[i] == pytest.approx(expect3[i]) for i in expect3)
+
+
+def test_no_split_without_hot_chunks(spark):
+    from strata.operators import windows
+
+    df = _frame(spark, _data([("a", d % 5, 0, d) for d in range(30)]))
+    d, part, _ = windows._partition_keys(df.withColumn(windows._CH, F.lit(0).cast("long")), ["k"])
+    out, chunks = windows._split_hot_chunks(d, part, ["ts", "id"], 1000)
+    assert chunks == [windows._CH, windows._SUB]
+    assert {r["__sub"] for r in out.collect()} == {0} and out.count() == 30
+
+
+def test_split_windows_on_test_tables_match_single_window(spark):
+    """Gold windows over the mapped sf0.001 tables with every chunk forced hot."""
+    from strata.plans import mapped, medallion
+
+    silver = medallion.silver_tables(mapped.bronze_tables(spark, "/root/testdata/sf0.001"))
+    orders, items = silver["orders_enriched"], silver["order_items_enriched"]
+    joined = items.join(orders.select("order_id", "customer_id", "order_purchase_timestamp", "delivery_time_days"), "order_id")
+    order = list(medallion.RUNNING_ORDER)
+    for keys, fn, kw in (
+        (["customer_id"], running_total, {"value": "total_price", "out": "w"}),
+        (["product_category_name"], rolling_mean, {"value": "delivery_time_days", "out": "w", "rows": 3}),
+    ):
+        split = fn(joined, keys, order, skew_rows=2, **kw)
+        single = fn(joined, keys, order, chunk=None, **kw)
+        cols = [*keys, *order, "w"]
+        assert sorted(map(tuple, split.select(*cols).collect()), key=str) == sorted(
+            map(tuple, single.select(*cols).collect()), key=str
+        )
