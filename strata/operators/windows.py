@@ -50,7 +50,7 @@ _MAX_SPLITS = 1024
 
 
 def _chunk_expr(df: DataFrame, first_order: str, chunk: str | Column | None, chunk_seconds: int) -> Column | None:
-    """Monotone chunk number for the first ordering column, or None."""
+    """Monotone chunk number for the first ordering column, or None (single window)."""
     if chunk is None:
         return None
     if isinstance(chunk, Column):
@@ -73,7 +73,11 @@ def _chunk_expr(df: DataFrame, first_order: str, chunk: str | Column | None, chu
                 + F.second(col)
             )
         return F.floor(secs / F.lit(chunk_seconds)).cast("long")
-    return None  # no natural monotone chunking for this type: caller must pass a Column
+    # No natural width for this type: one chunk per key (NULL ordering values,
+    # which sort first, get their own); hot keys are then cut by sampled
+    # bounds of the ordering (see _split_hot_chunks).  Written as a CASE so
+    # the optimizer cannot fold it into a literal and drop it from the keys.
+    return F.when(col.isNotNull(), F.lit(0).cast("long"))
 
 
 _LOWEST_CHUNK = -(2**63)  # NULL ordering values sort first, so their chunk does too

@@ -184,3 +184,30 @@ def test_split_windows_on_test_tables_match_single_window(spark):
         assert sorted(map(tuple, split.select(*cols).collect()), key=str) == sorted(
             map(tuple, single.select(*cols).collect()), key=str
         )
+
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(raw=rows_st, back=st.integers(1, 3))
+def test_numeric_ordering_is_chunked_per_key_and_split(spark, raw, back):
+    """A non-time first ordering column: one chunk per key, hot keys cut by sampled bounds."""
+    data = [(i, k, None, v) for i, (k, _, _, v) in enumerate(raw)]
+    df = _frame(spark, data).withColumn("pos", F.when(F.col("id") % 5 != 0, (F.col("id") * 7) % 11))
+    pos = {r["id"]: r["pos"] for r in df.select("id", "pos").collect()}
+    # brute force ordered by (pos NULLS FIRST, id)
+    groups = defaultdict(list)
+    for r in data:
+        groups[r[1]].append(r)
+    run, avg = {}, {}
+    for g in groups.values():
+        g.sort(key=lambda r: (pos[r[0]] is not None, pos[r[0]] or 0, r[0]))
+        for i, r in enumerate(g):
+            vals = [x[3] for x in g[: i + 1] if x[3] is not None]
+            run[r[0]] = sum(vals) if vals else None
+            win = [x[3] for x in g[max(0, i - back) : i + 1] if x[3] is not None]
+            avg[r[0]] = sum(win) / len(win) if win else None
+    for skew in (None, 2):
+        got = _collect(running_total(df, ["k"], ["pos", "id"], "v", "run", exact_scale=None, skew_rows=skew), "run")
+        assert got == run, skew
+        got = _collect(rolling_mean(df, ["k"], ["pos", "id"], "v", "avg", rows=back + 1, skew_rows=skew), "avg")
+        assert all((got[i] is None and avg[i] is None) or got[i] == pytest.approx(avg[i]) for i in avg), skew
