@@ -23,8 +23,9 @@ window never sees an unbounded group.  The carry join goes to the side already h
 on ``(key, chunk)``, and the big exchange below the local window is reused
 by both branches, so the input is shuffled once.
 
-``chunk=None`` gives the direct single-window form (fine when keys are many
-and even).  Ordering ties: pass enough ``order`` columns to make the order
+``chunk="key"`` skips the time chunks (one chunk per key, cut only where the
+sample finds it large); ``chunk=None`` gives the direct single-window form
+(fine when keys are many and even).  Ordering ties: pass enough ``order`` columns to make the order
 total, or at least total up to rows that are equal in the output columns.
 """
 
@@ -55,11 +56,11 @@ def _chunk_expr(df: DataFrame, first_order: str, chunk: str | Column | None, chu
         return None
     if isinstance(chunk, Column):
         return chunk
-    if chunk != "auto":
-        raise ValueError("chunk must be 'auto', None or a Column")
+    if chunk not in ("auto", "key"):
+        raise ValueError("chunk must be 'auto', 'key', None or a Column")
     dtype = df.schema[first_order].dataType
     col = F.col(first_order)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+    if chunk == "auto" and isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         if chunk_seconds % 86400 == 0 or isinstance(dtype, T.DateType):
             days = max(chunk_seconds // 86400, 1)
             return F.floor(day_number(col, dtype) / F.lit(days)).cast("long")
@@ -73,7 +74,7 @@ def _chunk_expr(df: DataFrame, first_order: str, chunk: str | Column | None, chu
                 + F.second(col)
             )
         return F.floor(secs / F.lit(chunk_seconds)).cast("long")
-    # No natural width for this type: one chunk per key (NULL ordering values,
+    # "key", or no natural width for this type: one chunk per key (NULL ordering values,
     # which sort first, get their own); hot keys are then cut by sampled
     # bounds of the ordering (see _split_hot_chunks).  Written as a CASE so
     # the optimizer cannot fold it into a literal and drop it from the keys.

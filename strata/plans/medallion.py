@@ -22,7 +22,7 @@ from strata.operators.reports import (
     TOP_CATEGORIES_SQL,
     run_report,
 )
-from strata.operators.windows import rolling_mean, running_total
+from strata.operators.windows import DEFAULT_SKEW_ROWS, rolling_mean, running_total
 from strata.schemas import BRONZE_TABLES, CLEAN_KEYS, CSV_OPTIONS, RAW_FILES
 from strata.sources.csv import ingest_all
 
@@ -62,22 +62,36 @@ def silver_tables(
 
 
 def cumulative_sales_per_customer(
-    orders: DataFrame, items: DataFrame, customer_key: str = "customer_id", chunk="auto"
+    orders: DataFrame,
+    items: DataFrame,
+    customer_key: str = "customer_id",
+    chunk="auto",
+    skew_rows: int | None = DEFAULT_SKEW_ROWS,
 ) -> DataFrame:
     """W1 over items joined to their (delivered) orders."""
     joined = items.join(orders.select("order_id", customer_key, "order_purchase_timestamp"), "order_id", "inner")
-    out = running_total(joined, [customer_key], RUNNING_ORDER, "total_price", "cumulative_sales", chunk=chunk)
+    out = running_total(
+        joined, [customer_key], RUNNING_ORDER, "total_price", "cumulative_sales", chunk=chunk, skew_rows=skew_rows
+    )
     return out.select(customer_key, "order_id", "order_purchase_timestamp", "total_price", "cumulative_sales")
 
 
 def rolling_avg_delivery_per_category(
-    orders: DataFrame, items: DataFrame, category: str = "product_category_name", rows: int = 3, chunk="auto"
+    orders: DataFrame,
+    items: DataFrame,
+    category: str = "product_category_name",
+    rows: int = 3,
+    chunk="auto",
+    skew_rows: int | None = DEFAULT_SKEW_ROWS,
 ) -> DataFrame:
     """W2 over items joined to their (delivered) orders."""
     joined = items.join(
         orders.select("order_id", "delivery_time_days", "order_purchase_timestamp"), "order_id", "inner"
     )
-    out = rolling_mean(joined, [category], ROLLING_ORDER, "delivery_time_days", "rolling_avg_delivery", rows, chunk=chunk)
+    out = rolling_mean(
+        joined, [category], ROLLING_ORDER, "delivery_time_days", "rolling_avg_delivery", rows,
+        chunk=chunk, skew_rows=skew_rows,
+    )
     return out.select(category, "order_id", "delivery_time_days", "rolling_avg_delivery")
 
 

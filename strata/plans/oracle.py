@@ -140,6 +140,12 @@ _FINAL = {
                  PARTITION BY product_category_name ORDER BY order_purchase_timestamp, order_id
                  ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_avg_delivery
         FROM gold_join""",
+    "category_rolling_delivery_by_key": """
+        SELECT product_category_name, order_id, delivery_time_days,
+               avg(delivery_time_days) OVER (
+                 PARTITION BY product_category_name ORDER BY order_purchase_timestamp, order_id
+                 ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_avg_delivery
+        FROM gold_join""",
     "orders_enriched": "SELECT * FROM orders_enriched",
     "orders_enriched_one_review": """
         SELECT o.*, c.customer_unique_id, c.customer_zip_code_prefix, c.customer_city, c.customer_state,

@@ -105,6 +105,16 @@ def category_rolling_delivery(spark, sf):
     return medallion.rolling_avg_delivery_per_category(s["orders_enriched"], s["order_items_enriched"])
 
 
+def category_rolling_delivery_by_key(spark, sf):
+    """W2 without day chunks: each category is one chunk, cut into runs of about
+    1,000 rows at bounds sampled from the ordering (a task size small enough
+    that the split runs on the test tables; the result equals W2's)."""
+    s = _silver(spark, sf)
+    return medallion.rolling_avg_delivery_per_category(
+        s["orders_enriched"], s["order_items_enriched"], chunk="key", skew_rows=1000
+    )
+
+
 def category_sales(spark, sf):
     return total_by(_silver(spark, sf)["order_items_enriched"], "product_category_name", "total_price", "total_sales")
 
@@ -236,6 +246,7 @@ QUERIES: dict[str, Query] = {
     "overall_mean_delivery": overall_mean_delivery,
     "customer_running_sales": customer_running_sales,
     "category_rolling_delivery": category_rolling_delivery,
+    "category_rolling_delivery_by_key": category_rolling_delivery_by_key,
     "orders_enriched": orders_enriched,
     "orders_enriched_one_review": orders_enriched_one_review,
     "items_enriched": items_enriched,
