@@ -18,8 +18,13 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-# Settings that matter for the plans built in this package.  Shuffle width is
-# left to AQE: start wide, let coalescing shrink small stages.
+# Shuffle partition size aimed at: big enough to amortise task overhead,
+# small enough to sort and aggregate in executor memory without heavy spill.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+# Settings that matter for the plans built in this package.  Shuffle width:
+# start wide (see ``shuffle_partitions_for``), let AQE coalescing shrink small
+# stages and split skewed join partitions.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -32,21 +37,47 @@ DEFAULT_CONF = {
 }
 
 
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Initial shuffle width for a job whose largest shuffle moves ``shuffle_bytes``.
+
+    AQE can merge small partitions after a stage ran but cannot split large
+    ones (apart from skewed join partitions), so the initial width has to fit
+    the largest shuffle: 100 TB at 256 MiB per partition is about 400k.
+    """
+    return max(1, -(-int(shuffle_bytes) // int(target_bytes)))
+
+
+def sizing_conf(shuffle_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Shuffle settings for an expected largest-shuffle volume."""
+    n = str(shuffle_partitions_for(shuffle_bytes, target_bytes))
+    return {
+        "spark.sql.shuffle.partitions": n,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": n,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(target_bytes)),
+        "spark.sql.files.maxPartitionBytes": str(min(int(target_bytes), 256 * 1024 * 1024)),
+    }
+
+
 def build_session(
     app_name: str = "strata",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    shuffle_bytes: int | None = None,
 ) -> SparkSession:
     """Create (or fetch) a session with the package defaults.
 
     ``master`` is only set when given, so on a cluster the launcher decides.
+    ``shuffle_bytes`` (the expected size of the largest shuffle) sizes the
+    initial shuffle width; without it the launcher's or Spark's setting stays.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
+    for key, value in (sizing_conf(shuffle_bytes) if shuffle_bytes is not None else {}).items():
+        builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra_conf or {}).items():

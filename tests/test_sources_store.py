@@ -122,3 +122,13 @@ def test_flow_counts_steps_in_the_write_job(spark, raw_dir, tmp_root):
     assert flow.counts() == {"input": 2, "upper": 2, "only cama": 1}
     with pytest.raises(FileNotFoundError):
         flow.read_csv("missing.csv")
+
+
+def test_shuffle_sizing():
+    from strata.session import shuffle_partitions_for, sizing_conf
+
+    assert shuffle_partitions_for(1) == 1
+    assert shuffle_partitions_for(100 * 10**12) == -(-100 * 10**12 // (256 * 1024 * 1024))
+    conf = sizing_conf(10 * 1024**3, target_bytes=128 * 1024**2)
+    assert conf["spark.sql.shuffle.partitions"] == "80"
+    assert conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "80"
