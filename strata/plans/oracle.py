@@ -140,6 +140,12 @@ _FINAL = {
                  PARTITION BY product_category_name ORDER BY order_purchase_timestamp, order_id
                  ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_avg_delivery
         FROM gold_join""",
+    "customer_running_sales_staged": """
+        SELECT customer_id, order_id, order_purchase_timestamp, total_price,
+               CAST(sum(CAST(total_price AS DECIMAL(18,2))) OVER (
+                 PARTITION BY customer_id ORDER BY order_purchase_timestamp, order_id, total_price
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_sales
+        FROM gold_join""",
     "category_rolling_delivery_by_key": """
         SELECT product_category_name, order_id, delivery_time_days,
                avg(delivery_time_days) OVER (

@@ -105,6 +105,13 @@ def category_rolling_delivery(spark, sf):
     return medallion.rolling_avg_delivery_per_category(s["orders_enriched"], s["order_items_enriched"])
 
 
+def customer_running_sales_staged(spark, sf):
+    """W1 as the gold stage runs it: the shared window input is written once
+    below the checkpoint folder and the window reads that table."""
+    s = _silver(spark, sf)
+    return medallion.running_sales(medallion.stage_window_input(s["orders_enriched"], s["order_items_enriched"]))
+
+
 def category_rolling_delivery_by_key(spark, sf):
     """W2 without day chunks: each category is one chunk, cut into runs of about
     1,000 rows at bounds sampled from the ordering (a task size small enough
@@ -247,6 +254,7 @@ QUERIES: dict[str, Query] = {
     "customer_running_sales": customer_running_sales,
     "category_rolling_delivery": category_rolling_delivery,
     "category_rolling_delivery_by_key": category_rolling_delivery_by_key,
+    "customer_running_sales_staged": customer_running_sales_staged,
     "orders_enriched": orders_enriched,
     "orders_enriched_one_review": orders_enriched_one_review,
     "items_enriched": items_enriched,
