@@ -3,7 +3,8 @@
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task.
 With a handful of categories, or one customer holding a third of the rows,
 that task holds a large share of the table and AQE cannot split it (skew
-handling covers joins only).  Both operators therefore work in *chunks*:
+handling covers joins only).  When a key is hot, both operators therefore
+work in *chunks*:
 
 * every row gets a chunk number that never decreases along the ordering
   (by default the calendar day, or a fixed number of seconds, of the first
@@ -23,9 +24,14 @@ window never sees an unbounded group.  The carry join goes to the side already h
 on ``(key, chunk)``, and the big exchange below the local window is reused
 by both branches, so the input is shuffled once.
 
+``chunk="auto"`` (the default) first looks at a small deterministic sample
+(one job; only "is any key hot" reaches the driver).  When no key is
+estimated above ``skew_rows`` rows the direct single-window form is planned:
+one exchange, one pass, and no task holds more than about ``skew_rows`` rows
+of one key.  Otherwise it chunks as ``"time"`` does.  ``chunk="time"``
+always chunks by time (one chunk per key for other ordering types);
 ``chunk="key"`` skips the time chunks (one chunk per key, cut only where the
-sample finds it large); ``chunk=None`` gives the direct single-window form
-(fine when keys are many and even).  Ordering ties: pass enough ``order`` columns to make the order
+sample finds it large); ``chunk=None`` always gives the single-window form.  Ordering ties: pass enough ``order`` columns to make the order
 total, or at least total up to rows that are equal in the output columns.
 """
 
@@ -45,7 +51,7 @@ _SUB = "__sub"
 # Rows of one chunk above which it is cut into sub-chunks (a task's worth).
 DEFAULT_SKEW_ROWS = 2_000_000
 # Sampled rows per planned sub-chunk, and the most sub-chunks one chunk is cut
-# into (each row of a hot chunk is compared with at most this many bounds).
+# into (a row of a hot chunk is placed with log2 of this many comparisons).
 _SAMPLES_PER_SPLIT = 32
 _MAX_SPLITS = 1024
 
@@ -56,11 +62,11 @@ def _chunk_expr(df: DataFrame, first_order: str, chunk: str | Column | None, chu
         return None
     if isinstance(chunk, Column):
         return chunk
-    if chunk not in ("auto", "key"):
-        raise ValueError("chunk must be 'auto', 'key', None or a Column")
+    if chunk not in ("time", "key"):
+        raise ValueError("chunk must be 'auto', 'time', 'key', None or a Column")
     dtype = df.schema[first_order].dataType
     col = F.col(first_order)
-    if chunk == "auto" and isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+    if chunk == "time" and isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         if chunk_seconds % 86400 == 0 or isinstance(dtype, T.DateType):
             days = max(chunk_seconds // 86400, 1)
             return F.floor(day_number(col, dtype) / F.lit(days)).cast("long")
@@ -81,6 +87,43 @@ def _chunk_expr(df: DataFrame, first_order: str, chunk: str | Column | None, chu
     return F.when(col.isNotNull(), F.lit(0).cast("long"))
 
 
+def _sample_rate(skew_rows: int) -> tuple[int, int, int]:
+    """(hash modulus, hash cut, expected samples in ``skew_rows`` rows) of the hot-group sample."""
+    modulus = 1 << 31
+    rate = min(1.0, _SAMPLES_PER_SPLIT / skew_rows)
+    return modulus, max(1, int(modulus * rate)), max(1, round(rate * skew_rows))
+
+
+def _has_hot_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, skew_rows: int) -> bool:
+    """Whether some key is estimated to hold more than ``skew_rows`` rows.
+
+    One small job: a deterministic hash sample of ``_SAMPLES_PER_SPLIT`` rows
+    per ``skew_rows`` rows, counted per key (map-side partial counts), and
+    only "is there any hot key" comes back to the driver.
+    """
+    modulus, cut, per_split = _sample_rate(skew_rows)
+    hashed = F.xxhash64(*keys, *order, *([value] if value not in order else []))
+    sampled = df.filter(F.pmod(hashed, F.lit(modulus)) < F.lit(cut))
+    return not sampled.groupBy(*keys).count().filter(F.col("count") > per_split).isEmpty()
+
+
+def _resolve_chunk(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, chunk, chunk_seconds: int, skew_rows: int | None
+) -> Column | None:
+    """Chunk expression for the window, or None for the single-window form.
+
+    ``"auto"`` looks at a sample first: with no hot key the single window is
+    the cheapest plan (one exchange, one pass) and no task gets more than
+    about ``skew_rows`` rows of one key; otherwise the rows are chunked by
+    time (``"time"``) and oversized chunks are cut further.
+    """
+    if isinstance(chunk, str) and chunk == "auto":
+        if skew_rows is not None and not _has_hot_key(df, keys, order, value, skew_rows):
+            return None
+        chunk = "time"
+    return _chunk_expr(df, order[0], chunk, chunk_seconds)
+
+
 _LOWEST_CHUNK = -(2**63)  # NULL ordering values sort first, so their chunk does too
 
 
@@ -132,7 +175,7 @@ def _split_hot_chunks(
     estimated above ``skew_rows`` the sorted sampled ordering tuples give
     ``ceil(rows / skew_rows)`` sub-chunks (at most ``_MAX_SPLITS``), cut at
     every ``_SAMPLES_PER_SPLIT``-th sample.  A row's sub-chunk is the number of
-    bounds at or below its ordering tuple, so sub-chunks never decrease along
+    bounds at or below its ordering tuple (binary search), so sub-chunks never decrease along
     the ordering and results are exact whatever the sample looks like; the
     sample only decides how even the pieces are.
 
@@ -148,11 +191,9 @@ def _split_hot_chunks(
     if skew_rows < 1:
         raise ValueError("skew_rows must be >= 1")
     key = F.struct(*[F.col(c) for c in order])
-    modulus = 1 << 31
-    rate = min(1.0, _SAMPLES_PER_SPLIT / skew_rows)
-    per_split = max(1, round(rate * skew_rows))  # expected samples in skew_rows rows
+    modulus, cut, per_split = _sample_rate(skew_rows)
     hashed = F.xxhash64(*part, _CH, *order, *[c for c in extra if c not in order])
-    sampled = F.pmod(hashed, F.lit(modulus)) < F.lit(max(1, int(modulus * rate)))
+    sampled = F.pmod(hashed, F.lit(modulus)) < F.lit(cut)
     smp = d.filter(sampled).groupBy(*part, _CH).agg(F.sort_array(F.collect_list(key)).alias("__smp"))
     n = F.size("__smp")
     splits = F.least(F.ceil(n / F.lit(per_split)), F.lit(_MAX_SPLITS))
@@ -163,8 +204,29 @@ def _split_hot_chunks(
         F.array_distinct(F.filter("__smp", lambda x, i: ((i + 1) % stride == 0) & (i + 1 < n))).alias("__b"),
     )
     joined = _join_back(d, F.broadcast(bounds), part, [_CH])
-    sub = F.coalesce(F.size(F.filter(F.col("__b"), lambda b: b <= key)), F.lit(0)).cast("long")
-    return joined.withColumn(_SUB, sub).drop("__b"), [_CH, _SUB]
+    return joined.withColumn(_SUB, _count_at_or_below(F.col("__b"), key)).drop("__b"), [_CH, _SUB]
+
+
+def _count_at_or_below(bounds: Column, key: Column) -> Column:
+    """Number of elements of the sorted array ``bounds`` that are <= ``key`` (0 for NULL).
+
+    A binary search written as a fold over ceil(log2(n + 1)) steps, so a row
+    of a chunk cut into n pieces costs log2(n) comparisons, not n.
+    Invariant: the answer lies in [lo, hi].
+    """
+    n = F.size(bounds)
+    steps = F.sequence(F.lit(1), F.greatest(F.ceil(F.log2(n + 1)).cast("int"), F.lit(1)))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.shiftright(lo + hi + 1, 1)
+        up = F.struct(mid.alias("lo"), hi.alias("hi"))
+        down = F.struct(lo.alias("lo"), (mid - 1).alias("hi"))
+        return F.when(lo >= hi, acc).when(F.get(bounds, mid - 1) <= key, up).otherwise(down)
+
+    start = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
+    found = F.aggregate(steps, start, step, lambda acc: acc["lo"])
+    return F.when(bounds.isNull(), F.lit(0)).otherwise(found).cast("long")
 
 
 def _join_back(big: DataFrame, small: DataFrame, part: Sequence[str], chunks: Sequence[str]) -> DataFrame:
@@ -198,7 +260,7 @@ def running_total(
     keys, order = list(keys), list(order)
     v = money(value, exact_scale) if exact_scale is not None else F.col(value)
     cast_out = (lambda c: c.cast("double")) if exact_scale is not None else (lambda c: c)
-    ch = _chunk_expr(df, order[0], chunk, chunk_seconds)
+    ch = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
     if ch is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, cast_out(F.sum(v).over(w)))
@@ -240,8 +302,10 @@ def rolling_mean(
         raise ValueError("rows must be >= 1")
     keys, order = list(keys), list(order)
     back = rows - 1
-    ch = _chunk_expr(df, order[0], chunk, chunk_seconds)
-    if ch is None or back == 0:
+    if back == 0:
+        chunk = None  # a one-row frame needs no neighbours: one window, no chunks
+    ch = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
+    if ch is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-back, Window.currentRow)
         return df.withColumn(out, F.avg(F.col(value).cast("double")).over(w))
 

@@ -65,7 +65,10 @@ def test_running_total_matches_brute_force(spark, raw):
     data = _data(raw)
     df = _frame(spark, data)
     expect = _brute(data)
-    for chunk, secs, skew in (("auto", 86400, None), ("auto", 3 * 3600, None), (None, 86400, None), ("auto", 86400, 3)):
+    for chunk, secs, skew in (
+        ("time", 86400, None), ("time", 3 * 3600, None), (None, 86400, None), ("time", 86400, 3), ("auto", 86400, 3),
+        ("auto", 86400, 1000),
+    ):
         got = _collect(
             running_total(
                 df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, chunk=chunk, chunk_seconds=secs, skew_rows=skew
@@ -81,7 +84,9 @@ def test_rolling_mean_matches_brute_force(spark, raw, back):
     data = _data(raw)
     df = _frame(spark, data)
     expect = _brute(data, rows_back=back)
-    for chunk, secs, skew in (("auto", 86400, None), ("auto", 2 * 3600, None), (None, 86400, None), ("auto", 86400, 2)):
+    for chunk, secs, skew in (
+        ("time", 86400, None), ("time", 2 * 3600, None), (None, 86400, None), ("time", 86400, 2), ("auto", 86400, 2),
+    ):
         got = _collect(
             rolling_mean(
                 df, ["k"], ["ts", "id"], "v", "avg3", rows=back + 1, chunk=chunk, chunk_seconds=secs, skew_rows=skew
@@ -114,7 +119,7 @@ def test_single_window_exchange_for_big_side(spark, tmp_root):
     path = f"{tmp_root}/w"
     _frame(spark, _data([("hot", d % 9, d % 24, d) for d in range(200)])).write.parquet(path)
     df = spark.read.parquet(path)
-    out = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None)
+    out = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, chunk="time")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = out._jdf.queryExecution().executedPlan().toString()
@@ -207,7 +212,36 @@ def test_numeric_ordering_is_chunked_per_key_and_split(spark, raw, back):
             win = [x[3] for x in g[max(0, i - back) : i + 1] if x[3] is not None]
             avg[r[0]] = sum(win) / len(win) if win else None
     for skew in (None, 2):
-        got = _collect(running_total(df, ["k"], ["pos", "id"], "v", "run", exact_scale=None, skew_rows=skew), "run")
+        got = _collect(
+            running_total(df, ["k"], ["pos", "id"], "v", "run", exact_scale=None, chunk="time", skew_rows=skew), "run"
+        )
         assert got == run, skew
-        got = _collect(rolling_mean(df, ["k"], ["pos", "id"], "v", "avg", rows=back + 1, skew_rows=skew), "avg")
+        got = _collect(
+            rolling_mean(df, ["k"], ["pos", "id"], "v", "avg", rows=back + 1, chunk="time", skew_rows=skew), "avg"
+        )
         assert all((got[i] is None and avg[i] is None) or got[i] == pytest.approx(avg[i]) for i in avg), skew
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(cases=st.lists(st.tuples(st.one_of(st.none(), st.lists(st.integers(0, 40), max_size=12)), st.integers(-3, 43)), min_size=1, max_size=40))
+def test_binary_search_counts_bounds_at_or_below(spark, cases):
+    from strata.operators.windows import _count_at_or_below
+
+    rows = [(i, None if b is None else sorted(set(b)), k) for i, (b, k) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "i int, b array<int>, k int")
+    got = {r["i"]: r["c"] for r in df.select("i", _count_at_or_below(F.col("b"), F.col("k")).alias("c")).collect()}
+    assert got == {i: 0 if b is None else sum(x <= k for x in b) for i, b, k in rows}
+
+
+
+def test_auto_plans_single_window_without_hot_keys(spark):
+    from strata.operators import windows
+
+    df = _frame(spark, _data([(k, d % 5, d % 24, d) for d in range(60) for k in ("a", "b", "c")]))
+    assert not windows._has_hot_key(df, ["k"], ["ts", "id"], "v", 1000)
+    assert windows._has_hot_key(df, ["k"], ["ts", "id"], "v", 20)
+    cold = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=1000)
+    hot = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=20)
+    assert "__chunk" not in cold._jdf.queryExecution().analyzed().toString()
+    assert "__chunk" in hot._jdf.queryExecution().analyzed().toString()
+    assert _collect(cold, "run") == _collect(hot, "run") == _brute(_data([(k, d % 5, d % 24, d) for d in range(60) for k in ("a", "b", "c")]))
