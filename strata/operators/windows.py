@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import day_number, money
+from strata.operators.enrich import DEFAULT_MAX_BROADCAST_BYTES
 
 _CH = "__chunk"
 _SUB = "__sub"
@@ -94,34 +95,69 @@ def _sample_rate(skew_rows: int) -> tuple[int, int, int]:
     return modulus, max(1, int(modulus * rate)), max(1, round(rate * skew_rows))
 
 
-def _has_hot_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, skew_rows: int) -> bool:
-    """Whether some key is estimated to hold more than ``skew_rows`` rows.
+def _hot_key_samples(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, skew_rows: int) -> int:
+    """Sampled rows that fall in keys estimated to hold more than ``skew_rows`` rows.
 
     One small job: a deterministic hash sample of ``_SAMPLES_PER_SPLIT`` rows
-    per ``skew_rows`` rows, counted per key (map-side partial counts), and
-    only "is there any hot key" comes back to the driver.
+    per ``skew_rows`` rows, counted per key (map-side partial counts); one
+    number comes back to the driver.  It is 0 when no key is hot, and it
+    bounds the number of sub-chunk bounds the split can produce (they are a
+    subset of these sampled rows), which sizes their broadcast.
     """
     modulus, cut, per_split = _sample_rate(skew_rows)
     hashed = F.xxhash64(*keys, *order, *([value] if value not in order else []))
     sampled = df.filter(F.pmod(hashed, F.lit(modulus)) < F.lit(cut))
-    return not sampled.groupBy(*keys).count().filter(F.col("count") > per_split).isEmpty()
+    hot = sampled.groupBy(*keys).count().filter(F.col("count") > per_split)
+    return int(hot.agg(F.sum("count")).first()[0] or 0)
+
+
+def _has_hot_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, skew_rows: int) -> bool:
+    return _hot_key_samples(df, keys, order, value, skew_rows) > 0
+
+
+def _tuple_bytes(df: DataFrame, cols: Sequence[str]) -> int:
+    """Rough size of one row of ``cols``: fixed-width values at their width,
+    strings and other variable-width values at 32 bytes, plus per-field overhead."""
+    def width(t: T.DataType) -> int:
+        if isinstance(t, (T.ByteType, T.BooleanType)):
+            return 1
+        if isinstance(t, T.ShortType):
+            return 2
+        if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+            return 4
+        if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+            return 8
+        if isinstance(t, T.DecimalType):
+            return 8 if t.precision <= 18 else 16
+        return 32
+
+    return 16 + sum(width(df.schema[c].dataType) + 8 for c in cols)
 
 
 def _resolve_chunk(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, chunk, chunk_seconds: int, skew_rows: int | None
-) -> Column | None:
-    """Chunk expression for the window, or None for the single-window form.
+) -> tuple[Column | None, bool]:
+    """Chunk expression for the window (None: single window), and whether the
+    sub-chunk bounds may be broadcast.
 
     ``"auto"`` looks at a sample first: with no hot key the single window is
     the cheapest plan (one exchange, one pass) and no task gets more than
     about ``skew_rows`` rows of one key; otherwise the rows are chunked by
-    time (``"time"``) and oversized chunks are cut further.
+    time (``"time"``) and oversized chunks are cut further.  The sample also
+    bounds the bounds table, so its broadcast is checked against
+    ``DEFAULT_MAX_BROADCAST_BYTES``; above that the bounds join is a shuffle
+    join whose hot side AQE's skew-join handling splits.  The explicit modes
+    rely on the structural bound (one tuple per ``skew_rows`` rows).
     """
+    broadcast_ok = True
     if isinstance(chunk, str) and chunk == "auto":
-        if skew_rows is not None and not _has_hot_key(df, keys, order, value, skew_rows):
-            return None
+        if skew_rows is not None:
+            samples = _hot_key_samples(df, keys, order, value, skew_rows)
+            if samples == 0:
+                return None, broadcast_ok
+            broadcast_ok = samples * _tuple_bytes(df, [*keys, *order]) <= DEFAULT_MAX_BROADCAST_BYTES
         chunk = "time"
-    return _chunk_expr(df, order[0], chunk, chunk_seconds)
+    return _chunk_expr(df, order[0], chunk, chunk_seconds), broadcast_ok
 
 
 _LOWEST_CHUNK = -(2**63)  # NULL ordering values sort first, so their chunk does too
@@ -164,7 +200,12 @@ def _partition_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list
 
 
 def _split_hot_chunks(
-    d: DataFrame, part: Sequence[str], order: Sequence[str], skew_rows: int | None, extra: Sequence[str] = ()
+    d: DataFrame,
+    part: Sequence[str],
+    order: Sequence[str],
+    skew_rows: int | None,
+    extra: Sequence[str] = (),
+    broadcast_ok: bool = True,
 ) -> tuple[DataFrame, list[str]]:
     """Cut chunks holding more than ``skew_rows`` rows into contiguous sub-chunks.
 
@@ -203,7 +244,7 @@ def _split_hot_chunks(
         _CH,
         F.array_distinct(F.filter("__smp", lambda x, i: ((i + 1) % stride == 0) & (i + 1 < n))).alias("__b"),
     )
-    joined = _join_back(d, F.broadcast(bounds), part, [_CH])
+    joined = _join_back(d, F.broadcast(bounds) if broadcast_ok else bounds, part, [_CH])
     return joined.withColumn(_SUB, _count_at_or_below(F.col("__b"), key)).drop("__b"), [_CH, _SUB]
 
 
@@ -260,13 +301,13 @@ def running_total(
     keys, order = list(keys), list(order)
     v = money(value, exact_scale) if exact_scale is not None else F.col(value)
     cast_out = (lambda c: c.cast("double")) if exact_scale is not None else (lambda c: c)
-    ch = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
+    ch, broadcast_ok = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
     if ch is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, cast_out(F.sum(v).over(w)))
 
     d, part, added = _partition_keys(df.withColumn(_CH, F.coalesce(ch, F.lit(_LOWEST_CHUNK))), keys)
-    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value])
+    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value], broadcast_ok)
     local_w = Window.partitionBy(*part, *chunks).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = d.withColumn("__local", F.sum(v).over(local_w))
     # Per-chunk totals come from a pruned, partially aggregated pass over the
@@ -304,13 +345,13 @@ def rolling_mean(
     back = rows - 1
     if back == 0:
         chunk = None  # a one-row frame needs no neighbours: one window, no chunks
-    ch = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
+    ch, broadcast_ok = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
     if ch is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-back, Window.currentRow)
         return df.withColumn(out, F.avg(F.col(value).cast("double")).over(w))
 
     d, part, added = _partition_keys(df.withColumn(_CH, F.coalesce(ch, F.lit(_LOWEST_CHUNK))), keys)
-    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value])
+    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value], broadcast_ok)
     w = Window.partitionBy(*part, *chunks).orderBy(*order)
     frame = w.rowsBetween(-back, Window.currentRow)
     local = d.withColumns(

@@ -245,3 +245,19 @@ def test_auto_plans_single_window_without_hot_keys(spark):
     assert "__chunk" not in cold._jdf.queryExecution().analyzed().toString()
     assert "__chunk" in hot._jdf.queryExecution().analyzed().toString()
     assert _collect(cold, "run") == _collect(hot, "run") == _brute(_data([(k, d % 5, d % 24, d) for d in range(60) for k in ("a", "b", "c")]))
+
+
+
+def test_bounds_join_without_broadcast_is_exact(spark):
+    """When the sampled bound count is too large to broadcast, the split joins by shuffle."""
+    from strata.operators import windows
+
+    data = [(i, "hot", BASE, i % 5) for i in range(300)]
+    df = _frame(spark, data)
+    d, part, _ = windows._partition_keys(df.withColumn(windows._CH, F.lit(0).cast("long")), ["k"])
+    out, chunks = windows._split_hot_chunks(d, part, ["ts", "id"], 40, ["v"], broadcast_ok=False)
+    assert chunks == [windows._CH, windows._SUB]
+    assert "BroadcastExchange" not in out._jdf.queryExecution().sparkPlan().toString()
+    subs = [r["__sub"] for r in out.orderBy("id").collect()]
+    assert subs == sorted(subs) and len(set(subs)) >= 4
+    assert windows._hot_key_samples(df, ["k"], ["ts", "id"], "v", 40) > 0
