@@ -26,6 +26,7 @@ from strata.operators.windows import DEFAULT_SKEW_ROWS, rolling_mean, running_to
 from strata.session import scratch_path
 from strata.schemas import BRONZE_TABLES, CLEAN_KEYS, CSV_OPTIONS, RAW_FILES
 from strata.sources.csv import ingest_all
+from strata.sources.store import delete_path
 
 GOLD_TABLES = (
     "cumulative_sales_per_customer",
@@ -74,6 +75,9 @@ def window_input(
     )
 
 
+_STAGED_PREFIX = "gold-window-input"
+
+
 def stage_window_input(orders: DataFrame, items: DataFrame, **keys) -> DataFrame:
     """Write :func:`window_input` once below the shared checkpoint folder and read it back.
 
@@ -85,7 +89,7 @@ def stage_window_input(orders: DataFrame, items: DataFrame, **keys) -> DataFrame
     there too, so a lost executor re-runs at most the window stages.
     """
     joined = window_input(orders, items, **keys)
-    path = scratch_path(joined.sparkSession, "gold-window-input")
+    path = scratch_path(joined.sparkSession, _STAGED_PREFIX)
     joined.write.parquet(path)
     return joined.sparkSession.read.parquet(path)
 
@@ -189,9 +193,16 @@ def build_silver(store) -> dict[str, int]:
 
 
 def build_gold(store) -> dict[str, int]:
+    """Write the five gold tables; the staged window input is removed afterwards."""
     orders = store.read("silver", "orders_enriched")
     items = store.read("silver", "order_items_enriched")
-    return store.write_all(gold_tables(orders, items, staged=True), "gold")
+    tables = gold_tables(orders, items, staged=True)
+    staged_dirs = {f.rsplit("/", 1)[0] for f in tables["cumulative_sales_per_customer"].inputFiles()}
+    counts = store.write_all(tables, "gold")
+    for folder in staged_dirs:
+        if f"/{_STAGED_PREFIX}-" in folder:  # only the staging folder, never a source table
+            delete_path(orders.sparkSession, folder)
+    return counts
 
 
 def build_reports(spark: SparkSession, store) -> dict[str, DataFrame]:

@@ -43,7 +43,7 @@ def _path_exists(spark: SparkSession, path: str) -> bool | None:
         return None
 
 
-def _delete_path(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
     """Best-effort recursive delete through the Hadoop file system of ``path``."""
     try:
         fs, hpath = _hadoop_fs(spark, path)
@@ -136,7 +136,7 @@ class LayerStore:
             writer.save(staged or target)
         except Exception:
             if staged:
-                _delete_path(self.spark, staged)
+                delete_path(self.spark, staged)
             raise
         rows = int(obs.get.get("rows", 0))
         if staged:

@@ -157,3 +157,16 @@ def test_reports(built):
     ]
     assert [tuple(r) for r in reports["slowest_sellers"].collect()] == [("s1", 4.0), ("s2", 4.0)]
     assert [tuple(r) for r in reports["orders_by_state"].collect()] == [("SP", 2)]
+
+
+
+def test_gold_build_removes_staged_window_input(built, spark):
+    import glob
+
+    from strata.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark).replace("file:", "")
+    before = set(glob.glob(f"{root}/scratch/gold-window-input-*"))
+    store = built[0]
+    medallion.build_gold(store)
+    assert set(glob.glob(f"{root}/scratch/gold-window-input-*")) <= before
