@@ -343,8 +343,8 @@ def rolling_mean(
         raise ValueError("rows must be >= 1")
     keys, order = list(keys), list(order)
     back = rows - 1
-    if back == 0:
-        chunk = None  # a one-row frame needs no neighbours: one window, no chunks
+    if back == 0:  # a one-row frame is the row itself: no window, no shuffle
+        return df.withColumn(out, F.col(value).cast("double"))
     ch, broadcast_ok = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
     if ch is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-back, Window.currentRow)
