@@ -132,3 +132,24 @@ def test_shuffle_sizing():
     conf = sizing_conf(10 * 1024**3, target_bytes=128 * 1024**2)
     assert conf["spark.sql.shuffle.partitions"] == "80"
     assert conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "80"
+
+
+def test_build_session_applies_defaults_and_sizing(spark):
+    from strata.session import CHECKPOINT_CONF, build_session
+
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            "spark.sql.adaptive.enabled")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        s = build_session("strata-test", shuffle_bytes=3 * 256 * 1024 * 1024)
+        assert s is spark  # an existing session is reused, not replaced
+        assert s.conf.get("spark.sql.shuffle.partitions") == "3"
+        assert s.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "3"
+        assert s.conf.get("spark.sql.adaptive.enabled") == "true"
+        assert s.conf.get(CHECKPOINT_CONF)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
