@@ -100,9 +100,11 @@ def _hot_key_samples(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
 
     One small job: a deterministic hash sample of ``_SAMPLES_PER_SPLIT`` rows
     per ``skew_rows`` rows, counted per key (map-side partial counts); one
-    number comes back to the driver.  It is 0 when no key is hot, and it
-    bounds the number of sub-chunk bounds the split can produce (they are a
-    subset of these sampled rows), which sizes their broadcast.
+    number comes back to the driver.  It is 0 when no key is hot.  The split
+    samples hot keys at the same rate and keeps one bound per
+    ``_SAMPLES_PER_SPLIT`` samples, so this count over-estimates the number
+    of bounds about that many times over: a conservative size for their
+    broadcast.
     """
     modulus, cut, per_split = _sample_rate(skew_rows)
     hashed = F.xxhash64(*keys, *order, *([value] if value not in order else []))
@@ -144,7 +146,7 @@ def _resolve_chunk(
     the cheapest plan (one exchange, one pass) and no task gets more than
     about ``skew_rows`` rows of one key; otherwise the rows are chunked by
     time (``"time"``) and oversized chunks are cut further.  The sample also
-    bounds the bounds table, so its broadcast is checked against
+    sizes the bounds table, so its broadcast is checked against
     ``DEFAULT_MAX_BROADCAST_BYTES``; above that the bounds join is a shuffle
     join whose hot side AQE's skew-join handling splits.  The explicit modes
     rely on the structural bound (one tuple per ``skew_rows`` rows).
