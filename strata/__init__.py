@@ -19,11 +19,12 @@ from strata.operators.quality import clean, dedupe, distinct_pairs, drop_null_ke
 from strata.operators.reports import ranked, register_views, run_report, top_n
 from strata.operators.windows import rolling_mean, running_total
 from strata.plans.flow import Flow
-from strata.session import build_session, ensure_checkpoint_dir
+from strata.session import build_session, ensure_checkpoint_dir, sizing_conf
 from strata.sources.csv import ingest_all, read_csv
 from strata.sources.store import LayerStore, row_counts
 
 __all__ = [
+    "sizing_conf",
     "Flow",
     "LayerStore",
     "add_amounts",

@@ -31,8 +31,10 @@ one exchange, one pass, and no task holds more than about ``skew_rows`` rows
 of one key.  Otherwise it chunks as ``"time"`` does.  ``chunk="time"``
 always chunks by time (one chunk per key for other ordering types);
 ``chunk="key"`` skips the time chunks (one chunk per key, cut only where the
-sample finds it large); ``chunk=None`` always gives the single-window form.  Ordering ties: pass enough ``order`` columns to make the order
-total, or at least total up to rows that are equal in the output columns.
+sample finds it large); ``chunk=None`` always gives the single-window form.
+
+Ordering ties: pass enough ``order`` columns to make the order total, or at
+least total up to rows that are equal in the output columns.
 """
 
 from __future__ import annotations

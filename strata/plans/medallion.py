@@ -154,7 +154,10 @@ def gold_tables(orders: DataFrame, items: DataFrame, staged: bool = False) -> di
     """
     if staged:
         joined = stage_window_input(orders, items)
-        out = {"cumulative_sales_per_customer": running_sales(joined), "rolling_avg_delivery_per_category": rolling_delivery(joined)}
+        out = {
+            "cumulative_sales_per_customer": running_sales(joined),
+            "rolling_avg_delivery_per_category": rolling_delivery(joined),
+        }
     else:
         out = {
             "cumulative_sales_per_customer": cumulative_sales_per_customer(orders, items),
