@@ -261,3 +261,28 @@ def test_bounds_join_without_broadcast_is_exact(spark):
     subs = [r["__sub"] for r in out.orderBy("id").collect()]
     assert subs == sorted(subs) and len(set(subs)) >= 4
     assert windows._hot_key_samples(df, ["k"], ["ts", "id"], "v", 40) > 0
+
+
+def test_auto_skips_bounds_broadcast_over_the_size_limit(spark, monkeypatch):
+    from strata.operators import windows
+
+    data = [(i, "hot" if i % 4 else "cold", BASE + dt.timedelta(hours=i % 3), i % 9) for i in range(240)]
+    df = _frame(spark, data)
+
+    def broadcasts(frame):
+        return frame._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin")
+
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only explicit hints broadcast
+    try:
+        hinted = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=30)
+        assert broadcasts(hinted) >= 1
+        monkeypatch.setattr(windows, "DEFAULT_MAX_BROADCAST_BYTES", 0)
+        out = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=30)
+        assert "__b" in out._jdf.queryExecution().sparkPlan().toString() and broadcasts(out) == 0
+        assert _collect(out, "run") == _brute(data)
+        got = _collect(rolling_mean(df, ["k"], ["ts", "id"], "v", "avg", rows=3, skew_rows=30), "avg")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    expect = _brute(data, rows_back=2)
+    assert all(got[i] == pytest.approx(expect[i]) for i in expect)
