@@ -88,6 +88,8 @@ GEOLOCATION = _schema(
     ("geolocation_state", _S),
 )
 
+# The file names of the public e-commerce dataset that the
+# bronze ingest reads (without ".csv"); bronze tables are named after them.
 RAW_FILES = {
     "olist_orders_dataset": ORDERS,
     "olist_customers_dataset": CUSTOMERS,
