@@ -90,10 +90,11 @@ def _chunk_expr(df: DataFrame, first_order: str, chunk: str | Column | None, chu
     return F.when(col.isNotNull(), F.lit(0).cast("long"))
 
 
-def _sample_rate(skew_rows: int) -> tuple[int, int, int]:
-    """(hash modulus, hash cut, expected samples in ``skew_rows`` rows) of the hot-group sample."""
+def _sample_rate(skew_rows: int, thin: int = 1) -> tuple[int, int, int]:
+    """(hash modulus, hash cut, expected samples in ``skew_rows`` rows) of the hot-group
+    sample; ``thin`` divides the rate (used to bound the sample of a very hot key)."""
     modulus = 1 << 31
-    rate = min(1.0, _SAMPLES_PER_SPLIT / skew_rows)
+    rate = min(1.0, _SAMPLES_PER_SPLIT / skew_rows) / thin
     return modulus, max(1, int(modulus * rate)), max(1, round(rate * skew_rows))
 
 
@@ -102,17 +103,25 @@ def _hot_key_samples(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
 
     One small job: a deterministic hash sample of ``_SAMPLES_PER_SPLIT`` rows
     per ``skew_rows`` rows, counted per key (map-side partial counts); one
-    number comes back to the driver.  It is 0 when no key is hot.  The split
+    row comes back to the driver.  It is 0 when no key is hot.  The split
     samples hot keys at the same rate and keeps one bound per
     ``_SAMPLES_PER_SPLIT`` samples, so this count over-estimates the number
     of bounds about that many times over: a conservative size for their
     broadcast.
     """
+    return _hot_key_stats(df, keys, order, value, skew_rows)[0]
+
+
+def _hot_key_stats(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, skew_rows: int
+) -> tuple[int, int]:
+    """(sampled rows in hot keys, sampled rows of the hottest key), from one job."""
     modulus, cut, per_split = _sample_rate(skew_rows)
     hashed = F.xxhash64(*keys, *order, *([value] if value not in order else []))
     sampled = df.filter(F.pmod(hashed, F.lit(modulus)) < F.lit(cut))
     hot = sampled.groupBy(*keys).count().filter(F.col("count") > per_split)
-    return int(hot.agg(F.sum("count")).first()[0] or 0)
+    total, top = hot.agg(F.sum("count"), F.max("count")).first()
+    return int(total or 0), int(top or 0)
 
 
 def _has_hot_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, skew_rows: int) -> bool:
@@ -140,9 +149,9 @@ def _tuple_bytes(df: DataFrame, cols: Sequence[str]) -> int:
 
 def _resolve_chunk(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, chunk, chunk_seconds: int, skew_rows: int | None
-) -> tuple[Column | None, bool]:
-    """Chunk expression for the window (None: single window), and whether the
-    sub-chunk bounds may be broadcast.
+) -> tuple[Column | None, bool, int]:
+    """Chunk expression for the window (None: single window), whether the
+    sub-chunk bounds may be broadcast, and how much to thin the split's sample.
 
     ``"auto"`` looks at a sample first: with no hot key the single window is
     the cheapest plan (one exchange, one pass) and no task gets more than
@@ -151,17 +160,21 @@ def _resolve_chunk(
     sizes the bounds table, so its broadcast is checked against
     ``DEFAULT_MAX_BROADCAST_BYTES``; above that the bounds join is a shuffle
     join whose hot side AQE's skew-join handling splits.  The explicit modes
-    rely on the structural bound (one tuple per ``skew_rows`` rows).
+    rely on the structural bound (one tuple per ``skew_rows`` rows).  The
+    hottest key's sample count sets ``thin``: the split samples that much
+    more sparsely, so no chunk's sample list exceeds ``_MAX_SPLITS *
+    _SAMPLES_PER_SPLIT`` tuples however large the key is.
     """
-    broadcast_ok = True
+    broadcast_ok, thin = True, 1
     if isinstance(chunk, str) and chunk == "auto":
         if skew_rows is not None:
-            samples = _hot_key_samples(df, keys, order, value, skew_rows)
+            samples, top = _hot_key_stats(df, keys, order, value, skew_rows)
             if samples == 0:
-                return None, broadcast_ok
+                return None, broadcast_ok, thin
+            thin = max(1, -(-top // (_MAX_SPLITS * _SAMPLES_PER_SPLIT)))
             broadcast_ok = samples * _tuple_bytes(df, [*keys, *order]) <= DEFAULT_MAX_BROADCAST_BYTES
         chunk = "time"
-    return _chunk_expr(df, order[0], chunk, chunk_seconds), broadcast_ok
+    return _chunk_expr(df, order[0], chunk, chunk_seconds), broadcast_ok, thin
 
 
 _LOWEST_CHUNK = -(2**63)  # NULL ordering values sort first, so their chunk does too
@@ -210,6 +223,7 @@ def _split_hot_chunks(
     skew_rows: int | None,
     extra: Sequence[str] = (),
     broadcast_ok: bool = True,
+    thin: int = 1,
 ) -> tuple[DataFrame, list[str]]:
     """Cut chunks holding more than ``skew_rows`` rows into contiguous sub-chunks.
 
@@ -218,8 +232,8 @@ def _split_hot_chunks(
     columns, so a task re-run picks the same rows).  Grouped by
     ``(keys, chunk)``, the sample estimates each chunk's size; for every chunk
     estimated above ``skew_rows`` the sorted sampled ordering tuples give
-    ``ceil(rows / skew_rows)`` sub-chunks (at most ``_MAX_SPLITS``), cut at
-    every ``_SAMPLES_PER_SPLIT``-th sample.  A row's sub-chunk is the number of
+    ``ceil(rows / skew_rows)`` sub-chunks (at most ``_MAX_SPLITS``), cut
+    into equal runs of the sorted sample.  A row's sub-chunk is the number of
     bounds at or below its ordering tuple (binary search), so sub-chunks never decrease along
     the ordering and results are exact whatever the sample looks like; the
     sample only decides how even the pieces are.
@@ -236,17 +250,16 @@ def _split_hot_chunks(
     if skew_rows < 1:
         raise ValueError("skew_rows must be >= 1")
     key = F.struct(*[F.col(c) for c in order])
-    modulus, cut, per_split = _sample_rate(skew_rows)
+    modulus, cut, per_split = _sample_rate(skew_rows, thin)
     hashed = F.xxhash64(*part, _CH, *order, *[c for c in extra if c not in order])
     sampled = F.pmod(hashed, F.lit(modulus)) < F.lit(cut)
     smp = d.filter(sampled).groupBy(*part, _CH).agg(F.sort_array(F.collect_list(key)).alias("__smp"))
     n = F.size("__smp")
     splits = F.least(F.ceil(n / F.lit(per_split)), F.lit(_MAX_SPLITS))
-    stride = F.greatest(F.floor(n / splits), F.lit(1))
+    # the first sample of each of `splits` equal runs of the sorted sample, bar the first run
+    starts_run = lambda x, i: (i > 0) & (F.floor(i * splits / n) > F.floor((i - 1) * splits / n))
     bounds = smp.filter(n > per_split).select(
-        *part,
-        _CH,
-        F.array_distinct(F.filter("__smp", lambda x, i: ((i + 1) % stride == 0) & (i + 1 < n))).alias("__b"),
+        *part, _CH, F.array_distinct(F.filter("__smp", starts_run)).alias("__b")
     )
     joined = _join_back(d, F.broadcast(bounds) if broadcast_ok else bounds, part, [_CH])
     return joined.withColumn(_SUB, _count_at_or_below(F.col("__b"), key)).drop("__b"), [_CH, _SUB]
@@ -305,13 +318,13 @@ def running_total(
     keys, order = list(keys), list(order)
     v = money(value, exact_scale) if exact_scale is not None else F.col(value)
     cast_out = (lambda c: c.cast("double")) if exact_scale is not None else (lambda c: c)
-    ch, broadcast_ok = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
+    ch, broadcast_ok, thin = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
     if ch is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, cast_out(F.sum(v).over(w)))
 
     d, part, added = _partition_keys(df.withColumn(_CH, F.coalesce(ch, F.lit(_LOWEST_CHUNK))), keys)
-    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value], broadcast_ok)
+    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value], broadcast_ok, thin)
     local_w = Window.partitionBy(*part, *chunks).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = d.withColumn("__local", F.sum(v).over(local_w))
     # Per-chunk totals come from a pruned, partially aggregated pass over the
@@ -349,13 +362,13 @@ def rolling_mean(
     back = rows - 1
     if back == 0:  # a one-row frame is the row itself: no window, no shuffle
         return df.withColumn(out, F.col(value).cast("double"))
-    ch, broadcast_ok = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
+    ch, broadcast_ok, thin = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
     if ch is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-back, Window.currentRow)
         return df.withColumn(out, F.avg(F.col(value).cast("double")).over(w))
 
     d, part, added = _partition_keys(df.withColumn(_CH, F.coalesce(ch, F.lit(_LOWEST_CHUNK))), keys)
-    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value], broadcast_ok)
+    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value], broadcast_ok, thin)
     w = Window.partitionBy(*part, *chunks).orderBy(*order)
     frame = w.rowsBetween(-back, Window.currentRow)
     local = d.withColumns(

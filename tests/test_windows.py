@@ -286,3 +286,20 @@ def test_auto_skips_bounds_broadcast_over_the_size_limit(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
     expect = _brute(data, rows_back=2)
     assert all(got[i] == pytest.approx(expect[i]) for i in expect)
+
+
+
+def test_very_hot_key_thins_the_split_sample(spark, monkeypatch):
+    """The hottest key's sample count thins the split's sample; pieces stay within the cap."""
+    from strata.operators import windows
+
+    monkeypatch.setattr(windows, "_MAX_SPLITS", 3)  # cap: 3 pieces per chunk, 96 samples per key
+    data = [(i, "hot", BASE, i % 11) for i in range(600)] + [(1000 + i, "cold", BASE, 2) for i in range(4)]
+    df = _frame(spark, data)
+    ch, _, thin = windows._resolve_chunk(df, ["k"], ["ts", "id"], "v", "auto", 86400, 1)
+    assert ch is not None and thin == 7  # 600 sampled rows / 96
+    d, part, _ = windows._partition_keys(df.withColumn(windows._CH, F.coalesce(ch, F.lit(0))), ["k"])
+    split, _ = windows._split_hot_chunks(d, part, ["ts", "id"], 1, ["v"], True, thin)
+    subs = [r["__sub"] for r in split.filter(F.col("k") == "hot").orderBy("id").collect()]
+    assert subs == sorted(subs) and len(set(subs)) == 3
+    assert _collect(running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=1), "run") == _brute(data)
