@@ -303,3 +303,19 @@ def test_very_hot_key_thins_the_split_sample(spark, monkeypatch):
     subs = [r["__sub"] for r in split.filter(F.col("k") == "hot").orderBy("id").collect()]
     assert subs == sorted(subs) and len(set(subs)) == 3
     assert _collect(running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=1), "run") == _brute(data)
+
+
+def test_auto_window_without_hot_keys_is_one_exchange(spark, tmp_root):
+    """The common case at any scale: one hash exchange on the key, then the window."""
+    path = f"{tmp_root}/even"
+    _frame(spark, _data([(k, d % 9, d % 24, d) for d in range(100) for k in "abcdefgh"])).write.parquet(path)
+    df = spark.read.parquet(path)
+    out = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 1 and "hashpartitioning(k#" in exchanges[0]
+    assert "ReadSchema: struct<id:int,k:string,ts:timestamp,v:int>" in plan
