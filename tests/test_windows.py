@@ -305,12 +305,16 @@ def test_very_hot_key_thins_the_split_sample(spark, monkeypatch):
     assert _collect(running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=1), "run") == _brute(data)
 
 
-def test_auto_window_without_hot_keys_is_one_exchange(spark, tmp_root):
+@pytest.mark.parametrize("op", ["running", "rolling"])
+def test_auto_window_without_hot_keys_is_one_exchange(spark, tmp_root, op):
     """The common case at any scale: one hash exchange on the key, then the window."""
     path = f"{tmp_root}/even"
     _frame(spark, _data([(k, d % 9, d % 24, d) for d in range(100) for k in "abcdefgh"])).write.parquet(path)
     df = spark.read.parquet(path)
-    out = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None)
+    if op == "running":
+        out = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None)
+    else:
+        out = rolling_mean(df, ["k"], ["ts", "id"], "v", "avg", rows=3)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = out._jdf.queryExecution().executedPlan().toString()
