@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+#: Words too common to sift documents by.
+COMMON = {"a", "any", "be", "by", "can", "file", "for", "found", "general", "has", "in", "is", "not", "of", "or", "person", "public", "source", "subject", "that", "the", "this", "to", "under", "use", "version", "with", "work", "you"}
 
 #: Common license notices.
 TEMPLATES = (
@@ -90,7 +92,7 @@ def anchor_words(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]
         pairs = set(zip(words, words[1:], strict=False))
         may_miss = len(pairs) - math.ceil(share * len(pairs) - 1e-9)
         mine: set[str] = set()
-        for word in sorted(set(words), key=lambda w: ("licens" not in w, -len(w), w)):
+        for word in sorted(set(words), key=lambda w: ("licens" not in w, w in COMMON, -len(w), w)):
             if sum(1 for p in pairs if mine & set(p)) > may_miss:
                 break
             mine.add(word)

@@ -42,16 +42,17 @@ def _op6() -> str:
     plain = r"trim(regexp_replace(lower({}), '[^a-z0-9\x{{80}}-\x{{10ffff}}]+', ' ', 'g'))"
     return rf"""
 WITH t AS (
-  SELECT template, license, list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS tp
+  SELECT template, license, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS tp
   FROM (SELECT *, string_split({plain.format("notice")}, ' ') AS w FROM (VALUES {values}) v(template, license, notice))),
 r AS (SELECT doc_id, text, ROW_NUMBER() OVER () AS row FROM documents),
 l AS (SELECT doc_id, row, unnest(string_split(lower(text), chr(10))) AS body FROM r),
 ln AS (SELECT doc_id, row, body, ROW_NUMBER() OVER () AS line,
-         string_split(regexp_replace(body, '([.!?])[ 	-]+', '' || chr(10), 'g'), chr(10)) AS parts FROM l),
+         string_split(regexp_replace(body, '([.!?])[ 	-
+]+', '' || chr(10), 'g'), chr(10)) AS parts FROM l),
 s AS (SELECT doc_id, row, line, 0 AS whole, unnest(parts) AS segment FROM ln
       UNION ALL SELECT doc_id, row, line, 1, body FROM ln WHERE len(parts) > 1),
 sg AS (SELECT *, ROW_NUMBER() OVER () AS seg, string_split({plain.format("segment")}, ' ') AS w FROM s),
-sp AS (SELECT doc_id, row, seg, list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS p FROM sg WHERE len(w) > 1),
+sp AS (SELECT doc_id, row, seg, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS p FROM sg WHERE len(w) > 1),
 c AS (SELECT doc_id, row, seg, license,
         2.0 * len(list_intersect(p, tp)) / (len(p) + len(tp)) AS dice
       FROM sp JOIN t ON len(p) BETWEEN len(tp) * 0.6 AND len(tp) * 1.6),
