@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, licenses, line_rules, mixing, token_counts
+from strata.llm import decontaminate, licenses, line_rules, mixing, quality_knn, substring_fm, suffix_dedup, token_counts, toxicity
 from strata.session import scratch_path
 
 
@@ -22,6 +22,15 @@ def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op2_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_knn.score_quality(docs, quality_knn.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_quality(table(spark, sf_dir, "documents"))
 
@@ -35,18 +44,31 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_substring_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_fm.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.documents_mix(spark, table(spark, sf_dir, "documents"), partial(store, spark))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_quality_knn": op2_quality_knn,
     "op3_line_rules": op3_line_rules,
     "op5_token_counts": op5_token_counts,
     "op6_licenses": op6_licenses,
+    "op7_toxicity": op7_toxicity,
     "op8_decontaminate": op8_decontaminate,
+    "op9_substring_fm": op9_substring_fm,
     "op10_mixing": op10_mixing,
 }
