@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, licenses, line_rules, mixing, quality_knn, substring_fm, suffix_dedup, token_counts, toxicity
+from strata.llm import decontaminate, licenses, line_rules, mixing, ngram_join, quality_knn, substring_fm, suffix_dedup, token_counts, toxicity
 from strata.session import scratch_path
 
 
@@ -35,6 +35,11 @@ def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_quality(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"), partial(store, spark))
+    return found.select("doc_id", "n_shingles", "component_id", "component_links")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = store(spark, token_counts.encode_documents(table(spark, sf_dir, "documents")), "token_files")
     return token_counts.token_counts(files)
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_knn": op2_quality_knn,
     "op3_line_rules": op3_line_rules,
+    "op4_ngram_join": op4_ngram_join,
     "op5_token_counts": op5_token_counts,
     "op6_licenses": op6_licenses,
     "op7_toxicity": op7_toxicity,
