@@ -38,7 +38,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.components import Store, connected_components
@@ -331,3 +331,12 @@ def near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
         F.coalesce("component_links", F.lit(0)).alias("component_links"),
         F.coalesce(F.col("keeper") == F.struct("oid", "tie"), F.lit(True)).alias("keeps"),
     )
+
+
+def keep_one(docs: DataFrame, store: Store) -> DataFrame:
+    """One row of every group of near duplicates: the one with the least id (equal rows: one of them); all columns."""
+    kept = near_duplicates(docs, store).filter("keeps").select(F.col("oid").alias("k_oid"), F.col("tie").alias("k_tie")).distinct()
+    rows = keyed(docs, carry=True).select("oid", "tie", F.struct("rest", "text").alias("row"))
+    mine = rows.join(kept, (F.col("oid") == F.col("k_oid")) & (F.col("tie") == F.col("k_tie"))).select("oid", "tie", "row")
+    mine = mine.withColumn("copy", F.row_number().over(Window.partitionBy("oid", "tie").orderBy(F.xxhash64("row.rest")))).filter("copy = 1")
+    return mine.select(*((F.col("row.text") if c == "text" else F.col(f"row.rest.`{c}`")).alias(c) for c in docs.columns))

@@ -44,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.llm.textops import RangeHash, buffers, byte_values, cover, key_chunks, minimizers
 
@@ -57,14 +58,18 @@ _LAST_ID = (1 << 63) - 1
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, oid, tie, text``: (oid, tie) names a document, in order."""
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """``doc_id, oid, tie, text``: (oid, tie) names a document, in order.
+
+    With ``carry``, ``rest`` holds all other columns, whatever their names.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("oid"),
         F.shiftright(F.xxhash64(text), 32).cast("int").alias("tie"),
         text.alias("text"),
+        *([F.struct(*(docs[f"`{c}`"] for c in docs.columns if c != text_col)).alias("rest")] if carry else []),
     )
 
 
@@ -306,7 +311,7 @@ def _intervals(length: int, seed: int):
     return work
 
 
-def _cut(length: int, seed: int, with_text: bool):
+def _cut(length: int, seed: int, with_text: bool, carry: bool):
     reach = length - seed
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,17 +336,22 @@ def _cut(length: int, seed: int, with_text: bool):
                 out.append((len(text), len(text) - len(kept), runs, hashlib.sha256(kept).hexdigest(), *([kept] if with_text else [])))
             columns = [pa.array(x) for x in zip(*out, strict=True)] if out else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.string(), *([pa.binary()] if with_text else []))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("oid"), batch.column("tie"), *columns],
-                ["doc_id", "oid", "tie", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])],
+                [batch.column("doc_id"), batch.column("oid"), batch.column("tie"), *columns, *([batch.column("rest")] if carry else [])],
+                ["doc_id", "oid", "tie", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else []), *(["rest"] if carry else [])],
             )
 
     return work
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot: int = HOT, with_text: bool = False) -> DataFrame:
-    """Per document row: sizes and digest of what is left (and the bytes, ``kept``, with ``with_text``)."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot: int = HOT, with_text: bool = False, carry: bool = False) -> DataFrame:
+    """Per document row: sizes and digest of what is left.
+
+    ``with_text`` adds the bytes left, ``kept``; ``carry`` adds the row's
+    other columns, ``rest``.
+    """
     n = width(docs.sparkSession)
-    texts = keyed(docs).repartition(n, "oid", "tie")
+    # every branch below takes all columns of ``texts``, so that Spark shuffles it once and reads the shuffle again
+    texts = keyed(docs, carry=carry).repartition(n, "oid", "tie")
     anchors = texts.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie int, pos long")
     found = anchors.repartition(n, "seed").sortWithinPartitions("seed").mapInArrow(_resolve(hot), "oid long, tie int, pos long, kind byte, seed long")
     per_doc = found.groupBy("oid", "tie").agg(F.collect_list(F.struct("pos", "kind", "seed")).alias("found"))
@@ -352,9 +362,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot:
     per_span = spans.groupBy("oid", "tie").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     none = {"found": "array<struct<pos:bigint,kind:tinyint,seed:bigint>>", "spans": "array<struct<start:bigint,stop:bigint>>"}
     joined = texts.join(per_doc.hint("shuffle_hash"), ["oid", "tie"], "left").join(per_span.hint("shuffle_hash"), ["oid", "tie"], "left")
-    joined = joined.select("doc_id", "oid", "tie", "text", *(F.coalesce(c, F.array().cast(t)).alias(c) for c, t in none.items()))
+    joined = joined.select(*texts.columns, *(F.coalesce(c, F.array().cast(t)).alias(c) for c, t in none.items()))
     schema = "doc_id long, oid long, tie int, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
-    cut = joined.mapInArrow(_cut(length, seed, with_text), schema)
+    result = StructType.fromDDL(schema)
+    if carry:
+        result = StructType([*result.fields, texts.schema["rest"]])
+    cut = joined.mapInArrow(_cut(length, seed, with_text, carry), result)
     # further rows with the same id and text repeat the first one's strings
     copy = F.row_number().over(Window.partitionBy("oid", "tie").orderBy("doc_id")) > 1
     again = cut.withColumn("again", copy & (F.col("n_bytes") >= length))
@@ -365,5 +378,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot:
         F.when(F.col("again"), F.lit(1).cast("long")).otherwise(F.col("n_spans")).alias("n_spans"),
         F.when(F.col("again"), F.lit(_EMPTY_SHA)).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
         *([F.when(F.col("again"), F.lit(b"")).otherwise(F.col("kept")).alias("kept")] if with_text else []),
+        *(["rest"] if carry else []),
     )
     return out
+
+
+def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+    """The rows with the repeated bytes taken out of ``text``, other columns unchanged (``n_chars`` follows the text).
+
+    A character of which only some bytes are left goes as well.
+    """
+    cut = remove_repeats(docs, length, seed, with_text=True, carry=True)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = [x.as_py().decode(errors="ignore") for x in batch.column("kept")]
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(text, pa.string())], ["rest", "text"])
+
+    out = cut.select("rest", "kept").mapInArrow(decode, StructType([cut.schema["rest"], *StructType.fromDDL("text string").fields]))
+    chars = F.length("text").cast("long")
+    return out.select(*(F.col("text") if c == "text" else (chars if c == "n_chars" else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
