@@ -38,11 +38,13 @@ from strata.llm.labelled import fold, sample
 
 #: Bounds of the fit: at most this many labelled documents that are not toxic, and that are.
 PER_CLASS = (4000, 2000)
-LANDMARKS, NEUTRAL = 256, 128
+LANDMARKS, NEUTRAL, CONTRAST = 192, 32, 160
 DECAY = 0.6
 LONGEST = 24
-HARD, RANDOM, ROUNDS = 4000, 8000, 4
-#: Marking tokens: expected number by chance, and least share of toxic documents among those that hold one.
+HARD, RANDOM, ROUNDS = 3000, 6000, 4
+#: Weight of the hinge loss against the norm.
+COST = 100.0
+#: Marking tokens: expected number by chance, and least share of toxic documents among its uses.
 CHANCE, PURE = 0.05, 0.7
 FOLDS, HELD_OUT = 5, 0
 #: Tokens whose margins a task remembers (a cache only; any token is scored again after it).
@@ -174,20 +176,29 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss by Newton steps over the active rows."""
+def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float]:
+    """Linear SVM with squared hinge loss by damped Newton steps over the active rows."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x1.shape[1])
-    ridge = np.eye(len(w))
-    ridge[-1, -1] = 1e-6
+    ridge = np.full(x1.shape[1], 1.0)
+    ridge[-1] = 1e-6
+
+    def loss(out: np.ndarray, w: np.ndarray) -> float:
+        return float((ridge * w * w).sum() + (cost * np.maximum(0, 1 - y * out) ** 2).sum())
+
+    w, out = np.zeros(x1.shape[1]), np.zeros(len(x1))
+    now = loss(out, w)
     for _ in range(rounds):
-        slack = 1 - y * (x1 @ w)
-        on = slack > 0
-        xa = x1[on] * cost[on, None]
-        new = np.linalg.solve(ridge + xa.T @ x1[on], xa.T @ y[on])
-        if np.allclose(new, w, atol=1e-8):
+        on = y * out < 1
+        xa = x1[on]
+        weighted = xa * cost[on, None]
+        step = np.linalg.solve(np.diag(ridge) + weighted.T @ xa, weighted.T @ y[on]) - w
+        out_step, size = x1 @ step, 1.0
+        while size > 1e-3 and loss(out + size * out_step, w + size * step) > now:
+            size /= 2
+        w, out = w + size * step, out + size * out_step
+        before, now = now, loss(out, w)
+        if before - now <= 1e-4 * before:
             break
-        w = new
     return w[:-1], float(w[-1])
 
 
@@ -206,14 +217,28 @@ def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(slope), 1e-3), float(offset)
 
 
-def _marking(toxic: Counter, clean: Counter, n_toxic: int, n_clean: int) -> list[str]:
+def _distinct_uses(examples: list[tuple[str, int]]) -> tuple[Counter, Counter]:
+    """How often toxic and clean documents use each token, copies aside: uses between the same two words count once."""
+    counts, seen = (Counter(), Counter()), (set(), set())
+    for text, y in examples:
+        words = ["", *(w.strip(_EDGE) for w in (text or "").lower().split()), ""]
+        words += ["", *(re.sub(r"[ .*_-]", "", run) for run in _SPELLED.findall((text or "").lower())), ""]
+        for before, word, after in zip(words, words[1:], words[2:], strict=False):
+            use = hash((before, word, after))
+            if len(word) >= 3 and use not in seen[y]:
+                seen[y].add(use)
+                counts[y][word] += 1
+    return counts[1], counts[0]
+
+
+def _marking(toxic: Counter, clean: Counter) -> list[str]:
     """Tokens commoner in toxic documents than chance allows over the whole vocabulary.
 
-    Log-likelihood ratio of the two classes' counts against one rate for both,
+    Log-likelihood ratio of the two classes' uses against one rate for both,
     held to ``CHANCE`` false tokens in all.
     """
     least = np.log(len(set(toxic) | set(clean)) / CHANCE)
-    share = n_toxic / (n_toxic + n_clean)
+    share = toxic.total() / (toxic.total() + clean.total())
     out = []
     for t, c in toxic.items():
         other = clean[t]
@@ -230,13 +255,10 @@ def train(examples: list[tuple[str, int]]) -> Model | None:
     bags: list[set[str]] = [set() for _ in examples]
     for n, found in sentences:
         bags[n] |= {t.strip(_EDGE) for t in found}
-    toxic, clean = Counter(), Counter()
-    for bag, y in zip(bags, label, strict=True):
-        (toxic if y else clean).update(t for t in bag if len(t) >= 3)
-    n_toxic, n_clean = sum(label), len(label) - sum(label)
-    if not n_toxic or not n_clean:
+    toxic, clean = _distinct_uses(examples)
+    if not toxic or not clean:
         return None
-    marking = _marking(toxic, clean, n_toxic, n_clean)
+    marking = _marking(toxic, clean)
     if not marking:
         return None
     marks = set(marking)
@@ -255,27 +277,28 @@ def train(examples: list[tuple[str, int]]) -> Model | None:
         chosen.append(n)
         closest = np.maximum(closest, values[n])
     landmarks = [by_count[n] for n in chosen] + [t for t, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0])) if len(t) >= 4 and t not in marks][:NEUTRAL]
-    kernel = Kernel(landmarks)
-    middle = kernel.values(landmarks).astype(np.float64)
-    value, axes = np.linalg.eigh((middle + middle.T) / 2)
-    root = axes @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ axes.T
     # sentences of toxic documents that hold a marking token are positive, by that token; clean documents' tokens are negative
     positive = sorted({t.strip(_EDGE) for n, found in sentences if label[n] for t in found} & marks)
     others = sorted(t for t in clean if t not in marks)
-    k_others = kernel.values(others)
-    hardest = np.argsort(-k_others[:, : len(chosen)].max(axis=1), kind="stable")[:HARD]
     every = np.arange(0, len(others), max(1, len(others) // RANDOM))
-    negative = np.unique(np.concatenate([hardest, every]))
-    x_others = (k_others @ root).astype(np.float32)
-    x_marks = kernel.values(positive) @ root
-    for _ in range(ROUNDS):  # the clean tokens that the last fit scores highest join the negatives
-        x = np.vstack([x_marks, x_others[negative]])
+    model = None
+    for step in range(ROUNDS):
+        kernel = Kernel(landmarks)
+        middle = kernel.values(landmarks).astype(np.float64)
+        value, axes = np.linalg.eigh((middle + middle.T) / 2)
+        root = axes @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ axes.T
+        # negatives: a spread of clean tokens, then also those that the last fit scores highest
+        if model is None:
+            negative = every
+        else:
+            negative = np.union1d(negative, np.argsort(-model.margins(others), kind="stable")[:HARD])
+        x = np.vstack([kernel.values(positive), kernel.values([others[n] for n in negative])]).astype(np.float64) @ root
         y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-        w, bias = _svm(x, y, np.where(y > 0, min(10.0 * len(negative) / max(len(positive), 1), 200.0), 10.0))
-        margin = x_others @ w + bias
-        hard = np.argsort(-margin, kind="stable")[:HARD]
-        negative = np.union1d(negative, hard[margin[hard] > -1])
-    model = Model(kernel.alphabet, (kernel.weights @ (root @ w))[kernel.row].astype(np.float32), bias, 1.0, 0.0)
+        w, bias = _svm(x, y, np.where(y > 0, COST * min(len(negative) / max(len(positive), 1), 20.0), COST))
+        model = Model(kernel.alphabet, (kernel.weights @ (root @ w))[kernel.row].astype(np.float32), bias, 1.0, 0.0)
+        if step == 0:  # the clean tokens that come closest are landmarks from now on
+            hardest = np.argsort(-model.margins(others), kind="stable")[: 4 * CONTRAST : 4]
+            landmarks += [others[n] for n in hardest if others[n] not in landmarks]
     best = np.array([model.margins(sorted(bag)).max(initial=bias) for bag in bags])
     model.slope, model.offset = _logistic(best, np.array(label, float))
     return model
