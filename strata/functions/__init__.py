@@ -17,18 +17,40 @@ def as_col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def is_finite(c: ColumnOrName) -> Column:
+    """Neither NaN nor infinite (NULL stays NULL)."""
+    v = as_col(c).cast("double")
+    return ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
+
+
 def money(c: ColumnOrName, scale: int = 2, precision: int = 18) -> Column:
-    """Money held as ``double`` seen as an exact decimal with ``scale`` places."""
-    return as_col(c).cast(T.DecimalType(precision, scale))
+    """An amount as an exact decimal with ``scale`` places; NULL where it is NaN or infinite.
+
+    The amount must lie on that grid up to binary noise (10.1 + 0.2 does for
+    scale 2) and within ``precision`` digits; anything else raises rather than
+    being rounded away.
+    """
+    v = as_col(c).cast("double")
+    limit = 10.0 ** (precision - scale)
+    fits = F.abs(v) < limit
+    exact = F.when(is_finite(v) & fits, as_col(c)).cast(T.DecimalType(precision, scale))
+    off = F.abs(exact.cast("double") - v) > F.lit(1e-6 * 10.0**-scale) + F.abs(v) * 1e-12
+    message = F.concat(F.lit("amount "), v.cast("string"), F.lit(f" cannot be held with {scale} decimal places"))
+    failed = is_finite(v) & (~fits | off)
+    return F.when(failed, F.raise_error(message).cast(T.DecimalType(precision, scale))).otherwise(exact)
 
 
-def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:
-    """Sum of a money column without binary noise, returned as ``double``.
+def exact_sum(c: ColumnOrName, scale: int, over=None, precision: int = 18) -> Column:
+    """Sum of amounts without binary noise, as ``double``, plain or over a window.
 
-    The sum runs on decimals (a long-backed fast path while it fits in 18
-    digits), so the result does not depend on row or partition order.
+    It runs on decimals, so the result does not depend on row or partition
+    order; NaN and infinities count as in a plain sum of doubles.
     """
-    return F.sum(money(c, scale)).cast("double")
+    v = as_col(c).cast("double")
+    total, odd = F.sum(money(c, scale, precision)), F.sum(F.when(~is_finite(v), v))
+    if over is not None:
+        total, odd = total.over(over), odd.over(over)
+    return F.coalesce(odd, total.cast("double"))
 
 
 def elapsed_days(end: ColumnOrName, start: ColumnOrName) -> Column:
@@ -37,20 +59,6 @@ def elapsed_days(end: ColumnOrName, start: ColumnOrName) -> Column:
     return F.when(end_c.isNotNull(), F.datediff(end_c, as_col(start)))
 
 
-def day_number(c: ColumnOrName, dtype: T.DataType) -> Column:
-    """Day index since 1970-01-01 that never decreases when ``c`` increases.
-
-    Zoned timestamps use the instant (unaffected by daylight-saving jumps),
-    local timestamps and dates their calendar day.
-    """
-    col = as_col(c)
-    if isinstance(dtype, T.TimestampType):
-        return F.floor(F.unix_seconds(col) / F.lit(86400)).cast("long")
-    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
-        return F.unix_date(col.cast("date")).cast("long")
-    raise TypeError(f"day_number needs a date or timestamp column, got {dtype}")
-
-
 def column_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 

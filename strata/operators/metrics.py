@@ -23,11 +23,12 @@ def _keys(by: str | Sequence[str]) -> list[str]:
 
 
 def total_by(
-    df: DataFrame, by: str | Sequence[str], value: str, out: str = "total_sales", exact_scale: int | None = 2
+    df: DataFrame, by: str | Sequence[str], value: str, out: str = "total_sales", exact_scale: int | None = None
 ) -> DataFrame:
     """Per-group sum; NULL keys form their own group.
 
-    ``exact_scale`` sums money as decimals and returns ``double``.
+    A plain sum by default.  With ``exact_scale`` amounts on a decimal grid
+    are summed as decimals (see :func:`strata.functions.exact_sum`).
     """
     agg = exact_sum(value, exact_scale) if exact_scale is not None else F.sum(value)
     return df.groupBy(*_keys(by)).agg(agg.alias(out))
@@ -97,13 +98,14 @@ def kpi_tables(
     state: str = "customer_state",
     order_key: str = "order_id",
     days: str = "delivery_time_days",
+    exact_scale: int | None = None,
 ) -> dict[str, DataFrame]:
     """The three KPI tables (A7): category sales, seller mean delivery, state order counts.
 
     Category sales use every item, delivered or not, as in the reference.
     """
     return {
-        "kpi_sales_per_category": total_by(items, category, total, "total_sales"),
+        "kpi_sales_per_category": total_by(items, category, total, "total_sales", exact_scale),
         "kpi_avg_delivery_per_seller": mean_delivery_by_seller(
             items, orders, seller_key, days, "avg_delivery_time", order_key=order_key
         ),

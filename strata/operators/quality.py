@@ -37,11 +37,17 @@ def drop_null_keys(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.filter(cond)
 
 
-def clean(df: DataFrame, subset: Sequence[str]) -> DataFrame:
+def clean(df: DataFrame, subset: Sequence[str], join_key: Sequence[str] = ()) -> DataFrame:
     """Null-key removal then whole-row de-duplication.
 
     The two steps commute (a removed row has a NULL key, and so has every
     duplicate of it); filtering first lets the scan skip rows before the
     shuffle.
+
+    ``join_key`` names the key a later join or aggregate uses.  Rows are then
+    hashed on it first: copies meet there as well, and the next operator needs
+    no exchange of its own.  For near-unique keys only; a hot key would meet
+    in one task before its copies are dropped.
     """
-    return dedupe(drop_null_keys(df, subset))
+    kept = drop_null_keys(df, subset)
+    return dedupe(kept.repartition(*join_key) if join_key else kept)

@@ -1,40 +1,22 @@
 """Running totals and trailing means over ordered rows.
 
-A plain ``Window.partitionBy(key)`` sends every row of a key to one task.
-With a handful of categories, or one customer holding a third of the rows,
-that task holds a large share of the table and AQE cannot split it (skew
-handling covers joins only).  When a key is hot, both operators therefore
-work in *chunks*:
-
-* every row gets a chunk number that never decreases along the ordering
-  (by default the calendar day, or a fixed number of seconds, of the first
-  ordering column), and the window runs per ``(key, chunk)``;
-* a small per-chunk summary (one row per chunk for the running total, at
-  most ``rows - 1`` rows per chunk for the trailing mean) is carried across
-  chunk borders with a second window over the summary, and joined back.
-
-A chunk that still holds more than ``skew_rows`` rows (a hot key on one day,
-or many rows tied on the time column) is cut further into sub-chunks at
-bounds sampled from the full ordering (see :func:`_split_hot_chunks`), so
-no window task holds much more than ``skew_rows`` rows of one group.
-
-The summary has one row per (key, chunk); a hot key contributes at most its
-time span divided by the chunk width (plus its sub-chunks), so the carry
-window never sees an unbounded group.  The carry join goes to the side already hash-partitioned
-on ``(key, chunk)``, and the big exchange below the local window is reused
-by both branches, so the input is shuffled once.
-
-``chunk="auto"`` (the default) first looks at a small deterministic sample
-(one job; only "is any key hot" reaches the driver).  When no key is
-estimated above ``skew_rows`` rows the direct single-window form is planned:
-one exchange, one pass, and no task holds more than about ``skew_rows`` rows
-of one key.  Otherwise it chunks as ``"time"`` does.  ``chunk="time"``
-always chunks by time (one chunk per key for other ordering types);
-``chunk="key"`` skips the time chunks (one chunk per key, cut only where the
-sample finds it large); ``chunk=None`` always gives the single-window form.
+By default both operators are one plain window: one exchange on the keys, one
+pass.  That is the cheapest plan, and right as long as one task can hold the
+rows of any key.  Building it starts no job.
+
+A hot key (a handful of categories, one customer with a third of the rows)
+would put its rows into a single task, and AQE splits joins only.  For that
+case :func:`stage_pieces` stores the narrow input cut into contiguous *pieces*
+along ``(keys, order)`` by Spark's own range exchange and keeps each row's
+piece number.  With ``chunk`` naming that column (or any column that never
+decreases along the ordering) the window runs per ``(key, chunk)``; a small
+per-chunk summary (one row per chunk for the running total, at most ``rows -
+1`` rows per chunk for the trailing mean) is carried across chunk borders and
+joined back.
 
 Ordering ties: pass enough ``order`` columns to make the order total, or at
-least total up to rows that are equal in the output columns.
+least total up to rows that are equal in the output columns.  Rows equal in
+every ordering column share a piece; nothing can cut them.
 """
 
 from __future__ import annotations
@@ -45,139 +27,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions import day_number, money
-from strata.operators.enrich import DEFAULT_MAX_BROADCAST_BYTES
+from strata.functions import exact_sum
 
+PIECE = "__piece"
 _CH = "__chunk"
-_SUB = "__sub"
 
-# Rows of one chunk above which it is cut into sub-chunks (a task's worth).
-DEFAULT_SKEW_ROWS = 2_000_000
-# Sampled rows per planned sub-chunk, and the most sub-chunks one chunk is cut
-# into (a row of a hot chunk is placed with log2 of this many comparisons).
-_SAMPLES_PER_SPLIT = 32
-_MAX_SPLITS = 1024
+# Rows that one window task should hold at most.
+DEFAULT_PIECE_ROWS = 2_000_000
+# Ordering tuples the driver may hold while it chooses the range bounds.
+_SAMPLED_TUPLES = 2_000_000
+_SAMPLE_CONF = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
 
 
-def _chunk_expr(df: DataFrame, first_order: str, chunk: str | Column | None, chunk_seconds: int) -> Column | None:
-    """Monotone chunk number for the first ordering column, or None (single window)."""
-    if chunk is None:
-        return None
-    if isinstance(chunk, Column):
-        return chunk
-    if chunk not in ("time", "key"):
-        raise ValueError("chunk must be 'auto', 'time', 'key', None or a Column")
-    dtype = df.schema[first_order].dataType
-    col = F.col(first_order)
-    if chunk == "time" and isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        if chunk_seconds % 86400 == 0 or isinstance(dtype, T.DateType):
-            days = max(chunk_seconds // 86400, 1)
-            return F.floor(day_number(col, dtype) / F.lit(days)).cast("long")
-        if isinstance(dtype, T.TimestampType):
-            secs = F.unix_seconds(col)
-        else:  # wall-clock seconds of a local timestamp, independent of any zone
-            secs = (
-                F.unix_date(col.cast("date")).cast("long") * 86400
-                + F.hour(col) * 3600
-                + F.minute(col) * 60
-                + F.second(col)
-            )
-        return F.floor(secs / F.lit(chunk_seconds)).cast("long")
-    # "key", or no natural width for this type: one chunk per key (NULL ordering values,
-    # which sort first, get their own); hot keys are then cut by sampled
-    # bounds of the ordering (see _split_hot_chunks).  Written as a CASE so
-    # the optimizer cannot fold it into a literal and drop it from the keys.
-    return F.when(col.isNotNull(), F.lit(0).cast("long"))
-
-
-def _sample_rate(skew_rows: int, thin: int = 1) -> tuple[int, int, int]:
-    """(hash modulus, hash cut, expected samples in ``skew_rows`` rows) of the hot-group
-    sample; ``thin`` divides the rate (used to bound the sample of a very hot key)."""
-    modulus = 1 << 31
-    rate = min(1.0, _SAMPLES_PER_SPLIT / skew_rows) / thin
-    return modulus, max(1, int(modulus * rate)), max(1, round(rate * skew_rows))
-
-
-def _hot_key_samples(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, skew_rows: int) -> int:
-    """Sampled rows that fall in keys estimated to hold more than ``skew_rows`` rows.
-
-    One small job: a deterministic hash sample of ``_SAMPLES_PER_SPLIT`` rows
-    per ``skew_rows`` rows, counted per key (map-side partial counts); one
-    row comes back to the driver.  It is 0 when no key is hot.  The split
-    samples hot keys at the same rate and keeps one bound per
-    ``_SAMPLES_PER_SPLIT`` samples, so this count over-estimates the number
-    of bounds about that many times over: a conservative size for their
-    broadcast.
-    """
-    return _hot_key_stats(df, keys, order, value, skew_rows)[0]
-
-
-def _hot_key_stats(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, skew_rows: int
-) -> tuple[int, int]:
-    """(sampled rows in hot keys, sampled rows of the hottest key), from one job."""
-    modulus, cut, per_split = _sample_rate(skew_rows)
-    hashed = F.xxhash64(*keys, *order, *([value] if value not in order else []))
-    sampled = df.filter(F.pmod(hashed, F.lit(modulus)) < F.lit(cut))
-    hot = sampled.groupBy(*keys).count().filter(F.col("count") > per_split)
-    total, top = hot.agg(F.sum("count"), F.max("count")).first()
-    return int(total or 0), int(top or 0)
-
-
-def _has_hot_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, skew_rows: int) -> bool:
-    return _hot_key_samples(df, keys, order, value, skew_rows) > 0
-
-
-def _tuple_bytes(df: DataFrame, cols: Sequence[str]) -> int:
-    """Rough size of one row of ``cols``: fixed-width values at their width,
-    strings and other variable-width values at 32 bytes, plus per-field overhead."""
-    def width(t: T.DataType) -> int:
-        if isinstance(t, (T.ByteType, T.BooleanType)):
-            return 1
-        if isinstance(t, T.ShortType):
-            return 2
-        if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-            return 4
-        if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-            return 8
-        if isinstance(t, T.DecimalType):
-            return 8 if t.precision <= 18 else 16
-        return 32
-
-    return 16 + sum(width(df.schema[c].dataType) + 8 for c in cols)
-
-
-def _resolve_chunk(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, chunk, chunk_seconds: int, skew_rows: int | None
-) -> tuple[Column | None, bool, int]:
-    """Chunk expression for the window (None: single window), whether the
-    sub-chunk bounds may be broadcast, and how much to thin the split's sample.
-
-    ``"auto"`` looks at a sample first: with no hot key the single window is
-    the cheapest plan (one exchange, one pass) and no task gets more than
-    about ``skew_rows`` rows of one key; otherwise the rows are chunked by
-    time (``"time"``) and oversized chunks are cut further.  The sample also
-    sizes the bounds table, so its broadcast is checked against
-    ``DEFAULT_MAX_BROADCAST_BYTES``; above that the bounds join is a shuffle
-    join whose hot side AQE's skew-join handling splits.  The explicit modes
-    rely on the structural bound (one tuple per ``skew_rows`` rows).  The
-    hottest key's sample count sets ``thin``: the split samples that much
-    more sparsely, so no chunk's sample list exceeds ``_MAX_SPLITS *
-    _SAMPLES_PER_SPLIT`` tuples however large the key is.
+def hottest_key(df: DataFrame, keys: Sequence[str]) -> int:
+    """Exact row count of the key with most rows (partial counts in every task)."""
+    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return int(top or 0)
+
+
+def stage_pieces(
+    stored: DataFrame, keys: Sequence[str], order: Sequence[str], path: str, piece_rows: int = DEFAULT_PIECE_ROWS
+) -> DataFrame:
+    """Store ``stored`` at ``path`` in contiguous pieces along ``(keys, order)``.
+
+    ``stored`` should be a stored table: it is counted, sampled for the range
+    bounds and read once more.  There are ``rows / piece_rows`` pieces,
+    numbered in :data:`PIECE`.  The sample per piece shrinks as pieces grow in
+    number, so the driver never holds more than about ``_SAMPLED_TUPLES``
+    ordering tuples; a coarse sample makes pieces less even, never wrong.
     """
-    broadcast_ok, thin = True, 1
-    if isinstance(chunk, str) and chunk == "auto":
-        if skew_rows is not None:
-            samples, top = _hot_key_stats(df, keys, order, value, skew_rows)
-            if samples == 0:
-                return None, broadcast_ok, thin
-            thin = max(1, -(-top // (_MAX_SPLITS * _SAMPLES_PER_SPLIT)))
-            broadcast_ok = samples * _tuple_bytes(df, [*keys, *order]) <= DEFAULT_MAX_BROADCAST_BYTES
-        chunk = "time"
-    return _chunk_expr(df, order[0], chunk, chunk_seconds), broadcast_ok, thin
+    spark = stored.sparkSession
+    pieces = max(1, -(-stored.count() // piece_rows))
+    saved = spark.conf.get(_SAMPLE_CONF)
+    spark.conf.set(_SAMPLE_CONF, str(max(1, min(int(saved), _SAMPLED_TUPLES // pieces))))
+    try:
+        cut = stored.repartitionByRange(pieces, *keys, *order).withColumn(PIECE, F.spark_partition_id().cast("long"))
+        cut.write.parquet(path)
+    finally:
+        spark.conf.set(_SAMPLE_CONF, saved)
+    return spark.read.parquet(path)
 
 
-_LOWEST_CHUNK = -(2**63)  # NULL ordering values sort first, so their chunk does too
+_LOWEST_CHUNK = -(2**63)  # a NULL chunk number sorts first
 
 
 def _partition_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
@@ -193,9 +84,7 @@ def _partition_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list
     for i, k in enumerate(keys):
         field = df.schema[k]
         dtype = field.dataType
-        if not field.nullable:
-            out_cols.append(k)
-            continue
+        zero = None
         if isinstance(dtype, T.StringType):
             zero = F.lit("")
         elif isinstance(dtype, T.NumericType):
@@ -204,9 +93,7 @@ def _partition_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list
             zero = F.lit(False)
         elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             zero = F.lit("1970-01-01").cast(dtype)
-        else:
-            zero = None
-        if zero is None:  # no default for this type: keep the column, NULLs join NULL-safely below
+        if not field.nullable or zero is None:  # no default for this type: NULLs join NULL-safely below
             out_cols.append(k)
             continue
         kz, kn = f"__kz{i}", f"__kn{i}"
@@ -216,80 +103,8 @@ def _partition_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list
     return df, out_cols, added
 
 
-def _split_hot_chunks(
-    d: DataFrame,
-    part: Sequence[str],
-    order: Sequence[str],
-    skew_rows: int | None,
-    extra: Sequence[str] = (),
-    broadcast_ok: bool = True,
-    thin: int = 1,
-) -> tuple[DataFrame, list[str]]:
-    """Cut chunks holding more than ``skew_rows`` rows into contiguous sub-chunks.
-
-    A deterministic hash sample keeps about ``_SAMPLES_PER_SPLIT`` rows per
-    ``skew_rows`` input rows (hashing the keys, chunk, ordering and ``extra``
-    columns, so a task re-run picks the same rows).  Grouped by
-    ``(keys, chunk)``, the sample estimates each chunk's size; for every chunk
-    estimated above ``skew_rows`` the sorted sampled ordering tuples give
-    ``ceil(rows / skew_rows)`` sub-chunks (at most ``_MAX_SPLITS``), cut
-    into equal runs of the sorted sample.  A row's sub-chunk is the number of
-    bounds at or below its ordering tuple (binary search), so sub-chunks never decrease along
-    the ordering and results are exact whatever the sample looks like; the
-    sample only decides how even the pieces are.
-
-    Size bound of the broadcast: one bound per ``_SAMPLES_PER_SPLIT`` sampled
-    rows, i.e. at most one ordering tuple per ``skew_rows`` input rows (about
-    500k tuples for 10^12 rows at the default), and no rows at all when no
-    chunk is hot.  The sample itself is ``_SAMPLES_PER_SPLIT / skew_rows`` of
-    the input and only its tiny grouped form is shuffled.  Everything stays
-    in one lazy plan: no extra job, and the big side is not shuffled for it.
-    """
-    if skew_rows is None:
-        return d, [_CH]
-    if skew_rows < 1:
-        raise ValueError("skew_rows must be >= 1")
-    key = F.struct(*[F.col(c) for c in order])
-    modulus, cut, per_split = _sample_rate(skew_rows, thin)
-    hashed = F.xxhash64(*part, _CH, *order, *[c for c in extra if c not in order])
-    sampled = F.pmod(hashed, F.lit(modulus)) < F.lit(cut)
-    smp = d.filter(sampled).groupBy(*part, _CH).agg(F.sort_array(F.collect_list(key)).alias("__smp"))
-    n = F.size("__smp")
-    splits = F.least(F.ceil(n / F.lit(per_split)), F.lit(_MAX_SPLITS))
-    # the first sample of each of `splits` equal runs of the sorted sample, bar the first run
-    starts_run = lambda x, i: (i > 0) & (F.floor(i * splits / n) > F.floor((i - 1) * splits / n))
-    bounds = smp.filter(n > per_split).select(
-        *part, _CH, F.array_distinct(F.filter("__smp", starts_run)).alias("__b")
-    )
-    joined = _join_back(d, F.broadcast(bounds) if broadcast_ok else bounds, part, [_CH])
-    return joined.withColumn(_SUB, _count_at_or_below(F.col("__b"), key)).drop("__b"), [_CH, _SUB]
-
-
-def _count_at_or_below(bounds: Column, key: Column) -> Column:
-    """Number of elements of the sorted array ``bounds`` that are <= ``key`` (0 for NULL).
-
-    A binary search written as a fold over ceil(log2(n + 1)) steps, so a row
-    of a chunk cut into n pieces costs log2(n) comparisons, not n.
-    Invariant: the answer lies in [lo, hi].
-    """
-    n = F.size(bounds)
-    steps = F.sequence(F.lit(1), F.greatest(F.ceil(F.log2(n + 1)).cast("int"), F.lit(1)))
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.shiftright(lo + hi + 1, 1)
-        up = F.struct(mid.alias("lo"), hi.alias("hi"))
-        down = F.struct(lo.alias("lo"), (mid - 1).alias("hi"))
-        return F.when(lo >= hi, acc).when(F.get(bounds, mid - 1) <= key, up).otherwise(down)
-
-    start = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
-    found = F.aggregate(steps, start, step, lambda acc: acc["lo"])
-    return F.when(bounds.isNull(), F.lit(0)).otherwise(found).cast("long")
-
-
-def _join_back(big: DataFrame, small: DataFrame, part: Sequence[str], chunks: Sequence[str]) -> DataFrame:
-    """LEFT join the per-chunk summary onto the rows on (partition keys, chunk columns)."""
-    on = [*part, *chunks]
+def _join_back(big: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
+    """LEFT join the per-chunk summary onto the rows on (partition keys, chunk)."""
     renamed = small.select(*[F.col(c).alias(f"__s{c}") for c in on], *[c for c in small.columns if c not in on])
     cond = None
     for c in on:
@@ -298,45 +113,50 @@ def _join_back(big: DataFrame, small: DataFrame, part: Sequence[str], chunks: Se
     return big.join(renamed, cond, "left").drop(*[f"__s{c}" for c in on])
 
 
+def _chunked(df: DataFrame, keys: Sequence[str], chunk: str | Column) -> tuple[DataFrame, list[str], list[str]]:
+    ch = F.col(chunk) if isinstance(chunk, str) else chunk
+    return _partition_keys(df.withColumn(_CH, F.coalesce(ch.cast("long"), F.lit(_LOWEST_CHUNK))), keys)
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
     out: str = "cumulative_sales",
-    exact_scale: int | None = 2,
-    chunk: str | Column | None = "auto",
-    chunk_seconds: int = 86400,
-    skew_rows: int | None = DEFAULT_SKEW_ROWS,
+    exact_scale: int | None = None,
+    chunk: str | Column | None = None,
 ) -> DataFrame:
     """``sum(value)`` over ROWS UNBOUNDED PRECEDING .. CURRENT ROW per ``keys``.
 
-    With ``exact_scale`` the sum runs on ``decimal(18, exact_scale)`` and is
-    returned as ``double``, so it does not depend on evaluation order.
-    Chunks with more than ``skew_rows`` rows are split (``None``: never).
+    A plain sum by default; with ``exact_scale`` amounts on a decimal grid are
+    summed as decimals, so the result does not depend on evaluation order.
     """
     keys, order = list(keys), list(order)
-    v = money(value, exact_scale) if exact_scale is not None else F.col(value)
-    cast_out = (lambda c: c.cast("double")) if exact_scale is not None else (lambda c: c)
-    ch, broadcast_ok, thin = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
-    if ch is None:
+
+    def total(col: Column, over=None, precision: int = 18) -> Column:
+        if exact_scale is not None:
+            return exact_sum(col, exact_scale, over, precision)
+        return F.sum(col) if over is None else F.sum(col).over(over)
+
+    if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out, cast_out(F.sum(v).over(w)))
+        return df.withColumn(out, total(F.col(value), w))
 
-    d, part, added = _partition_keys(df.withColumn(_CH, F.coalesce(ch, F.lit(_LOWEST_CHUNK))), keys)
-    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value], broadcast_ok, thin)
-    local_w = Window.partitionBy(*part, *chunks).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = d.withColumn("__local", F.sum(v).over(local_w))
+    d, part, added = _chunked(df, keys, chunk)
+    local_w = Window.partitionBy(*part, _CH).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = d.withColumn("__local", total(F.col(value), local_w))
     # Per-chunk totals come from a pruned, partially aggregated pass over the
     # input; the offset of a chunk is the sum of all earlier chunks of its key.
-    totals = d.groupBy(*part, *chunks).agg(F.sum(v).alias("__tot"))
-    before = Window.partitionBy(*part).orderBy(*chunks).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*part, *chunks, F.sum("__tot").over(before).alias("__off"))
-    joined = _join_back(local, offsets, part, chunks)
-    total = F.when(
-        F.col("__local").isNull() & F.col("__off").isNull(), F.lit(None)
-    ).otherwise(F.coalesce(F.col("__local"), F.lit(0)) + F.coalesce(F.col("__off"), F.lit(0)))
-    return joined.withColumn(out, cast_out(total)).drop("__local", "__off", *chunks, *added)
+    totals = d.groupBy(*part, _CH).agg(total(F.col(value)).alias("__tot"))
+    before = Window.partitionBy(*part).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*part, _CH, total(F.col("__tot"), before, 38).alias("__off"))
+    joined = _join_back(local, offsets, [*part, _CH])
+    both = F.when(F.col("__local").isNull(), F.col("__off")).when(F.col("__off").isNull(), F.col("__local"))
+    both = both.otherwise(F.col("__local") + F.col("__off"))
+    if exact_scale is not None:  # the two parts lie on the grid; so must their sum
+        both = F.when(F.abs(both) < F.lit(float("inf")), F.round(both, exact_scale)).otherwise(both)
+    return joined.withColumn(out, both).drop("__local", "__off", _CH, *added)
 
 
 def rolling_mean(
@@ -346,15 +166,12 @@ def rolling_mean(
     value: str,
     out: str = "rolling_avg",
     rows: int = 3,
-    chunk: str | Column | None = "auto",
-    chunk_seconds: int = 86400,
-    skew_rows: int | None = DEFAULT_SKEW_ROWS,
+    chunk: str | Column | None = None,
 ) -> DataFrame:
     """``avg(value)`` over ROWS BETWEEN ``rows - 1`` PRECEDING AND CURRENT ROW.
 
     Partial frames average what exists; NULL values are skipped like ``avg``.
-    Result is ``double``.  Chunks with more than ``skew_rows`` rows are split
-    (``None``: never).
+    Result is ``double``.
     """
     if rows < 1:
         raise ValueError("rows must be >= 1")
@@ -362,14 +179,12 @@ def rolling_mean(
     back = rows - 1
     if back == 0:  # a one-row frame is the row itself: no window, no shuffle
         return df.withColumn(out, F.col(value).cast("double"))
-    ch, broadcast_ok, thin = _resolve_chunk(df, keys, order, value, chunk, chunk_seconds, skew_rows)
-    if ch is None:
+    if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-back, Window.currentRow)
         return df.withColumn(out, F.avg(F.col(value).cast("double")).over(w))
 
-    d, part, added = _partition_keys(df.withColumn(_CH, F.coalesce(ch, F.lit(_LOWEST_CHUNK))), keys)
-    d, chunks = _split_hot_chunks(d, part, order, skew_rows, [value], broadcast_ok, thin)
-    w = Window.partitionBy(*part, *chunks).orderBy(*order)
+    d, part, added = _chunked(df, keys, chunk)
+    w = Window.partitionBy(*part, _CH).orderBy(*order)
     frame = w.rowsBetween(-back, Window.currentRow)
     local = d.withColumns(
         {
@@ -383,25 +198,24 @@ def rolling_mean(
     # come straight from the input: a row_number limit lets Spark keep only
     # `back` rows per chunk in each map task (partial WindowGroupLimit), so
     # this branch shuffles a few rows per chunk, not the table.
-    last_w = Window.partitionBy(*part, *chunks).orderBy(*[F.col(c).desc_nulls_last() for c in order])  # reverse of ASC NULLS FIRST
+    last_w = Window.partitionBy(*part, _CH).orderBy(*[F.col(c).desc_nulls_last() for c in order])
     tail = (
-        d.select(*part, *chunks, *order, value)
+        d.select(*part, _CH, *order, value)
         .withColumn("__rd", F.row_number().over(last_w))
         .filter(F.col("__rd") <= back)
         .drop("__rd")
     )
-    tw = Window.partitionBy(*part).orderBy(*chunks, *order)
+    tw = Window.partitionBy(*part).orderBy(_CH, *order)
     lags = {f"__p{j}": F.lag(F.col(value), j).over(tw) for j in range(1, back + 1)}
     # the first tail row of a chunk is the one whose predecessor lies in another chunk
-    this_chunk = F.struct(*chunks)
-    prev_chunk = F.lag(this_chunk, 1).over(tw)
+    prev_chunk = F.lag(_CH, 1).over(tw)
     carry = (
         tail.withColumns(lags)
-        .withColumn("__first", prev_chunk.isNull() | (prev_chunk != this_chunk))
+        .withColumn("__first", prev_chunk.isNull() | (prev_chunk != F.col(_CH)))
         .filter(F.col("__first"))
-        .select(*part, *chunks, *lags.keys())
+        .select(*part, _CH, *lags.keys())
     )
-    joined = _join_back(local, carry, part, chunks)
+    joined = _join_back(local, carry, [*part, _CH])
 
     extra_s = F.lit(0)
     extra_n = F.lit(0)
@@ -413,4 +227,4 @@ def rolling_mean(
     total_s = F.coalesce(F.col("__s"), F.lit(0)) + extra_s
     total_n = F.col("__n") + extra_n
     mean = F.when(total_n > 0, total_s.cast("double") / total_n.cast("double"))
-    return joined.withColumn(out, mean).drop("__rn", "__s", "__n", *chunks, *lags.keys(), *added)
+    return joined.withColumn(out, mean).drop("__rn", "__s", "__n", _CH, *lags.keys(), *added)

@@ -1,15 +1,16 @@
 """A reusable load -> named steps -> save object.
 
-Row counts per step are taken with ``DataFrame.observe`` so they are filled
-by the job that finally writes (or otherwise consumes) the result; no step
-triggers a counting job of its own and nothing is re-read per step.
+Row counts per step come from complete passes over the steps' frames, run
+when they are asked for: a count observed inside the final job would stop
+short wherever a later step (a limit, a join with nothing) stops reading.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.sources.csv import read_csv
@@ -18,13 +19,13 @@ Step = tuple[str, Callable[[DataFrame], DataFrame]]
 
 
 class Flow:
-    """Session + raw-file root + layer store, with observed step counts."""
+    """Session + raw-file root + layer store, with step counts."""
 
     def __init__(self, spark: SparkSession, raw_root: str, store):
         self.spark = spark
         self.raw_root = raw_root.rstrip("/")
         self.store = store
-        self._observed: list[tuple[str, Observation]] = []
+        self._frames: list[tuple[str, DataFrame]] = []
 
     def read_csv(self, file_name: str, infer_schema: bool = True, header: bool = True, schema=None, **options) -> DataFrame:
         """CSV below the raw root; a missing file raises ``FileNotFoundError``."""
@@ -32,28 +33,31 @@ class Flow:
             self.spark, f"{self.raw_root}/{file_name}", schema=schema, infer=infer_schema, header=header, **options
         )
 
-    def _observe(self, df: DataFrame, name: str) -> DataFrame:
-        obs = Observation(f"step_{len(self._observed)}")
-        self._observed.append((name, obs))
-        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
-
     def apply(self, df: DataFrame, steps: Sequence[Step], count_rows: bool = True) -> DataFrame:
-        """Apply ``(name, fn)`` steps in order.
+        """Apply ``(name, fn)`` steps in order; nothing runs.
 
-        With ``count_rows`` the input and every step's output are observed;
-        read the numbers with :meth:`counts` after an action has run.
+        With ``count_rows`` the input and every step's output are remembered
+        for :meth:`counts`.
         """
-        if count_rows:
-            df = self._observe(df, "input")
+        frames = [("input", df)]
         for name, fn in steps:
             df = fn(df)
-            if count_rows:
-                df = self._observe(df, name)
+            frames.append((name, df))
+        if count_rows:
+            self._frames += frames
         return df
 
-    def counts(self) -> dict[str, int]:
-        """Observed row counts by step name (only valid after an action)."""
-        return {name: int(obs.get.get("rows", 0)) for name, obs in self._observed}
+    def step_counts(self) -> DataFrame:
+        """``step, name, rows`` of every remembered frame, as one query."""
+        parts = [
+            df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(k).alias("step"), F.lit(name).alias("name"), "rows")
+            for k, (name, df) in enumerate(self._frames)
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    def counts(self) -> list[tuple[str, int]]:
+        """``(name, rows)`` of the input and of every step, in order; equal names keep their entries."""
+        return [(r["name"], int(r["rows"])) for r in sorted(self.step_counts().collect(), key=lambda r: r["step"])] if self._frames else []
 
     def save(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite", overwrite_schema: bool = False) -> int:
         """Write to ``<root>/<layer>/<table>`` with the given mode; returns rows written."""

@@ -12,8 +12,8 @@ the parquet tables, so the silver and gold plans run unchanged on them:
   second one for urgent, partly filled orders (so the review lookup fans a
   few orders out, as in the original data);
 * customers / sellers: customer / supplier with the nation name as state;
-* products: parts with ``p_size <= 25`` (the rest become lookup misses, like
-  uncategorised products), category = ``p_type``;
+* products: every part; category = ``p_type`` where ``p_size <= 25``, else NULL
+  (like uncategorised products);
 * category dictionary: distinct ``p_type`` with a lower-case "English" name.
 
 All of these are lazy projections; Catalyst prunes the unused columns and
@@ -30,19 +30,9 @@ from strata.operators.enrich import lookup
 TPCH_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-_RESOLVED: dict[tuple[int, str], DataFrame] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one test table.  The given tables are read-only, so the resolved
-    relation (file listing and footer schema, which costs a small job) is
-    kept per session and path instead of being inferred on every query."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _RESOLVED.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _RESOLVED[key] = spark.read.parquet(path)
-    return df
+    """Scan of one test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def freight(price: str = "l_extendedprice", tax: str = "l_tax"):
@@ -110,9 +100,9 @@ def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("c_mktsegment").alias("customer_city"),
         F.col("n_name").alias("customer_state"),
     )
-    products = t["part"].filter(F.col("p_size") <= 25).select(
+    products = t["part"].select(
         F.col("p_partkey").alias("product_id"),
-        F.col("p_type").alias("product_category_name"),
+        F.when(F.col("p_size") <= 25, F.col("p_type")).alias("product_category_name"),
         F.length("p_name").alias("product_name_lenght"),
         F.col("p_size").alias("product_weight_g"),
     )

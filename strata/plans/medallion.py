@@ -22,7 +22,7 @@ from strata.operators.reports import (
     TOP_CATEGORIES_SQL,
     run_report,
 )
-from strata.operators.windows import DEFAULT_SKEW_ROWS, rolling_mean, running_total
+from strata.operators.windows import DEFAULT_PIECE_ROWS, PIECE, hottest_key, rolling_mean, running_total, stage_pieces
 from strata.session import scratch_path
 from strata.schemas import BRONZE_TABLES, CLEAN_KEYS, CSV_OPTIONS, RAW_FILES
 from strata.sources.csv import ingest_all
@@ -42,9 +42,19 @@ RUNNING_ORDER = ("order_purchase_timestamp", "order_id", "total_price")
 ROLLING_ORDER = ("order_purchase_timestamp", "order_id")
 
 
+# Tables whose cleaning key is also the key of their next join or aggregate, and near unique in them.
+JOIN_KEYS = {
+    "customers": ["customer_id"],
+    "products": ["product_id"],
+    "sellers": ["seller_id"],
+    "payments": ["order_id"],
+    "reviews": ["order_id"],
+}
+
+
 def clean_all(bronze: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] = CLEAN_KEYS) -> dict[str, DataFrame]:
-    """D3 on every table with its key subset."""
-    return {name: clean(df, keys.get(name, [])) for name, df in bronze.items()}
+    """D3 on every table with its key subset; dimensions are hashed once for cleaning and join."""
+    return {name: clean(df, keys.get(name, []), JOIN_KEYS.get(name, ())) for name, df in bronze.items()}
 
 
 def silver_tables(
@@ -75,96 +85,80 @@ def window_input(
     )
 
 
-_STAGED_PREFIX = "gold-window-input"
-
+def stage_window_input(orders: DataFrame, items: DataFrame, **keys) -> tuple[DataFrame, str]:
+    """Write :func:`window_input` once below the shared checkpoint folder; the stored frame and its path.
 
-def stage_window_input(orders: DataFrame, items: DataFrame, **keys) -> DataFrame:
-    """Write :func:`window_input` once below the shared checkpoint folder and read it back.
-
-    Each chunked window reads its input in three branches (hot-chunk sample,
-    local window, per-chunk summary), and the two gold windows share the
-    join, so the lazy form runs the items x orders join six times; at scale
-    that is six reads of both shuffled join inputs.  Staged, the join runs
-    once and every branch scans a narrow written table; the lineage is cut
-    there too, so a lost executor re-runs at most the window stages.
+    Both gold windows read this join, and a chunked window reads its input
+    twice.  Stored, the join runs once, the hottest key can be counted
+    exactly, and a lost executor re-runs at most the window stages.
     """
     joined = window_input(orders, items, **keys)
-    path = scratch_path(joined.sparkSession, _STAGED_PREFIX)
+    path = scratch_path(joined.sparkSession, "gold-window-input")
     joined.write.parquet(path)
-    return joined.sparkSession.read.parquet(path)
+    return joined.sparkSession.read.parquet(path), path
+
+
+def stage_for_window(
+    stored: DataFrame, keys: Sequence[str], order: Sequence[str], piece_rows: int = DEFAULT_PIECE_ROWS
+) -> tuple[DataFrame, str | None, str | None]:
+    """``(frame, chunk column, path)`` for a window over a stored frame.
+
+    Counts the rows of every key.  If one exceeds ``piece_rows`` the frame is
+    stored again in pieces, to be passed on with ``chunk``; else it is
+    returned as it is, with no chunk and no path.
+    """
+    if hottest_key(stored, keys) <= piece_rows:
+        return stored, None, None
+    path = scratch_path(stored.sparkSession, "gold-window-pieces")
+    return stage_pieces(stored, keys, order, path, piece_rows), PIECE, path
 
 
 def running_sales(
-    joined: DataFrame, customer_key: str = "customer_id", chunk="auto", skew_rows: int | None = DEFAULT_SKEW_ROWS
+    joined: DataFrame, customer_key: str = "customer_id", chunk=None, exact_scale: int | None = None
 ) -> DataFrame:
     """W1 over the joined window input."""
     out = running_total(
-        joined, [customer_key], RUNNING_ORDER, "total_price", "cumulative_sales", chunk=chunk, skew_rows=skew_rows
+        joined, [customer_key], RUNNING_ORDER, "total_price", "cumulative_sales", exact_scale, chunk=chunk
     )
     return out.select(customer_key, "order_id", "order_purchase_timestamp", "total_price", "cumulative_sales")
 
 
 def rolling_delivery(
-    joined: DataFrame,
-    category: str = "product_category_name",
-    rows: int = 3,
-    chunk="auto",
-    skew_rows: int | None = DEFAULT_SKEW_ROWS,
+    joined: DataFrame, category: str = "product_category_name", rows: int = 3, chunk=None
 ) -> DataFrame:
     """W2 over the joined window input."""
-    out = rolling_mean(
-        joined, [category], ROLLING_ORDER, "delivery_time_days", "rolling_avg_delivery", rows,
-        chunk=chunk, skew_rows=skew_rows,
-    )
+    out = rolling_mean(joined, [category], ROLLING_ORDER, "delivery_time_days", "rolling_avg_delivery", rows, chunk=chunk)
     return out.select(category, "order_id", "delivery_time_days", "rolling_avg_delivery")
 
 
 def cumulative_sales_per_customer(
-    orders: DataFrame,
-    items: DataFrame,
-    customer_key: str = "customer_id",
-    chunk="auto",
-    skew_rows: int | None = DEFAULT_SKEW_ROWS,
+    orders: DataFrame, items: DataFrame, customer_key: str = "customer_id", exact_scale: int | None = None
 ) -> DataFrame:
-    """W1 over items joined to their (delivered) orders."""
+    """W1 over items joined to their (delivered) orders (J7), as one lazy plan."""
     joined = items.join(orders.select("order_id", customer_key, "order_purchase_timestamp"), "order_id", "inner")
-    return running_sales(joined, customer_key, chunk, skew_rows)
+    return running_sales(joined, customer_key, exact_scale=exact_scale)
 
 
 def rolling_avg_delivery_per_category(
-    orders: DataFrame,
-    items: DataFrame,
-    category: str = "product_category_name",
-    rows: int = 3,
-    chunk="auto",
-    skew_rows: int | None = DEFAULT_SKEW_ROWS,
+    orders: DataFrame, items: DataFrame, category: str = "product_category_name", rows: int = 3
 ) -> DataFrame:
-    """W2 over items joined to their (delivered) orders."""
+    """W2 over items joined to their (delivered) orders (J8), as one lazy plan."""
     joined = items.join(
         orders.select("order_id", "delivery_time_days", "order_purchase_timestamp"), "order_id", "inner"
     )
-    return rolling_delivery(joined, category, rows, chunk, skew_rows)
-
+    return rolling_delivery(joined, category, rows)
 
-def gold_tables(orders: DataFrame, items: DataFrame, staged: bool = False) -> dict[str, DataFrame]:
-    """The five gold tables from the two silver tables.
 
-    With ``staged`` the shared window input is written once first (one job,
-    see :func:`stage_window_input`); otherwise everything stays lazy.
-    """
-    if staged:
-        joined = stage_window_input(orders, items)
-        out = {
-            "cumulative_sales_per_customer": running_sales(joined),
-            "rolling_avg_delivery_per_category": rolling_delivery(joined),
-        }
-    else:
-        out = {
-            "cumulative_sales_per_customer": cumulative_sales_per_customer(orders, items),
-            "rolling_avg_delivery_per_category": rolling_avg_delivery_per_category(orders, items),
-        }
-    out.update(kpi_tables(orders, items))
-    return out
+def gold_tables(
+    orders: DataFrame, items: DataFrame, names: Sequence[str] = GOLD_TABLES, exact_scale: int | None = None
+) -> dict[str, DataFrame]:
+    """The gold tables asked for, as lazy plans over the two silver tables."""
+    build = {
+        "cumulative_sales_per_customer": lambda: cumulative_sales_per_customer(orders, items, exact_scale=exact_scale),
+        "rolling_avg_delivery_per_category": lambda: rolling_avg_delivery_per_category(orders, items),
+    }
+    kpis = kpi_tables(orders, items, exact_scale=exact_scale) if set(names) - set(build) else {}
+    return {name: build[name]() if name in build else kpis[name] for name in names}
 
 
 def mean_delivery_time(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -174,11 +168,13 @@ def mean_delivery_time(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def report_tables(spark: SparkSession, gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The three SQL reports over gold KPI views."""
-    views = {k: gold[k] for k in ("kpi_sales_per_category", "kpi_avg_delivery_per_seller", "kpi_orders_per_state")}
+    def report(sql: str, table: str) -> DataFrame:
+        return run_report(spark, sql, {table: gold[table]})
+
     return {
-        "top_categories": run_report(spark, TOP_CATEGORIES_SQL, views),
-        "slowest_sellers": run_report(spark, SLOWEST_SELLERS_SQL),
-        "orders_by_state": run_report(spark, ORDERS_BY_STATE_SQL),
+        "top_categories": report(TOP_CATEGORIES_SQL, "kpi_sales_per_category"),
+        "slowest_sellers": report(SLOWEST_SELLERS_SQL, "kpi_avg_delivery_per_seller"),
+        "orders_by_state": report(ORDERS_BY_STATE_SQL, "kpi_orders_per_state"),
     }
 
 
@@ -195,17 +191,28 @@ def build_silver(store) -> dict[str, int]:
     return store.write_all(silver_tables(bronze), "silver")
 
 
-def build_gold(store) -> dict[str, int]:
-    """Write the five gold tables; the staged window input is removed afterwards."""
+def build_gold(store, piece_rows: int = DEFAULT_PIECE_ROWS, exact_scale: int | None = None) -> dict[str, int]:
+    """Write the five gold tables; what is stored for the windows is removed in any case."""
     orders = store.read("silver", "orders_enriched")
     items = store.read("silver", "order_items_enriched")
-    tables = gold_tables(orders, items, staged=True)
-    staged_dirs = {f.rsplit("/", 1)[0] for f in tables["cumulative_sales_per_customer"].inputFiles()}
-    counts = store.write_all(tables, "gold")
-    for folder in staged_dirs:
-        if f"/{_STAGED_PREFIX}-" in folder:  # only the staging folder, never a source table
-            delete_path(orders.sparkSession, folder)
-    return counts
+    paths: list[str | None] = []
+    try:
+        joined, path = stage_window_input(orders, items)
+        paths.append(path)
+        sales, sales_chunk, path = stage_for_window(joined, ["customer_id"], RUNNING_ORDER, piece_rows)
+        paths.append(path)
+        days, days_chunk, path = stage_for_window(joined, ["product_category_name"], ROLLING_ORDER, piece_rows)
+        paths.append(path)
+        tables = {
+            "cumulative_sales_per_customer": running_sales(sales, chunk=sales_chunk, exact_scale=exact_scale),
+            "rolling_avg_delivery_per_category": rolling_delivery(days, chunk=days_chunk),
+            **kpi_tables(orders, items, exact_scale=exact_scale),
+        }
+        return store.write_all(tables, "gold")
+    finally:
+        for path in paths:
+            if path is not None:
+                delete_path(orders.sparkSession, path.rsplit("/", 1)[0])  # with its scratch folder
 
 
 def build_reports(spark: SparkSession, store) -> dict[str, DataFrame]:

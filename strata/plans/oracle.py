@@ -41,9 +41,9 @@ b_customers AS (
          c_mktsegment AS customer_city, n_name AS customer_state
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
 b_products AS (
-  SELECT p_partkey AS product_id, p_type AS product_category_name,
+  SELECT p_partkey AS product_id, CASE WHEN p_size <= 25 THEN p_type END AS product_category_name,
          CAST(length(p_name) AS INTEGER) AS product_name_lenght, p_size AS product_weight_g
-  FROM part WHERE p_size <= 25),
+  FROM part),
 b_sellers AS (
   SELECT s_suppkey AS seller_id, s_nationkey AS seller_zip_code_prefix, s_name AS seller_city,
          n_name AS seller_state
@@ -97,6 +97,7 @@ kpi_avg_delivery_per_seller AS (
   FROM seller_days GROUP BY seller_id),
 kpi_orders_per_state AS (
   SELECT customer_state, count(DISTINCT order_id) AS order_count FROM orders_enriched GROUP BY customer_state),
+c_lines AS (SELECT DISTINCT * FROM lineitem WHERE l_orderkey IS NOT NULL),
 gold_join AS (
   SELECT i.*, o.customer_id, o.order_purchase_timestamp, o.delivery_time_days
   FROM items_enriched i
@@ -104,6 +105,11 @@ gold_join AS (
     ON i.order_id = o.order_id)
 """
 
+_CSV_TABLES = """
+        SELECT 'orders' AS table_name, count(*) AS row_count, round(sum(o_totalprice), 1) AS checksum FROM orders
+        UNION ALL SELECT 'lineitem', count(*), round(sum(l_extendedprice), 1) FROM lineitem
+        UNION ALL SELECT 'part', count(*), CAST(sum(p_size) AS DOUBLE) FROM part"""
+
 _FINAL = {
     "category_sales": "SELECT * FROM kpi_sales_per_category",
     "gold_build": "SELECT * FROM kpi_sales_per_category",
@@ -183,6 +189,38 @@ _FINAL = {
         UNION ALL SELECT 'kpi_avg_delivery_per_seller', count(*) FROM kpi_avg_delivery_per_seller
         UNION ALL SELECT 'kpi_orders_per_state', count(*) FROM kpi_orders_per_state""",
     "bronze_incremental": "SELECT * FROM lineitem",
+    "gold_stage": """
+        SELECT 'cumulative_sales_per_customer' AS table_name, count(*) AS row_count, round(sum(w), 1) AS checksum FROM (
+          SELECT CAST(sum(CAST(total_price AS DECIMAL(18,2))) OVER (
+                   PARTITION BY customer_id ORDER BY order_purchase_timestamp, order_id, total_price
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS w FROM gold_join)
+        UNION ALL SELECT 'rolling_avg_delivery_per_category', count(*), round(sum(w), 1) FROM (
+          SELECT avg(delivery_time_days) OVER (
+                   PARTITION BY product_category_name ORDER BY order_purchase_timestamp, order_id
+                   ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS w FROM gold_join)
+        UNION ALL SELECT 'kpi_sales_per_category', count(*), round(sum(total_sales), 1) FROM kpi_sales_per_category
+        UNION ALL SELECT 'kpi_avg_delivery_per_seller', count(*), round(sum(avg_delivery_time), 1) FROM kpi_avg_delivery_per_seller
+        UNION ALL SELECT 'kpi_orders_per_state', count(*), CAST(sum(order_count) AS DOUBLE) FROM kpi_orders_per_state""",
+    "hot_key_running_quantity": """
+        SELECT l_linestatus, l_orderkey, l_linenumber,
+               CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) OVER (
+                 PARTITION BY l_linestatus ORDER BY l_shipdate, l_orderkey, l_linenumber, l_quantity
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_quantity
+        FROM lineitem""",
+    "flag_tax_share_exact": """
+        SELECT l_returnflag, CAST(sum(CAST(l_extendedprice * l_discount * l_tax AS DECIMAL(18,6))) AS DOUBLE) AS total
+        FROM lineitem GROUP BY l_returnflag""",
+    "flag_tax_share": """
+        SELECT l_returnflag, round(sum(l_extendedprice * l_discount * l_tax), 3) AS total
+        FROM lineitem GROUP BY l_returnflag""",
+    "csv_ingest_declared": _CSV_TABLES,
+    "csv_ingest_inferred": _CSV_TABLES,
+    "csv_flow_saved": "SELECT * FROM (SELECT DISTINCT * FROM lineitem) WHERE l_linestatus = 'F' AND l_quantity > 10",
+    "csv_flow_counts": """
+        SELECT 0 AS step, 'input' AS name, count(*) AS rows FROM lineitem
+        UNION ALL SELECT 1, 'drop missing keys', count(*) FROM c_lines
+        UNION ALL SELECT 2, 'keep finished', count(*) FROM c_lines WHERE l_linestatus = 'F'
+        UNION ALL SELECT 3, 'keep finished', count(*) FROM c_lines WHERE l_linestatus = 'F' AND l_quantity > 10""",
 }
 
 

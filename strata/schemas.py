@@ -105,7 +105,8 @@ RAW_FILES = {
 # Review text holds quoted newlines and doubled quotes.
 CSV_OPTIONS = {"olist_order_reviews_dataset": {"multi_line": True, "escape": '"'}}
 
-# Logical table -> raw table, and the null-key subset cleaned per table.
+# Fixed values (they must equal the original pipeline's): logical table -> raw
+# table, and the null-key subset cleaned per table.
 BRONZE_TABLES = {
     "orders": "olist_orders_dataset",
     "order_items": "olist_order_items_dataset",

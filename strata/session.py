@@ -10,7 +10,9 @@ create a local folder and register it.
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -98,10 +100,19 @@ def _conf_get(spark: SparkSession, key: str) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """The shared checkpoint folder.
+
+    Where ``spark.checkpoint.dir`` is unset, a single-process session
+    (``local[...]``) gets a temporary folder that goes with the process; any
+    other master raises, as its executors could not see the driver's folder.
+    """
     path = _conf_get(spark, CHECKPOINT_CONF)
     if not path:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that the driver and all executors of {master} share")
         path = tempfile.mkdtemp(prefix="strata-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set(CHECKPOINT_CONF, path)
     try:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -112,6 +123,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path below the shared checkpoint folder, deleted when the session's JVM ends.
+
+    Frames read from it are lazy, so it cannot go earlier.
+    """
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{folder}/data"

@@ -88,16 +88,35 @@ class LayerStore:
             return self.read(layer, table).schema
         except AnalysisException:
             return None
+        except Exception as exc:  # a damaged footer reaches Python as a bare JVM error
+            raise OSError(
+                f"table {self.path(layer, table)} cannot be read; overwrite it with overwrite_schema=True"
+            ) from exc
 
     # --------------------------------------------------------------- writes
     def _swap_in(self, staged: str, target: str) -> None:
-        """Replace ``target`` by the committed folder ``staged`` (same file system)."""
+        """Replace ``target`` by the committed folder ``staged`` (same file system).
+
+        The old folder is moved aside first and deleted last; it is moved back
+        if the new one cannot take its place.
+        """
         fs, t = _hadoop_fs(self.spark, target)
         _, st = _hadoop_fs(self.spark, staged)
-        if fs.exists(t) and not fs.delete(t, True):
-            raise OSError(f"could not remove {target}; new version kept at {staged}")
-        if not fs.rename(st, t):
-            raise OSError(f"could not move {staged} to {target}")
+        aside = None
+        if fs.exists(t):
+            _, aside = _hadoop_fs(self.spark, f"{staged}_old")
+            if not fs.rename(t, aside):
+                raise OSError(f"could not move {target} aside; new version kept at {staged}")
+        try:
+            moved, cause = fs.rename(st, t), None
+        except Exception as exc:
+            moved, cause = False, exc
+        if not moved:
+            if aside is not None:
+                fs.rename(aside, t)
+            raise OSError(f"could not move {staged} to {target}; the old version is back") from cause
+        if aside is not None:
+            fs.delete(aside, True)
 
     def write(
         self,
@@ -106,13 +125,13 @@ class LayerStore:
         table: str,
         mode: str = "overwrite",
         overwrite_schema: bool = False,
-        partition_by: Iterable[str] | None = None,
     ) -> int:
         """Write ``df`` to (layer, table) and return the number of rows written."""
         if mode not in _MODES:
             raise ValueError(f"mode must be one of {sorted(_MODES)}")
         target = self.path(layer, table)
-        existing = self.schema(layer, table)
+        replaces = mode == "overwrite" and overwrite_schema  # the old schema does not matter, nor need it be readable
+        existing = None if replaces else self.schema(layer, table)
         if existing is not None and mode == "ignore":
             return 0  # nothing is written, so no observation would ever arrive
         if existing is not None and mode in ("error", "errorifexists"):
@@ -123,13 +142,11 @@ class LayerStore:
                     f"schema of {target} would change; pass overwrite_schema=True to allow it"
                 )
         staged = None
-        if mode == "overwrite" and existing is not None and self.fmt != "delta":
+        if mode == "overwrite" and self.fmt != "delta" and (existing is not None or replaces and self.exists(layer, table)):
             staged = f"{self.root}/{layer}/_staging_{table}_{uuid.uuid4().hex[:12]}"
         obs = Observation(f"rows_{layer}_{table}_{uuid.uuid4().hex[:8]}")
         writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(self.fmt)
         writer = writer.mode("errorifexists" if staged else mode)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
         if self.fmt == "delta" and overwrite_schema:
             writer = writer.option("overwriteSchema", "true")
         try:

@@ -3,10 +3,10 @@
 The batch ingest rewrites a whole bronze table per run.  When raw files keep
 arriving in a folder, the same table can be fed incrementally: a file
 source with a declared schema, a file sink, and ``availableNow`` so each run
-picks up exactly the files not yet processed and then stops.  Progress and
-the sink's commit log live in a checkpoint below ``spark.checkpoint.dir``
-(shared storage on a cluster), so a run interrupted by a lost executor or
-driver resumes without duplicates.
+picks up exactly the files not yet processed and then stops.  Progress lives
+in a checkpoint inside the target table (``_checkpoint``, which readers
+skip), so it lasts as long as the table does, two tables never share one, and
+a run interrupted by a lost executor or driver resumes without duplicates.
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from strata.session import ensure_checkpoint_dir
-
 
 def ingest_incremental(
     spark: SparkSession,
@@ -36,8 +34,7 @@ def ingest_incremental(
     (e.g. ``header``, ``multiLine``, ``pathGlobFilter``).
     """
     if checkpoint is None:
-        name = target_path.rstrip("/").rsplit("/", 1)[-1]
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+        checkpoint = f"{target_path.rstrip('/')}/_checkpoint"
     reader = spark.readStream.format(source_format).schema(schema)
     for key, value in (options or {}).items():
         reader = reader.option(key, value)

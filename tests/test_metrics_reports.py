@@ -1,3 +1,7 @@
+import math
+
+import pytest
+
 from conftest import rows
 
 from strata.operators.metrics import (
@@ -14,7 +18,6 @@ from strata.operators.reports import (
     SLOWEST_SELLERS_SQL,
     TOP_CATEGORIES_SQL,
     ranked,
-    register_views,
     run_report,
     top_n,
 )
@@ -24,7 +27,7 @@ def test_total_by_keeps_null_group_and_is_exact(spark):
     df = spark.createDataFrame(
         [("a", 0.1)] * 10 + [(None, 1.5), (None, 2.25), ("b", None)], "cat string, total_price double"
     )
-    out = dict(rows(total_by(df, "cat", "total_price")))
+    out = dict(rows(total_by(df, "cat", "total_price", exact_scale=2)))
     assert out == {"a": 1.0, None: 3.75, "b": None}
 
 
@@ -82,13 +85,41 @@ def test_top_n_ties_and_nulls(spark):
 def test_sql_and_dataframe_reports_agree(spark):
     orders, items = _silver(spark)
     k = kpi_tables(orders, items)
-    register_views(k)
-    sql_top = [tuple(r) for r in run_report(spark, TOP_CATEGORIES_SQL).collect()]
+    sql_top = [tuple(r) for r in run_report(spark, TOP_CATEGORIES_SQL, k).collect()]
     df_top = [tuple(r) for r in top_n(k["kpi_sales_per_category"], "total_sales", 10,
                                       tie_break=["product_category_name"]).collect()]
     assert sql_top == df_top
-    assert [tuple(r) for r in run_report(spark, SLOWEST_SELLERS_SQL).collect()] == [("s2", 10.0), ("s1", 5.0)]
-    by_state = [tuple(r) for r in run_report(spark, ORDERS_BY_STATE_SQL).collect()]
+    assert [tuple(r) for r in run_report(spark, SLOWEST_SELLERS_SQL, k).collect()] == [("s2", 10.0), ("s1", 5.0)]
+    by_state = [tuple(r) for r in run_report(spark, ORDERS_BY_STATE_SQL, k).collect()]
     assert by_state == [("SP", 2), (None, 1), ("RJ", 1)]
-    plan = run_report(spark, TOP_CATEGORIES_SQL)._jdf.queryExecution().executedPlan().toString()
+    plan = run_report(spark, TOP_CATEGORIES_SQL, k)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_total_by_is_a_plain_sum_by_default(spark):
+    rows = [("a", 0.004)] * 1000 + [("n", float("nan")), ("n", float("nan")), ("big", 3e17), ("big", 3e17)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r["total_sales"] for r in total_by(df, "k", "v").collect()}
+    assert got["a"] == pytest.approx(4.0) and math.isnan(got["n"]) and got["big"] == 6e17
+
+
+def test_exact_scale_holds_noise_and_refuses_the_rest(spark):
+    def total(values):
+        return total_by(spark.createDataFrame([("a", v) for v in values], "k string, v double"), "k", "v", exact_scale=2).first()["total_sales"]
+
+    assert total([10.1 + 0.2, 0.1 + 0.2 - 0.3, None]) == 10.3
+    assert math.isnan(total([1.0, float("nan")])) and total([1.0, float("inf")]) == float("inf")
+    assert total([None]) is None
+    for bad in (0.004, 3e17):
+        with pytest.raises(Exception, match="cannot be held"):
+            total([1.0, bad])
+
+
+def test_reports_of_two_sets_do_not_meet(spark):
+    from strata.operators.reports import run_report
+
+    a = spark.createDataFrame([("x", 1.0)], "product_category_name string, total_sales double")
+    b = spark.createDataFrame([("y", 2.0)], "product_category_name string, total_sales double")
+    text = "SELECT product_category_name FROM {kpi}"
+    first, second = run_report(spark, text, {"kpi": a}), run_report(spark, text, {"kpi": b})
+    assert first.first()[0] == "x" and second.first()[0] == "y"

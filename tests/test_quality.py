@@ -51,3 +51,19 @@ def test_clean_equals_dedupe_then_dropna(spark):
 def test_distinct_pairs(spark):
     df = dup_rows(spark)
     assert rows(distinct_pairs(df, ["a", "b"])) == [(1, "x"), (2, None), (None, "x")]
+
+
+def test_cleaning_by_join_key_costs_one_exchange(spark, tmp_root):
+    from strata.operators.enrich import total_installments
+    from strata.operators.quality import clean
+
+    spark.range(100).selectExpr("id as order_id", "id % 3 as payment_installments").write.parquet(f"{tmp_root}/p")
+    df = spark.read.parquet(f"{tmp_root}/p")
+    out = total_installments(clean(df.unionByName(df), ["order_id"], ["order_id"]))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange") == 1
+    assert out.count() == 100 and out.agg({"payment_count": "sum"}).first()[0] == sum(i % 3 for i in range(100))

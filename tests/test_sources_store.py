@@ -111,7 +111,7 @@ def test_row_counts_and_views(spark, tmp_root):
     assert dict(rows(row_counts(views))) == {"a": 3, "b": 7}
 
 
-def test_flow_counts_steps_in_the_write_job(spark, raw_dir, tmp_root):
+def test_flow_counts_every_step(spark, raw_dir, tmp_root):
     flow = Flow(spark, raw_dir, LayerStore(spark, os.path.join(tmp_root, "lake")))
     df = flow.read_csv("product_category_name_translation.csv", infer_schema=False)
     out = flow.apply(df, [
@@ -119,7 +119,7 @@ def test_flow_counts_steps_in_the_write_job(spark, raw_dir, tmp_root):
         ("only cama", lambda d: d.filter(F.col("up").startswith("CAMA"))),
     ])
     assert flow.save(out, "silver", "tr") == 1
-    assert flow.counts() == {"input": 2, "upper": 2, "only cama": 1}
+    assert flow.counts() == [("input", 2), ("upper", 2), ("only cama", 1)]
     with pytest.raises(FileNotFoundError):
         flow.read_csv("missing.csv")
 
@@ -153,3 +153,45 @@ def test_build_session_applies_defaults_and_sizing(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_reordered_header_raises_instead_of_swapping(spark, tmp_root):
+    with open(f"{tmp_root}/r.csv", "w") as f:
+        f.write("b,a\nB1,A1\n")
+    df = read_csv(spark, f"{tmp_root}/r.csv", schema="a string, b string")
+    with pytest.raises(Exception, match="(?i)header"):
+        df.collect()
+    with open(f"{tmp_root}/ok.csv", "w") as f:
+        f.write("a,b\nA1,B1\n")
+    assert read_csv(spark, f"{tmp_root}/ok.csv", schema="a string, b string").first()["a"] == "A1"
+
+
+def test_step_counts_are_complete_and_keep_equal_names(spark, tmp_root):
+    from strata.plans.flow import Flow
+
+    flow = Flow(spark, tmp_root, LayerStore(spark, f"{tmp_root}/l"))
+    out = flow.apply(spark.range(1_000_000).toDF("id"), [("f", lambda d: d.limit(5)), ("f", lambda d: d.filter("id >= 0"))])
+    flow.save(out, "silver", "t")
+    assert flow.counts() == [("input", 1_000_000), ("f", 5), ("f", 5)]
+
+
+def test_damaged_table_can_be_replaced(spark, tmp_root):
+    import os
+
+    store = LayerStore(spark, f"{tmp_root}/d")
+    os.makedirs(f"{tmp_root}/d/bronze/t")
+    with open(f"{tmp_root}/d/bronze/t/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    df = spark.range(3).toDF("id")
+    with pytest.raises(OSError, match="overwrite_schema"):
+        store.write(df, "bronze", "t")
+    assert store.write(df, "bronze", "t", overwrite_schema=True) == 3
+    assert store.read("bronze", "t").count() == 3
+
+
+def test_failed_swap_keeps_the_old_table(spark, tmp_root):
+    store = LayerStore(spark, f"{tmp_root}/s")
+    store.write(spark.range(2).toDF("id"), "bronze", "t")
+    with pytest.raises(Exception):
+        store._swap_in(f"{tmp_root}/s/bronze/missing", store.path("bronze", "t"))
+    assert store.read("bronze", "t").count() == 2

@@ -28,3 +28,20 @@ def test_incremental_ingest_processes_each_file_once(spark, tmp_root):
     out = spark.read.parquet(target)
     assert out.count() == 3
     assert out.agg(F.sum("price")).first()[0] == 7.0
+
+
+def test_two_targets_of_one_name_keep_their_own_progress(spark, tmp_root):
+    src = os.path.join(tmp_root, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write("o1,1.0\no2,2.0\n")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    targets = [os.path.join(tmp_root, lake, "bronze", "items") for lake in ("lakeA", "lakeB")]
+    for target in targets:
+        ingest_incremental(spark, src, schema, target)
+        assert spark.read.parquet(target).count() == 2
+    # progress lives with the table: another session finds it and takes only the new file
+    with open(os.path.join(src, "b.csv"), "w") as f:
+        f.write("o3,3.0\n")
+    ingest_incremental(spark.newSession(), src, schema, targets[0])
+    assert spark.read.parquet(targets[0]).count() == 3

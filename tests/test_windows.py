@@ -1,6 +1,7 @@
 """Chunked windows against the single-window form and a Python brute force."""
 
 import datetime as dt
+import uuid
 from collections import defaultdict
 
 import pytest
@@ -8,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.operators.windows import rolling_mean, running_total
+from strata.operators.windows import PIECE, hottest_key, rolling_mean, running_total, stage_pieces
 
 BASE = dt.datetime(2021, 3, 1)
 SCHEMA = "id int, k string, ts timestamp, v int"
@@ -59,58 +60,53 @@ def _data(raw):
     ]
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+def _day(name="ts"):
+    return F.unix_date(F.col(name).cast("date"))
+
+
+def _pieces(df, order, root, piece_rows):
+    return stage_pieces(df, ["k"], order, f"{root}/{uuid.uuid4().hex}", piece_rows)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(raw=rows_st)
-def test_running_total_matches_brute_force(spark, raw):
+def test_running_total_matches_brute_force(spark, tmp_root, raw):
     data = _data(raw)
     df = _frame(spark, data)
     expect = _brute(data)
-    for chunk, secs, skew in (
-        ("time", 86400, None), ("time", 3 * 3600, None), (None, 86400, None), ("time", 86400, 3), ("auto", 86400, 3),
-        ("auto", 86400, 1000),
-    ):
-        got = _collect(
-            running_total(
-                df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, chunk=chunk, chunk_seconds=secs, skew_rows=skew
-            ),
-            "run",
-        )
-        assert got == expect, (chunk, secs, skew)
+    staged = _pieces(df, ["ts", "id"], tmp_root, 4)
+    for name, frame, chunk in (("single", df, None), ("day", df, _day()), ("pieces", staged, PIECE)):
+        got = _collect(running_total(frame, ["k"], ["ts", "id"], "v", "run", chunk=chunk), "run")
+        assert got == expect, name
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(raw=rows_st, back=st.integers(0, 4))
-def test_rolling_mean_matches_brute_force(spark, raw, back):
+def test_rolling_mean_matches_brute_force(spark, tmp_root, raw, back):
     data = _data(raw)
     df = _frame(spark, data)
     expect = _brute(data, rows_back=back)
-    for chunk, secs, skew in (
-        ("time", 86400, None), ("time", 2 * 3600, None), (None, 86400, None), ("time", 86400, 2), ("auto", 86400, 2),
-    ):
-        got = _collect(
-            rolling_mean(
-                df, ["k"], ["ts", "id"], "v", "avg3", rows=back + 1, chunk=chunk, chunk_seconds=secs, skew_rows=skew
-            ),
-            "avg3",
-        )
+    staged = _pieces(df, ["ts", "id"], tmp_root, 3)
+    for name, frame, chunk in (("single", df, None), ("day", df, _day()), ("pieces", staged, PIECE)):
+        got = _collect(rolling_mean(frame, ["k"], ["ts", "id"], "v", "avg3", rows=back + 1, chunk=chunk), "avg3")
         assert got.keys() == expect.keys()
         for i in expect:
-            assert (got[i] is None and expect[i] is None) or got[i] == pytest.approx(expect[i]), (chunk, secs, skew, i)
+            assert (got[i] is None and expect[i] is None) or got[i] == pytest.approx(expect[i]), (name, i)
 
 
 def test_exact_running_money_sum(spark):
     data = [(i, "c", BASE + dt.timedelta(days=i % 3), 0.1) for i in range(30)]
     df = spark.createDataFrame(data, "id int, k string, ts timestamp, v double")
-    out = running_total(df, ["k"], ["ts", "id"], "v", "run")
-    assert dict(out.dtypes)["run"] == "double"
-    assert max(r["run"] for r in out.collect()) == 3.0  # 30 x 0.1 without binary noise
+    for chunk in (None, _day()):
+        out = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=2, chunk=chunk)
+        assert dict(out.dtypes)["run"] == "double"
+        assert max(r["run"] for r in out.collect()) == 3.0  # 30 x 0.1 without binary noise
 
 
 def test_custom_chunk_column(spark):
     data = _data([("hot", d % 7, 0, d) for d in range(40)])
     df = _frame(spark, data)
-    got = _collect(running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None,
-                                 chunk=F.dayofmonth("ts")), "run")
+    got = _collect(running_total(df, ["k"], ["ts", "id"], "v", "run", chunk=F.dayofmonth("ts")), "run")
     assert got == _brute(data)
 
 
@@ -118,8 +114,7 @@ def test_single_window_exchange_for_big_side(spark, tmp_root):
     """The large input is shuffled once: the exchange under the local window is reused."""
     path = f"{tmp_root}/w"
     _frame(spark, _data([("hot", d % 9, d % 24, d) for d in range(200)])).write.parquet(path)
-    df = spark.read.parquet(path)
-    out = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, chunk="time")
+    out = running_total(spark.read.parquet(path), ["k"], ["ts", "id"], "v", "run", chunk=_day())
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = out._jdf.queryExecution().executedPlan().toString()
@@ -130,189 +125,70 @@ def test_single_window_exchange_for_big_side(spark, tmp_root):
     window = next(i for i, line in enumerate(lines) if "Window" in line and i > join)
     # the windowed rows go straight into the carry join: no second exchange of the big side
     assert not any("Exchange" in line for line in lines[join + 1 : window])
-    # and the only exchange that carries whole rows (row id and value) is the one below the window;
-    # the sample for hot-chunk bounds carries ordering tuples of a few rows only
-    child = lambda i: lines[i + 1] if i + 1 < len(lines) else ""
-    whole = [i for i, line in enumerate(lines) if "Exchange" in line and "id#" in child(i) and "v#" in child(i)]
-    assert len(whole) == 1
-    sample = [i for i, line in enumerate(lines) if "Exchange" in line and "collect_list" in child(i)]
-    assert len(sample) == 1 and "xxhash64" in "".join(lines[sample[0] :])
-
-
-def test_hot_chunk_of_tied_rows_is_split(spark):
-    """One key, one timestamp: only the second ordering column can cut the chunk."""
-    from strata.operators import windows
-
-    data = [(i, "hot", BASE, i % 7) for i in range(400)] + [(1000 + i, "cold", BASE, 1) for i in range(5)]
-    df = _frame(spark, data)
-    d, part, _ = windows._partition_keys(df.withColumn(windows._CH, F.lit(0).cast("long")), ["k"])
-    split, chunks = windows._split_hot_chunks(d, part, ["ts", "id"], 50)
-    assert chunks == [windows._CH, windows._SUB]
-    sizes = {r["__sub"]: r["n"] for r in split.filter(F.col("k") == "hot").groupBy("__sub").agg(F.count("*").alias("n")).collect()}
-    assert len(sizes) >= 4 and max(sizes.values()) < 200  # cut into several runs
-    assert {r["__sub"] for r in split.filter(F.col("k") == "cold").collect()} == {0}
-    # runs are contiguous in the ordering
-    subs = [r["__sub"] for r in split.filter(F.col("k") == "hot").orderBy("id").collect()]
-    assert subs == sorted(subs)
-    expect = _brute(data)
-    assert _collect(running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=50), "run") == expect
-    expect3 = _brute(data, rows_back=2)
-    got3 = _collect(rolling_mean(df, ["k"], ["ts", "id"], "v", "avg3", rows=3, skew_rows=50), "avg3")
-    assert all(got3[i] == pytest.approx(expect3[i]) for i in expect3)
 
 
-def test_no_split_without_hot_chunks(spark):
-    from strata.operators import windows
+def _jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None) or [])
 
-    df = _frame(spark, _data([("a", d % 5, 0, d) for d in range(30)]))
-    d, part, _ = windows._partition_keys(df.withColumn(windows._CH, F.lit(0).cast("long")), ["k"])
-    out, chunks = windows._split_hot_chunks(d, part, ["ts", "id"], 1000)
-    assert chunks == [windows._CH, windows._SUB]
-    assert {r["__sub"] for r in out.collect()} == {0} and out.count() == 30
 
+def test_planning_starts_no_job(spark):
+    """Building window, KPI and gold plans over lazy frames runs nothing."""
+    from strata.plans import mapped, medallion
 
-def test_split_windows_on_test_tables_match_single_window(spark):
-    """Gold windows over the mapped sf0.001 tables with every chunk forced hot."""
+    bronze = mapped.bronze_tables(spark, "/root/testdata/sf0.001")
+    before = _jobs(spark)
+    silver = medallion.silver_tables(bronze)
+    tables = medallion.gold_tables(silver["orders_enriched"], silver["order_items_enriched"])
+    assert list(tables) == list(medallion.GOLD_TABLES)
+    assert list(medallion.gold_tables(silver["orders_enriched"], silver["order_items_enriched"], ["kpi_orders_per_state"])) == ["kpi_orders_per_state"]
+    assert _jobs(spark) == before
+
+
+def test_hot_key_with_few_distinct_tuples(spark, tmp_root):
+    """300,000 rows of one key with 12 distinct (day, value) tuples: found hot, cut as far as the ordering allows."""
+    df = spark.range(300_000).select(F.lit("hot").alias("k"), (F.col("id") % 12).alias("day"), F.lit(1).alias("v"))
+    assert hottest_key(df, ["k"]) == 300_000
+    staged = stage_pieces(df, ["k"], ["day"], f"{tmp_root}/few", 20_000)
+    sizes = {r[PIECE]: r["n"] for r in staged.groupBy(PIECE).agg(F.count("*").alias("n")).collect()}
+    assert len(sizes) >= 10 and max(sizes.values()) <= 50_000
+    assert staged.groupBy("day").agg(F.countDistinct(PIECE).alias("n")).agg(F.max("n")).first()[0] == 1
+    out = running_total(staged, ["k"], ["day"], "v", "run", chunk=PIECE)
+    assert out.agg(F.max("run")).first()[0] == 300_000 and out.select("run").distinct().count() == 300_000
+
+
+def test_pieces_are_even_along_the_ordering(spark, tmp_root):
+    df = spark.range(300_000).select(F.lit("hot").alias("k"), (F.col("id") % 50).alias("stamp"), "id")
+    staged = stage_pieces(df, ["k"], ["stamp", "id"], f"{tmp_root}/even", 18_750)
+    parts = staged.groupBy(PIECE).agg(F.count("*").alias("n"), F.min("stamp").alias("lo"), F.max("stamp").alias("hi")).orderBy(PIECE).collect()
+    assert len(parts) == 16 and max(p["n"] for p in parts) < 2 * 18_750
+    assert all(a["hi"] <= b["lo"] for a, b in zip(parts, parts[1:], strict=False))
+
+
+def test_pieces_on_test_tables_match_single_window(spark, tmp_root):
+    """Gold windows over the mapped sf0.001 tables, every key cut."""
     from strata.plans import mapped, medallion
 
     silver = medallion.silver_tables(mapped.bronze_tables(spark, "/root/testdata/sf0.001"))
-    orders, items = silver["orders_enriched"], silver["order_items_enriched"]
-    joined = items.join(orders.select("order_id", "customer_id", "order_purchase_timestamp", "delivery_time_days"), "order_id")
-    order = list(medallion.RUNNING_ORDER)
-    for keys, fn, kw in (
-        (["customer_id"], running_total, {"value": "total_price", "out": "w"}),
-        (["product_category_name"], rolling_mean, {"value": "delivery_time_days", "out": "w", "rows": 3}),
+    stored, _ = medallion.stage_window_input(silver["orders_enriched"], silver["order_items_enriched"])
+    for keys, order, fn, kw in (
+        (["customer_id"], medallion.RUNNING_ORDER, running_total, {"value": "total_price", "out": "w", "exact_scale": 2}),
+        (["product_category_name"], medallion.ROLLING_ORDER, rolling_mean, {"value": "delivery_time_days", "out": "w", "rows": 3}),
     ):
-        split = fn(joined, keys, order, skew_rows=2, **kw)
-        single = fn(joined, keys, order, chunk=None, **kw)
+        frame, chunk, path = medallion.stage_for_window(stored, keys, order, 20)
+        assert chunk == PIECE and path
         cols = [*keys, *order, "w"]
-        assert sorted(map(tuple, split.select(*cols).collect()), key=str) == sorted(
-            map(tuple, single.select(*cols).collect()), key=str
-        )
-
-
-
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(raw=rows_st, back=st.integers(1, 3))
-def test_numeric_ordering_is_chunked_per_key_and_split(spark, raw, back):
-    """A non-time first ordering column: one chunk per key, hot keys cut by sampled bounds."""
-    data = [(i, k, None, v) for i, (k, _, _, v) in enumerate(raw)]
-    df = _frame(spark, data).withColumn("pos", F.when(F.col("id") % 5 != 0, (F.col("id") * 7) % 11))
-    pos = {r["id"]: r["pos"] for r in df.select("id", "pos").collect()}
-    # brute force ordered by (pos NULLS FIRST, id)
-    groups = defaultdict(list)
-    for r in data:
-        groups[r[1]].append(r)
-    run, avg = {}, {}
-    for g in groups.values():
-        g.sort(key=lambda r: (pos[r[0]] is not None, pos[r[0]] or 0, r[0]))
-        for i, r in enumerate(g):
-            vals = [x[3] for x in g[: i + 1] if x[3] is not None]
-            run[r[0]] = sum(vals) if vals else None
-            win = [x[3] for x in g[max(0, i - back) : i + 1] if x[3] is not None]
-            avg[r[0]] = sum(win) / len(win) if win else None
-    for skew in (None, 2):
-        got = _collect(
-            running_total(df, ["k"], ["pos", "id"], "v", "run", exact_scale=None, chunk="time", skew_rows=skew), "run"
-        )
-        assert got == run, skew
-        got = _collect(
-            rolling_mean(df, ["k"], ["pos", "id"], "v", "avg", rows=back + 1, chunk="time", skew_rows=skew), "avg"
-        )
-        assert all((got[i] is None and avg[i] is None) or got[i] == pytest.approx(avg[i]) for i in avg), skew
-
-
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-@given(cases=st.lists(st.tuples(st.one_of(st.none(), st.lists(st.integers(0, 40), max_size=12)), st.integers(-3, 43)), min_size=1, max_size=40))
-def test_binary_search_counts_bounds_at_or_below(spark, cases):
-    from strata.operators.windows import _count_at_or_below
-
-    rows = [(i, None if b is None else sorted(set(b)), k) for i, (b, k) in enumerate(cases)]
-    df = spark.createDataFrame(rows, "i int, b array<int>, k int")
-    got = {r["i"]: r["c"] for r in df.select("i", _count_at_or_below(F.col("b"), F.col("k")).alias("c")).collect()}
-    assert got == {i: 0 if b is None else sum(x <= k for x in b) for i, b, k in rows}
-
-
-
-def test_auto_plans_single_window_without_hot_keys(spark):
-    from strata.operators import windows
-
-    df = _frame(spark, _data([(k, d % 5, d % 24, d) for d in range(60) for k in ("a", "b", "c")]))
-    assert not windows._has_hot_key(df, ["k"], ["ts", "id"], "v", 1000)
-    assert windows._has_hot_key(df, ["k"], ["ts", "id"], "v", 20)
-    cold = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=1000)
-    hot = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=20)
-    assert "__chunk" not in cold._jdf.queryExecution().analyzed().toString()
-    assert "__chunk" in hot._jdf.queryExecution().analyzed().toString()
-    assert _collect(cold, "run") == _collect(hot, "run") == _brute(_data([(k, d % 5, d % 24, d) for d in range(60) for k in ("a", "b", "c")]))
-
-
-
-def test_bounds_join_without_broadcast_is_exact(spark):
-    """When the sampled bound count is too large to broadcast, the split joins by shuffle."""
-    from strata.operators import windows
-
-    data = [(i, "hot", BASE, i % 5) for i in range(300)]
-    df = _frame(spark, data)
-    d, part, _ = windows._partition_keys(df.withColumn(windows._CH, F.lit(0).cast("long")), ["k"])
-    out, chunks = windows._split_hot_chunks(d, part, ["ts", "id"], 40, ["v"], broadcast_ok=False)
-    assert chunks == [windows._CH, windows._SUB]
-    assert "BroadcastExchange" not in out._jdf.queryExecution().sparkPlan().toString()
-    subs = [r["__sub"] for r in out.orderBy("id").collect()]
-    assert subs == sorted(subs) and len(set(subs)) >= 4
-    assert windows._hot_key_samples(df, ["k"], ["ts", "id"], "v", 40) > 0
-
-
-def test_auto_skips_bounds_broadcast_over_the_size_limit(spark, monkeypatch):
-    from strata.operators import windows
-
-    data = [(i, "hot" if i % 4 else "cold", BASE + dt.timedelta(hours=i % 3), i % 9) for i in range(240)]
-    df = _frame(spark, data)
-
-    def broadcasts(frame):
-        return frame._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin")
-
-    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only explicit hints broadcast
-    try:
-        hinted = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=30)
-        assert broadcasts(hinted) >= 1
-        monkeypatch.setattr(windows, "DEFAULT_MAX_BROADCAST_BYTES", 0)
-        out = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=30)
-        assert "__b" in out._jdf.queryExecution().sparkPlan().toString() and broadcasts(out) == 0
-        assert _collect(out, "run") == _brute(data)
-        got = _collect(rolling_mean(df, ["k"], ["ts", "id"], "v", "avg", rows=3, skew_rows=30), "avg")
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
-    expect = _brute(data, rows_back=2)
-    assert all(got[i] == pytest.approx(expect[i]) for i in expect)
-
-
-
-def test_very_hot_key_thins_the_split_sample(spark, monkeypatch):
-    """The hottest key's sample count thins the split's sample; pieces stay within the cap."""
-    from strata.operators import windows
-
-    monkeypatch.setattr(windows, "_MAX_SPLITS", 3)  # cap: 3 pieces per chunk, 96 samples per key
-    data = [(i, "hot", BASE, i % 11) for i in range(600)] + [(1000 + i, "cold", BASE, 2) for i in range(4)]
-    df = _frame(spark, data)
-    ch, _, thin = windows._resolve_chunk(df, ["k"], ["ts", "id"], "v", "auto", 86400, 1)
-    assert ch is not None and thin == 7  # 600 sampled rows / 96
-    d, part, _ = windows._partition_keys(df.withColumn(windows._CH, F.coalesce(ch, F.lit(0))), ["k"])
-    split, _ = windows._split_hot_chunks(d, part, ["ts", "id"], 1, ["v"], True, thin)
-    subs = [r["__sub"] for r in split.filter(F.col("k") == "hot").orderBy("id").collect()]
-    assert subs == sorted(subs) and len(set(subs)) == 3
-    assert _collect(running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None, skew_rows=1), "run") == _brute(data)
+        cut, single = fn(frame, keys, order, chunk=chunk, **kw), fn(stored, keys, order, **kw)
+        assert sorted(map(tuple, cut.select(*cols).collect()), key=str) == sorted(map(tuple, single.select(*cols).collect()), key=str)
 
 
 @pytest.mark.parametrize("op", ["running", "rolling"])
-def test_auto_window_without_hot_keys_is_one_exchange(spark, tmp_root, op):
-    """The common case at any scale: one hash exchange on the key, then the window."""
+def test_default_window_is_one_exchange(spark, tmp_root, op):
+    """One hash exchange on the key, then the window."""
     path = f"{tmp_root}/even"
     _frame(spark, _data([(k, d % 9, d % 24, d) for d in range(100) for k in "abcdefgh"])).write.parquet(path)
     df = spark.read.parquet(path)
     if op == "running":
-        out = running_total(df, ["k"], ["ts", "id"], "v", "run", exact_scale=None)
+        out = running_total(df, ["k"], ["ts", "id"], "v", "run")
     else:
         out = rolling_mean(df, ["k"], ["ts", "id"], "v", "avg", rows=3)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
