@@ -17,7 +17,7 @@ from strata.operators.enrich import lookup, total_installments
 from strata.operators.metrics import distinct_count_by, kpi_tables, mean_delivery_by_seller, total_by
 from strata.operators.quality import clean, dedupe, distinct_pairs
 from strata.operators.reports import top_n
-from strata.operators.windows import running_total
+from strata.operators.windows import DEFAULT_PIECE_ROWS, running_total
 from strata.plans import medallion
 from strata.plans.flow import Flow
 from strata.plans.mapped import bronze_tables, load
@@ -210,13 +210,13 @@ def self_overwrite(spark, sf):
     return store.read("bronze", "customer")
 
 
-def _layers(spark, sf) -> LayerStore:
+def _layers(spark, sf, piece_rows: int = DEFAULT_PIECE_ROWS) -> LayerStore:
     """Bronze written from the mapped tables under the raw names, then silver and gold by the stage drivers."""
     store = LayerStore(spark, scratch_path(spark, "medallion"))
     bronze = bronze_tables(spark, sf)
     store.write_all({BRONZE_TABLES[name]: df for name, df in bronze.items()}, "bronze")
     medallion.build_silver(store)
-    medallion.build_gold(store, piece_rows=500, exact_scale=CENTS)
+    medallion.build_gold(store, piece_rows=piece_rows, exact_scale=CENTS)
     return store
 
 
@@ -236,8 +236,8 @@ GOLD_CHECKS = {
 
 
 def gold_stage(spark, sf):
-    """The whole gold stage: (table, rows, checksum) of the five written tables."""
-    tables = _layers(spark, sf).read_all("gold", medallion.GOLD_TABLES)
+    """The whole gold stage, hot categories cut: (table, rows, checksum) of the five written tables."""
+    tables = _layers(spark, sf, piece_rows=5000).read_all("gold", medallion.GOLD_TABLES)
     return _summary({name: (df, GOLD_CHECKS[name]) for name, df in tables.items()})
 
 
