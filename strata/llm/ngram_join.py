@@ -15,10 +15,15 @@ least l times; the other, long lists are only probed.
    gives star candidates: every node with one pivot.  Verified ones are
    contracted by connected components, so a large group of near copies costs
    about as many checks as it has members.
-4. DivideSkip for what is left: nodes in different components.  Each node
-   heap-merges its short lists, keeps entries met l times, and probes the
-   shingles of the long lists in the candidate's sorted array by binary
-   search, stopping when the required overlap is out of reach.
+4. DivideSkip for what is left: nodes in different components.
+   Nodes that meet in a short list of over ``DENSE`` entries are searched in
+   blocks: nodes connected by such lists, cut into chunks of bounded size,
+   every two chunks that are not of one component in a task of their own.
+   There each set merges its shorter lists by counting, keeps entries that can
+   still reach T, and probes the longer lists by binary search.
+   Elsewhere each node heap-merges its short lists, keeps entries met l times,
+   and probes the candidate's sorted set, stopping when the required overlap
+   is out of reach.
 5. Connected components of all links give the groups.
 
 Every pair of different sets that link is either found or already joined by
@@ -52,6 +57,10 @@ SHARED, SMALL = 3, 16
 #: Share of the hash range in which shingles are counted, of 16.
 COUNTED = 6
 STAR_ROUNDS = 2
+#: Short lists above this many entries are searched in blocks.
+DENSE = 32
+#: Shingles in a chunk of a block (8 bytes each).
+CHUNK_SHINGLES = 2_000_000
 #: Nodes that a task remembers in order not to send a copied set again (an economy only).
 REMEMBERED = 500_000
 
@@ -189,6 +198,105 @@ def _stars(round_: int):
     return work
 
 
+def _dense_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes of every open list of over ``DENSE`` entries, tied to the list's first."""
+    for table in key_chunks(batches, ["token"], 1 << 18):
+        token, node, n, label = (table.column(c).to_numpy() for c in ("token", "node", "n", "label"))
+        order = np.lexsort((n, token))
+        segment = _segments(token[order], n[order])
+        ends = np.flatnonzero(np.diff(segment, append=-1))
+        pairs = []
+        for rows in np.split(order, ends[:-1] + 1):
+            if len(rows) > DENSE and (label[rows] != label[rows[0]]).any():
+                ids = np.unique(node[rows])
+                pairs.append(np.stack([ids, np.full(len(ids), ids[0])], axis=1))
+        if pairs:
+            both = np.unique(np.concatenate(pairs), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+
+def _search_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """DivideSkip between the two chunks of a task (or within one)."""
+    for table in key_chunks(batches, ["task"], 1):
+        for rows in _groups(table.column("task").to_numpy()):
+            part = table.take(pa.array(rows)).combine_chunks()
+            side, node, label = (part.column(c).to_numpy() for c in ("side", "node", "label"))
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("tokens").combine_chunks()]
+            here = np.flatnonzero(side == 0)
+            ask = np.flatnonzero(side == 1)
+            alone = not len(ask)  # one chunk against itself
+            found = divide_skip([sets[k] for k in here], label[here], [sets[k] for k in (here if alone else ask)], label[here if alone else ask], alone)
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(node[here[list(a)]]), pa.array(node[(here if alone else ask)[list(b)]])], ["a", "b"])
+
+
+def _groups(key: np.ndarray) -> list[np.ndarray]:
+    order = np.argsort(key, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(key[order])) + 1)
+
+
+def divide_skip(index: list[np.ndarray], index_label: np.ndarray, queries: list[np.ndarray], query_label: np.ndarray, same: bool) -> list[tuple[int, int]]:
+    """Linked (index, query) pairs of different labels; with ``same``, each pair once."""
+    size = np.array([len(x) for x in index])
+    owner = np.repeat(np.arange(len(index)), size)
+    token = np.concatenate(index)
+    order = np.argsort(token, kind="stable")  # owners ascend within a list
+    token, owner = token[order], owner[order]
+    out = []
+    for q, mine in enumerate(queries):
+        n = len(mine)
+        least = int(needed(n))
+        start, stop = np.searchsorted(token, mine, "left"), np.searchsorted(token, mine, "right")
+        length = stop - start
+        by_length = np.argsort(length, kind="stable")
+        n_long = least // 2  # lists that are probed only
+        short, long_ = by_length[: n - n_long], by_length[n - n_long :]
+        short = short[length[short] > 0]
+        if not len(short):
+            continue
+        merged = np.concatenate([owner[start[k] : stop[k]] for k in short])
+        met = np.bincount(merged, minlength=len(index))
+        fits = (met >= least - n_long) & (index_label != query_label[q]) & (100 * size >= PERCENT * n) & (100 * n >= PERCENT * size)
+        if same:
+            fits[: q + 1] = False
+        entry = np.flatnonzero(fits)
+        met = met[entry]
+        bound = -(-(PERCENT * (n + size[entry])) // (100 + PERCENT))  # overlap that the pair needs
+        for done, k in enumerate(long_):
+            if not len(entry):
+                break
+            if length[k]:
+                place = start[k] + np.searchsorted(owner[start[k] : stop[k]], entry)
+                met = met + ((place < stop[k]) & (owner[np.minimum(place, len(owner) - 1)] == entry))
+            if done % 8 == 7:
+                keep = met + (n_long - done - 1) >= bound
+                entry, met, bound = entry[keep], met[keep], bound[keep]
+        out += [(int(e), q) for e in entry[met >= bound]]
+    return out
+
+
+def _block_links(marked: DataFrame, sets: DataFrame, store: Store, n: int) -> DataFrame:
+    """Links between nodes that meet in a dense list."""
+    blocks = connected_components(store(marked.mapInArrow(_dense_stars, "a long, b long"), "dense_stars"), store)
+    rows = blocks.select("node", F.col("label").alias("block")).join(marked.select("node", "n", "label").distinct(), "node")
+    # chunks of bounded size in the order of components; no set is moved for this
+    ahead = Window.partitionBy("block").orderBy("label", "node").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("chunk", F.floor(F.coalesce(F.sum("n").over(ahead), F.lit(0)) / CHUNK_SHINGLES).cast("int"))
+    rows = store(rows, "block_chunks")
+    chunks = rows.groupBy("block", "chunk").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    left, right = chunks.alias("l"), chunks.alias("r")
+    one = (F.col("l.lo") == F.col("l.hi")) & (F.col("r.lo") == F.col("r.hi")) & (F.col("l.lo") == F.col("r.lo"))
+    tasks = left.join(right, (F.col("l.block") == F.col("r.block")) & (F.col("l.chunk") <= F.col("r.chunk")) & ~one).select(
+        F.col("l.block").alias("block"), F.col("l.chunk").alias("i"), F.col("r.chunk").alias("j"), F.xxhash64("l.block", "l.chunk", "r.chunk").alias("task")
+    )
+    sides = tasks.select("block", F.col("i").alias("chunk"), "task", F.lit(0).alias("side")).unionByName(
+        tasks.filter("i < j").select("block", F.col("j").alias("chunk"), "task", F.lit(1).alias("side"))
+    )
+    dealt = rows.join(sides, ["block", "chunk"]).join(sets, "node").select("task", "side", "node", "label", "tokens")
+    return dealt.repartition(n, "task").sortWithinPartitions("task", "side", "node").mapInArrow(_search_chunks, "a long, b long")
+
+
 def _lists_by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Short lists dealt to the nodes that still have to search: ``query, entries``.
 
@@ -200,6 +308,8 @@ def _lists_by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         order = np.lexsort((n, token))
         segment = _segments(token[order], n[order])
         for rows in np.split(order, np.flatnonzero(np.diff(segment)) + 1):
+            if len(rows) > DENSE:
+                continue  # searched in blocks
             names, kin, count = np.unique(label[rows], return_inverse=True, return_counts=True)
             if len(names) < 2:
                 continue
@@ -290,7 +400,9 @@ def find_links(docs: DataFrame, nodes: DataFrame, store: Store) -> DataFrame:
         found = store(_verified(stars, sets), "star_links")
         links = found if links is None else links.unionByName(found)
         labels = connected_components(links, store)
-    entries = _by_token(lists, labels, n).mapInArrow(_lists_by_node, "query long, n int, entries array<long>")
+    marked = _by_token(lists, labels, n)
+    links = links.unionByName(store(_block_links(marked, sets, store, n), "block_links"))
+    entries = marked.mapInArrow(_lists_by_node, "query long, n int, entries array<long>")
     candidates = entries.repartition(n, "query").sortWithinPartitions("query").mapInArrow(_merge, "a long, b long")
     return links.unionByName(store(_verified(candidates, sets), "search_links"))
 
