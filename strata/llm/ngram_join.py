@@ -12,7 +12,7 @@ least l times; the other, long lists are only probed.
    rest by hash.  A node whose short lists all have one entry is done here:
    that is most of them.
 3. Each short list (sorted by set size, cut where sizes differ too much) first
-   gives star candidates: every node with one pivot.  Verified ones are
+   gives star candidates: every node with the foremost pivot of its lists.  Verified ones are
    contracted by connected components, so a large group of near copies costs
    about as many checks as it has members.
 4. DivideSkip for what is left: nodes in different components.
@@ -192,8 +192,7 @@ def _stars(round_: int):
             differs = label[best] != label[pivot]
             a, b = node[best[differs]], node[pivot[differs]]
             if len(a):
-                pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(rank[pivot[differs]])], ["a", "b", "rank"])
 
     return work
 
@@ -396,7 +395,9 @@ def find_links(docs: DataFrame, nodes: DataFrame, store: Store) -> DataFrame:
     links = None
     labels = None
     for round_ in range(STAR_ROUNDS):
-        stars = _by_token(lists, labels, n).mapInArrow(_stars(round_), "a long, b long")
+        stars = _by_token(lists, labels, n).mapInArrow(_stars(round_), "a long, b long, rank long")
+        # one pivot for each node, the foremost of its lists': a round costs at most one check a node
+        stars = stars.groupBy("a").agg(F.min(F.struct("rank", "b")).alias("pivot")).select("a", "pivot.b")
         found = store(_verified(stars, sets), "star_links")
         links = found if links is None else links.unionByName(found)
         labels = connected_components(links, store)
