@@ -3,13 +3,13 @@
 The kernel of two tokens sums, over all character triples that both hold in
 order (gaps allowed), decay**(span in one + span in the other), scaled by what
 tokens of their lengths could reach; gapped and inserted characters cost only
-decay.  A bounded sample of labelled documents is cut into sentences; tokens
-far commoner in toxic documents mark the positive sentences and supply the
-landmarks, together with neutral ones.  A linear SVM (squared hinge) is
+decay.  A bounded sample of labelled documents gives the sentences; tokens far
+commoner in toxic documents mark the positive ones and supply the landmarks, together with neutral ones.  A linear SVM (squared hinge) is
 trained on Nystroem features of positive sentences' marking tokens and of the
 hardest and randomly chosen tokens of clean sentences.  A sentence scores by
 its most toxic token, a document by its most toxic sentence, mapped to 0..1 by
-a logistic fitted on the sample.
+a logistic fitted on the sample.  As the largest of the sentences' largest
+tokens is the document's largest token, scoring needs no sentence borders.
 
 Because the SVM is linear in kernel values against landmarks, scoring a token
 is one table of weights per triple.  Runs of single characters ("i d i o t")
@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.labelled import fold, sample
+from strata.llm.textops import mix
 
 #: Bounds of the fit: at most this many labelled documents that are not toxic, and that are.
 PER_CLASS = (4000, 2000)
@@ -52,7 +53,6 @@ REMEMBERED = 300_000
 
 _EDGE = " \t\n\r.,;:!?\"'()[]{}«»“”„…-*#"
 _SPELLED = re.compile(r"(?<!\S)\w(?:[ .*_-]\w){2,}(?!\w)")
-_SENTENCE = re.compile(r"[.!?\n]+")
 
 
 def tokens(text: str) -> set[str]:
@@ -105,7 +105,7 @@ class Alphabet:
                     owners.append(n)
                     texts.append(piece)
         for length, (owners, texts) in groups.items():
-            step = max(1, 2_000_000 // max(1, len(_triples(length)[0])))
+            step = max(1, 400_000 // max(1, len(_triples(length)[0])))
             for k in range(0, len(texts), step):
                 points = np.frombuffer("".join(texts[k : k + step]).encode("utf-32-le", "surrogatepass"), np.uint32)
                 codes = self.table[np.minimum(points, (1 << 16) - 1)].reshape(-1, length)
@@ -146,12 +146,13 @@ class Kernel:
         for owner, codes in self.alphabet.pieces(words):
             triple, weight = self.alphabet.triple_codes(codes)
             rows = self.row[triple]
-            for k in range(0, len(rows), 4096):
-                word, place = np.nonzero(rows[k : k + 4096])
+            for k in range(0, len(rows), 256):  # bounds the values held at once
+                part = rows[k : k + 256]
+                word, place = np.nonzero(part)
                 if len(word):
                     cut = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-                    sums = np.add.reduceat(self.weights[rows[k : k + 4096][word, place]] * weight[place, None], cut, axis=0)
-                    np.maximum.at(out, owner[k : k + 4096][word[cut]], sums)
+                    sums = np.add.reduceat(self.weights[part[word, place]] * weight[place, None], cut, axis=0)
+                    np.maximum.at(out, owner[k : k + 256][word[cut]], sums)
         return out
 
 
@@ -217,18 +218,30 @@ def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(slope), 1e-3), float(offset)
 
 
-def _distinct_uses(examples: list[tuple[str, int]]) -> tuple[Counter, Counter]:
-    """How often toxic and clean documents use each token, copies aside: uses between the same two words count once."""
-    counts, seen = (Counter(), Counter()), (set(), set())
-    for text, y in examples:
-        words = ["", *(w.strip(_EDGE) for w in (text or "").lower().split()), ""]
-        words += ["", *(re.sub(r"[ .*_-]", "", run) for run in _SPELLED.findall((text or "").lower())), ""]
-        for before, word, after in zip(words, words[1:], words[2:], strict=False):
-            use = hash((before, word, after))
-            if len(word) >= 3 and use not in seen[y]:
-                seen[y].add(use)
-                counts[y][word] += 1
-    return counts[1], counts[0]
+class Corpus:
+    """The sample's documents as arrays of token numbers (a few bytes a token)."""
+
+    def __init__(self, examples: list[tuple[str, int]]):
+        number: dict[str, int] = {"": 0}
+        self.docs: list[np.ndarray] = []
+        for text, _ in examples:
+            text = (text or "").lower()
+            words = ["", *(w.strip(_EDGE) for w in text.split()), ""]
+            words += ["", *(re.sub(r"[ .*_-]", "", run) for run in _SPELLED.findall(text)), ""]
+            self.docs.append(np.array([number.setdefault(w, len(number)) for w in words], np.int32))
+        self.words = list(number)
+        self.label = np.array([y for _, y in examples])
+
+    def distinct_uses(self, label: int) -> Counter:
+        """How often documents of a class use each token, copies aside: uses between the same two tokens count once."""
+        docs = [d for d, y in zip(self.docs, self.label, strict=True) if y == label and len(d) > 2]
+        if not docs:
+            return Counter()
+        before, word, after = (np.concatenate([d[k : len(d) - 2 + k] for d in docs]).astype(np.uint64) for k in range(3))
+        _, first = np.unique(mix(mix(before + np.uint64(1)) + word) ^ after * np.uint64(0x9E3779B97F4A7C15), return_index=True)
+        counts = np.bincount(word[first].astype(np.int64), minlength=len(self.words))
+        counts[0] = 0
+        return Counter({self.words[k]: int(counts[k]) for k in np.flatnonzero(counts) if len(self.words[k]) >= 3})
 
 
 def _marking(toxic: Counter, clean: Counter) -> list[str]:
@@ -250,12 +263,8 @@ def _marking(toxic: Counter, clean: Counter) -> list[str]:
 
 def train(examples: list[tuple[str, int]]) -> Model | None:
     """Fit on ``(text, label)`` pairs."""
-    sentences = [(n, tokens(s)) for n, (text, _) in enumerate(examples) for s in _SENTENCE.split(text or "") if s.strip()]
-    label = [y for _, y in examples]
-    bags: list[set[str]] = [set() for _ in examples]
-    for n, found in sentences:
-        bags[n] |= {t.strip(_EDGE) for t in found}
-    toxic, clean = _distinct_uses(examples)
+    corpus = Corpus(examples)
+    toxic, clean = corpus.distinct_uses(1), corpus.distinct_uses(0)
     if not toxic or not clean:
         return None
     marking = _marking(toxic, clean)
@@ -277,8 +286,8 @@ def train(examples: list[tuple[str, int]]) -> Model | None:
         chosen.append(n)
         closest = np.maximum(closest, values[n])
     landmarks = [by_count[n] for n in chosen] + [t for t, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0])) if len(t) >= 4 and t not in marks][:NEUTRAL]
-    # sentences of toxic documents that hold a marking token are positive, by that token; clean documents' tokens are negative
-    positive = sorted({t.strip(_EDGE) for n, found in sentences if label[n] for t in found} & marks)
+    # a toxic document's sentences that hold a marking token are positive, by that token; clean documents' tokens are negative
+    positive = sorted(marks)
     others = sorted(t for t in clean if t not in marks)
     every = np.arange(0, len(others), max(1, len(others) // RANDOM))
     model = None
@@ -299,8 +308,9 @@ def train(examples: list[tuple[str, int]]) -> Model | None:
         if step == 0:  # the clean tokens that come closest are landmarks from now on
             hardest = np.argsort(-model.margins(others), kind="stable")[: 4 * CONTRAST : 4]
             landmarks += [others[n] for n in hardest if others[n] not in landmarks]
-    best = np.array([model.margins(sorted(bag)).max(initial=bias) for bag in bags])
-    model.slope, model.offset = _logistic(best, np.array(label, float))
+    margin = model.margins(corpus.words)
+    best = np.array([margin[np.unique(d)].max() for d in corpus.docs])
+    model.slope, model.offset = _logistic(best, corpus.label.astype(float))
     return model
 
 
