@@ -23,7 +23,8 @@ together.  Runs whose common prefix reaches ``LENGTH`` are equal strings: all
 but the earliest are covered.
 
 *Scale.*  Text is shuffled once (by document), anchors once (by seed), and
-pieces once.  Nothing is collected.  A seed with more than ``HOT`` occurrences
+pieces once.  Copies that meet within a block of a map task are settled there,
+so a hot seed is thinned before the shuffle.  Nothing is collected.  A seed with more than ``HOT`` occurrences
 is cut by longer contexts of which any string shares one, so no hot group
 stays in one task unless its strings are equal, and those are dropped above.
 
@@ -46,7 +47,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.llm.textops import RangeHash, buffers, byte_values, cover, key_chunks, minimizers
+from strata.llm.textops import RangeHash, buffers, byte_values, cover, key_chunks, minimizers, mix, spread
 
 LENGTH = 100
 SEED = 24
@@ -103,14 +104,23 @@ def _anchors(length: int, seed: int, block: int = 1 << 18):
                     continue
                 left = np.maximum(at - (length - seed), offsets[doc] - lo)
                 right = np.minimum(at + length, offsets[doc + 1] - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[at].view(np.int64)), pa.array(hashes(left, right).view(np.int64)), pa.array(oid[doc]), pa.array(tie[doc]), pa.array(at + lo - offsets[doc])],
-                    ["seed", "piece", "oid", "tie", "pos"],
-                )
+                columns = [key[at].view(np.int64), aligned(hashes(left, right), at - left), oid[doc], tie[doc], at + lo - offsets[doc]]
+                order = np.lexsort(columns[::-1])
+                columns = [c[order] for c in columns]
+                once = _changes(*columns)  # equal rows count once
+                columns = [c[once] for c in columns]
+                settled = ~_changes(*columns[:2])  # an equal piece starts earlier in this very block
+                columns[0] = np.where(settled, spread(columns[2], columns[4]), columns[0])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, settled)], ["seed", "piece", "oid", "tie", "pos", "settled"])
 
     return work
 
 
+def aligned(piece: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Name of a piece and the place of its anchor: a short text around two anchors is two pieces."""
+    return (piece ^ mix(before.astype(np.uint64) + np.uint64(1))).view(np.int64)
+
+
 def _changes(*columns: np.ndarray) -> np.ndarray:
     out = np.ones(len(columns[0]), bool)
     if len(out):
@@ -127,6 +137,12 @@ def _resolve(hot: int, rows: int = 1 << 18):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in key_chunks(batches, ["seed"], rows):
+            settled = table.column("settled").to_numpy()
+            if settled.any():
+                done = table.filter(pa.array(settled)).select(["oid", "tie", "pos", "seed"]).combine_chunks().to_batches()[0]
+                kind = pa.array(np.zeros(done.num_rows, np.int8))
+                yield pa.RecordBatch.from_arrays([done.column(0), done.column(1), done.column(2), kind, done.column(3)], ["oid", "tie", "pos", "kind", "seed"])
+                table = table.filter(pa.array(~settled))
             seed, piece, oid, tie, pos = (table.column(c).to_numpy() for c in ("seed", "piece", "oid", "tie", "pos"))
             _, inverse, count = np.unique(seed, return_inverse=True, return_counts=True)
             some = np.flatnonzero(count[inverse] > 1)
@@ -352,7 +368,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot:
     n = width(docs.sparkSession)
     # every branch below takes all columns of ``texts``, so that Spark shuffles it once and reads the shuffle again
     texts = keyed(docs, carry=carry).repartition(n, "oid", "tie")
-    anchors = texts.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie int, pos long")
+    anchors = texts.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie int, pos long, settled boolean")
     found = anchors.repartition(n, "seed").sortWithinPartitions("seed").mapInArrow(_resolve(hot), "oid long, tie int, pos long, kind byte, seed long")
     per_doc = found.groupBy("oid", "tie").agg(F.collect_list(F.struct("pos", "kind", "seed")).alias("found"))
     pieces = texts.join(per_doc.hint("shuffle_hash"), ["oid", "tie"]).mapInArrow(

@@ -174,6 +174,11 @@ def minimizers(keys: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(keys == best)
 
 
+def spread(oid: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """A shuffle key that deals rows evenly, as a signed 64-bit number."""
+    return mix(oid.astype(np.int64).view(np.uint64) * _U(_BASE) + pos.astype(np.int64).view(np.uint64)).view(np.int64)
+
+
 def cover(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
     """Boolean mask of ``size`` positions covered by any of the ranges."""
     step = np.zeros(size + 1, np.int64)
