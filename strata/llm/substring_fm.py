@@ -22,7 +22,8 @@ position, so ends between two with equal reach need no search of their own.
 Reaches of at least ``LENGTH`` words are reported as word intervals.
 
 *Scale.*  Text is shuffled once (by document), anchors once (by seed), pieces
-once.  Shards hold about ``SHARD_PIECES`` pieces.  Nothing is collected.  Seeds
+once.  Copies that meet within a chunk of a map task are settled there, so a
+hot seed is thinned before the shuffle.  Shards hold about ``SHARD_PIECES`` pieces.  Nothing is collected.  Seeds
 with over ``HOT`` occurrences are dealt by longer contexts.
 
 Defined results: null text has no words; rows under ``LENGTH`` words lose
@@ -40,8 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.suffix_dedup import _binary, _changes, keyed, slices, width
-from strata.llm.textops import RangeHash, Words, cover, key_chunks, minimizers, mix, word_chunks
+from strata.llm.suffix_dedup import _binary, _changes, aligned, keyed, slices, width
+from strata.llm.textops import RangeHash, Words, cover, key_chunks, minimizers, mix, spread, word_chunks
 
 LENGTH = 35
 SEED = 8
@@ -67,11 +68,17 @@ def _anchors(length: int, seed: int):
                 fits = (at + seed <= stop) & (stop - first >= length)
                 at, doc, first, stop = at[fits], doc[fits], first[fits], stop[fits]
                 if len(at):
-                    piece = hashes(np.maximum(at - (length - seed), first), np.minimum(at + length, stop))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[at].view(np.int64)), pa.array(piece.view(np.int64)), pa.array(oid[i + doc]), pa.array(tie[i + doc]), pa.array(at - first)],
-                        ["seed", "piece", "oid", "tie", "pos"],
-                    )
+                    left = np.maximum(at - (length - seed), first)
+                    piece = aligned(hashes(left, np.minimum(at + length, stop)), at - left)
+                    columns = [key[at].view(np.int64), piece, oid[i + doc], tie[i + doc], at - first]
+                    order = np.lexsort(columns[::-1])
+                    columns = [c[order] for c in columns]
+                    new = _changes(*columns[:2])
+                    copied = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > 1
+                    # 0: seen once in this chunk; 1: the first of several, to represent them; 2: settled here
+                    state = np.where(new, copied, 2).astype(np.int8)
+                    columns[0] = np.where(new, columns[0], spread(columns[2], columns[4]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, state)], ["seed", "piece", "oid", "tie", "pos", "state"])
 
     return work
 
@@ -85,16 +92,22 @@ def _resolve(hot: int, rows: int = 1 << 18):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in key_chunks(batches, ["seed"], rows):
-            seed, piece, oid, tie, pos = (table.column(c).to_numpy() for c in ("seed", "piece", "oid", "tie", "pos"))
+            settled = table.column("state").to_numpy() == 2
+            if settled.any():
+                done = table.filter(pa.array(settled)).select(["oid", "tie", "pos", "seed"]).combine_chunks().to_batches()[0]
+                kind = pa.array(np.ones(done.num_rows, np.int8))
+                yield pa.RecordBatch.from_arrays([done.column(0), done.column(1), done.column(2), kind, done.column(3)], ["oid", "tie", "pos", "kind", "seed"])
+                table = table.filter(pa.array(~settled))
+            seed, piece, oid, tie, pos, state = (table.column(c).to_numpy() for c in ("seed", "piece", "oid", "tie", "pos", "state"))
             _, inverse, count = np.unique(seed, return_inverse=True, return_counts=True)
-            some = np.flatnonzero(count[inverse] > 1)
+            some = np.flatnonzero((count[inverse] > 1) | (state == 1))
             if not len(some):
                 continue
             order = some[np.lexsort((pos[some], tie[some], oid[some], piece[some], seed[some]))]
-            seed, piece, oid, tie, pos = (x[order] for x in (seed, piece, oid, tie, pos))
+            seed, piece, oid, tie, pos, state = (x[order] for x in (seed, piece, oid, tie, pos, state))
             new_seed, new_piece = _changes(seed), _changes(seed, piece)
             group, kin = np.cumsum(new_seed) - 1, np.cumsum(new_piece) - 1
-            copied = np.bincount(kin)[kin] > 1
+            copied = np.bincount(kin, 1 + state)[kin] > 1
             open_seed = np.bincount(group, ~copied)[group] > 0
             many = np.bincount(group, new_piece)[group] > 1
             shard = new_piece & open_seed & many
@@ -315,7 +328,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot:
     """Per document row: word counts and digest of what is left (and the words, ``kept``, with ``with_text``)."""
     n = width(docs.sparkSession)
     texts = keyed(docs).repartition(n, "oid", "tie")
-    anchors = texts.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie int, pos long")
+    anchors = texts.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie int, pos long, state byte")
     found = anchors.repartition(n, "seed").sortWithinPartitions("seed").mapInArrow(_resolve(hot), "oid long, tie int, pos long, kind byte, seed long")
     per_doc = found.groupBy("oid", "tie").agg(F.collect_list(F.struct("pos", "kind", "seed")).alias("found"))
     pieces = texts.join(per_doc.hint("shuffle_hash"), ["oid", "tie"]).mapInArrow(
