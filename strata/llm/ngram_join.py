@@ -299,8 +299,8 @@ def _block_links(marked: DataFrame, sets: DataFrame, store: Store, n: int) -> Da
 def _lists_by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Short lists dealt to the nodes that still have to search: ``query, entries``.
 
-    A list's commonest component stays as entries; every other node asks, for
-    the entries of other components (two askers meet once).
+    Of two entries of different components the one with the smaller id asks, in
+    every list that they share: all meetings of a pair count in one query.
     """
     for table in key_chunks(batches, ["token"], 1 << 18):
         token, node, n, label = (table.column(c).to_numpy() for c in ("token", "node", "n", "label"))
@@ -309,14 +309,12 @@ def _lists_by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for rows in np.split(order, np.flatnonzero(np.diff(segment)) + 1):
             if len(rows) > DENSE:
                 continue  # searched in blocks
-            names, kin, count = np.unique(label[rows], return_inverse=True, return_counts=True)
-            if len(names) < 2:
+            ids, size, kin = node[rows], n[rows], label[rows]
+            if (kin == kin[0]).all():
                 continue
-            main = int(np.argmax(count))
-            ids, size = node[rows], n[rows]
             queries, entries, totals = [], [], []
-            for k in np.flatnonzero(kin != main):
-                fits = (kin != kin[k]) & ((kin == main) | (ids > ids[k])) & (size * 100 >= PERCENT * size[k]) & (size[k] * 100 >= PERCENT * size)
+            for k in range(len(rows)):
+                fits = (kin != kin[k]) & (ids > ids[k]) & (size * 100 >= PERCENT * size[k]) & (size[k] * 100 >= PERCENT * size)
                 if fits.any():
                     queries.append(ids[k])
                     entries.append(np.sort(ids[fits]))

@@ -5,6 +5,7 @@ import random
 import brute
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import duck, frame_digest
 from helpers import SF, docs_frame, out, stored  # noqa: F401
@@ -40,6 +41,22 @@ def test_near_duplicates(spark, stored, monkeypatch, dense):
     assert out(got, "doc_id", "n_shingles", "component_id") == brute.near_duplicates(rows)
 
 
+def test_meetings_count_once_a_pair():
+    """Pairs that meet in ``SHARED`` sparse lists are candidates, whatever third documents stand in the lists."""
+    rnd = random.Random(11)
+    for _ in range(200):
+        lists = [rnd.sample(range(12), rnd.randint(2, 6)) for _ in range(14)] + [[4, 7], [4, 7], [1, 4, 7]]
+        kin = [k if k in (1, 4, 7) else rnd.choice([k, 0]) for k in range(12)]
+        flat = [(t, k) for t, held in enumerate(lists) for k in sorted(held)]
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([t for t, _ in flat]), pa.array([k for _, k in flat]), pa.array([100] * len(flat), pa.int32()), pa.array([kin[k] for _, k in flat])], ["token", "node", "n", "label"]
+        )
+        asked = pa.Table.from_batches(ngram_join._lists_by_node([batch])).sort_by("query")
+        got = {tuple(sorted((a, b))) for part in ngram_join._merge(asked.to_batches()) for a, b in zip(part["a"].to_pylist(), part["b"].to_pylist(), strict=True)}
+        met = {(a, b): sum(a in held and b in held for held in lists) for a in range(12) for b in range(a + 1, 12) if kin[a] != kin[b]}
+        assert got == {pair for pair, times in met.items() if times >= ngram_join.SHARED}
+
+
 def test_keep_one_of_each_group(spark, stored):
     rows = [(3, "a b c d e f g"), (1, "A B C D E F G"), (1, "A B C D E F G"), (2, "p q r s t"), (4, None)]
     df = docs_frame(spark, rows, extra=True)
