@@ -1,6 +1,7 @@
 """N-gram join, line rules, mixing, token counts, licenses and decontamination."""
 
 import random
+import textwrap
 
 import brute
 import duckdb
@@ -123,6 +124,33 @@ def test_license_segments(spark):
     assert licenses.scan(docs_frame(spark, [])).collect() == []
 
 
+def test_wrapped_notices_and_whole_licenses(spark):
+    texts = dict(licenses.WHOLE_TEXTS[-10:])
+    header = licenses.WHOLE_TEXTS[1][1]
+    assert header.startswith("This program is free software: you") and set(texts) >= {"MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-3.0"}
+    wrapped = lambda text, width: "\n".join(f" * {line}" for line in textwrap.wrap(text, width))
+    rows = [
+        (1, "Words before.\nThis work is licensed under the GNU General\nPublic License, version 3.\nWords after."),
+        (2, "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + texts["MIT"]),
+        (3, "Copyright (c) 2020, Some Body\nAll rights reserved.\n\n" + texts["BSD-3-Clause"]),
+        (4, "Copyright 2020\n" + wrapped(texts["BSD-2-Clause"], 50)),
+        (5, texts["Apache-2.0"]),
+        (6, "/*\n" + wrapped(header, 60) + "\n */\nint main() { return 0; }\n"),
+        (7, texts["GPL-3.0"]),
+        (8, "This work is licensed under the GNU General Public License,\nversion 3."),
+        (9, "Released under the\nMIT License.\n\nSome other words stand here.\n\nLicensed under\nCC BY 4.0."),
+        (10, " ".join(texts["MIT"].split())),
+        (11, "The license of the software is the permission that the author of the work gives to any person.\n" * 30),
+    ]
+    got = {}
+    for r in licenses.scan(docs_frame(spark, rows, extra=True)).collect():
+        got.setdefault(r.doc_id, {})[r.license] = (r.dice, r.n_segments)
+    want = {1: "GPL-3.0", 2: "MIT", 3: "BSD-3-Clause", 4: "BSD-2-Clause", 5: "Apache-2.0", 6: "GPL-3.0", 7: "GPL-3.0", 8: "GPL-3.0", 10: "MIT"}
+    assert {d: list(found) for d, found in got.items() if d != 9} == {d: [name] for d, name in want.items()}
+    assert all(dice >= 0.95 and n == 1 for d in want for dice, n in got[d].values()), got
+    assert got[9] == {"MIT": (1.0, 1), "CC-BY-4.0": (1.0, 1)}
+
+
 def test_token_counts_round_trip(spark, stored):
     import base64
 
