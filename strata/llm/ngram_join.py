@@ -25,9 +25,12 @@ least l times; the other, long lists are only probed.
    and probes the candidate's sorted set, stopping when the required overlap
    is out of reach.
 5. Connected components of all links give the groups.
+6. For the numbers of links the searches of step 4 run once more over all
+   pairs, without components: blocks count their links inside their tasks.
 
 Every pair of different sets that link is either found or already joined by
-found links, so the components are exact (up to 64-bit hash collisions).
+found links, so the components are exact, and step 6 meets every linked pair
+once, so the numbers of links are too (up to 64-bit hash collisions).
 
 Defined results: null, empty and wordless texts have empty sets and stand
 alone; equal rows share a node; rows that share an id count by their texts;
@@ -61,6 +64,8 @@ STAR_ROUNDS = 2
 DENSE = 32
 #: Shingles in a chunk of a block (8 bytes each).
 CHUNK_SHINGLES = 2_000_000
+#: Pairs of a block that are held at once.
+PART_PAIRS = 1 << 20
 #: Nodes that a task remembers in order not to send a copied set again (an economy only).
 REMEMBERED = 500_000
 
@@ -214,8 +219,8 @@ def _dense_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
-def _search_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """DivideSkip between the two chunks of a task (or within one)."""
+def _chunk_links(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """DivideSkip between the two chunks of a task (or within one): ends of its links, in parts."""
     for table in key_chunks(batches, ["task"], 1):
         for rows in _groups(table.column("task").to_numpy()):
             part = table.take(pa.array(rows)).combine_chunks()
@@ -224,10 +229,21 @@ def _search_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             here = np.flatnonzero(side == 0)
             ask = np.flatnonzero(side == 1)
             alone = not len(ask)  # one chunk against itself
-            found = divide_skip([sets[k] for k in here], label[here], [sets[k] for k in (here if alone else ask)], label[here if alone else ask], alone)
-            if found:
-                a, b = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(node[here[list(a)]]), pa.array(node[(here if alone else ask)[list(b)]])], ["a", "b"])
+            ask = here if alone else ask
+            for a, b in divide_skip_parts([sets[k] for k in here], label[here], [sets[k] for k in ask], label[ask], alone):
+                yield node[here[a]], node[ask[b]]
+
+
+def _search_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for a, b in _chunk_links(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
+def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of every node, without emitting them."""
+    for a, b in _chunk_links(batches):
+        ids, count = np.unique(np.concatenate([a, b]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(count, pa.int64())], ["node", "n_links"])
 
 
 def _groups(key: np.ndarray) -> list[np.ndarray]:
@@ -237,12 +253,17 @@ def _groups(key: np.ndarray) -> list[np.ndarray]:
 
 def divide_skip(index: list[np.ndarray], index_label: np.ndarray, queries: list[np.ndarray], query_label: np.ndarray, same: bool) -> list[tuple[int, int]]:
     """Linked (index, query) pairs of different labels; with ``same``, each pair once."""
+    return [pair for a, b in divide_skip_parts(index, index_label, queries, query_label, same) for pair in zip(a.tolist(), b.tolist(), strict=True)]
+
+
+def divide_skip_parts(index: list[np.ndarray], index_label: np.ndarray, queries: list[np.ndarray], query_label: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of ``divide_skip`` as arrays of bounded size."""
     size = np.array([len(x) for x in index])
     owner = np.repeat(np.arange(len(index)), size)
     token = np.concatenate(index)
     order = np.argsort(token, kind="stable")  # owners ascend within a list
     token, owner = token[order], owner[order]
-    out = []
+    out, held = [], 0
     for q, mine in enumerate(queries):
         n = len(mine)
         least = int(needed(n))
@@ -271,13 +292,24 @@ def divide_skip(index: list[np.ndarray], index_label: np.ndarray, queries: list[
             if done % 8 == 7:
                 keep = met + (n_long - done - 1) >= bound
                 entry, met, bound = entry[keep], met[keep], bound[keep]
-        out += [(int(e), q) for e in entry[met >= bound]]
-    return out
+        entry = entry[met >= bound]
+        if len(entry):
+            out.append((entry, np.full(len(entry), q)))
+            held += len(entry)
+        if held >= PART_PAIRS:
+            yield tuple(np.concatenate(x) for x in zip(*out, strict=True))
+            out, held = [], 0
+    if out:
+        yield tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _blocks(marked: DataFrame, store: Store) -> DataFrame:
+    """``node, label``: nodes connected by dense lists."""
+    return connected_components(store(marked.mapInArrow(_dense_stars, "a long, b long"), "dense_stars"), store)
 
 
-def _block_links(marked: DataFrame, sets: DataFrame, store: Store, n: int) -> DataFrame:
-    """Links between nodes that meet in a dense list."""
-    blocks = connected_components(store(marked.mapInArrow(_dense_stars, "a long, b long"), "dense_stars"), store)
+def _block_search(marked: DataFrame, blocks: DataFrame, sets: DataFrame, store: Store, n: int) -> DataFrame:
+    """Sets of the chunk pairs of every block, by task."""
     rows = blocks.select("node", F.col("label").alias("block")).join(marked.select("node", "n", "label").distinct(), "node")
     # chunks of bounded size in the order of components; no set is moved for this
     ahead = Window.partitionBy("block").orderBy("label", "node").rowsBetween(Window.unboundedPreceding, -1)
@@ -293,7 +325,7 @@ def _block_links(marked: DataFrame, sets: DataFrame, store: Store, n: int) -> Da
         tasks.filter("i < j").select("block", F.col("j").alias("chunk"), "task", F.lit(1).alias("side"))
     )
     dealt = rows.join(sides, ["block", "chunk"]).join(sets, "node").select("task", "side", "node", "label", "tokens")
-    return dealt.repartition(n, "task").sortWithinPartitions("task", "side", "node").mapInArrow(_search_chunks, "a long, b long")
+    return dealt.repartition(n, "task").sortWithinPartitions("task", "side", "node")
 
 
 def _lists_by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,8 +408,8 @@ def _own_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(node[mine]), pa.array([sets[k].tobytes() for k in mine], pa.binary())], ["node", "tokens"])
 
 
-def find_links(docs: DataFrame, nodes: DataFrame, store: Store) -> DataFrame:
-    """``a, b``: links between nodes that join every group of linked nodes."""
+def short_lists(docs: DataFrame, nodes: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
+    """``token, node, n``: short lists that several nodes share; ``node, tokens``: the sets of nodes on them."""
     n = width(docs.sparkSession)
     texts = keyed(docs).select("oid", "text")
     postings = texts.mapInArrow(_postings, "token long, node long, n int, low int")
@@ -389,7 +421,12 @@ def find_links(docs: DataFrame, nodes: DataFrame, store: Store) -> DataFrame:
     first = nodes.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("oid").alias("oid"))
     owners = first.join(lists.select("node").distinct(), "node")
     sets = store(texts.join(owners, "oid").mapInArrow(_own_sets, "node long, tokens binary").dropDuplicates(["node"]), "shingle_sets")
+    return lists, sets
+
 
+def find_links(lists: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
+    """``a, b``: links between nodes that join every group of linked nodes."""
+    n = width(lists.sparkSession)
     links = None
     labels = None
     for round_ in range(STAR_ROUNDS):
@@ -400,10 +437,32 @@ def find_links(docs: DataFrame, nodes: DataFrame, store: Store) -> DataFrame:
         links = found if links is None else links.unionByName(found)
         labels = connected_components(links, store)
     marked = _by_token(lists, labels, n)
-    links = links.unionByName(store(_block_links(marked, sets, store, n), "block_links"))
+    blocks = _blocks(marked, store)
+    links = links.unionByName(store(_block_search(marked, blocks, sets, store, n).mapInArrow(_search_chunks, "a long, b long"), "block_links"))
+    return links.unionByName(store(_sparse_links(marked, sets, n), "search_links"))
+
+
+def count_links(lists: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
+    """``node, n_links``: with how many other sets each node links.
+
+    All pairs are searched, nothing is contracted.  Blocks count the links
+    within a block, in their tasks; the sparse search finds the links between
+    nodes that are not of one block, which meet in sparse lists only.
+    """
+    n = width(lists.sparkSession)
+    marked = _by_token(lists, None, n)
+    blocks = _blocks(marked, store)
+    inside = _block_search(marked, blocks, sets, store, n).mapInArrow(_count_chunks, "node long, n_links long")
+    between = store(_sparse_links(_by_token(lists, blocks, n), sets, n), "counted_links")
+    ends = between.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("n_links"))
+    return store(inside.unionByName(ends).groupBy("node").agg(F.sum("n_links").alias("n_links")), "link_counts")
+
+
+def _sparse_links(marked: DataFrame, sets: DataFrame, n: int) -> DataFrame:
+    """Links between nodes of different labels that meet in sparse lists."""
     entries = marked.mapInArrow(_lists_by_node, "query long, n int, entries array<long>")
     candidates = entries.repartition(n, "query").sortWithinPartitions("query").mapInArrow(_merge, "a long, b long")
-    return links.unionByName(store(_verified(candidates, sets), "search_links"))
+    return _verified(candidates, sets)
 
 
 def _by_token(lists: DataFrame, labels: DataFrame | None, n: int) -> DataFrame:
@@ -417,20 +476,29 @@ def _by_token(lists: DataFrame, labels: DataFrame | None, n: int) -> DataFrame:
     return marked.select("token", "node", "n", "label").repartition(n, "token").sortWithinPartitions("token")
 
 
-def near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
-    """Per document row: ``doc_id, oid, tie, n_shingles, component_id, component_links``.
+def near_duplicates(docs: DataFrame, store: Store, counts: bool = True) -> DataFrame:
+    """Per document row: ``doc_id, oid, tie, n_shingles, component_id, n_links, component_links, keeps``.
 
-    ``component_id`` is the least id reachable by links; ``component_links``
-    counts the distinct links found in the component.
+    ``component_id`` is the least id reachable by links; ``n_links`` counts the
+    other sets with which the row's set links (equal sets count once), and
+    ``component_links`` the links of the component.  Without ``counts`` the
+    last two are null.
     """
     nodes = store(keyed(docs).mapInArrow(_nodes, "doc_id long, oid long, tie int, node long, n long"), "shingle_nodes")
-    links = find_links(docs, nodes, store)
-    links = store(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    lists, sets = short_lists(docs, nodes, store)
+    links = store(find_links(lists, sets, store).distinct(), "links")
     labels = connected_components(links, store)
     joined = nodes.join(labels, "node", "left").withColumn("group", F.coalesce("label", "node"))
-    counts = links.join(labels, F.col("a") == F.col("node")).groupBy("label").agg(F.count("*").alias("component_links"))
     groups = joined.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min("oid").alias("least"), F.min(F.struct("oid", "tie")).alias("keeper"))
-    groups = groups.join(counts, F.col("group") == F.col("label"), "left").select(F.col("group").alias("g"), "least", "keeper", "component_links")
+    groups = groups.withColumnRenamed("group", "g")
+    if counts:
+        found = count_links(lists, sets, store)
+        per = found.join(labels, "node").groupBy("label").agg((F.sum("n_links") / 2).cast("long").alias("component_links"))
+        groups = groups.join(per, F.col("g") == F.col("label"), "left").select("g", "least", "keeper", "component_links")
+        joined = joined.join(found, "node", "left")
+        n_links, component_links = (F.coalesce(c, F.lit(0)) for c in ("n_links", "component_links"))
+    else:
+        n_links = component_links = F.lit(None)
     out = joined.join(groups, F.col("group") == F.col("g"), "left")
     own = F.coalesce("least", "oid")
     return out.select(
@@ -439,14 +507,15 @@ def near_duplicates(docs: DataFrame, store: Store) -> DataFrame:
         "tie",
         F.col("n").alias("n_shingles"),
         F.when(own < (1 << 63) - 1, own).alias("component_id"),
-        F.coalesce("component_links", F.lit(0)).alias("component_links"),
+        n_links.cast("long").alias("n_links"),
+        component_links.cast("long").alias("component_links"),
         F.coalesce(F.col("keeper") == F.struct("oid", "tie"), F.lit(True)).alias("keeps"),
     )
 
 
 def keep_one(docs: DataFrame, store: Store) -> DataFrame:
     """One row of every group of near duplicates: the one with the least id (equal rows: one of them); all columns."""
-    kept = near_duplicates(docs, store).filter("keeps").select(F.col("oid").alias("k_oid"), F.col("tie").alias("k_tie")).distinct()
+    kept = near_duplicates(docs, store, counts=False).filter("keeps").select(F.col("oid").alias("k_oid"), F.col("tie").alias("k_tie")).distinct()
     rows = keyed(docs, carry=True).select("oid", "tie", F.struct("rest", "text").alias("row"))
     mine = rows.join(kept, (F.col("oid") == F.col("k_oid")) & (F.col("tie") == F.col("k_tie"))).select("oid", "tie", "row")
     mine = mine.withColumn("copy", F.row_number().over(Window.partitionBy("oid", "tie").orderBy(F.xxhash64("row.rest")))).filter("copy = 1")

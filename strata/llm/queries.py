@@ -37,7 +37,7 @@ def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"), partial(store, spark))
-    return found.select("doc_id", "n_shingles", "component_id", "component_links")
+    return found.select("doc_id", "n_shingles", "component_id", "n_links", "component_links")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

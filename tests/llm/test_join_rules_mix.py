@@ -42,6 +42,22 @@ def test_near_duplicates(spark, stored, monkeypatch, dense):
     assert out(got, "doc_id", "n_shingles", "component_id") == brute.near_duplicates(rows)
 
 
+@pytest.mark.parametrize("dense", [32, 2])
+def test_links_are_all_counted(spark, stored, monkeypatch, dense):
+    monkeypatch.setattr(ngram_join, "DENSE", dense)
+    monkeypatch.setattr(ngram_join, "CHUNK_SHINGLES", 500)
+    monkeypatch.setattr(ngram_join, "PART_PAIRS", 7)
+    rows = near_copies(5)
+    base = [f"v{k}" for k in range(200)]
+    rows += [(3000 + k, " ".join([*base, f"only{k}"])) for k in range(60)]  # all link with each other
+    sets = {s for s in (brute.shingles(t) for _, t in rows) if s}
+    links = {s: sum(100 * len(s & o) >= 80 * len(s | o) for o in sets if o != s) for s in sets}
+    got = ngram_join.near_duplicates(docs_frame(spark, rows, extra=True), stored).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, r.n_links) for r in got) == sorted((str(d), len(s), links.get(s, 0)) for d, s in ((d, brute.shingles(t)) for d, t in rows))
+    assert {r.component_links for r in got if r.doc_id is not None and r.doc_id >= 3000} == {60 * 59 // 2}
+    assert all(r.n_links <= r.component_links for r in got)
+
+
 def test_meetings_count_once_a_pair():
     """Pairs that meet in ``SHARED`` sparse lists are candidates, whatever third documents stand in the lists."""
     rnd = random.Random(11)
