@@ -62,4 +62,16 @@ SELECT doc_id, license, CAST(ROUND(MAX(dice), 6) AS DOUBLE) AS dice, COUNT(*) AS
 FROM b GROUP BY doc_id, row, license"""
 
 
-ORACLE_SQL: dict[str, str] = {"op6_licenses": _op6(), "op10_mixing": OP10}
+OP11 = r"""
+WITH r AS (SELECT doc_id, ROW_NUMBER() OVER () AS row, string_split(COALESCE(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, row, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM r),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key, MAX(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key
+      HAVING COUNT(DISTINCT doc_id) + MAX(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 5),
+d AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id IS DISTINCT FROM c.last AS gone FROM k LEFT JOIN c ON k.key = c.key)
+SELECT any_value(doc_id) AS doc_id, COUNT(*) AS n_lines, CAST(SUM(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+       sha256(COALESCE(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM d GROUP BY row"""
+
+ORACLE_SQL: dict[str, str] = {"op6_licenses": _op6(), "op10_mixing": OP10, "op11_line_index": OP11}

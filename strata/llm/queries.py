@@ -7,7 +7,21 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, licenses, line_rules, mixing, ngram_join, quality_knn, substring_fm, suffix_dedup, token_counts, toxicity
+from strata.llm import (
+    decontaminate,
+    licenses,
+    line_index,
+    line_rules,
+    mixing,
+    ngram_join,
+    quality_knn,
+    spelling,
+    substring_fm,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    whitening,
+)
 from strata.session import scratch_path
 
 
@@ -66,6 +80,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.documents_mix(spark, table(spark, sf_dir, "documents"), partial(store, spark))
 
 
+def op11_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_index.drop_common_lines(table(spark, sf_dir, "documents"), partial(store, spark))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"), partial(store, spark))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_knn": op2_quality_knn,
@@ -77,4 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_substring_fm": op9_substring_fm,
     "op10_mixing": op10_mixing,
+    "op11_line_index": op11_line_index,
+    "op12_spelling": op12_spelling,
+    "op13_whitening": op13_whitening,
 }
