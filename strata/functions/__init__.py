@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
+#: Rounding errors that an amount may have gathered, in units of its last place, and as a share of it.
+NOISE_ULPS = 8
+NOISE = NOISE_ULPS * 2.0**-53
+
 
 def as_col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -28,13 +32,14 @@ def money(c: ColumnOrName, scale: int = 2, precision: int = 18) -> Column:
 
     The amount must lie on that grid up to binary noise (10.1 + 0.2 does for
     scale 2) and within ``precision`` digits; anything else raises rather than
-    being rounded away.
+    being rounded away.  Noise is at most ``NOISE_ULPS`` units in the last place
+    of the amount, or a millionth of a grid step where amounts cancelled out.
     """
     v = as_col(c).cast("double")
     limit = 10.0 ** (precision - scale)
     fits = F.abs(v) < limit
     exact = F.when(is_finite(v) & fits, as_col(c)).cast(T.DecimalType(precision, scale))
-    off = F.abs(exact.cast("double") - v) > F.lit(1e-6 * 10.0**-scale) + F.abs(v) * 1e-12
+    off = F.abs(exact.cast("double") - v) > F.lit(1e-6 * 10.0**-scale) + F.abs(v) * NOISE
     message = F.concat(F.lit("amount "), v.cast("string"), F.lit(f" cannot be held with {scale} decimal places"))
     failed = is_finite(v) & (~fits | off)
     return F.when(failed, F.raise_error(message).cast(T.DecimalType(precision, scale))).otherwise(exact)

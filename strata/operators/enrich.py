@@ -126,9 +126,9 @@ def enrich_items(
 ) -> DataFrame:
     """items LEFT products LEFT sellers LEFT category dictionary.
 
-    The dictionary is tiny by construction, so it gets a (size-checked)
-    broadcast; the other two dimensions are left to the optimizer.
+    Each dimension gets a size-checked broadcast: a small one saves the items
+    an exchange, a large one is joined by shuffle.
     """
-    out = lookup(items, products, product_key)
-    out = lookup(out, sellers, seller_key)
+    out = lookup(items, products, product_key, broadcast=True)
+    out = lookup(out, sellers, seller_key, broadcast=True)
     return lookup(out, translations, category_key, broadcast=True)

@@ -21,9 +21,11 @@ every ordering column share a piece; nothing can cut them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,16 +58,33 @@ def stage_pieces(
     number, so the driver never holds more than about ``_SAMPLED_TUPLES``
     ordering tuples; a coarse sample makes pieces less even, never wrong.
     """
-    spark = stored.sparkSession
     pieces = max(1, -(-stored.count() // piece_rows))
-    saved = spark.conf.get(_SAMPLE_CONF)
-    spark.conf.set(_SAMPLE_CONF, str(max(1, min(int(saved), _SAMPLED_TUPLES // pieces))))
-    try:
-        cut = stored.repartitionByRange(pieces, *keys, *order).withColumn(PIECE, F.spark_partition_id().cast("long"))
+    with _own_session(stored) as (session, frame):
+        sampled = min(int(session.conf.get(_SAMPLE_CONF)), _SAMPLED_TUPLES // pieces)
+        session.conf.set(_SAMPLE_CONF, str(max(1, sampled)))
+        cut = frame.repartitionByRange(pieces, *keys, *order).withColumn(PIECE, F.spark_partition_id().cast("long"))
         cut.write.parquet(path)
+    return stored.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def _own_session(df: DataFrame) -> Iterator[tuple[SparkSession, DataFrame]]:
+    """``df`` in a session of its own with the same settings.
+
+    The range exchange takes its sample size from its session when it runs.
+    Set there, it changes for this frame only: other jobs of the caller's
+    session, and other pieces staged at the same time, keep theirs.
+    """
+    spark = df.sparkSession
+    session, view = spark.newSession(), f"strata_{uuid.uuid4().hex}"
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    df.createGlobalTempView(view)
+    try:
+        yield session, session.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{view}")
     finally:
-        spark.conf.set(_SAMPLE_CONF, saved)
-    return spark.read.parquet(path)
+        spark.catalog.dropGlobalTempView(view)
 
 
 _LOWEST_CHUNK = -(2**63)  # a NULL chunk number sorts first

@@ -3,8 +3,8 @@
 Row counts per step are complete counts: a count observed inside the final
 job would stop short wherever a later step (a limit, a join with nothing)
 stops reading.  They take one pass over the data where every step reads all
-its input: one job observes the rows between the steps.  A step that may stop
-reading early starts a pass of its own.
+its input, once: one job observes the rows between the steps.  A step that may
+stop reading early, or that reads its input twice, starts a pass of its own.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from strata.sources.csv import read_csv
 Step = tuple[str, Callable[[DataFrame], DataFrame]]
 
 
-#: Operators of a plan that always read all their input.
+#: Operators of a plan that read all their input, and once.  A range exchange (a sort, a repartition by range) is none of
+#: them: it samples its input first, in a job of its own, so rows before it would be observed twice.
 _READ_ALL = {
     "Aggregate",
     "CollectMetrics",
@@ -31,15 +32,13 @@ _READ_ALL = {
     "Project",
     "RebalancePartitions",
     "Repartition",
-    "RepartitionByExpression",
-    "Sort",
     "SubqueryAlias",
     "Window",
 }
 
 
 def _reads_all(before: DataFrame, after: DataFrame) -> bool:
-    """Does ``after`` read every row of ``before``?  False where that is not certain."""
+    """Does ``after`` read every row of ``before`` once?  False where that is not certain."""
     try:
         source, node = before._jdf.queryExecution().analyzed(), after._jdf.queryExecution().analyzed()
         while not node.equals(source):
@@ -73,7 +72,8 @@ def _observed(spark: SparkSession, names: list[str], frame: DataFrame) -> list[i
         return [None] * len(names)
     metrics = frame._jdf.queryExecution().observedMetrics()
     # a step whose input the optimizer proves empty is not run, so nothing is observed there
-    return [int(metrics.apply(name).getLong(0)) if metrics.contains(name) else None for name in names]
+    found = [int(metrics.apply(name).getLong(0)) if metrics.contains(name) else None for name in names]
+    return [*found[:-1], last["rows"]]
 
 
 class Flow:

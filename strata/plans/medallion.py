@@ -13,9 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.derive import add_amounts, add_delivery_days
-from strata.operators.enrich import enrich_items, enrich_orders, total_installments
+from strata.operators.enrich import can_broadcast, enrich_items, enrich_orders, total_installments
 from strata.operators.metrics import kpi_tables, seller_deliveries, overall_mean
-from strata.operators.quality import clean
+from strata.operators.quality import clean, even_keys
 from strata.operators.reports import (
     ORDERS_BY_STATE_SQL,
     SLOWEST_SELLERS_SQL,
@@ -42,27 +42,36 @@ RUNNING_ORDER = ("order_purchase_timestamp", "order_id", "total_price")
 ROLLING_ORDER = ("order_purchase_timestamp", "order_id")
 
 
-# Tables whose cleaning key is also the key of their next join or aggregate, and near unique in them.
-JOIN_KEYS = {
-    "customers": ["customer_id"],
-    "products": ["product_id"],
-    "sellers": ["seller_id"],
-    "payments": ["order_id"],
-    "reviews": ["order_id"],
-}
+# Tables whose cleaning key is also the key of their next join or aggregate.
+DIMENSION_KEYS = {"customers": ["customer_id"], "products": ["product_id"], "sellers": ["seller_id"]}
+JOIN_KEYS = {**DIMENSION_KEYS, "payments": ["order_id"], "reviews": ["order_id"]}
+# Rows of one key that may meet in a task while copies are dropped.
+EVEN_KEY_ROWS = 100_000
 
 
-def clean_all(bronze: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] = CLEAN_KEYS) -> dict[str, DataFrame]:
-    """D3 on every table with its key subset; dimensions are hashed once for cleaning and join."""
-    return {name: clean(df, keys.get(name, []), JOIN_KEYS.get(name, ())) for name, df in bronze.items()}
+def clean_all(
+    bronze: Mapping[str, DataFrame],
+    keys: Mapping[str, Sequence[str]] = CLEAN_KEYS,
+    join_keys: Mapping[str, Sequence[str]] = DIMENSION_KEYS,
+) -> dict[str, DataFrame]:
+    """D3 on every table with its key subset.
+
+    Tables in ``join_keys`` are hashed once for cleaning and join, unless they
+    are small enough to be broadcast.  By default these are the dimensions,
+    whose key is their identity; :func:`build_silver` counts and decides.
+    """
+    return {
+        name: clean(df, keys.get(name, []), () if can_broadcast(df) else join_keys.get(name, ())) for name, df in bronze.items()
+    }
 
 
 def silver_tables(
     bronze: Mapping[str, DataFrame],
     reviews_one_per_key: Mapping[str, str] | None = None,
+    join_keys: Mapping[str, Sequence[str]] = DIMENSION_KEYS,
 ) -> dict[str, DataFrame]:
     """Clean, derive and enrich: ``orders_enriched`` and ``order_items_enriched``."""
-    t = clean_all(bronze)
+    t = clean_all(bronze, join_keys=join_keys)
     items = add_amounts(t["order_items"])
     orders = add_delivery_days(t["orders"])
     payments_agg = total_installments(t["payments"])
@@ -179,16 +188,25 @@ def report_tables(spark: SparkSession, gold: Mapping[str, DataFrame]) -> dict[st
 
 
 # ----------------------------------------------------------------- with I/O
-def build_bronze(spark: SparkSession, raw_root: str, store, files: Sequence[str] | None = None) -> dict[str, int]:
+def build_bronze(
+    spark: SparkSession, raw_root: str, store, files: Sequence[str] | None = None, rejects: str | None = None
+) -> dict[str, int]:
+    """Load the raw files; with ``rejects``, rows that do not fit their schema go to that layer."""
     names = list(files) if files is not None else [f"{n}.csv" for n in RAW_FILES]
     return ingest_all(
-        spark, raw_root, names, store, "bronze", schemas=RAW_FILES, csv_options=CSV_OPTIONS
+        spark, raw_root, names, store, "bronze", schemas=RAW_FILES, csv_options=CSV_OPTIONS, rejects=rejects
     )
 
 
-def build_silver(store) -> dict[str, int]:
+def build_silver(store, even_key_rows: int = EVEN_KEY_ROWS) -> dict[str, int]:
+    """Write the silver tables.
+
+    The keys of the stored bronze tables are counted first: a table with a hot
+    key is de-duplicated by whole rows, the others by the key they join on.
+    """
     bronze = {logical: store.read("bronze", raw) for logical, raw in BRONZE_TABLES.items()}
-    return store.write_all(silver_tables(bronze), "silver")
+    large = {name: df for name, df in bronze.items() if not can_broadcast(df)}
+    return store.write_all(silver_tables(bronze, join_keys=even_keys(large, JOIN_KEYS, even_key_rows)), "silver")
 
 
 def build_gold(store, piece_rows: int = DEFAULT_PIECE_ROWS, exact_scale: int | None = None) -> dict[str, int]:

@@ -110,6 +110,31 @@ _CSV_TABLES = """
         UNION ALL SELECT 'lineitem', count(*), round(sum(l_extendedprice), 1) FROM lineitem
         UNION ALL SELECT 'part', count(*), CAST(sum(p_size) AS DOUBLE) FROM part"""
 
+_REPORTS = """
+        SELECT 'kpi_sales_per_category' AS report, product_category_name AS key, total_sales AS value,
+               row_number() OVER (ORDER BY total_sales DESC, product_category_name NULLS FIRST) AS position,
+               10 AS most FROM kpi_sales_per_category
+        UNION ALL
+        SELECT 'kpi_avg_delivery_per_seller', CAST(seller_id AS VARCHAR), avg_delivery_time,
+               row_number() OVER (ORDER BY avg_delivery_time DESC, {seller}), 10 FROM kpi_avg_delivery_per_seller
+        UNION ALL
+        SELECT 'kpi_orders_per_state', customer_state, CAST(order_count AS DOUBLE),
+               row_number() OVER (ORDER BY order_count DESC, customer_state NULLS FIRST), NULL FROM kpi_orders_per_state"""
+
+
+def _reports(columns: str, seller: str = "seller_id") -> str:
+    """Rows of the three fixed reports; raw files hold ids as text, which orders ties otherwise."""
+    return f"SELECT {columns} FROM ({_REPORTS.format(seller=seller)}) WHERE most IS NULL OR position <= most"
+
+
+_ORDER_LINES = """
+        SELECT *, o_orderkey % 7 AS kind, CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR) || ',' || o_orderstatus AS head,
+               CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price_text FROM orders"""
+
+_HOT_PAYMENTS = """
+        SELECT DISTINCT CASE WHEN order_id % 3 = 0 THEN 0 ELSE order_id END AS order_id,
+               payment_sequential, payment_installments, payment_value FROM b_payments WHERE order_id IS NOT NULL"""
+
 _FINAL = {
     "category_sales": "SELECT * FROM kpi_sales_per_category",
     "gold_build": "SELECT * FROM kpi_sales_per_category",
@@ -223,6 +248,74 @@ _FINAL = {
         UNION ALL SELECT 3, 'keep finished', count(*) FROM c_lines WHERE l_linestatus = 'F' AND l_quantity > 10""",
 }
 
+_MODES = (
+    ("overwrite", "n", "n", False, "m", "m", False),
+    ("append", "n", "n", False, "m", "n + m", False),
+    ("ignore", "n", "n", False, "0", "n", False),
+    ("error", "n", "n", False, "0", "n", True),
+)
+
+_FINAL |= {
+    "interrupted_overwrite": """
+        SELECT 'committed' AS new_version, c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal >= 0
+        UNION ALL SELECT 'lost', c_custkey, c_name, c_acctbal FROM customer""",
+    "write_modes": " UNION ALL ".join(
+        f"""
+        SELECT '{mode}' AS mode, {step} AS step, CAST({written} AS BIGINT) AS written, CAST({total} AS BIGINT) AS table_rows, {refused} AS refused
+        FROM (SELECT count(*) AS n, count(*) FILTER (WHERE c_acctbal >= 0) AS m FROM customer)"""
+        for mode, w1, t1, r1, w2, t2, r2 in _MODES
+        for step, written, total, refused in ((1, w1, t1, r1), (2, w2, t2, r2))
+    ),
+    "csv_rejects": f"""
+        SELECT CASE WHEN kind IN (1, 3, 5) THEN 'rejected' ELSE 'bronze' END AS layer, o_orderkey, o_custkey,
+               CASE WHEN kind NOT IN (1, 5) THEN o_totalprice END AS o_totalprice,
+               CASE WHEN kind <> 5 THEN o_orderpriority END AS o_orderpriority,
+               CASE kind WHEN 1 THEN head || ',n/a,' || o_orderpriority
+                         WHEN 3 THEN head || ',' || price_text || ',' || o_orderpriority || ',extra'
+                         WHEN 5 THEN head END AS raw_row
+        FROM ({_ORDER_LINES})""",
+    "csv_reject_counts": """
+        SELECT 'orders' AS table_name, count(*) AS row_count FROM orders WHERE o_orderkey % 7 NOT IN (1, 3, 5)
+        UNION ALL SELECT 'rejected/orders', count(*) FROM orders WHERE o_orderkey % 7 IN (1, 3, 5)""",
+    "csv_inferred_late": """
+        SELECT column_name, type, row_count FROM (SELECT count(*) AS row_count FROM orders),
+             (VALUES ('o_orderkey', 'int'), ('code', 'string'), ('o_totalprice', 'double')) v(column_name, type)""",
+    "csv_missing_input": """
+        SELECT 'orders' AS file, true AS found, count(*) AS row_count FROM orders
+        UNION ALL SELECT 'lineitem', true, count(*) FROM lineitem
+        UNION ALL SELECT 'part', true, count(*) FROM part
+        UNION ALL SELECT 'refunds', false, NULL""",
+    "flow_limited_counts": """
+        SELECT 0 AS step, 'input' AS name, count(*) AS rows FROM lineitem
+        UNION ALL SELECT 1, 'keep finished', count(*) FROM lineitem WHERE l_linestatus = 'F'
+        UNION ALL SELECT 2, 'first hundred', least(100, count(*)) FROM lineitem WHERE l_linestatus = 'F'
+        UNION ALL SELECT 3, 'add price', least(100, count(*)) FROM lineitem WHERE l_linestatus = 'F'
+        UNION ALL SELECT 4, 'nothing', 0""",
+    "clean_hot_payments": f"""
+        SELECT order_id, count(*) AS payments, CAST(sum(payment_installments) AS BIGINT) AS payment_count
+        FROM ({_HOT_PAYMENTS}) GROUP BY order_id""",
+    "report_positions": _reports("report, position, key, value"),
+    "orders_by_price_positions": """
+        SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders""",
+    "reports_from_views": _reports("report, key, value"),
+    "bronze_from_raw": """
+        SELECT 'olist_orders_dataset' AS table_name, count(*) AS row_count, CAST(sum(length(order_status)) AS DOUBLE) AS checksum FROM b_orders
+        UNION ALL SELECT 'olist_customers_dataset', count(*), CAST(sum(customer_zip_code_prefix) AS DOUBLE) FROM b_customers
+        UNION ALL SELECT 'olist_geolocation_dataset', count(*), CAST(sum(customer_id % 90) AS DOUBLE) FROM b_customers
+        UNION ALL SELECT 'olist_order_reviews_dataset', count(*), CAST(sum(review_score) AS DOUBLE) FROM b_reviews
+        UNION ALL SELECT 'olist_order_payments_dataset', count(*), round(sum(payment_value), 1) FROM b_payments
+        UNION ALL SELECT 'olist_order_items_dataset', count(*), round(sum(price + freight_value), 1) FROM b_items
+        UNION ALL SELECT 'olist_sellers_dataset', count(*), CAST(sum(seller_zip_code_prefix) AS DOUBLE) FROM b_sellers
+        UNION ALL SELECT 'product_category_name_translation', count(*), CAST(sum(length(product_category_name_english)) AS DOUBLE) FROM b_translations
+        UNION ALL SELECT 'olist_products_dataset', count(*), CAST(sum(product_weight_g) AS DOUBLE) FROM b_products""",
+    "reviews_from_raw": """
+        SELECT review_id, CAST(order_id AS VARCHAR) AS order_id, review_score,
+               CASE WHEN review_score <> 3 THEN 'Order "' || CAST(order_id AS VARCHAR) || '", score ' || CAST(review_score AS VARCHAR)
+                 || chr(10) || 'line two' || chr(10) || chr(10) || CAST(review_score AS VARCHAR) END AS review_comment_message
+        FROM b_reviews""",
+    "reports_from_raw": _reports("report, key, value", "CAST(seller_id AS VARCHAR)"),
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: _PRELUDE + final for name, final in _FINAL.items()}

@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from strata.operators.derive import add_amounts, add_delivery_days, add_elapsed_days
 from strata.operators.enrich import lookup, total_installments
 from strata.operators.metrics import distinct_count_by, kpi_tables, mean_delivery_by_seller, total_by
-from strata.operators.quality import clean, dedupe, distinct_pairs
-from strata.operators.reports import top_n
+from strata.operators.quality import clean, dedupe, distinct_pairs, even_keys
+from strata.operators.reports import REPORTS, numbered, report_sql, run_report, top_n
 from strata.operators.windows import DEFAULT_PIECE_ROWS, running_total
 from strata.plans import medallion
 from strata.plans.flow import Flow
 from strata.plans.mapped import bronze_tables, load
 from strata.session import scratch_path
-from strata.schemas import BRONZE_TABLES
+from strata.schemas import BRONZE_TABLES, RAW_FILES
 from strata.sources.csv import ingest_all, read_csv
 from strata.sources.store import LayerStore, row_counts
 
@@ -330,6 +330,258 @@ def bronze_incremental(spark, sf):
     return spark.read.parquet(target)
 
 
+# --------------------------------------- storage, raw files and order, in depth
+def interrupted_overwrite(spark, sf):
+    """K4: overwrites that stop between their two renames, read by another store.
+
+    One had its new version committed and is completed; of the other one the
+    new version is gone, so the old one comes back.
+    """
+    customers, found = load(spark, sf, "customer"), []
+    for case, committed in (("committed", True), ("lost", False)):
+        store = LayerStore(spark, scratch_path(spark, "layers"))
+        store.write(customers, "bronze", "customer")
+        staged, _ = store.stage(customers.filter(F.col("c_acctbal") >= 0), "bronze", "customer")
+        store.set_aside(staged, store.path("bronze", "customer"))
+        if not committed:
+            store.discard(staged)
+        table = LayerStore(spark, store.root).read("bronze", "customer")
+        found.append(table.select(F.lit(case).alias("new_version"), "c_custkey", "c_name", "c_acctbal"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def write_modes(spark, sf):
+    """K4: every mode on no table and then on a table: rows reported, rows in the table, refused or not."""
+    first = load(spark, sf, "customer")
+    second = first.filter(F.col("c_acctbal") >= 0)
+    seen = []
+    for mode in ("overwrite", "append", "ignore", "error"):
+        store = LayerStore(spark, scratch_path(spark, "layers"))
+        for step, df in enumerate((first, second), 1):
+            try:
+                written, refused = store.write(df, "bronze", "customer", mode=mode), False
+            except FileExistsError:
+                written, refused = 0, True
+            seen.append((mode, step, written, store.read("bronze", "customer").count(), refused))
+    return spark.createDataFrame(seen, "mode string, step int, written long, table_rows long, refused boolean")
+
+
+#: Columns of the raw order lines that the malformed-row queries write and read.
+ORDER_LINE = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
+
+
+def _broken_orders(spark, sf) -> str:
+    """Order lines as raw text; of seven kinds of keys three get a broken line: a bad price, a field too many, fields missing."""
+    o = load(spark, sf, "orders")
+    kind = F.col("o_orderkey") % 7
+    price = F.when(kind == 1, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    fields = ["o_orderkey", "o_custkey", "o_orderstatus", price, "o_orderpriority"]
+    line = F.when(kind == 3, F.concat_ws(",", *fields, F.lit("extra"))).when(kind == 5, F.concat_ws(",", *fields[:3]))
+    root = scratch_path(spark, "raw-csv")
+    o.select(line.otherwise(F.concat_ws(",", *fields)).alias("value")).write.text(f"{root}/orders.csv")
+    return root
+
+
+def _ingest_broken(spark, sf):
+    store = LayerStore(spark, scratch_path(spark, "layers"))
+    root = _broken_orders(spark, sf)
+    counts = ingest_all(
+        spark, root, ["orders.csv"], store, schemas={"orders": ORDER_LINE}, csv_options={"orders": {"header": False}}, rejects="rejected"
+    )
+    return store, counts
+
+
+def csv_rejects(spark, sf):
+    """A raw file with broken rows: the good rows, and the rows set aside with their text."""
+    store, _ = _ingest_broken(spark, sf)
+    cols = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+    good = store.read("bronze", "orders").select(F.lit("bronze").alias("layer"), *cols, F.lit(None).cast("string").alias("raw_row"))
+    return good.unionByName(store.read("rejected", "orders").select(F.lit("rejected").alias("layer"), *cols, "raw_row"))
+
+
+def csv_reject_counts(spark, sf):
+    """Rows written and rows set aside, as the ingest reports them."""
+    _, counts = _ingest_broken(spark, sf)
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count long")
+
+
+def csv_inferred_late(spark, sf):
+    """Types that a sample cannot show: one order's status code is text, all others are numbers.
+
+    Columns with their types, and the rows of the table.
+    """
+    o = load(spark, sf, "orders")
+    last = o.agg(F.max("o_orderkey").alias("last"))
+    code = F.when(F.col("o_orderkey") == F.col("last"), F.lit("none")).otherwise((F.col("o_orderkey") % 5).cast("string"))
+    root = scratch_path(spark, "raw-csv")
+    rows = o.crossJoin(F.broadcast(last)).select("o_orderkey", code.alias("code"), "o_totalprice")  # one row on the right
+    rows.write.option("header", True).csv(f"{root}/codes.csv")
+    store = LayerStore(spark, scratch_path(spark, "layers"))
+    n = ingest_all(spark, root, ["codes.csv"], store)["codes"]
+    types = store.read("bronze", "codes").dtypes
+    return spark.createDataFrame([(name, kind, n) for name, kind in types], "column_name string, type string, row_count long")
+
+
+def csv_missing_input(spark, sf):
+    """S3: of several raw files one does not exist: which could be read, and their rows."""
+    flow = Flow(spark, _raw_csvs(spark, sf), LayerStore(spark, scratch_path(spark, "flow")))
+    seen = []
+    for name in [*CSV_CHECKS, "refunds"]:
+        try:
+            seen.append((name, True, flow.read_csv(f"{name}.csv", infer_schema=False).count()))
+        except FileNotFoundError:
+            seen.append((name, False, None))
+    return spark.createDataFrame(seen, "file string, found boolean, row_count long")
+
+
+def flow_limited_counts(spark, sf):
+    """Steps of which one stops reading early; the counts of the others stay complete."""
+    flow = Flow(spark, sf, LayerStore(spark, scratch_path(spark, "flow")))
+    steps = [
+        ("keep finished", lambda df: df.filter(F.col("l_linestatus") == "F")),
+        ("first hundred", lambda df: df.limit(100)),
+        ("add price", lambda df: df.withColumn("unit_price", F.col("l_extendedprice") / F.col("l_quantity"))),
+        ("nothing", lambda df: df.filter(F.lit(False))),
+    ]
+    flow.apply(load(spark, sf, "lineitem"), steps)
+    return flow.step_counts()
+
+
+def _hot_payments(spark, sf) -> DataFrame:
+    """Payments of which a third belong to one order, every row twice."""
+    p = bronze_tables(spark, sf)["payments"]
+    p = p.withColumn("order_id", F.when(F.col("order_id") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("order_id")))
+    return p.unionByName(p)
+
+
+#: Rows of one key that the hot-key query lets meet in a task: few enough that the test tables have a hot key.
+HOT_QUERY_ROWS = 1000
+
+
+def cleaned_hot_payments(spark, sf) -> DataFrame:
+    """The cleaned payments, dealt out as the counted keys allow (see ``even_keys``)."""
+    store = LayerStore(spark, scratch_path(spark, "layers"))
+    store.write(_hot_payments(spark, sf), "bronze", "payments")
+    stored = {"payments": store.read("bronze", "payments")}
+    keys = even_keys(stored, medallion.JOIN_KEYS, HOT_QUERY_ROWS)
+    return clean(stored["payments"], ["order_id"], keys.get("payments", ()))
+
+
+def clean_hot_payments(spark, sf):
+    """D3 and A1 with a third of the payments on one order: rows left and installments of every order."""
+    paid = cleaned_hot_payments(spark, sf)
+    return paid.groupBy("order_id").agg(F.count(F.lit(1)).alias("payments"), F.sum("payment_installments").alias("payment_count"))
+
+
+def _position_reports(tables) -> DataFrame:
+    """The three fixed reports with the rows' places in their order."""
+    parts = []
+    for table, key, measure, limit in REPORTS:
+        rows = numbered(tables[table], measure, tie_break=[key], cols=[key, measure])
+        if limit is not None:
+            rows = rows.filter(F.col("position") <= limit)
+        parts.append(
+            rows.select(F.lit(table).alias("report"), "position", F.col(key).cast("string").alias("key"), F.col(measure).cast("double").alias("value"))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def report_positions(spark, sf):
+    """The reports of gold KPIs with each row's place as a column."""
+    s = _silver(spark, sf)
+    return _position_reports(kpi_tables(s["orders_enriched"], s["order_items_enriched"], exact_scale=CENTS))
+
+
+def orders_by_price_positions(spark, sf):
+    """All orders by descending price with their places: a row number over a whole table, in ranges."""
+    orders = load(spark, sf, "orders")
+    return numbered(orders, "o_totalprice", tie_break=["o_orderkey"], cols=["o_orderkey", "o_totalprice"])
+
+
+def reports_from_views(spark, sf):
+    """SQL text over registered views of the stored gold tables."""
+    store = _layers(spark, sf)
+    store.register_views("gold", [table for table, *_ in REPORTS])
+    parts = []
+    for table, key, measure, limit in REPORTS:
+        text = report_sql(table, key, measure, limit).replace("{", "").replace("}", "")
+        rows = run_report(spark, text)
+        parts.append(rows.select(F.lit(table).alias("report"), F.col(key).cast("string").alias("key"), F.col(measure).cast("double").alias("value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _raw_shop(spark, sf) -> str:
+    """The nine raw files with all their columns, written as CSV from the mapped tables.
+
+    Review texts hold line breaks, doubled quotes and commas, as the real ones do.
+    """
+    t = bronze_tables(spark, sf)
+    score = F.col("review_score").cast("string")
+    message = F.concat(F.lit('Order "'), F.col("order_id").cast("string"), F.lit('", score '), score, F.lit("\nline two\n\n"), score)
+    place = t["customers"].select(
+        F.col("customer_zip_code_prefix").alias("geolocation_zip_code_prefix"),
+        F.col("customer_city").alias("geolocation_city"),
+        F.col("customer_state").alias("geolocation_state"),
+        (F.col("customer_id") % 90).cast("double").alias("geolocation_lat"),
+    )
+    frames = {BRONZE_TABLES[name]: df for name, df in t.items()} | {"olist_geolocation_dataset": place}
+    reviews = BRONZE_TABLES["reviews"]
+    frames[reviews] = t["reviews"].withColumn("review_comment_message", F.when(F.col("review_score") != 3, message))
+    root = scratch_path(spark, "raw-shop")
+    for name, schema in RAW_FILES.items():
+        df = frames[name]
+        cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+        df.select(*cols).write.option("header", True).option("escape", '"').csv(f"{root}/{name}.csv")
+    return root
+
+
+#: A numeric expression over each raw table whose sum stands for its contents.
+RAW_CHECKS = {
+    "olist_orders_dataset": "length(order_status)",
+    "olist_customers_dataset": "customer_zip_code_prefix",
+    "olist_geolocation_dataset": "geolocation_lat",
+    "olist_order_reviews_dataset": "review_score",
+    "olist_order_payments_dataset": "payment_value",
+    "olist_order_items_dataset": "price + freight_value",
+    "olist_sellers_dataset": "seller_zip_code_prefix",
+    "product_category_name_translation": "length(product_category_name_english)",
+    "olist_products_dataset": "product_weight_g",
+}
+
+
+def _from_raw(spark, sf) -> LayerStore:
+    store = LayerStore(spark, scratch_path(spark, "shop"))
+    medallion.build_bronze(spark, _raw_shop(spark, sf), store, rejects="rejected")
+    return store
+
+
+def bronze_from_raw(spark, sf):
+    """U4: the bronze stage over nine raw CSV files: rows and checksum of each table, and of what was set aside (nothing)."""
+    store = _from_raw(spark, sf)
+    tables = {name: store.read("bronze", name).withColumn("check", F.expr(c)) for name, c in RAW_CHECKS.items()}
+    return _summary({name: (df, "check") for name, df in tables.items()})
+
+
+def reviews_from_raw(spark, sf):
+    """Every review as it comes out of a CSV file with line breaks and doubled quotes in its fields."""
+    reviews = _from_raw(spark, sf).read("bronze", BRONZE_TABLES["reviews"])
+    return reviews.select("review_id", "order_id", "review_score", "review_comment_message")
+
+
+def reports_from_raw(spark, sf):
+    """U4: raw CSV files -> bronze -> silver -> gold on disk -> the reports."""
+    store = _from_raw(spark, sf)
+    medallion.build_silver(store)
+    medallion.build_gold(store, exact_scale=CENTS)
+    measures = {"top_categories": REPORTS[0], "slowest_sellers": REPORTS[1], "orders_by_state": REPORTS[2]}
+    parts = [
+        df.select(F.lit(table).alias("report"), F.col(key).alias("key"), F.col(measure).cast("double").alias("value"))
+        for name, df in medallion.build_reports(spark, store).items()
+        for table, key, measure, _ in [measures[name]]
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES: dict[str, Query] = {
     "category_sales": category_sales,
     "category_sales_top10": category_sales_top10,
@@ -368,4 +620,18 @@ QUERIES: dict[str, Query] = {
     "named_steps": named_steps,
     "table_counts": table_counts,
     "bronze_incremental": bronze_incremental,
+    "interrupted_overwrite": interrupted_overwrite,
+    "write_modes": write_modes,
+    "csv_rejects": csv_rejects,
+    "csv_reject_counts": csv_reject_counts,
+    "csv_inferred_late": csv_inferred_late,
+    "csv_missing_input": csv_missing_input,
+    "flow_limited_counts": flow_limited_counts,
+    "clean_hot_payments": clean_hot_payments,
+    "report_positions": report_positions,
+    "orders_by_price_positions": orders_by_price_positions,
+    "reports_from_views": reports_from_views,
+    "bronze_from_raw": bronze_from_raw,
+    "reviews_from_raw": reviews_from_raw,
+    "reports_from_raw": reports_from_raw,
 }

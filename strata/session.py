@@ -39,6 +39,49 @@ DEFAULT_CONF = {
 }
 
 
+# Settings that a session needs for tables of a format that is not built in.
+TABLE_FORMATS = {
+    "delta": {
+        "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
+        "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+    },
+}
+
+
+def table_format_conf(table_format: str, packages: str | None = None, extensions: str = "") -> dict[str, str]:
+    """Extension and catalog settings of a table format.
+
+    ``packages`` names the connector (Maven coordinates) where the launcher
+    does not bring it; ``extensions`` are further ones that the session loads,
+    named after the format's own.
+    """
+    if table_format not in TABLE_FORMATS:
+        raise ValueError(f"table_format must be one of {sorted(TABLE_FORMATS)}")
+    conf = dict(TABLE_FORMATS[table_format])
+    named = [e for e in extensions.split(",") if e and e != conf["spark.sql.extensions"]]
+    conf["spark.sql.extensions"] = ",".join([conf["spark.sql.extensions"], *named])
+    return conf | ({"spark.jars.packages": packages} if packages else {})
+
+
+def session_conf(
+    shuffle_partitions: int | None = None,
+    extra_conf: dict[str, str] | None = None,
+    shuffle_bytes: int | None = None,
+    table_format: str | None = None,
+    packages: str | None = None,
+) -> dict[str, str]:
+    """All settings of :func:`build_session`, for a launcher or a test; later ones win."""
+    conf = dict(DEFAULT_CONF)
+    if shuffle_bytes is not None:
+        conf |= sizing_conf(shuffle_bytes)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf |= extra_conf or {}
+    if table_format is not None:
+        conf |= table_format_conf(table_format, packages, conf.get("spark.sql.extensions", ""))
+    return conf
+
+
 def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Initial shuffle width for a job whose largest shuffle moves ``shuffle_bytes``.
 
@@ -66,23 +109,21 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
     shuffle_bytes: int | None = None,
+    table_format: str | None = None,
+    packages: str | None = None,
 ) -> SparkSession:
     """Create (or fetch) a session with the package defaults.
 
     ``master`` is only set when given, so on a cluster the launcher decides.
     ``shuffle_bytes`` (the expected size of the largest shuffle) sizes the
     initial shuffle width; without it the launcher's or Spark's setting stays.
+    ``table_format="delta"`` adds the format's extension and catalog, for a
+    ``LayerStore(..., fmt="delta")``; a running session cannot take them up.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in DEFAULT_CONF.items():
-        builder = builder.config(key, value)
-    for key, value in (sizing_conf(shuffle_bytes) if shuffle_bytes is not None else {}).items():
-        builder = builder.config(key, value)
-    if shuffle_partitions is not None:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in (extra_conf or {}).items():
+    for key, value in session_conf(shuffle_partitions, extra_conf, shuffle_bytes, table_format, packages).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)

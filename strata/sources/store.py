@@ -165,7 +165,7 @@ class LayerStore:
             ) from exc
 
     # --------------------------------------------------------------- writes
-    def _set_aside(self, staged: str, target: str) -> str | None:
+    def set_aside(self, staged: str, target: str) -> str | None:
         """Move the table at ``target`` aside; None if there is none."""
         fs, t = _hadoop_fs(self.spark, target)
         if not fs.exists(t):
@@ -182,7 +182,7 @@ class LayerStore:
         """
         fs, t = _hadoop_fs(self.spark, target)
         _, st = _hadoop_fs(self.spark, staged)
-        aside = self._set_aside(staged, target)
+        aside = self.set_aside(staged, target)
         try:
             moved, cause = fs.rename(st, t), None
         except Exception as exc:

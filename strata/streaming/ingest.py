@@ -16,6 +16,8 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+_POLL_SECONDS = 0.5
+
 
 def ingest_incremental(
     spark: SparkSession,
@@ -48,7 +50,15 @@ def ingest_incremental(
         .trigger(availableNow=True)
         .start(target_path)
     )
-    query.awaitTermination()
+    # a query keeps its last progress entries only, so their batch numbers are gathered as it runs
+    first, last = None, None
+    running = True
+    while running:
+        running = not query.awaitTermination(_POLL_SECONDS)
+        for progress in query.recentProgress:
+            batch = progress["batchId"]
+            first = batch if first is None else min(first, batch)
+            last = batch if last is None else max(last, batch)
     if query.exception() is not None:
         raise query.exception()
-    return len(query.recentProgress)
+    return 0 if last is None else last - first + 1
