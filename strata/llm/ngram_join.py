@@ -411,16 +411,16 @@ def _own_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def short_lists(docs: DataFrame, nodes: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
     """``token, node, n``: short lists that several nodes share; ``node, tokens``: the sets of nodes on them."""
     n = width(docs.sparkSession)
-    texts = keyed(docs).select("oid", "text")
-    postings = texts.mapInArrow(_postings, "token long, node long, n int, low int")
+    texts = keyed(docs).select("oid", "tie", "text")
+    postings = texts.select("text").mapInArrow(_postings, "token long, node long, n int, low int")
     frequent = postings.repartition(n, "token").sortWithinPartitions("token").mapInArrow(_frequent, "node long, token long, n int, low int, df long")
     short = frequent.repartition(n, "node").sortWithinPartitions("node").mapInArrow(_short_lists, "token long, node long, n int")
     several = short.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("token")
     lists = store(short.join(several, "token"), "short_lists")
     # one document's text for each node on a list that several nodes share
-    first = nodes.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("oid").alias("oid"))
-    owners = first.join(lists.select("node").distinct(), "node")
-    sets = store(texts.join(owners, "oid").mapInArrow(_own_sets, "node long, tokens binary").dropDuplicates(["node"]), "shingle_sets")
+    first = nodes.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("oid", "tie")).alias("first"))
+    owners = first.join(lists.select("node").distinct(), "node").select("node", "first.oid", "first.tie")
+    sets = store(texts.join(owners, ["oid", "tie"]).mapInArrow(_own_sets, "node long, tokens binary").dropDuplicates(["node"]), "shingle_sets")
     return lists, sets
 
 
@@ -484,7 +484,7 @@ def near_duplicates(docs: DataFrame, store: Store, counts: bool = True) -> DataF
     ``component_links`` the links of the component.  Without ``counts`` the
     last two are null.
     """
-    nodes = store(keyed(docs).mapInArrow(_nodes, "doc_id long, oid long, tie int, node long, n long"), "shingle_nodes")
+    nodes = store(keyed(docs).mapInArrow(_nodes, "doc_id long, oid long, tie long, node long, n long"), "shingle_nodes")
     lists, sets = short_lists(docs, nodes, store)
     links = store(find_links(lists, sets, store).distinct(), "links")
     labels = connected_components(links, store)

@@ -328,15 +328,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot:
     """Per document row: word counts and digest of what is left (and the words, ``kept``, with ``with_text``)."""
     n = width(docs.sparkSession)
     texts = keyed(docs).repartition(n, "oid", "tie")
-    anchors = texts.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie int, pos long, state byte")
-    found = anchors.repartition(n, "seed").sortWithinPartitions("seed").mapInArrow(_resolve(hot), "oid long, tie int, pos long, kind byte, seed long")
-    per_doc = found.groupBy("oid", "tie").agg(F.collect_list(F.struct("pos", "kind", "seed")).alias("found"))
+    anchors = texts.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie long, pos long, state byte")
+    found = anchors.repartition(n, "seed").sortWithinPartitions("seed").mapInArrow(_resolve(hot), "oid long, tie long, pos long, kind byte, seed long")
+    # sets: equal rows of one id find the same, once for all of them
+    per_doc = found.groupBy("oid", "tie").agg(F.collect_set(F.struct("pos", "kind", "seed")).alias("found"))
     pieces = texts.join(per_doc.hint("shuffle_hash"), ["oid", "tie"]).mapInArrow(
-        _pieces(length, seed), "key long, oid long, tie int, pos long, asks boolean, before short, low short, high short, text binary"
+        _pieces(length, seed), "key long, oid long, tie long, pos long, asks boolean, before short, low short, high short, text binary"
     )
     shards = pieces.repartition(n, "key").sortWithinPartitions("key", "oid", "tie", "pos")
-    spans = shards.mapInArrow(_intervals(length, seed), "oid long, tie int, start long, stop long")
-    per_span = spans.groupBy("oid", "tie").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = shards.mapInArrow(_intervals(length, seed), "oid long, tie long, start long, stop long")
+    per_span = spans.groupBy("oid", "tie").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     none = {"found": "array<struct<pos:bigint,kind:tinyint,seed:bigint>>", "spans": "array<struct<start:bigint,stop:bigint>>"}
     joined = texts.join(per_doc.hint("shuffle_hash"), ["oid", "tie"], "left").join(per_span.hint("shuffle_hash"), ["oid", "tie"], "left")
     joined = joined.select("doc_id", "text", *(F.coalesce(c, F.array().cast(t)).alias(c) for c, t in none.items()))

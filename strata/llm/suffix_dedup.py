@@ -62,13 +62,16 @@ _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """``doc_id, oid, tie, text``: (oid, tie) names a document, in order.
 
+    Null ids share one ``oid``, so their rows are told apart by 64 bits of the
+    text's hash; the few rows of one real id by 32 bits.
+
     With ``carry``, ``rest`` holds all other columns, whatever their names.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("oid"),
-        F.shiftright(F.xxhash64(text), 32).cast("int").alias("tie"),
+        F.when(F.col(id_col).isNull(), F.xxhash64(text)).otherwise(F.shiftright(F.xxhash64(text), 32)).alias("tie"),
         text.alias("text"),
         *([F.struct(*(docs[f"`{c}`"] for c in docs.columns if c != text_col)).alias("rest")] if carry else []),
     )
@@ -368,18 +371,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot:
     n = width(docs.sparkSession)
     # every branch below takes all columns of ``texts``, so that Spark shuffles it once and reads the shuffle again
     texts = keyed(docs, carry=carry).repartition(n, "oid", "tie")
-    anchors = texts.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie int, pos long, settled boolean")
-    found = anchors.repartition(n, "seed").sortWithinPartitions("seed").mapInArrow(_resolve(hot), "oid long, tie int, pos long, kind byte, seed long")
+    anchors = texts.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie long, pos long, settled boolean")
+    found = anchors.repartition(n, "seed").sortWithinPartitions("seed").mapInArrow(_resolve(hot), "oid long, tie long, pos long, kind byte, seed long")
     per_doc = found.groupBy("oid", "tie").agg(F.collect_list(F.struct("pos", "kind", "seed")).alias("found"))
     pieces = texts.join(per_doc.hint("shuffle_hash"), ["oid", "tie"]).mapInArrow(
-        _pieces(length, seed), "key long, oid long, tie int, pos long, before short, low short, high short, text binary"
+        _pieces(length, seed), "key long, oid long, tie long, pos long, before short, low short, high short, text binary"
     )
-    spans = pieces.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_intervals(length, seed), "oid long, tie int, start long, stop long")
+    spans = pieces.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_intervals(length, seed), "oid long, tie long, start long, stop long")
     per_span = spans.groupBy("oid", "tie").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     none = {"found": "array<struct<pos:bigint,kind:tinyint,seed:bigint>>", "spans": "array<struct<start:bigint,stop:bigint>>"}
     joined = texts.join(per_doc.hint("shuffle_hash"), ["oid", "tie"], "left").join(per_span.hint("shuffle_hash"), ["oid", "tie"], "left")
     joined = joined.select(*texts.columns, *(F.coalesce(c, F.array().cast(t)).alias(c) for c, t in none.items()))
-    schema = "doc_id long, oid long, tie int, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
+    schema = "doc_id long, oid long, tie long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
     result = StructType.fromDDL(schema)
     if carry:
         result = StructType([*result.fields, texts.schema["rest"]])
