@@ -219,7 +219,7 @@ def _dense_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
-def _chunk_links(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _chunk_links(batches: Iterator[pa.RecordBatch], contract: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """DivideSkip between the two chunks of a task (or within one): ends of its links, in parts."""
     for table in key_chunks(batches, ["task"], 1):
         for rows in _groups(table.column("task").to_numpy()):
@@ -230,18 +230,19 @@ def _chunk_links(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray
             ask = np.flatnonzero(side == 1)
             alone = not len(ask)  # one chunk against itself
             ask = here if alone else ask
-            for a, b in divide_skip_parts([sets[k] for k in here], label[here], [sets[k] for k in ask], label[ask], alone):
+            for a, b in divide_skip_parts([sets[k] for k in here], label[here], [sets[k] for k in ask], label[ask], alone, contract):
                 yield node[here[a]], node[ask[b]]
 
 
 def _search_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for a, b in _chunk_links(batches):
+    """Links that join all nodes which the task's links join: fewer than it has nodes."""
+    for a, b in _chunk_links(batches, True):
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of every node, without emitting them."""
-    for a, b in _chunk_links(batches):
+    for a, b in _chunk_links(batches, False):
         ids, count = np.unique(np.concatenate([a, b]), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(count, pa.int64())], ["node", "n_links"])
 
@@ -256,8 +257,16 @@ def divide_skip(index: list[np.ndarray], index_label: np.ndarray, queries: list[
     return [pair for a, b in divide_skip_parts(index, index_label, queries, query_label, same) for pair in zip(a.tolist(), b.tolist(), strict=True)]
 
 
-def divide_skip_parts(index: list[np.ndarray], index_label: np.ndarray, queries: list[np.ndarray], query_label: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The pairs of ``divide_skip`` as arrays of bounded size."""
+def divide_skip_parts(index: list[np.ndarray], index_label: np.ndarray, queries: list[np.ndarray], query_label: np.ndarray, same: bool, contract: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of ``divide_skip`` as arrays of bounded size.
+
+    With ``contract`` linked sets take one label as soon as they are found, so
+    that nothing is compared within a group that is joined already: what comes
+    out is a spanning forest of the links.
+    """
+    if contract:
+        index_label = index_label.copy()
+        query_label = index_label if same else query_label.copy()
     size = np.array([len(x) for x in index])
     owner = np.repeat(np.arange(len(index)), size)
     token = np.concatenate(index)
@@ -293,6 +302,12 @@ def divide_skip_parts(index: list[np.ndarray], index_label: np.ndarray, queries:
                 keep = met + (n_long - done - 1) >= bound
                 entry, met, bound = entry[keep], met[keep], bound[keep]
         entry = entry[met >= bound]
+        if contract and len(entry):
+            joined, first = np.unique(index_label[entry], return_index=True)
+            entry, mine = entry[first], query_label[q]
+            index_label[np.isin(index_label, joined)] = mine
+            if not same:
+                query_label[np.isin(query_label, joined)] = mine
         if len(entry):
             out.append((entry, np.full(len(entry), q)))
             held += len(entry)
