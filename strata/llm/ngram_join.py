@@ -353,22 +353,25 @@ def _lists_by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         token, node, n, label = (table.column(c).to_numpy() for c in ("token", "node", "n", "label"))
         order = np.lexsort((n, token))
         segment = _segments(token[order], n[order])
-        for rows in np.split(order, np.flatnonzero(np.diff(segment)) + 1):
-            if len(rows) > DENSE:
-                continue  # searched in blocks
-            ids, size, kin = node[rows], n[rows], label[rows]
-            if (kin == kin[0]).all():
-                continue
-            queries, entries, totals = [], [], []
-            for k in range(len(rows)):
-                fits = (kin != kin[k]) & (ids > ids[k]) & (size * 100 >= PERCENT * size[k]) & (size[k] * 100 >= PERCENT * size)
-                if fits.any():
-                    queries.append(ids[k])
-                    entries.append(np.sort(ids[fits]))
-                    totals.append(size[k])
-            if queries:
-                flat = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(e) for e in entries])]).astype(np.int32), pa.array(np.concatenate(entries)))
-                yield pa.RecordBatch.from_arrays([pa.array(queries), pa.array(totals, pa.int32()), flat], ["query", "n", "entries"])
+        sparse = np.bincount(segment, minlength=1)[segment] <= DENSE  # the others are searched in blocks
+        order, segment = order[sparse], segment[sparse]
+        by_id = np.lexsort((node[order], segment))
+        ids, size, kin, segment = node[order][by_id], n[order][by_id], label[order][by_id], segment[by_id]
+        askers, entries = [], []
+        for step in range(1, min(DENSE, len(ids))):  # every entry with the one `step` places behind it in its list
+            ask = np.flatnonzero((segment[step:] == segment[:-step]) & (kin[step:] != kin[:-step]))
+            near = (size[ask] * 100 >= PERCENT * size[ask + step]) & (size[ask + step] * 100 >= PERCENT * size[ask])
+            askers.append(ask[near])
+            entries.append(ids[ask[near] + step])
+        if not sum(map(len, askers)):
+            continue
+        asker, entry = np.concatenate(askers), np.concatenate(entries)
+        place = np.argsort(asker, kind="stable")  # entries stay in ascending order
+        asker, entry = asker[place], entry[place]
+        first = np.flatnonzero(_changes(asker))
+        flat = pa.ListArray.from_arrays(np.append(first, len(asker)).astype(np.int32), pa.array(entry))
+        queries = asker[first]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[queries]), pa.array(size[queries].astype(np.int32)), flat], ["query", "n", "entries"])
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
