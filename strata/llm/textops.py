@@ -16,8 +16,10 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+_GOLDEN = 0x9E3779B97F4A7C15
+#: Range hashes are two polynomials modulo this prime, one per half of the values.
+_PRIME = (1 << 31) - 1
+_BASES = (0x2545F491, 0x5851F42D)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -27,7 +29,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-_TABLE = mix(np.arange(1, 257, dtype=_U) * _U(_BASE))
+_TABLE = mix(np.arange(1, 257, dtype=_U) * _U(_GOLDEN))
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 _TABLE_LOWER = _TABLE[_LOWER]
@@ -42,6 +44,11 @@ for _lo, _hi in ((48, 58), (65, 91), (97, 123), (128, 256)):
 _POWERS: dict[int, np.ndarray] = {}
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A smaller number, equal modulo the prime: below 2^32 after a product, at most the prime + 5 after one fold more."""
+    return (x & _U(_PRIME)) + (x >> _U(31))
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     have = _POWERS.get(base)
     if have is None or len(have) < n:
@@ -50,7 +57,7 @@ def _powers(base: int, n: int) -> np.ndarray:
         have[0] = 1
         filled = 1
         while filled < size:  # doubling: p[k + i] = p[k] * p[i]
-            have[filled : 2 * filled] = have[:filled] * _U(pow(base, filled, 1 << 64))
+            have[filled : 2 * filled] = _fold(_fold(have[:filled] * _U(pow(base, filled, _PRIME))))
             filled *= 2
         if size <= 1 << 22:
             _POWERS[base] = have
@@ -58,17 +65,39 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class RangeHash:
-    """Hash of any contiguous range of a sequence, from one prefix sum."""
+    """Hash of any contiguous range of a sequence, from two prefix sums.
+
+    The modulus is prime, so strings built from doubled patterns (Thue-Morse
+    sequences) hash apart, which they do not modulo a power of two.
+    """
 
     def __init__(self, values: np.ndarray):
         n = len(values)
-        self._sums = np.zeros(n + 1, _U)
-        np.cumsum(values * _powers(_BASE_INV, n), out=self._sums[1:]) if n else None
-        self._scale = _powers(_BASE, n + 1)
+        self._parts = []
+        for base, half in zip(_BASES, (values & _U(_PRIME), values >> _U(33)), strict=True):
+            sums = np.zeros(n + 1, _U)  # of numbers below 2^32: exact for up to 2^32 values
+            powers = _powers(pow(base, -1, _PRIME), n)
+            for k in range(0, n, 1 << 14):
+                sums[k + 1 : k + 1 + (1 << 14)] = _fold(half[k : k + (1 << 14)] * powers[k : k + (1 << 14)])
+            np.cumsum(sums, out=sums)
+            self._parts.append((sums, _powers(base, n + 1)))
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        raw = (self._sums[end] - self._sums[start]) * self._scale[start]
-        return mix(raw + (end - start).astype(_U) * _U(0xD6E8FEB86659FD93))
+        out = np.empty(len(start), _U)
+        for k in range(0, len(start), 1 << 14):  # stays in the processor's cache
+            a, b = start[k : k + (1 << 14)], end[k : k + (1 << 14)]
+            low, high = (self._residue(sums, scale, a, b) for sums, scale in self._parts)
+            out[k : k + len(a)] = mix((low | high << _U(32)) + (b - a).astype(_U) * _U(0xD6E8FEB86659FD93))
+        return out
+
+    @staticmethod
+    def _residue(sums: np.ndarray, scale: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        out = sums.take(end)
+        out -= sums.take(start)
+        out = _fold(_fold(out))
+        out *= scale.take(start)
+        out = _fold(_fold(out))
+        return np.where(out >= _U(_PRIME), out - _U(_PRIME), out)
 
 
 def byte_values(data: np.ndarray, lower: bool = False) -> np.ndarray:
@@ -176,7 +205,7 @@ def minimizers(keys: np.ndarray, width: int) -> np.ndarray:
 
 def spread(oid: np.ndarray, pos: np.ndarray) -> np.ndarray:
     """A shuffle key that deals rows evenly, as a signed 64-bit number."""
-    return mix(oid.astype(np.int64).view(np.uint64) * _U(_BASE) + pos.astype(np.int64).view(np.uint64)).view(np.int64)
+    return mix(oid.astype(np.int64).view(np.uint64) * _U(_GOLDEN) + pos.astype(np.int64).view(np.uint64)).view(np.int64)
 
 
 def cover(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:

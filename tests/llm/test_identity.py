@@ -8,7 +8,7 @@ import pytest
 from helpers import docs_frame, out, stored  # noqa: F401
 from pyspark.sql import functions as F
 
-from strata.llm import ngram_join, substring_fm, suffix_dedup
+from strata.llm import line_rules, ngram_join, substring_fm, suffix_dedup, textops
 
 
 @pytest.fixture(scope="module")
@@ -44,6 +44,30 @@ def test_many_rows_without_ids(spark, stored):
     assert sets.count() == 40  # the 20 texts with a longer version, and those: only they share short lists
 
 
+def test_doubled_patterns_hash_apart(spark, stored):
+    """Thue-Morse words over a and b and their complements: equal modulo 2^64 under any odd base."""
+    word = "".join("ab"[bin(k).count("1") & 1] for k in range(4096))
+    other = word.translate(str.maketrans("ab", "ba"))
+    assert line_rules.line_quality(docs_frame(spark, [(1, f"{word}\n{other}")])).first()["n_dup_lines"] == 0
+    rows = [(1, word), (2, other), (3, word)]
+    assert out(ngram_join.near_duplicates(docs_frame(spark, rows), stored), "component_id") == [(1,), (1,), (2,)]
+    around = " ".join(f"word{k}" for k in range(34))
+    rows = [(1, f"{around} {word}"), (2, f"{around} {other}")]
+    assert out(substring_fm.remove_repeats(docs_frame(spark, rows)), "doc_id", "n_removed") == [(1, 0), (2, 0)]
+    assert out(suffix_dedup.remove_repeats(docs_frame(spark, [(1, word), (2, other)])), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.suffix_dedup([(1, word), (2, other)])
+
+
+def test_range_hash_against_whole_numbers():
+    values = textops.mix(np.arange(1, 40_001, dtype=np.uint64))
+    hashes, prime = textops.RangeHash(values), textops._PRIME
+    for start, end in ((0, 0), (0, 7), (16_380, 16_390), (39_900, 40_000), (9, 30_009)):
+        mine = values[start:end].tolist()
+        low = sum((v & prime) * pow(textops._BASES[0], -k, prime) for k, v in enumerate(mine)) % prime
+        high = sum((v >> 33) * pow(textops._BASES[1], -k, prime) for k, v in enumerate(mine)) % prime
+        whole = (low | high << 32) + len(mine) * 0xD6E8FEB86659FD93
+        assert hashes(np.array([start]), np.array([end]))[0] == textops.mix(np.array([whole % (1 << 64)], np.uint64))[0]
+
+
 @pytest.mark.parametrize("same", [True, False])
 def test_contracted_links_are_a_spanning_forest(same):
     rnd = random.Random(9)
