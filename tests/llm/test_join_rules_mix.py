@@ -217,11 +217,14 @@ def test_wand_finds_what_exhaustive_scoring_finds():
         terms = sorted({int(np.searchsorted(index.terms, h)) for h in decontaminate._words(" ".join(query)) if h in index.terms})
         scores = {}
         for t in terms:
-            for item, x in index.postings[t]:
-                scores[item] = scores.get(item, 0.0) + x
+            for entry in range(index.of_term[t], index.of_term[t + 1]):
+                for item, x in index.postings(entry):
+                    scores[item] = scores.get(item, 0.0) + x
         want = {k for k, s in scores.items() if s >= decontaminate.THRESHOLD}
-        got = {k for block in range(index.block_max.shape[1]) for k, _ in index.search(terms, block)}
+        got = {k for block in range(index.blocks) for k, _ in index.search(terms, block)}
         assert got == want
+        bounded = {block for _, _, block in index.candidates(np.zeros(len(terms), np.int64), np.array(terms))}
+        assert {k // decontaminate.BLOCK_ITEMS for k in want} <= bounded
 
 
 def test_leaks_and_clean_documents(spark):
@@ -245,3 +248,16 @@ def test_benchmark_in_slices(spark, monkeypatch):
     whole = out(decontaminate.find_leaks(docs, bench), "doc_id", "item_id", "score")
     monkeypatch.setattr(decontaminate.index_slices, "__defaults__", (2000,))
     assert out(decontaminate.find_leaks(docs, bench), "doc_id", "item_id", "score") == whole and whole
+
+
+@pytest.mark.parametrize("bounds", [decontaminate.BOUNDS, 1])
+def test_a_long_item_changes_no_other_verdict(spark, monkeypatch, bounds):
+    rnd = random.Random(11)
+    text = lambda k, of=5000: " ".join(f"t{rnd.randrange(of)}" for _ in range(k))
+    question, answer, long_item = text(12), "t77777", text(5000, 50_000)
+    short = [(1, f"{question}?\n{answer}"), *((k, f"{text(12)}?\n{text(2)}") for k in range(2, 9))]
+    rows = [(1, f"{text(50)} {question} {text(400)} {answer} {text(50)}"), (2, f"{text(30)} {short[3][1]}"), (3, f"{text(700)} {long_item} {text(9)}")]
+    monkeypatch.setattr(decontaminate, "BOUNDS", bounds)
+    index = lambda items: decontaminate.find_leaks(docs_frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert out(index(short), "doc_id", "item_id") == [(2, 4)]
+    assert out(index([*short, (50, long_item)]), "doc_id", "item_id") == [(2, 4), (3, 50)]
