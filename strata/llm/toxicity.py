@@ -1,24 +1,33 @@
-"""Toxicity by a subsequence string kernel SVM with Nystroem landmarks.
+"""Toxicity by a subsequence string kernel SVM with Nystroem landmarks, trained on sentences.
 
-The kernel of two tokens sums, over all character triples that both hold in
+The kernel of two strings sums, over all character triples that both hold in
 order (gaps allowed), decay**(span in one + span in the other), scaled by what
-tokens of their lengths could reach; gapped and inserted characters cost only
-decay.  A bounded sample of labelled documents gives the sentences; tokens far
-commoner in toxic documents mark the positive ones and supply the landmarks, together with neutral ones.  A linear SVM (squared hinge) is
-trained on Nystroem features of positive sentences' marking tokens and of the
-hardest and randomly chosen tokens of clean sentences.  A sentence scores by
-its most toxic token, a document by its most toxic sentence, mapped to 0..1 by
-a logistic fitted on the sample.  As the largest of the sentences' largest
-tokens is the document's largest token, scoring needs no sentence borders.
-
-Because the SVM is linear in kernel values against landmarks, scoring a token
-is one table of weights per triple.  Runs of single characters ("i d i o t")
-are joined to one token as well.
+strings of their lengths could reach; gapped and inserted characters cost only
+decay.  A sentence is a bag of strings: its tokens, its runs of single
+characters ("i d i o t") and those neighbouring tokens that read on across the
+space as inside a landmark ("id iot", two-word insults).  It scores by its
+most toxic string, its witness, and a document by its most toxic sentence,
+mapped to 0..1 by a logistic fitted on the sample.
+
+A linear SVM (squared hinge) is trained on Nystroem features of the witnesses
+of labelled sentences.  The sentences of toxic documents are not all toxic, so
+witnesses are chosen in rounds: first by a likelihood ratio of the two classes'
+uses, held to ``CHANCE`` false ones in all, then by the machine's own margin
+over every sentence of the sample.  Clean sentences give their most toxic
+strings and a spread of the others.  Sentences with one witness count once, so
+copies weigh no more.  Pairs read as one lose as much
+margin as keeps the sample's clean documents no worse by pairs than by tokens.
+
+Because the SVM is linear in kernel values against landmarks, scoring a string
+is one table of weights per triple.  As the largest of the sentences' maxima is
+the document's, scoring needs sentence ends only to keep pairs inside them.
 
 Defined results: null, empty and wordless texts score 0; equal texts score
-alike; an empty table gives no rows; without labels of both classes every
-score is 0.  Extra columns are ignored; labels, lang, source and id are never
-inputs.
+alike; an empty table gives no rows; without labels of both classes, or without
+any string commoner in toxic documents than chance allows, every score is 0.
+Very long texts are scored whole, very long tokens in overlapping pieces.
+Several rows of one id are scored each, but train as one.  Extra columns are
+ignored; labels, lang, source and id are never inputs.
 """
 
 from __future__ import annotations
@@ -26,41 +35,46 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.labelled import fold, sample
-from strata.llm.textops import mix
 
-#: Bounds of the fit: at most this many labelled documents that are not toxic, and that are.
+#: Bounds of the fit: at most this many labelled documents that are not toxic, and that are,
+#: and of each so many pieces of sentences (chosen by hash) of so many characters.
 PER_CLASS = (4000, 2000)
+SENTENCES, PIECE = 128, 512
 LANDMARKS, NEUTRAL, CONTRAST = 192, 32, 160
 DECAY = 0.6
 LONGEST = 24
 HARD, RANDOM, ROUNDS = 3000, 6000, 4
 #: Weight of the hinge loss against the norm.
 COST = 100.0
-#: Marking tokens: expected number by chance, and least share of toxic documents among its uses.
+#: First witnesses: expected number by chance; all witnesses: least share of toxic documents among their uses.
 CHANCE, PURE = 0.05, 0.7
+#: Share of clean documents whose pairs of tokens may look worse than their tokens by chance or wrong labels.
+BY_CHANCE = 0.001
+#: Triple codes looked up in one array over all of them; a larger alphabet's are searched in sorted order.
+DENSE = 1 << 22
 FOLDS, HELD_OUT = 5, 0
+#: A character that no landmark holds.
+FOREIGN = "\0"
 #: Tokens whose margins a task remembers (a cache only; any token is scored again after it).
 REMEMBERED = 300_000
 
 _EDGE = " \t\n\r.,;:!?\"'()[]{}«»“”„…-*#"
+_ENDS = (".", "!", "?")
 _SPELLED = re.compile(r"(?<!\S)\w(?:[ .*_-]\w){2,}(?!\w)")
 
 
-def tokens(text: str) -> set[str]:
-    text = text.lower()
-    found = set(text.split())
-    for run in _SPELLED.findall(text):
-        found.add(re.sub(r"[ .*_-]", "", run))
-    return found
+def spelled(text: str) -> list[str]:
+    """Runs of single characters, joined."""
+    return [re.sub(r"[ .*_-]", "", run) for run in _SPELLED.findall(text)]
 
 
 _TRIPLES: dict[int, tuple[np.ndarray, np.ndarray, float]] = {}
@@ -75,23 +89,17 @@ def _triples(length: int) -> tuple[np.ndarray, np.ndarray, float]:
     return _TRIPLES[length]
 
 
-@dataclass
 class Alphabet:
     """Characters of the landmarks; any other character matches nothing."""
 
-    chars: str
-    table: np.ndarray = field(default=None)  # code point -> 0 (other) or 1..
-
-    def __post_init__(self):
-        if self.table is None:
-            self.table = np.zeros(1 << 16, np.int64)
-            for n, c in enumerate(self.chars):
-                if ord(c) < 1 << 16:
-                    self.table[ord(c)] = n + 1
+    def __init__(self, chars: str):
+        self.size = len(chars) + 1
+        self.table = np.zeros(0x110000, np.int32)  # code point -> 0 (other) or 1..
+        self.table[[ord(c) for c in chars]] = np.arange(1, self.size)
 
-    @property
-    def size(self) -> int:
-        return len(self.chars) + 1
+    def codes(self, texts: list[str], length: int) -> np.ndarray:
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        return self.table[points].reshape(-1, length).astype(np.int64)
 
     def pieces(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``(owner, character codes)`` of the words by equal length; long words go in overlapping pieces."""
@@ -107,9 +115,15 @@ class Alphabet:
         for length, (owners, texts) in groups.items():
             step = max(1, 400_000 // max(1, len(_triples(length)[0])))
             for k in range(0, len(texts), step):
-                points = np.frombuffer("".join(texts[k : k + step]).encode("utf-32-le", "surrogatepass"), np.uint32)
-                codes = self.table[np.minimum(points, (1 << 16) - 1)].reshape(-1, length)
-                yield np.array(owners[k : k + step]), codes
+                yield np.array(owners[k : k + step]), self.codes(texts[k : k + step], length)
+
+    def borders(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the last two characters of ``^word`` and of the first two of ``word$`` (0: matches nothing)."""
+        bare = [w.strip(_EDGE) for w in words]
+        last = self.codes([f"{FOREIGN}^{w}"[-2:] for w in bare], 2)
+        first = self.codes([(f"{w}$" + FOREIGN)[:2] for w in bare], 2)
+        out = (last[:, 0] * self.size + last[:, 1], first[:, 0] * self.size + first[:, 1])
+        return tuple(np.where((pair > 0).all(1), code, 0) for pair, code in zip((last, first), out, strict=True))
 
     def triple_codes(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Code of every triple (0 where a character is not in the alphabet) and its scaled weight."""
@@ -120,12 +134,29 @@ class Alphabet:
         return out, weight / norm
 
 
+class Rows:
+    """Row numbers (1..) of the triple codes in use; 0 for any other code."""
+
+    def __init__(self, used: np.ndarray, size: int):
+        self.used, self.dense = used, None
+        if size**3 <= DENSE:
+            self.dense = np.zeros(size**3, np.int32)
+            self.dense[used] = np.arange(1, len(used) + 1)
+
+    def __getitem__(self, codes: np.ndarray) -> np.ndarray:
+        if self.dense is not None:
+            return self.dense[codes]
+        if not len(self.used):
+            return np.zeros(codes.shape, np.int64)
+        at = np.minimum(np.searchsorted(self.used, codes), len(self.used) - 1)
+        return np.where(self.used[at] == codes, at + 1, 0)
+
+
 class Kernel:
-    """Kernel values of tokens against landmarks."""
+    """Kernel values of strings against landmarks."""
 
     def __init__(self, landmarks: list[str]):
         self.alphabet = Alphabet("".join(sorted(set("^$".join(["", *landmarks])))))
-        self.row = np.zeros(self.alphabet.size**3, np.int32)  # triple -> row of weights; 0: in no landmark
         entries: dict[int, dict[int, float]] = {}
         for owner, codes in self.alphabet.pieces(landmarks):
             triple, weight = self.alphabet.triple_codes(codes)
@@ -134,12 +165,24 @@ class Kernel:
                     if code:
                         mine = entries.setdefault(code, {})
                         mine[n] = mine.get(n, 0.0) + w
-        self.weights = np.zeros((len(entries) + 1, len(landmarks)), np.float32)
-        for k, (code, mine) in enumerate(sorted(entries.items())):
-            self.row[code] = k + 1
-            for n, w in mine.items():
+        used = sorted(entries)
+        self.row = Rows(np.array(used, np.int64), self.alphabet.size)
+        self.weights = np.zeros((len(used) + 1, len(landmarks)), np.float32)
+        for k, code in enumerate(used):
+            for n, w in entries[code].items():
                 self.weights[k + 1, n] = w
 
+    def joints(self, landmarks: list[str]) -> Rows:
+        """Triples of neighbouring characters in the given landmarks."""
+        runs = [codes for _, codes in self.alphabet.pieces(landmarks)]
+        size = self.alphabet.size
+        triples = [((c[:, :-2] * size + c[:, 1:-1]) * size + c[:, 2:]).ravel() for c in runs]
+        return Rows(np.unique(np.concatenate([np.zeros(0, np.int64), *triples])), size)
+
+    def model(self, weights: np.ndarray, bias: float, marked: list[str]) -> Model:
+        """The margin ``values @ weights + bias``; ``marked`` are the landmarks that a pair of tokens may resemble."""
+        return Model(self.alphabet, self.row, (self.weights @ weights).astype(np.float32), self.joints(marked), bias)
+
     def values(self, words: list[str]) -> np.ndarray:
         """Largest kernel value of each word's pieces against every landmark."""
         out = np.zeros((len(words), self.weights.shape[1]), np.float32)
@@ -161,22 +204,75 @@ class Model:
     """Margins as one weight per character triple."""
 
     alphabet: Alphabet
-    weight: np.ndarray  # triple code -> weight in the margin
+    row: Rows
+    weight: np.ndarray  # row of a triple -> weight in the margin
+    joint: Rows
     bias: float
-    slope: float
-    offset: float
+    across: float = 0.0  # what a pair of tokens must exceed a token by
+    slope: float = 1.0
+    offset: float = 0.0
 
     def margins(self, words: list[str]) -> np.ndarray:
         out = np.full(len(words), -np.inf)
         for owner, codes in self.alphabet.pieces(words):
             triple, weight = self.alphabet.triple_codes(codes)
-            np.maximum.at(out, owner, self.weight[triple] @ weight)
+            np.maximum.at(out, owner, self.weight[self.row[triple]] @ weight)
         return np.where(np.isfinite(out), out, 0.0) + self.bias
 
+    def joined(self, last: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Which borders of two tokens read on as inside a landmark."""
+        size = self.alphabet.size
+        near = self.joint[last * size + first // size] > 0
+        return near & (self.joint[last % size * size**2 + first] > 0) & (last > 0) & (first > 0)
+
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
+class Scorer:
+    """Largest margins of texts, with the tokens' margins remembered."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number = {"": 0}  # 0 also parts the texts
+        self.margin, self.last, self.first, self.ends = np.full(1, -np.inf), *(np.zeros(1, np.int64) for _ in "lf"), np.ones(1, bool)
+
+    def _learn(self, words: list[str]) -> None:
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
+        last, first = self.model.alphabet.borders(words)
+        self.margin = np.concatenate([self.margin, self.model.margins(words)])
+        self.last, self.first = np.concatenate([self.last, last]), np.concatenate([self.first, first])
+        self.ends = np.concatenate([self.ends, np.fromiter((w.endswith(_ENDS) for w in words), bool, len(words))])
+
+    def margins(self, texts: list[str | None]) -> np.ndarray:
+        """Of each text; -inf without words."""
+        lists = []
+        for text in texts:
+            text = (text or "").lower()
+            words = text.split()
+            lists.append(["", *words, "", *[w for run in spelled(text) for w in (run, "")]] if words else [""])
+        flat = [w for words in lists for w in words]
+        new = sorted(set(flat).difference(self.number))
+        if len(self.number) + len(new) > REMEMBERED:
+            self._forget()
+            new = sorted(set(flat).difference(self.number))
+        if new:
+            self._learn(new)
+        ids = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
+        starts = np.concatenate([[0], np.cumsum([len(words) for words in lists])[:-1]]).astype(np.int64)
+        out = np.maximum.reduceat(self.margin[ids], starts)
+        at = np.flatnonzero(self.model.joined(self.last[ids[:-1]], self.first[ids[1:]]) & ~self.ends[ids[:-1]])
+        if len(at):
+            pairs = [flat[k].strip(_EDGE) + flat[k + 1].strip(_EDGE) for k in at.tolist()]
+            distinct = sorted(set(pairs))
+            margin = dict(zip(distinct, (self.model.margins(distinct) - self.model.across).tolist(), strict=True))
+            np.maximum.at(out, np.searchsorted(starts, at, "right") - 1, [margin[p] for p in pairs])
+        return out
+
+
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss by damped Newton steps over the active rows."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
@@ -218,127 +314,198 @@ def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(slope), 1e-3), float(offset)
 
 
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and how often each occurs."""
+    rows = rows[np.lexsort(rows.T)]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(rows)), bool), (rows[1:] != rows[:-1]).any(1)]))
+    return rows[first], np.diff(np.append(first, len(rows)))
+
+
 class Corpus:
-    """The sample's documents as arrays of token numbers (a few bytes a token)."""
+    """The sample's sentences as one array of token numbers; 0 parts sentences."""
 
-    def __init__(self, examples: list[tuple[str, int]]):
+    def __init__(self, examples: list[tuple[list[str], int]]):
         number: dict[str, int] = {"": 0}
-        self.docs: list[np.ndarray] = []
-        for text, _ in examples:
-            text = (text or "").lower()
-            words = ["", *(w.strip(_EDGE) for w in text.split()), ""]
-            words += ["", *(re.sub(r"[ .*_-]", "", run) for run in _SPELLED.findall(text)), ""]
-            self.docs.append(np.array([number.setdefault(w, len(number)) for w in words], np.int32))
+        tokens, owner = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
+        for n, (sentences, _) in enumerate(examples):
+            words = []
+            for text in sentences:
+                text = text.lower()
+                words += [w.strip(_EDGE) for w in text.split()] + [""]
+                words += [w for run in spelled(text) for w in (run, "")]
+            tokens.append(np.array([number.setdefault(w, len(number)) for w in words], np.int64))
+            owner.append(np.full(len(words), n))
+        self.tokens, self.owner = np.concatenate(tokens), np.concatenate(owner)
         self.words = list(number)
         self.label = np.array([y for _, y in examples])
 
-    def distinct_uses(self, label: int) -> Counter:
-        """How often documents of a class use each token, copies aside: uses between the same two tokens count once."""
-        docs = [d for d, y in zip(self.docs, self.label, strict=True) if y == label and len(d) > 2]
-        if not docs:
-            return Counter()
-        before, word, after = (np.concatenate([d[k : len(d) - 2 + k] for d in docs]).astype(np.uint64) for k in range(3))
-        _, first = np.unique(mix(mix(before + np.uint64(1)) + word) ^ after * np.uint64(0x9E3779B97F4A7C15), return_index=True)
-        counts = np.bincount(word[first].astype(np.int64), minlength=len(self.words))
-        counts[0] = 0
-        return Counter({self.words[k]: int(counts[k]) for k in np.flatnonzero(counts) if len(self.words[k]) >= 3})
-
-
-def _marking(toxic: Counter, clean: Counter) -> list[str]:
-    """Tokens commoner in toxic documents than chance allows over the whole vocabulary.
+    def uses(self, width: int, label: int, spare: np.ndarray) -> dict[tuple[int, ...], int]:
+        """How often a class uses each run of ``width`` tokens; uses between the same two tokens count once.
+
+        Runs of under three characters, across sentences or with a spare token are left out.
+        """
+        n = len(self.tokens) - width - 1
+        if n <= 0:
+            return {}
+        columns = [self.tokens[k : k + n] for k in range(width + 2)]
+        inner = columns[1:-1]
+        length = np.array([len(w) for w in self.words])
+        fit = (self.label[self.owner[1 : n + 1]] == label) & (sum(length[c] for c in inner) >= 3)
+        for c in inner:
+            fit &= (c > 0) & ~spare[c]
+        rows, _ = _distinct(np.stack([c[fit] for c in columns], 1))
+        runs, count = _distinct(rows[:, 1:-1])
+        return dict(zip(map(tuple, runs.tolist()), count.tolist(), strict=True))
+
+    def text(self, run: tuple[int, ...]) -> str:
+        return "".join(self.words[k] for k in run)
+
+    def pairs(self, model: Model) -> tuple[np.ndarray, list[str]]:
+        """Places of the neighbouring tokens that the model reads as one, and the joined strings."""
+        last, first = model.alphabet.borders(self.words)
+        last[0] = first[0] = 0
+        at = np.flatnonzero(model.joined(last[self.tokens[:-1]], first[self.tokens[1:]]))
+        return at, [self.text((self.tokens[k], self.tokens[k + 1])) for k in at.tolist()]
+
+
+def _marking(toxic: dict, clean: dict) -> list:
+    """Runs commoner in toxic documents than chance allows over the whole vocabulary.
 
     Log-likelihood ratio of the two classes' uses against one rate for both,
-    held to ``CHANCE`` false tokens in all.
+    held to ``CHANCE`` false ones in all.
     """
-    least = np.log(len(set(toxic) | set(clean)) / CHANCE)
-    share = toxic.total() / (toxic.total() + clean.total())
+    if not toxic or not clean:
+        return []
+    least = np.log(len(toxic.keys() | clean.keys()) / CHANCE)
+    all_toxic, all_clean = sum(toxic.values()), sum(clean.values())
+    share = all_toxic / (all_toxic + all_clean)
     out = []
     for t, c in toxic.items():
-        other = clean[t]
+        other = clean.get(t, 0)
         rate = c / (c + other)
         if rate > share and c * np.log(rate / share) + (other * np.log((1 - rate) / (1 - share)) if other else 0.0) >= least and rate >= PURE:
             out.append(t)
-    return sorted(out)
+    return out
 
 
-def train(examples: list[tuple[str, int]]) -> Model | None:
-    """Fit on ``(text, label)`` pairs."""
-    corpus = Corpus(examples)
-    toxic, clean = corpus.distinct_uses(1), corpus.distinct_uses(0)
-    if not toxic or not clean:
-        return None
-    marking = _marking(toxic, clean)
-    if not marking:
-        return None
-    marks = set(marking)
-    # landmarks: marking tokens by number of documents, each unlike those before; then common neutral tokens
-    by_count = sorted(marking, key=lambda t: (-toxic[t], t))[: 8 * LANDMARKS]
-    near = Kernel(by_count)
-    values = near.values(by_count)
+def _spread(words: list[str], most: int) -> list[str]:
+    """Words by their order, each unlike those before."""
+    near = Kernel(words)
+    values = near.values(words)
     scale = np.sqrt(np.maximum(np.diag(values), 1e-9))
     values = values / scale[:, None] / scale[None, :]
-    chosen = [0]
-    closest = values[0].copy()
-    while len(chosen) < min(LANDMARKS, len(by_count)):
+    chosen, closest = [0], values[0].copy()
+    while len(chosen) < min(most, len(words)):
         n = int(np.argmin(closest))
         if closest[n] > 0.98:
             break
         chosen.append(n)
         closest = np.maximum(closest, values[n])
-    landmarks = [by_count[n] for n in chosen] + [t for t, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0])) if len(t) >= 4 and t not in marks][:NEUTRAL]
-    # a toxic document's sentences that hold a marking token are positive, by that token; clean documents' tokens are negative
-    positive = sorted(marks)
-    others = sorted(t for t in clean if t not in marks)
-    every = np.arange(0, len(others), max(1, len(others) // RANDOM))
-    model = None
+    return [words[n] for n in chosen]
+
+
+def train(examples: list[tuple[list[str], int]]) -> Model | None:
+    """Fit on ``(sentences of a document, label)`` pairs."""
+    corpus = Corpus(examples)
+    none = np.zeros(len(corpus.words), bool)
+    toxic, clean = ({corpus.text(r): c for r, c in corpus.uses(1, y, none).items()} for y in (1, 0))
+    first = {t: toxic[t] for t in _marking(toxic, clean)}
+    # pairs of tokens that mark together, though neither does alone
+    spare = np.array([w in first for w in corpus.words])
+    both = [corpus.uses(2, y, spare) for y in (1, 0)]
+    for run in _marking(*both):
+        text = corpus.text(run)
+        first[text] = max(first.get(text, 0), both[0][run])
+    if not first:
+        return None
+    marked = _spread(sorted(first, key=lambda t: (-first[t], t))[: 8 * LANDMARKS], LANDMARKS)
+    common = sorted(clean.items(), key=lambda x: (-x[1], x[0]))
+    landmarks = marked + [t for t, _ in common if len(t) >= 4 and t not in first][:NEUTRAL]
+    sentence = np.cumsum(corpus.tokens == 0) - (corpus.tokens == 0)  # a separator ends its sentence
+    is_toxic = corpus.label[corpus.owner] == 1
+    positive, negative, model = set(first), set(), None
     for step in range(ROUNDS):
-        kernel = Kernel(landmarks)
-        middle = kernel.values(landmarks).astype(np.float64)
-        value, axes = np.linalg.eigh((middle + middle.T) / 2)
-        root = axes @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ axes.T
-        # negatives: a spread of clean tokens, then also those that the last fit scores highest
+        if step < 2:  # the landmarks stay from then on
+            kernel, place, features = Kernel(landmarks), {}, []
+            middle = kernel.values(landmarks).astype(np.float64)
+            value, axes = np.linalg.eigh((middle + middle.T) / 2)
+            root = axes @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ axes.T
         if model is None:
-            negative = every
-        else:
-            negative = np.union1d(negative, np.argsort(-model.margins(others), kind="stable")[:HARD])
-        x = np.vstack([kernel.values(positive), kernel.values([others[n] for n in negative])]).astype(np.float64) @ root
-        y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-        w, bias = _svm(x, y, np.where(y > 0, COST * min(len(negative) / max(len(positive), 1), 20.0), COST))
-        model = Model(kernel.alphabet, (kernel.weights @ (root @ w))[kernel.row].astype(np.float32), bias, 1.0, 0.0)
-        if step == 0:  # the clean tokens that come closest are landmarks from now on
-            hardest = np.argsort(-model.margins(others), kind="stable")[: 4 * CONTRAST : 4]
-            landmarks += [others[n] for n in hardest if others[n] not in landmarks]
-    margin = model.margins(corpus.words)
-    best = np.array([margin[np.unique(d)].max() for d in corpus.docs])
-    model.slope, model.offset = _logistic(best, corpus.label.astype(float))
+            others = sorted(t for t in clean if t not in positive)
+            negative.update(others[:: max(1, len(others) // RANDOM)])
+        negative -= positive
+        rows = sorted(positive), sorted(negative)
+        new = [t for t in (*rows[0], *rows[1]) if t not in place]
+        place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
+        features.append(kernel.values(new).astype(np.float64) @ root)
+        x = np.concatenate(features)[[place[t] for t in (*rows[0], *rows[1])]]
+        y = np.repeat([1.0, -1.0], [len(r) for r in rows])
+        w, bias = _svm(x, y, np.where(y > 0, COST * min(len(rows[1]) / len(rows[0]), 20.0), COST))
+        model = kernel.model(root @ w, bias, marked)
+
+        # every sentence's strings under the new machine
+        margin = model.margins(corpus.words)
+        margin[0] = -np.inf
+        at, pairs = corpus.pairs(model)
+        pair_margin = model.margins(pairs)
+        # chance puts insults together from clean tokens too: clean documents' pairs may look no worse than their tokens
+        ranks = []
+        for owners, values in ((corpus.owner, margin[corpus.tokens]), (corpus.owner[at], pair_margin)):
+            worst = np.full(len(examples), -np.inf)
+            np.maximum.at(worst, owners, values)
+            ranks.append(np.sort(worst[corpus.label == 0]))
+        tokens, joined = (r[np.isfinite(ranks[0])][: int(np.ceil(len(r) * (1 - BY_CHANCE)))] for r in ranks)
+        model.across = max(0.0, float((joined - tokens).max(initial=0.0)))
+        pair_margin = pair_margin - model.across
+        best = np.full(sentence[-1] + 1, -np.inf)
+        np.maximum.at(best, sentence, margin[corpus.tokens])
+        np.maximum.at(best, sentence[at], pair_margin)
+        if step == ROUNDS - 1:
+            break
+        # witnesses of toxic sentences, unless clean documents use them too; the hardest strings of clean ones
+        places = [*np.flatnonzero((margin[corpus.tokens] == best[sentence]) & (best[sentence] > 0) & is_toxic).tolist()]
+        uses = Counter(corpus.words[corpus.tokens[k]] for k in places)
+        uses.update(p for k, p, m in zip(at.tolist(), pairs, pair_margin.tolist(), strict=True) if is_toxic[k] and m > 0 and m == best[sentence[k]])
+        seen = Counter(clean)
+        positive = set(first) | {t for t, c in uses.items() if len(t) >= 3 and c >= PURE * (c + seen[t] + 1)}
+        known = dict(zip(corpus.words, margin.tolist(), strict=True))
+        strings = sorted(t for t in seen if t not in positive)
+        hard = np.argsort([-known[t] for t in strings], kind="stable")
+        negative.update(strings[k] for k in hard[:HARD])
+        if step == 0:  # the clean strings that come closest are landmarks from now on
+            landmarks += [strings[k] for k in hard[: 4 * CONTRAST : 4] if strings[k] not in landmarks]
+    most = np.full(len(examples), -np.inf)
+    np.maximum.at(most, corpus.owner, best[sentence])
+    filled = np.isfinite(most)
+    model.slope, model.offset = _logistic(most[filled], corpus.label[filled].astype(float))
     return model
 
 
+def sentences(text: Column, most: int = SENTENCES, piece: int = PIECE) -> Column:
+    """Sentences of a text in pieces of ``piece`` characters; of more than ``most``, those first by hash."""
+    whole = F.split(F.coalesce(text, F.lit("")), r"(?<=[.!?])\s+")
+    cut = F.flatten(F.transform(whole, lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1)), F.lit(piece)), lambda k: s.substr(k, F.lit(piece)))))
+    ranked = F.array_sort(F.transform(cut, lambda s: F.struct(F.xxhash64(s).alias("h"), s.alias("s"))))
+    return F.when(F.size(cut) <= most, cut).otherwise(F.transform(F.slice(ranked, 1, most), lambda r: r["s"]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: tuple[int, int] = PER_CLASS) -> Model | None:
-    rows = sample(docs, labels, label, fold(F.col("doc_id"), FOLDS) == HELD_OUT, per_class).collect()
-    return train([(r.text or "", r.y) for r in sorted(rows, key=lambda r: (r.doc_id, r.text or ""))])
+    rows = sample(docs, labels, label, fold(F.col("doc_id"), FOLDS) == HELD_OUT, per_class)
+    rows = rows.select("doc_id", "y", sentences(F.col("text")).alias("sentences")).collect()
+    return train([(r.sentences, r.y) for r in sorted(rows, key=lambda r: r.doc_id)])
 
 
 def score_toxicity(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value, {}
+        model = shared.value
+        scorer = Scorer(model) if model else None
         for batch in batches:
             score = np.zeros(batch.num_rows)
             for first in range(0, batch.num_rows if model else 0, 256):
-                bags = [tokens(t) if t else set() for t in batch.column(1).slice(first, 256).to_pylist()]
-                new = list(set().union(*bags).difference(known))
-                if len(known) + len(new) > REMEMBERED:
-                    known = {}
-                    new = list(set().union(*bags))
-                known.update(zip(new, model.margins(new).tolist(), strict=True))
-                for n, bag in enumerate(bags):
-                    if bag:
-                        score[first + n] = max(map(known.__getitem__, bag))
-                filled = np.array([bool(b) for b in bags])
-                part = score[first : first + 256]
-                part[:] = np.where(filled, np.round(model.probability(part), 6), 0.0)
+                margin = scorer.margins(batch.column(1).slice(first, 256).to_pylist())
+                score[first : first + 256] = np.where(np.isfinite(margin), np.round(model.probability(margin), 6), 0.0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"]
             )

@@ -1,5 +1,7 @@
 """Classifiers by held-out accuracy; the pipeline against the plain versions of its stages."""
 
+import re
+
 import brute
 import numpy as np
 import pytest
@@ -35,21 +37,57 @@ def toxic_examples(n, seed):
     return out
 
 
-def test_toxicity_held_out_and_disguised():
-    model = toxicity.train(toxic_examples(600, 1))
+def by_sentence(examples):
+    return [(re.split(r"(?<=[.!?])\s+", t), y) for t, y in examples]
+
+
+def scoring(model):
+    scorer = toxicity.Scorer(model)
+    return lambda text: float(model.probability(scorer.margins([text]))[0])
 
-    def score(text):
-        bag = sorted(toxicity.tokens(text))
-        return model.probability(model.margins(bag).max())
+
+def test_toxicity_held_out_and_disguised():
+    model = toxicity.train(by_sentence(toxic_examples(600, 1)))
+    score = scoring(model)
 
     test = toxic_examples(200, 2)
     assert np.mean([(score(t) >= 0.5) == y for t, y in toxic_examples(600, 1)]) >= 0.98
     assert np.mean([score(t) >= 0.5 for t, y in test if y]) >= 0.98
-    for word in ("idiot", "id-iot", "stu*pid", "m o r o n", "scuumbag", "sstupid", "IDIOT!"):
+    for word in ("idiot", "id-iot", "stu*pid", "m o r o n", "scuumbag", "sstupid", "IDIOT!", "id iot", "mo ron", "scum bag"):
         assert score(f"you are a {word} here") >= 0.5, word
-    for text in ("you are a friend here", "stop it", "an idea for a station"):
+    for text in ("you are a friend here", "stop it", "an idea for a station", "he did. Iotas are small", "a bad id. Iot is a word"):
         assert score(text) < 0.5, text
-    assert toxicity.train([("a b c", 0)]) is None
+    assert toxicity.train([(["a b c"], 0)]) is None
+    assert toxicity.train([]) is None and toxicity.train([([""], 1), ([], 0)]) is None
+
+
+def test_insults_of_two_harmless_words():
+    rnd = np.random.default_rng(6)
+    plain = ["".join(rnd.choice(list("abdeginorst"), rnd.integers(2, 9))) for _ in range(400)]
+    examples = []
+    for k in range(900):
+        w = list(rnd.choice(plain, 40))
+        if k % 3 == 0:
+            w[7:9] = ["brain", "dead"]
+        else:  # both words, never side by side
+            w[3], w[30] = "brain", "dead"
+        examples.append((" ".join(w), int(k % 3 == 0)))
+    score = scoring(toxicity.train(by_sentence(examples)))
+    assert score("you are brain dead today") >= 0.5
+    for text in ("a brain is here", "the dead sea", "dead brain", "use your brain. Dead ends follow"):
+        assert score(text) < 0.5, text
+
+
+def test_training_sentences_are_bounded(spark):
+    rows = [(1, "One here. Two! Three? four 3.5 e.g.x"), (2, "y" * 1200), (3, None), (4, " ".join(f"No {k}." for k in range(500)))]
+    got = {r.doc_id: r.s for r in docs_frame(spark, rows).select("doc_id", toxicity.sentences(F.col("text")).alias("s")).collect()}
+    assert got[1] == ["One here.", "Two!", "Three?", "four 3.5 e.g.x"]
+    assert [len(s) for s in got[2]] == [512, 512, 176] and got[3] == [""]
+    assert len(set(got[4])) == toxicity.SENTENCES and set(got[4]) <= {f"No {k}." for k in range(500)}
+    labels = spark.createDataFrame([(k, k % 2) for k in range(10)], "doc_id long, toxic int")
+    many = docs_frame(spark, [(7, f"text {k}") for k in range(50)] + [(6, "a"), (6, "a"), (6, None)])
+    kept = sample(many, labels, "toxic", F.lit(False), (5, 5)).collect()
+    assert sorted(r.doc_id for r in kept) == [6, 7]  # an id trains once, however many rows it has
 
 
 def test_scores_of_odd_rows(spark):

@@ -7,7 +7,7 @@ import brute
 import numpy as np
 from helpers import SF, docs_frame
 from pyspark.sql import functions as F
-from test_models_pipeline import toxic_examples
+from test_models_pipeline import by_sentence, toxic_examples
 
 from strata.llm import line_rules, quality_knn, toxicity
 from strata.llm.labelled import fold, sample
@@ -102,17 +102,34 @@ def test_kernel_and_margins_against_plain_sums():
     want = np.array([[plain_kernel(w, m) for m in landmarks] for w in words])
     np.testing.assert_allclose(kernel.values(words), want, atol=1e-5)
     weights = rnd.normal(size=len(landmarks))
-    model = toxicity.Model(kernel.alphabet, (kernel.weights @ weights)[kernel.row].astype(np.float32), 0.25, 1.0, 0.0)
+    model = kernel.model(weights, 0.25, landmarks)
     np.testing.assert_allclose(model.margins(words), want @ weights + 0.25, atol=1e-4)
+    wide = toxicity.Kernel([*landmarks, *("".join(map(chr, range(k, k + 9))) for k in range(0x4E00, 0x4F00, 9)), "\U0001f600\U0001f601x"])
+    assert wide.row.dense is None  # the same values by search, and characters of any plane
+    np.testing.assert_allclose(wide.values(words)[:, : len(landmarks)], want, atol=1e-5)
+    emoji = "\U0001f600\U0001f601x"
+    np.testing.assert_allclose(wide.values([emoji])[0, -1], plain_kernel(emoji, emoji), atol=1e-5)
 
 
 def test_toxic_scores_against_plain_maxima(spark):
-    model = toxicity.train(toxic_examples(300, 3))
-    rows = [(k, t) for k, (t, _) in enumerate(toxic_examples(60, 5))] + [(90, "m o r o n"), (91, " "), (92, None)]
+    model = toxicity.train(by_sentence(toxic_examples(300, 3)))
+    rows = [(k, t) for k, (t, _) in enumerate(toxic_examples(60, 5))] + [(90, "m o r o n"), (91, " "), (92, None), (93, "an (id iot) here"), (94, "an id. Iot")]
+    size = model.alphabet.size
+    chars = {n: chr(c) for c, n in enumerate(model.alphabet.table.tolist()) if n}
+    joint = {chars.get(c // size**2, "") + chars.get(c // size % size, "") + chars.get(c % size, "") for c in model.joint.used.tolist()}
+
+    def strings(text):
+        words = text.lower().split()
+        yield from ((w, 0.0) for w in words)
+        yield from ((re.sub(r"[ .*_-]", "", run), 0.0) for run in toxicity._SPELLED.findall(text.lower()))
+        for a, b in zip(words, words[1:]):  # noqa: B905
+            end, a, b = a[-1] in ".!?", a.strip(toxicity._EDGE), b.strip(toxicity._EDGE)
+            if not end and a and b and f"^{a}"[-2:] + b[0] in joint and a[-1] + f"{b}$"[:2] in joint:
+                yield a + b, model.across
+
     scored = toxicity.score_toxicity(docs_frame(spark, rows, extra=True), model).collect()
     for r, (_, text) in zip(sorted(scored), rows, strict=True):
-        bag = toxicity.tokens(text or "")
-        want = max((float(model.probability(model.margins([t]))[0]) for t in bag), default=0.0)
+        want = max((float(model.probability(model.margins([t]) - less)[0]) for t, less in strings(text or "")), default=0.0)
         assert abs(r.score - want) < 1e-5 and r.predicted == (r.score >= 0.5)
 
 
