@@ -16,7 +16,7 @@ uses, held to ``CHANCE`` false ones in all, then by the machine's own margin
 over every sentence of the sample.  Clean sentences give their most toxic
 strings and a spread of the others.  Sentences with one witness count once, so
 copies weigh no more.  Pairs read as one lose as much
-margin as keeps the sample's clean documents no worse by pairs than by tokens.
+margin as lets them reach a tenth of the clean documents that tokens reach.
 
 Because the SVM is linear in kernel values against landmarks, scoring a string
 is one table of weights per triple.  As the largest of the sentences' maxima is
@@ -448,14 +448,15 @@ def train(examples: list[tuple[list[str], int]]) -> Model | None:
         margin[0] = -np.inf
         at, pairs = corpus.pairs(model)
         pair_margin = model.margins(pairs)
-        # chance puts insults together from clean tokens too: clean documents' pairs may look no worse than their tokens
+        # chance puts insults together from clean tokens too: at any margin, pairs may reach a tenth of the clean documents that tokens reach
         ranks = []
         for owners, values in ((corpus.owner, margin[corpus.tokens]), (corpus.owner[at], pair_margin)):
             worst = np.full(len(examples), -np.inf)
             np.maximum.at(worst, owners, values)
-            ranks.append(np.sort(worst[corpus.label == 0]))
-        tokens, joined = (r[np.isfinite(ranks[0])][: int(np.ceil(len(r) * (1 - BY_CHANCE)))] for r in ranks)
-        model.across = max(0.0, float((joined - tokens).max(initial=0.0)))
+            ranks.append(np.sort(worst[corpus.label == 0])[::-1])
+        filled = np.arange(int(np.isfinite(ranks[0]).sum() * BY_CHANCE), np.isfinite(ranks[0]).sum(), 10)
+        joined = ranks[1][filled[0] : filled[0] + len(filled)] if len(filled) else ranks[1][:0]
+        model.across = max(0.0, float((joined - ranks[0][filled]).max(initial=0.0)))
         pair_margin = pair_margin - model.across
         best = np.full(sentence[-1] + 1, -np.inf)
         np.maximum.at(best, sentence, margin[corpus.tokens])
