@@ -333,20 +333,22 @@ class Corpus:
                 text = text.lower()
                 words += [w.strip(_EDGE) for w in text.split()] + [""]
                 words += [w for run in spelled(text) for w in (run, "")]
-            tokens.append(np.array([number.setdefault(w, len(number)) for w in words], np.int64))
-            owner.append(np.full(len(words), n))
-        self.tokens, self.owner = np.concatenate(tokens), np.concatenate(owner)
+            tokens.append(np.array([number.setdefault(w, len(number)) for w in words], np.int32))
+            owner.append(np.full(len(words), n, np.int32))
+        self.tokens, self.owner = np.concatenate(tokens, dtype=np.int32), np.concatenate(owner, dtype=np.int32)
         self.words = list(number)
         self.label = np.array([y for _, y in examples])
 
-    def uses(self, width: int, label: int, spare: np.ndarray) -> dict[tuple[int, ...], int]:
-        """How often a class uses each run of ``width`` tokens; uses between the same two tokens count once.
+    def uses(self, width: int, label: int, spare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of ``width`` tokens as one sorted number each, and how often a class uses them.
+
+        Uses between the same two tokens count once.
 
         Runs of under three characters, across sentences or with a spare token are left out.
         """
         n = len(self.tokens) - width - 1
         if n <= 0:
-            return {}
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         columns = [self.tokens[k : k + n] for k in range(width + 2)]
         inner = columns[1:-1]
         length = np.array([len(w) for w in self.words])
@@ -354,38 +356,41 @@ class Corpus:
         for c in inner:
             fit &= (c > 0) & ~spare[c]
         rows, _ = _distinct(np.stack([c[fit] for c in columns], 1))
-        runs, count = _distinct(rows[:, 1:-1])
-        return dict(zip(map(tuple, runs.tolist()), count.tolist(), strict=True))
+        key = np.zeros(len(rows), np.int64)
+        for k in range(1, width + 1):
+            key = key * len(self.words) + rows[:, k]
+        return np.unique(key, return_counts=True)
 
-    def text(self, run: tuple[int, ...]) -> str:
-        return "".join(self.words[k] for k in run)
+    def text(self, key: int) -> str:
+        before, last = divmod(key, len(self.words))
+        return (self.words[before] if before else "") + self.words[last]
 
     def pairs(self, model: Model) -> tuple[np.ndarray, list[str]]:
         """Places of the neighbouring tokens that the model reads as one, and the joined strings."""
         last, first = model.alphabet.borders(self.words)
         last[0] = first[0] = 0
         at = np.flatnonzero(model.joined(last[self.tokens[:-1]], first[self.tokens[1:]]))
-        return at, [self.text((self.tokens[k], self.tokens[k + 1])) for k in at.tolist()]
+        return at, [self.words[self.tokens[k]] + self.words[self.tokens[k + 1]] for k in at.tolist()]
 
 
-def _marking(toxic: dict, clean: dict) -> list:
-    """Runs commoner in toxic documents than chance allows over the whole vocabulary.
+def _marking(toxic: tuple[np.ndarray, np.ndarray], clean: tuple[np.ndarray, np.ndarray]) -> dict[int, int]:
+    """Runs commoner in toxic documents than chance allows over the whole vocabulary, with their uses there.
 
     Log-likelihood ratio of the two classes' uses against one rate for both,
     held to ``CHANCE`` false ones in all.
     """
-    if not toxic or not clean:
-        return []
-    least = np.log(len(toxic.keys() | clean.keys()) / CHANCE)
-    all_toxic, all_clean = sum(toxic.values()), sum(clean.values())
-    share = all_toxic / (all_toxic + all_clean)
-    out = []
-    for t, c in toxic.items():
-        other = clean.get(t, 0)
-        rate = c / (c + other)
-        if rate > share and c * np.log(rate / share) + (other * np.log((1 - rate) / (1 - share)) if other else 0.0) >= least and rate >= PURE:
-            out.append(t)
-    return out
+    (runs, c), (known, uses) = toxic, clean
+    if not len(runs) or not len(known):
+        return {}
+    at = np.minimum(np.searchsorted(known, runs), len(known) - 1)
+    shared = known[at] == runs
+    other = np.where(shared, uses[at], 0)
+    least = np.log((len(runs) + len(known) - shared.sum()) / CHANCE)
+    share = c.sum() / (c.sum() + uses.sum())
+    rate = c / (c + other)
+    gain = c * np.log(rate / share) + other * np.log(np.maximum(1 - rate, 1e-300) / (1 - share))
+    on = (rate > share) & (gain >= least) & (rate >= PURE)
+    return dict(zip(runs[on].tolist(), c[on].tolist(), strict=True))
 
 
 def _spread(words: list[str], most: int) -> list[str]:
@@ -407,15 +412,14 @@ def _spread(words: list[str], most: int) -> list[str]:
 def train(examples: list[tuple[list[str], int]]) -> Model | None:
     """Fit on ``(sentences of a document, label)`` pairs."""
     corpus = Corpus(examples)
-    none = np.zeros(len(corpus.words), bool)
-    toxic, clean = ({corpus.text(r): c for r, c in corpus.uses(1, y, none).items()} for y in (1, 0))
-    first = {t: toxic[t] for t in _marking(toxic, clean)}
+    single = [corpus.uses(1, y, np.zeros(len(corpus.words), bool)) for y in (1, 0)]
+    first = {corpus.words[k]: c for k, c in _marking(*single).items()}
+    clean = {corpus.words[k]: c for k, c in zip(*(v.tolist() for v in single[1]), strict=True)}
     # pairs of tokens that mark together, though neither does alone
     spare = np.array([w in first for w in corpus.words])
-    both = [corpus.uses(2, y, spare) for y in (1, 0)]
-    for run in _marking(*both):
-        text = corpus.text(run)
-        first[text] = max(first.get(text, 0), both[0][run])
+    for key, c in _marking(*(corpus.uses(2, y, spare) for y in (1, 0))).items():
+        text = corpus.text(key)
+        first[text] = max(first.get(text, 0), c)
     if not first:
         return None
     marked = _spread(sorted(first, key=lambda t: (-first[t], t))[: 8 * LANDMARKS], LANDMARKS)
