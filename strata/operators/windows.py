@@ -38,6 +38,9 @@ _CH = "__chunk"
 DEFAULT_PIECE_ROWS = 2_000_000
 # Ordering tuples the driver may hold while it chooses the range bounds.
 _SAMPLED_TUPLES = 2_000_000
+# Ranges that the driver chooses bounds for and starts tasks for; more only where one would hold too many rows.
+_RANGES = 512
+_RANGE_ROWS = 1_000_000
 _SAMPLE_CONF = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
 
 
@@ -53,16 +56,28 @@ def stage_pieces(
     """Store ``stored`` at ``path`` in contiguous pieces along ``(keys, order)``.
 
     ``stored`` should be a stored table: it is counted, sampled for the range
-    bounds and read once more.  There are ``rows / piece_rows`` pieces,
-    numbered in :data:`PIECE`.  The sample per piece shrinks as pieces grow in
-    number, so the driver never holds more than about ``_SAMPLED_TUPLES``
-    ordering tuples; a coarse sample makes pieces less even, never wrong.
+    bounds and read once more.  There are about ``rows / piece_rows`` pieces,
+    numbered in :data:`PIECE` along the ordering.
+
+    Every range costs the driver a sample, a task and a file.  Small pieces
+    therefore do not get a range each: beyond ``_RANGES`` the rows are dealt
+    into fewer ranges, and each range is cut by its rows' ranks in the task
+    that sorts it.  The sample per range shrinks as ranges grow in number, so
+    the driver never holds more than about ``_SAMPLED_TUPLES`` ordering tuples;
+    a coarse sample makes ranges less even, never wrong.
     """
-    pieces = max(1, -(-stored.count() // piece_rows))
+    rows = stored.count()
+    pieces = max(1, -(-rows // piece_rows))
+    ranges = min(pieces, max(_RANGES, -(-rows // _RANGE_ROWS)))
     with _own_session(stored) as (session, frame):
-        sampled = min(int(session.conf.get(_SAMPLE_CONF)), _SAMPLED_TUPLES // pieces)
+        sampled = min(int(session.conf.get(_SAMPLE_CONF)), _SAMPLED_TUPLES // ranges)
         session.conf.set(_SAMPLE_CONF, str(max(1, sampled)))
-        cut = frame.repartitionByRange(pieces, *keys, *order).withColumn(PIECE, F.spark_partition_id().cast("long"))
+        cut = frame.repartitionByRange(ranges, *keys, *order).withColumn(PIECE, F.spark_partition_id().cast("long"))
+        if ranges < pieces:  # a rank, not a row number: rows equal in every ordering column share a piece
+            ahead = F.rank().over(Window.partitionBy(PIECE).orderBy(*keys, *order)) - 1
+            ranked = cut.repartition(ranges, PIECE).withColumn("__ahead", ahead)
+            number = F.shiftleft(PIECE, 32) + (F.col("__ahead") / piece_rows).cast("long")
+            cut = ranked.withColumn(PIECE, number).drop("__ahead")
         cut.write.parquet(path)
     return stored.sparkSession.read.parquet(path)
 

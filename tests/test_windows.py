@@ -164,6 +164,25 @@ def test_pieces_are_even_along_the_ordering(spark, tmp_root):
     assert all(a["hi"] <= b["lo"] for a, b in zip(parts, parts[1:], strict=False))
 
 
+def test_many_small_pieces_need_few_ranges(spark, tmp_root):
+    """3,000 pieces are cut within 512 ranges: few files and tasks, pieces still small, in order and never through ties."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 != 0, "hot").alias("k"), (F.col("id") % 20_011).cast("double").alias("stamp"), F.lit(1).alias("v")
+    )
+    staged = stage_pieces(df, ["k"], ["stamp"], f"{tmp_root}/small", 20)
+    assert len(staged.inputFiles()) <= 512
+    parts = staged.groupBy(PIECE).agg(F.count("*").alias("n"), F.min(F.struct("k", "stamp")).alias("lo"), F.max(F.struct("k", "stamp")).alias("hi"))
+    parts = parts.orderBy(PIECE).collect()
+    assert len(parts) >= 2_000 and max(p["n"] for p in parts) <= 40
+    bounds = [((k is not None, k or "", s)) for p in parts for k, s in (p["lo"], p["hi"])]
+    assert bounds == sorted(bounds)
+    assert staged.groupBy("k", "stamp").agg(F.countDistinct(PIECE).alias("n")).agg(F.max("n")).first()[0] == 1
+    cols = ["k", "stamp", "w"]
+    for fn in (running_total, rolling_mean):
+        cut, single = (fn(f, ["k"], ["stamp"], "v", "w", chunk=c).select(*cols) for f, c in ((staged, PIECE), (df, None)))
+        assert cut.exceptAll(single).count() == 0 == single.exceptAll(cut).count()
+
+
 def test_pieces_on_test_tables_match_single_window(spark, tmp_root):
     """Gold windows over the mapped sf0.001 tables, every key cut."""
     from strata.plans import mapped, medallion
