@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import exact_sum
+from strata.session import own_session
 
 PIECE = "__piece"
 _CH = "__chunk"
@@ -91,10 +92,7 @@ def _own_session(df: DataFrame) -> Iterator[tuple[SparkSession, DataFrame]]:
     session, and other pieces staged at the same time, keep theirs.
     """
     spark = df.sparkSession
-    session, view = spark.newSession(), f"strata_{uuid.uuid4().hex}"
-    for key, value in spark.conf.getAll.items():
-        if session.conf.isModifiable(key):
-            session.conf.set(key, value)
+    session, view = own_session(spark), f"strata_{uuid.uuid4().hex}"
     df.createGlobalTempView(view)
     try:
         yield session, session.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{view}")

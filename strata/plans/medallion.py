@@ -8,12 +8,13 @@ the stage it was running.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.derive import add_amounts, add_delivery_days
-from strata.operators.enrich import can_broadcast, enrich_items, enrich_orders, total_installments
+from strata.operators.enrich import can_broadcast, enrich_items, enrich_orders, estimated_size_bytes, total_installments
 from strata.operators.metrics import kpi_tables, seller_deliveries, overall_mean
 from strata.operators.quality import clean, even_keys
 from strata.operators.reports import (
@@ -23,11 +24,12 @@ from strata.operators.reports import (
     run_report,
 )
 from strata.operators.windows import DEFAULT_PIECE_ROWS, PIECE, hottest_key, rolling_mean, running_total, stage_pieces
-from strata.session import scratch_path
+from strata.session import scratch_path, sized_session
 from strata.schemas import BRONZE_TABLES, CLEAN_KEYS, CSV_OPTIONS, RAW_FILES
 from strata.sources.csv import ingest_all
 from strata.sources.store import delete_path
 
+SILVER_TABLES = ("orders_enriched", "order_items_enriched")
 GOLD_TABLES = (
     "cumulative_sales_per_customer",
     "rolling_avg_delivery_per_category",
@@ -188,6 +190,18 @@ def report_tables(spark: SparkSession, gold: Mapping[str, DataFrame]) -> dict[st
 
 
 # ----------------------------------------------------------------- with I/O
+def sized_for(spark: SparkSession, tables: Mapping[str, DataFrame]) -> SparkSession:
+    """A session whose tasks stay small over these stored tables (see :func:`sized_session`)."""
+    return sized_session(spark, sum(estimated_size_bytes(df) or 0 for df in tables.values()))
+
+
+def _sized(store, layer: str, names: Sequence[str]):
+    """The store in a session sized for these tables of it."""
+    out = copy.copy(store)
+    out.spark = sized_for(store.spark, store.read_all(layer, names))
+    return out
+
+
 def build_bronze(
     spark: SparkSession, raw_root: str, store, files: Sequence[str] | None = None, rejects: str | None = None
 ) -> dict[str, int]:
@@ -204,6 +218,7 @@ def build_silver(store, even_key_rows: int = EVEN_KEY_ROWS) -> dict[str, int]:
     The keys of the stored bronze tables are counted first: a table with a hot
     key is de-duplicated by whole rows, the others by the key they join on.
     """
+    store = _sized(store, "bronze", list(BRONZE_TABLES.values()))
     bronze = {logical: store.read("bronze", raw) for logical, raw in BRONZE_TABLES.items()}
     large = {name: df for name, df in bronze.items() if not can_broadcast(df)}
     return store.write_all(silver_tables(bronze, join_keys=even_keys(large, JOIN_KEYS, even_key_rows)), "silver")
@@ -211,15 +226,18 @@ def build_silver(store, even_key_rows: int = EVEN_KEY_ROWS) -> dict[str, int]:
 
 def build_gold(store, piece_rows: int = DEFAULT_PIECE_ROWS, exact_scale: int | None = None) -> dict[str, int]:
     """Write the five gold tables; what is stored for the windows is removed in any case."""
+    store = _sized(store, "silver", SILVER_TABLES)
     orders = store.read("silver", "orders_enriched")
     items = store.read("silver", "order_items_enriched")
     paths: list[str | None] = []
     try:
         joined, path = stage_window_input(orders, items)
         paths.append(path)
-        sales, sales_chunk, path = stage_for_window(joined, ["customer_id"], RUNNING_ORDER, piece_rows)
+        narrow = joined.select("customer_id", *RUNNING_ORDER)
+        sales, sales_chunk, path = stage_for_window(narrow, ["customer_id"], RUNNING_ORDER, piece_rows)
         paths.append(path)
-        days, days_chunk, path = stage_for_window(joined, ["product_category_name"], ROLLING_ORDER, piece_rows)
+        narrow = joined.select("product_category_name", *ROLLING_ORDER, "delivery_time_days")
+        days, days_chunk, path = stage_for_window(narrow, ["product_category_name"], ROLLING_ORDER, piece_rows)
         paths.append(path)
         tables = {
             "cumulative_sales_per_customer": running_sales(sales, chunk=sales_chunk, exact_scale=exact_scale),

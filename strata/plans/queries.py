@@ -20,7 +20,7 @@ from strata.operators.reports import REPORTS, numbered, report_sql, run_report,
 from strata.operators.windows import DEFAULT_PIECE_ROWS, running_total
 from strata.plans import medallion
 from strata.plans.flow import Flow
-from strata.plans.mapped import bronze_tables, load
+from strata.plans.mapped import TPCH_TABLES, bronze_tables, load
 from strata.session import scratch_path
 from strata.schemas import BRONZE_TABLES, RAW_FILES
 from strata.sources.csv import ingest_all, read_csv
@@ -33,6 +33,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 CENTS = 2
 
 
+def _sized_for_tables(spark: SparkSession, sf: str) -> SparkSession:
+    return medallion.sized_for(spark, {name: load(spark, sf, name) for name in TPCH_TABLES})
+
+
 def _silver(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return medallion.silver_tables(bronze_tables(spark, sf))
 
@@ -213,8 +217,9 @@ def self_overwrite(spark, sf):
 def _layers(spark, sf, piece_rows: int = DEFAULT_PIECE_ROWS) -> LayerStore:
     """Bronze written from the mapped tables under the raw names, then silver and gold by the stage drivers."""
     store = LayerStore(spark, scratch_path(spark, "medallion"))
-    bronze = bronze_tables(spark, sf)
-    store.write_all({BRONZE_TABLES[name]: df for name, df in bronze.items()}, "bronze")
+    sized = _sized_for_tables(spark, sf)
+    bronze = bronze_tables(sized, sf)
+    LayerStore(sized, store.root).write_all({BRONZE_TABLES[name]: df for name, df in bronze.items()}, "bronze")
     medallion.build_silver(store)
     medallion.build_gold(store, piece_rows=piece_rows, exact_scale=CENTS)
     return store

@@ -24,6 +24,11 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 # small enough to sort and aggregate in executor memory without heavy spill.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
+# What a task of a stage driver gets at most: bytes of a shuffle, and of a scan.
+TASK_SHUFFLE_BYTES = 8 * 1024 * 1024
+TASK_SCAN_BYTES = 32 * 1024 * 1024
+PARQUET_CODEC = "spark.sql.parquet.compression.codec"
+
 # Settings that matter for the plans built in this package.  Shuffle width:
 # start wide (see ``shuffle_partitions_for``), let AQE coalescing shrink small
 # stages and split skewed join partitions.
@@ -130,6 +135,51 @@ def build_session(
     return spark
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A new session with the same settings: what is set there leaves the caller's session alone."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    folder = ensure_checkpoint_dir(spark)
+    if not session.conf.get(CHECKPOINT_CONF, None):  # set for the caller's session only
+        session.conf.set(CHECKPOINT_CONF, folder)
+    return session
+
+
+def _bytes(spark: SparkSession, key: str) -> int:
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)))
+
+
+def sized_session(
+    spark: SparkSession, input_bytes: int, shuffle_bytes: int = TASK_SHUFFLE_BYTES, scan_bytes: int = TASK_SCAN_BYTES
+) -> SparkSession:
+    """:func:`own_session` for a stage over ``input_bytes`` of stored tables.
+
+    AQE merges small shuffle partitions up to its advisory size, which counts
+    compressed bytes; a task that joins and aggregates them holds twenty times
+    as much.  Here a task gets at most ``shuffle_bytes`` of a shuffle and about
+    ``scan_bytes`` of a scan, and shuffles are wide enough for the input, so a
+    larger input means more tasks, not larger ones.  Settings that are finer
+    already stay.  What is stored takes less room where no codec was chosen.
+    """
+    session = own_session(spark)
+    limits = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": shuffle_bytes,
+        "spark.sql.files.maxPartitionBytes": scan_bytes,
+        "spark.sql.autoBroadcastJoinThreshold": shuffle_bytes // 2,  # of compressed files, too
+    }
+    for key, most in limits.items():
+        if not spark.conf.get(key).startswith("-"):  # a negative threshold: no broadcast at all
+            session.conf.set(key, str(min(_bytes(spark, key), most)))
+    initial, width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", shuffle_partitions_for(input_bytes, shuffle_bytes)
+    for key in ("spark.sql.shuffle.partitions", *([initial] if spark.conf.get(initial, None) else [])):
+        session.conf.set(key, str(max(int(spark.conf.get(key)), width)))
+    if spark.conf.get(PARQUET_CODEC) == "snappy":
+        session.conf.set(PARQUET_CODEC, "zstd")
+    return session
+
+
 def _conf_get(spark: SparkSession, key: str) -> str | None:
     value = spark.conf.get(key, None)
     if value:

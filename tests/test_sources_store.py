@@ -195,3 +195,33 @@ def test_failed_swap_keeps_the_old_table(spark, tmp_root):
     with pytest.raises(Exception):
         store._swap_in(f"{tmp_root}/s/bronze/missing", store.path("bronze", "t"))
     assert store.read("bronze", "t").count() == 2
+
+
+def test_sized_session_makes_more_tasks_of_a_larger_input(spark):
+    """Shuffles of a sized session are wide and not merged into large tasks; the caller's settings stay."""
+    from strata.session import own_session, sized_session
+
+    advisory, width = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
+    before = [spark.conf.get(k) for k in (advisory, width)]
+    sized = sized_session(spark, 1 << 20, shuffle_bytes=1 << 14)
+    assert [sized.conf.get(k) for k in (advisory, width)] == [str(1 << 14), "64"]
+    rows = sized.range(200_000).groupBy((F.col("id") * 7 % 199_999).alias("k")).count()
+    assert rows.rdd.getNumPartitions() >= 32
+    fine = own_session(spark)
+    fine.conf.set(advisory, "4k")
+    fine.conf.set(width, "99")
+    kept = sized_session(fine, 1 << 20, shuffle_bytes=1 << 14)
+    assert [kept.conf.get(k) for k in (advisory, width)] == ["4096", "99"]
+    assert [spark.conf.get(k) for k in (advisory, width)] == before
+
+
+def test_stage_drivers_run_in_a_sized_session(spark, tmp_root, monkeypatch):
+    from strata.plans import mapped, medallion
+
+    store, seen = LayerStore(spark, tmp_root), []
+    monkeypatch.setattr(LayerStore, "write_all", lambda self, tables, layer, f=LayerStore.write_all: seen.append((layer, self.spark is spark)) or f(self, tables, layer))
+    bronze = mapped.bronze_tables(spark, "/root/testdata/sf0.001")
+    store.write_all({medallion.BRONZE_TABLES[name]: df for name, df in bronze.items()}, "bronze")
+    medallion.build_silver(store)
+    medallion.build_gold(store, exact_scale=2)
+    assert seen == [("bronze", True), ("silver", False), ("gold", False)]
