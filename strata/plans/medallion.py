@@ -151,9 +151,26 @@ def cumulative_sales_per_customer(
 
 
 def rolling_avg_delivery_per_category(
-    orders: DataFrame, items: DataFrame, category: str = "product_category_name", rows: int = 3
+    orders: DataFrame,
+    items: DataFrame,
+    category: str = "product_category_name",
+    rows: int = 3,
+    piece_rows: int | None = None,
+    spark: SparkSession | None = None,
 ) -> DataFrame:
-    """W2 over items joined to their (delivered) orders (J8), as one lazy plan."""
+    """W2 over items joined to their (delivered) orders (J8), as one lazy plan.
+
+    With ``piece_rows`` the joined rows are stored and a category with more
+    rows is cut (see :func:`stage_for_window`); NULL, the items without a
+    category, is such a one.  The stored rows are then read in ``spark``, by
+    default the session of ``orders``.
+    """
+    if piece_rows is not None:
+        stored, path = stage_window_input(orders, items, category=category)
+        stored = stored if spark is None else spark.read.parquet(path)
+        narrow = stored.select(category, *ROLLING_ORDER, "delivery_time_days")
+        frame, chunk, _ = stage_for_window(narrow, [category], ROLLING_ORDER, piece_rows)
+        return rolling_delivery(frame, category, rows, chunk=chunk)
     joined = items.join(
         orders.select("order_id", "delivery_time_days", "order_purchase_timestamp"), "order_id", "inner"
     )

@@ -200,6 +200,18 @@ def test_pieces_on_test_tables_match_single_window(spark, tmp_root):
         assert sorted(map(tuple, cut.select(*cols).collect()), key=str) == sorted(map(tuple, single.select(*cols).collect()), key=str)
 
 
+def test_hot_category_of_the_rolling_mean_is_cut(spark):
+    """NULL, the items without a category, holds half of the rows: with piece_rows no task gets it whole."""
+    from strata.plans import mapped, medallion
+
+    s = medallion.silver_tables(mapped.bronze_tables(spark, "/root/testdata/sf0.001"))
+    plain = medallion.rolling_avg_delivery_per_category(s["orders_enriched"], s["order_items_enriched"])
+    cut = medallion.rolling_avg_delivery_per_category(s["orders_enriched"], s["order_items_enriched"], piece_rows=100, spark=spark)
+    assert PIECE in cut._jdf.queryExecution().analyzed().toString()
+    assert cut.sparkSession is spark and cut.schema == plain.schema
+    assert cut.exceptAll(plain).count() == 0 == plain.exceptAll(cut).count()
+
+
 @pytest.mark.parametrize("op", ["running", "rolling"])
 def test_default_window_is_one_exchange(spark, tmp_root, op):
     """One hash exchange on the key, then the window."""
