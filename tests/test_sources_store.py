@@ -225,3 +225,14 @@ def test_stage_drivers_run_in_a_sized_session(spark, tmp_root, monkeypatch):
     medallion.build_silver(store)
     medallion.build_gold(store, exact_scale=2)
     assert seen == [("bronze", True), ("silver", False), ("gold", False)]
+
+
+def test_raw_shop_files_are_compressed_and_small(spark, monkeypatch):
+    from strata.plans import queries
+
+    monkeypatch.setattr(queries, "RAW_FILE_ROWS", 1000)
+    root = queries._raw_shop(spark, "/root/testdata/sf0.001")
+    items = spark.read.option("header", True).csv(f"{root}/olist_order_items_dataset.csv")
+    n = queries.load(spark, "/root/testdata/sf0.001", "lineitem").count()
+    assert items.count() == n and len(items.inputFiles()) >= n // 1000
+    assert all(f.endswith(".csv.gz") for f in items.inputFiles())
