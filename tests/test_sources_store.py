@@ -203,14 +203,14 @@ def test_sized_session_makes_more_tasks_of_a_larger_input(spark):
 
     advisory, width = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
     before = [spark.conf.get(k) for k in (advisory, width)]
-    sized = sized_session(spark, 1 << 20, shuffle_bytes=1 << 14)
-    assert [sized.conf.get(k) for k in (advisory, width)] == [str(1 << 14), "64"]
-    rows = sized.range(200_000).groupBy((F.col("id") * 7 % 199_999).alias("k")).count()
-    assert rows.rdd.getNumPartitions() >= 32
+    sized = sized_session(spark, 64 << 20, shuffle_bytes=1 << 20)
+    assert [sized.conf.get(k) for k in (advisory, width)] == [str(1 << 20), "64"]
+    plain, small = (s.range(2_000_000).groupBy(F.xxhash64("id").alias("k")).count().rdd.getNumPartitions() for s in (spark, sized))
+    assert plain <= 8 and small >= 16
     fine = own_session(spark)
     fine.conf.set(advisory, "4k")
     fine.conf.set(width, "99")
-    kept = sized_session(fine, 1 << 20, shuffle_bytes=1 << 14)
+    kept = sized_session(fine, 64 << 20, shuffle_bytes=1 << 20)
     assert [kept.conf.get(k) for k in (advisory, width)] == ["4096", "99"]
     assert [spark.conf.get(k) for k in (advisory, width)] == before
 
