@@ -23,8 +23,9 @@ Reaches of at least ``LENGTH`` words are reported as word intervals.
 
 *Scale.*  Text is shuffled once (by document), anchors once (by seed), pieces
 once.  Copies that meet within a chunk of a map task are settled there, so a
-hot seed is thinned before the shuffle.  Shards hold about ``SHARD_PIECES`` pieces.  Nothing is collected.  Seeds
-with over ``HOT`` occurrences are dealt by longer contexts.
+hot seed is thinned before the shuffle.  Shards hold about ``SHARD_PIECES`` pieces, and no more than one key's beyond
+that; words are hashed in blocks of bytes, a shard takes about a dozen 32-bit numbers a word.  Nothing is collected.  Seeds
+with over ``HOT`` occurrences are dealt by contexts of nearly a window's length, each with just the text of its windows.
 
 Defined results: null text has no words; rows under ``LENGTH`` words lose
 nothing; equal rows repeat one another's windows and so lose them; an empty
@@ -42,12 +43,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.suffix_dedup import _binary, _changes, aligned, keyed, slices, width
-from strata.llm.textops import RangeHash, Words, cover, key_chunks, minimizers, mix, spread, word_chunks
+from strata.llm.textops import RangeHash, Words, cover, doc_chunks, key_chunks, minimizers, mix, spread, word_chunks
 
 LENGTH = 35
 SEED = 8
 HOT = 50_000
 SHARD_PIECES = 10_000
+#: Pieces searched at once.
+ASK_PIECES = 1 << 14
 
 
 def _anchors(length: int, seed: int):
@@ -120,7 +123,9 @@ def _resolve(hot: int, rows: int = 1 << 18):
 
 def _pieces(length: int, seed: int):
     reach = length - seed
-    near = max(1, reach // 9)
+    wide = max(1, reach // 9) + 1
+    # of a hot seed, windows that start low..high words before the anchor: all hold the words from low before it to length - high after it
+    bands = [(low, min(low + wide - 1, reach)) for low in range(0, reach + 1, wide)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,15 +146,17 @@ def _pieces(length: int, seed: int):
                 groups = [(plain, s[plain], 0, reach)]
                 if len(plain) < len(k):
                     hashes = RangeHash(words.hash)
-                    for low, high in ((0, near), (near + 1, reach - near - 1), (reach - near, reach)):
+                    for low, high in bands:
                         take = np.flatnonzero((k >= 4) & (at - low >= left) & (at + length - high <= right))
                         context = hashes(at[take] - low, at[take] + length - high)
                         groups.append((take, (s[take].view(np.uint64) ^ context).view(np.int64), low, high))
                 for take, own, low, high in groups:
                     n = len(take)
                     if n:
+                        here = at[take]
+                        first, stop = np.maximum(left[take], here - high), np.minimum(right[take], here + length - low)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(own), pa.array(oid[i + doc[take]]), pa.array(tie[i + doc[take]]), pa.array(p[take]), pa.array((k[take] & 1) == 0), pa.array((at - left)[take].astype(np.int16)), pa.array(np.full(n, low, np.int16)), pa.array(np.full(n, high, np.int16)), slices(words.data, words.start[left[take]], words.end[right[take] - 1])],
+                            [pa.array(own), pa.array(oid[i + doc[take]]), pa.array(tie[i + doc[take]]), pa.array(p[take]), pa.array((k[take] & 1) == 0), pa.array((here - first).astype(np.int16)), pa.array(np.full(n, low, np.int16)), pa.array(np.full(n, high, np.int16)), slices(words.data, words.start[first], words.end[stop - 1])],
                             ["key", "oid", "tie", "pos", "asks", "before", "low", "high", "text"],
                         )
 
@@ -189,18 +196,21 @@ class FMIndex:
 
     def __init__(self, text: np.ndarray, size: int, depth: int):
         n = self.n = len(text)
-        rank, span = text.astype(np.int64), 1
-        order = np.argsort(rank, kind="stable")
+        rank, span, order = text.astype(np.int32), 1, None  # 32 bits but for the sorted keys: a shard's memory is a few numbers a word
         while span < depth:  # prefix doubling, as deep as patterns go
-            after = np.concatenate([rank[span:], rank[:span]]) if span < n else rank
-            pair = rank * (int(rank.max()) + 1) + after
-            order = np.argsort(pair, kind="stable")
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(_changes(pair[order])) - 1
+            pair = rank.astype(np.int64)
+            pair *= int(rank.max()) + 1
+            turn = span if span < n else 0
+            pair[: n - turn] += rank[turn:]
+            pair[n - turn :] += rank[:turn]
+            order = np.argsort(pair, kind="stable").astype(np.int32)
+            pair = pair[order]
+            rank[order] = np.cumsum(_changes(pair), dtype=np.int32) - 1
             span *= 2
             if int(rank.max()) == n - 1:
                 break
-        self.matrix = WaveletMatrix(text[order - 1], size)
+        del rank, pair
+        self.matrix = WaveletMatrix(text[order - 1].astype(np.int32), size)
         self.before = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=1 << self.matrix.bits))])
 
     def extend(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,11 +245,13 @@ def matched_starts(words: np.ndarray, first: np.ndarray, before: np.ndarray, see
     anchor = first[:-1] + before
     named = words.copy()
     named[anchor] = mix(seed.view(np.uint64) + np.uint64(0x5EED))
-    _, symbol = np.unique(named, return_inverse=True)
-    size = int(symbol.max(initial=0)) + 2
-    piece = np.repeat(np.arange(n), np.diff(first))
-    text = np.zeros(len(words) + n, np.int64)  # 0 ends a piece
-    text[np.arange(len(words)) + piece] = symbol + 1
+    names = np.unique(named)
+    size = len(names) + 1
+    inside = np.ones(len(words) + n, bool)
+    inside[first[1:] + np.arange(n)] = False
+    text = np.zeros(len(words) + n, np.int32)  # 0 ends a piece
+    text[inside] = np.searchsorted(names, named) + 1
+    del named, names, inside
     start = first[:-1] + np.arange(n)
     stop = first[1:] + np.arange(n)
     index = FMIndex(text, size, 2 * length)
@@ -248,7 +260,7 @@ def matched_starts(words: np.ndarray, first: np.ndarray, before: np.ndarray, see
     # ends of windows that hold the anchor and start low..high words before it
     ends_lo = np.maximum(np.maximum(start + length, at + seed_words), at - high + length)
     ends_hi = np.minimum(stop, at - low + length)
-    ask = np.flatnonzero(asks & (ends_lo <= ends_hi))
+    asking = np.flatnonzero(asks & (ends_lo <= ends_hi))
     hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def search(who: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -258,31 +270,45 @@ def matched_starts(words: np.ndarray, first: np.ndarray, before: np.ndarray, see
         hits.append((who[good], from_ - start[who[good]], end[good] - length + 1 - start[who[good]]))
         return left
 
-    e0, e1 = ends_lo[ask], ends_hi[ask]
-    s0, s1 = search(ask, e0), search(ask, e1)
-    while len(ask):
-        # ends strictly between: reaches lie in s0..s1; windows start at or after the reach
-        more = (s0 < s1) & (e1 - e0 > 1) & (e1 - 1 - length >= s0)
-        ask, e0, e1, s0, s1 = ask[more], e0[more], e1[more], s0[more], s1[more]
-        if not len(ask):
-            break
-        middle = (e0 + e1) // 2
-        s = search(ask, middle)
-        ask, e0, e1, s0, s1 = np.tile(ask, 2), np.concatenate([e0, middle]), np.concatenate([middle, e1]), np.concatenate([s0, s]), np.concatenate([s, s1])
+    for k in range(0, max(1, len(asking)), ASK_PIECES):
+        ask = asking[k : k + ASK_PIECES]
+        e0, e1 = ends_lo[ask], ends_hi[ask]
+        s0, s1 = search(ask, e0), search(ask, e1)
+        while len(ask):
+            # ends strictly between: reaches lie in s0..s1; windows start at or after the reach
+            more = (s0 < s1) & (e1 - e0 > 1) & (e1 - 1 - length >= s0)
+            ask, e0, e1, s0, s1 = ask[more], e0[more], e1[more], s0[more], s1[more]
+            if not len(ask):
+                break
+            middle = (e0 + e1) // 2
+            s = search(ask, middle)
+            ask, e0, e1, s0, s1 = np.tile(ask, 2), np.concatenate([e0, middle]), np.concatenate([middle, e1]), np.concatenate([s0, s]), np.concatenate([s, s1])
     who, lo, hi = (np.concatenate(x) for x in zip(*hits, strict=True))
     return who, lo, hi
 
 
+def _hashed(text: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all pieces, piece k's from ``first[k]`` on; the bytes are looked at in blocks."""
+    hashes, sizes = [], [np.zeros(1, np.int64)]
+    for chunk in text.chunks:
+        data, offsets = _binary(chunk)
+        for i, j in doc_chunks(offsets):
+            words = Words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            hashes.append(words.hash)
+            sizes.append(np.diff(words.first))
+    return np.concatenate(hashes), np.cumsum(np.concatenate(sizes))
+
+
 def _intervals(length: int, seed: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in key_chunks(batches, ["key"], SHARD_PIECES):
             once = _changes(*(table.column(c).to_numpy() for c in ("key", "oid", "tie", "pos")))
-            table = table.filter(pa.array(once))  # equal rows bring the same piece again
-            data, offsets = _binary(table.column("text"))
-            words = Words(data, offsets)
+            if not once.all():
+                table = table.filter(pa.array(once))  # equal rows bring the same piece again
+            words, first = _hashed(table.column("text"))
             key, oid, tie, pos, asks, before, low, high = (table.column(c).to_numpy() for c in ("key", "oid", "tie", "pos", "asks", "before", "low", "high"))
             before = before.astype(np.int64)
-            who, lo, hi = matched_starts(words.hash, words.first, before, key, asks, low.astype(np.int64), high.astype(np.int64), length, seed)
+            who, lo, hi = matched_starts(words, first, before, key, asks, low.astype(np.int64), high.astype(np.int64), length, seed)
             if len(who):
                 base = pos[who] - before[who]
                 yield pa.RecordBatch.from_arrays(

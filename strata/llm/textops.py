@@ -160,7 +160,10 @@ class Words:
     @property
     def hash(self) -> np.ndarray:
         if self._hash is None:
-            self._hash = RangeHash(byte_values(self.data, self.lower))(self.start, self.end)
+            self._hash = np.empty(len(self), _U)
+            for i, j in doc_chunks(np.append(self.start, len(self.data))):  # a range's hash is the same in any block
+                at = self.start[i]
+                self._hash[i:j] = RangeHash(byte_values(self.data[at : self.end[j - 1]], self.lower))(self.start[i:j] - at, self.end[i:j] - at)
         return self._hash
 
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,6 +1,7 @@
 """Byte-string and word-window dedup against plain versions."""
 
 import random
+import tracemalloc
 
 import brute
 import numpy as np
@@ -8,7 +9,7 @@ import pyarrow as pa
 import pytest
 from helpers import SF, docs_frame, out
 
-from strata.llm import substring_fm, suffix_dedup
+from strata.llm import substring_fm, suffix_dedup, textops
 
 BYTES = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 WORDS = ("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -95,3 +96,48 @@ def test_fm_index_counts_and_reaches():
         left = index.reach(text, np.zeros(1, np.int64), np.array([at + k]))[0]
         alone = [s for s in range(at + k) if sum((text[i : i + at + k - s] == text[s : at + k]).all() for i in range(len(text) - (at + k - s) + 1)) >= 2]
         assert left == min(alone)
+
+
+def test_words_hash_the_same_in_blocks():
+    rnd = np.random.default_rng(4)
+    data = rnd.choice(np.frombuffer(b"abcABC\xc3\xa9  \n", np.uint8), 2 * textops.CHUNK_BYTES + 77)
+    data[1000 : 1200 + textops.CHUNK_BYTES] = 120  # a word longer than a block
+    for lower in (False, True):
+        words = textops.Words(data, np.array([0, 300, 300, len(data)]), lower=lower)
+        assert (words.hash == textops.RangeHash(textops.byte_values(data, lower))(words.start, words.end)).all()
+    assert len(textops.Words(data[:0], np.array([0, 0])).hash) == 0
+
+
+def test_a_large_shard_takes_little_memory():
+    rnd, n = np.random.default_rng(5), 12_000
+    seed = b" seed of eight words that all pieces share "
+    text = [" ".join(f"w{k}" for k in rnd.integers(0, 9000, 27)).encode() + seed + " ".join(f"w{k}" for k in rnd.integers(0, 9000, 27)).encode() for _ in range(n)]
+    text[7] = text[9] = b"x" + text[5][1:]  # a changed first word, then copies
+    numbers = [np.full(n, 1), np.arange(n), np.arange(n), np.full(n, 30), np.ones(n, bool)] + [np.full(n, k, np.int16) for k in (27, 0, 27)]
+    table = pa.RecordBatch.from_arrays([*(pa.array(x) for x in numbers), pa.array(text, pa.binary())], ["key", "oid", "tie", "pos", "asks", "before", "low", "high", "text"])
+    batches = [table.slice(k, 4000) for k in range(0, n, 4000)]
+    tracemalloc.start()
+    got = pa.Table.from_batches(substring_fm._intervals(35, 8)(iter(batches))).to_pydict()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    spans = {}
+    for oid, start, stop in zip(got["oid"], got["start"], got["stop"], strict=True):
+        spans.setdefault(oid, set()).update(range(start, stop))
+    assert spans == {5: set(range(4, 65)), 7: set(range(3, 65)), 9: set(range(3, 65))}
+    assert peak < 20 * sum(map(len, text))
+
+
+def test_a_hot_phrase_is_dealt_by_contexts_near_a_window():
+    n, phrase = 300, [f"p{k}" for k in range(30)]
+    rows = [(k, [f"a{k}x{j}" for j in range(30)] + phrase + [f"b{k}x{j}" for j in range(30)]) for k in range(n)]
+    rows += [(n + k, [f"c{k}x{j}" for j in range(30)] + ["q1", "q2", "q3", *phrase, "q4", "q5"] + [f"d{k}x{j}" for j in range(30)]) for k in range(2)]
+    at = pa.array([[{"pos": 41 if k < n else 44, "kind": 6, "seed": 1}] for k, _ in rows], pa.list_(pa.struct([("pos", pa.int64()), ("kind", pa.int8()), ("seed", pa.int64())])))
+    ids, text = pa.array([k for k, _ in rows]), pa.array([" ".join(w) for _, w in rows])
+    batch = pa.RecordBatch.from_arrays([ids, ids, text, at], ["oid", "tie", "text", "found"])
+    pieces = pa.Table.from_batches(substring_fm._pieces(35, 8)(iter([batch])))
+    _, count = np.unique(pieces.column("key").to_numpy(), return_counts=True)
+    assert count.max() == 2  # the two whose whole window recurs, not all 302
+    assert {b - a for a, b in set(zip(pieces.column("low").to_pylist(), pieces.column("high").to_pylist(), strict=True))} == {3}
+    met = pieces.sort_by("key").combine_chunks().to_batches()
+    got = pa.Table.from_batches(substring_fm._intervals(35, 8)(iter(met))).to_pydict()
+    assert {(o, a, b) for o, a, b in zip(got["oid"], got["start"], got["stop"], strict=True)} == {(n, 30, 65), (n + 1, 30, 65)}
