@@ -23,6 +23,10 @@ A word's form is its near word of largest count (ties: smallest in code-point
 order) if that count is at least ``RATIO`` times its own; roots follow forms by
 pointer doubling (counts grow by ``RATIO`` a step, so chains are short).
 
+Every join is a merge join by hint.  All tables here grow with the corpus, and
+Spark sizes them by their compressed files, an exploded one even without the
+explosion: it would broadcast the chunks of millions of words.
+
 Defined results: null texts have no words; a null id is the empty text in the
 crc; repeated rows count again; very long runs are words like others; an
 empty table gives no rows; extra columns are ignored.
@@ -136,7 +140,7 @@ def _meet(rows: DataFrame) -> DataFrame:
     gram = rows.filter("gram").select(F.col("key").alias("g_key"), F.col("word").alias("b"), F.col("n").alias("b_n"))
     once = (F.col("kind") == "insert") | (F.col("a") < F.col("b"))
     near = (F.col("key") == F.col("g_key")) & once & (F.levenshtein("a", "b", 1) == 1)
-    return chunk.join(gram, near).select("a", "a_n", "b", "b_n")
+    return chunk.join(gram.hint("merge"), near).select("a", "a_n", "b", "b_n")
 
 
 def near_words(words: DataFrame, store: Store, group: int = GROUP) -> DataFrame:
@@ -146,7 +150,7 @@ def near_words(words: DataFrame, store: Store, group: int = GROUP) -> DataFrame:
         # a segment of one code point cannot be cut: what shares its key is near, or nearly so
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.bool_or("gram").alias("grams"), F.bool_and("gram").alias("no_chunk"))
         sizes = sizes.filter("grams and not no_chunk").select(F.col("key").alias("s_key"), "rows")
-        dealt = rows.join(sizes, F.col("key") == F.col("s_key")).drop("s_key")
+        dealt = rows.join(sizes.hint("merge"), F.col("key") == F.col("s_key")).drop("s_key")
         again = (F.col("rows") > 2 * group) & (F.col("high") - F.col("low") > 1)
         found.append(store(_meet(dealt.filter(~again)), "near_words"))
         rest = store(_keyed(_cut_again(dealt.filter(again))), "large_chunks")
@@ -161,7 +165,7 @@ def _roots(forms: DataFrame, store: Store) -> DataFrame:
     steps = store(forms.select("word", F.col("form").alias("root")), "spelling_roots")
     while True:
         up = steps.select(F.col("word").alias("u_word"), F.col("root").alias("up"))
-        jumped = steps.join(up, F.col("root") == F.col("u_word"), "left")
+        jumped = steps.join(up.hint("merge"), F.col("root") == F.col("u_word"), "left")
         steps = store(jumped.select("word", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved")), "spelling_roots")
         if steps.filter("moved").isEmpty():
             return steps.select("word", "root")
@@ -179,7 +183,7 @@ def group_variants(docs: DataFrame, store: Store, ratio: int = RATIO, group: int
     best = near.groupBy(F.col("word").alias("b_word")).agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("minus"), F.col("near"))).alias("best")
     )
-    joined = words.join(best, F.col("word") == F.col("b_word"), "left")
+    joined = words.join(best.hint("merge"), F.col("word") == F.col("b_word"), "left")
     has_form = -F.col("best.minus") >= ratio * F.col("n")
     formed = store(
         joined.select(
@@ -192,5 +196,5 @@ def group_variants(docs: DataFrame, store: Store, ratio: int = RATIO, group: int
         "spelling_forms",
     )
     roots = _roots(formed.filter("form is not null"), store).withColumnRenamed("word", "r_word")
-    out = formed.join(roots, F.col("word") == F.col("r_word"), "left")
+    out = formed.join(roots.hint("merge"), F.col("word") == F.col("r_word"), "left")
     return out.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

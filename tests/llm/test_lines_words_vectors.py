@@ -114,6 +114,19 @@ def test_chains_of_forms(spark, stored):
     assert spelling.group_variants(docs_frame(spark, []), stored).collect() == []
 
 
+def test_no_table_of_words_is_broadcast(spark, stored):
+    """Spark would by its estimate: the files are small, but an explosion makes eight rows of each word."""
+    plans = []
+
+    def planned(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    out = spelling.group_variants(docs_frame(spark, [(k, "alphabet alphabex beautiful beautifus") for k in range(40)]), planned, group=1)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
 # ---------------------------------------------------------------- vectors
 def plain_whitening(vectors, d):
     x = [[int(np.floor(64 * c)) + 1_000_000 for c in v] + [1_000_000] * (d - len(v)) for v in vectors]
