@@ -1,6 +1,6 @@
 from conftest import rows
 
-from strata.operators.enrich import can_broadcast, enrich_items, enrich_orders, lookup, total_installments
+from strata.operators.enrich import can_broadcast, enrich_items, enrich_orders, loaded_bytes, lookup, total_installments
 
 
 def facts(spark):
@@ -78,3 +78,16 @@ def test_enrich_orders_and_items(spark):
     tr = spark.createDataFrame([("cama", "bed")], "product_category_name string, product_category_name_english string")
     got = rows(enrich_items(items, products, sellers, tr), "product_id", "product_category_name_english", "seller_state")
     assert got == [("p1", "bed", "RJ"), ("p2", None, None), ("p3", None, "RJ")]
+
+
+def test_known_small_lookups_alone_are_broadcast(spark):
+    items = spark.range(9).selectExpr("id as product_id", "id as seller_id")
+    products = spark.range(9).selectExpr("id as product_id", "cast(id as string) as product_category_name")
+    sellers = spark.range(9).selectExpr("id as seller_id", "1 as seller_state")
+    tr = spark.range(9).selectExpr("cast(id as string) as product_category_name", "id as n")
+    got = enrich_items(items, products, sellers, tr, small=["sellers"])
+    joins = [line for line in got._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in line]
+    assert sorted(("Broadcast" in x, "seller_id" in x) for x in joins) == [(False, False), (False, False), (True, True)]
+    assert rows(got) == rows(enrich_items(items, products, sellers, tr))
+    assert loaded_bytes(tr) == 9 * (48 + 16 + 1) and loaded_bytes(tr.limit(0)) == 0
+    assert loaded_bytes(tr.selectExpr("if(n < 3, null, 'éé') as s")) == 9 * 56 + 6 * 4

@@ -227,6 +227,40 @@ def test_stage_drivers_run_in_a_sized_session(spark, tmp_root, monkeypatch):
     assert seen == [("bronze", True), ("silver", False), ("gold", False)]
 
 
+def test_lookups_are_broadcast_by_their_rows_not_by_their_files(spark, tmp_root, monkeypatch):
+    """A million products are a file of few MB and a hash table of 80 MB: items and products meet by shuffle."""
+    from strata.plans import mapped, medallion
+
+    store, plans = LayerStore(spark, tmp_root), {}
+    bronze = mapped.bronze_tables(spark, "/root/testdata/sf0.001")
+    columns = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in bronze["products"].schema} | {"product_id": F.col("id").alias("product_id")}
+    bronze["products"] = spark.range(1_000_000).select(*columns.values())
+    store.write_all({medallion.BRONZE_TABLES[name]: df for name, df in bronze.items()}, "bronze")
+
+    def write_all(self, tables, layer):
+        plans.update({name: df._jdf.queryExecution().executedPlan().toString() for name, df in tables.items()})
+
+    monkeypatch.setattr(LayerStore, "write_all", write_all)
+    medallion.build_silver(store)
+    joins = [line for line in plans["order_items_enriched"].split("\n") if "Join" in line]
+    assert [("SortMergeJoin" in x, "BroadcastHashJoin" in x) for x in joins if "product_id" in x] == [(True, False)]
+    assert [("SortMergeJoin" in x, "BroadcastHashJoin" in x) for x in joins if "seller_id" in x] == [(False, True)]
+    # hashed on the product to be cleaned, the items are not hashed on it again
+    assert plans["order_items_enriched"].count("hashpartitioning(product_id") == 2
+
+
+def test_sized_session_broadcasts_less_by_estimate_than_by_measure(spark):
+    from strata.session import own_session, sized_session
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    sized = sized_session(spark, 1 << 20)
+    assert [int(sized.conf.get(k)) for k in keys] == [1 << 19, 4 << 20]
+    for value, kept in (("-1", ["-1", "-1"]), ("256k", [str(256 << 10)] * 2)):
+        asked = own_session(spark)
+        asked.conf.set(keys[0], value)
+        assert [sized_session(asked, 1 << 20).conf.get(k) for k in keys] == kept
+
+
 def test_raw_shop_files_are_compressed_and_small(spark, monkeypatch):
     from strata.plans import queries
 
