@@ -55,6 +55,8 @@ SEED = 24
 HOT = 50_000
 #: Pieces of one construction (a shard is cut between seeds).
 SHARD_PIECES = 100_000
+#: Pieces that a task cuts or turns into spans at once.
+PART_PIECES = 1 << 14
 _LAST_ID = (1 << 63) - 1
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -173,6 +175,17 @@ def slices(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[index])]).cast(pa.binary())
 
 
+def _range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, block: int = 1 << 18) -> np.ndarray:
+    """Hashes of the byte ranges ``start .. end`` (sorted by start), in blocks: numbers of 64 bits a byte are held for one only."""
+    out, i = np.empty(len(start), np.uint64), 0
+    while i < len(start):
+        j = int(np.searchsorted(start, start[i] + block, "right"))
+        lo, hi = start[i], end[i:j].max()
+        out[i:j] = RangeHash(byte_values(data[lo:hi]))(start[i:j] - lo, end[i:j] - lo)
+        i = j
+    return out
+
+
 def _pieces(length: int, seed: int):
     """Text around the anchors that need it, as ``key, low, high, text``: strings starting low..high bytes before the anchor."""
     reach = length - seed
@@ -185,28 +198,30 @@ def _pieces(length: int, seed: int):
             fields = found.flatten()
             doc = np.repeat(np.arange(batch.num_rows), np.diff(found.offsets.to_numpy()))
             pos, kind, key = (fields.field(n).to_numpy() for n in range(3))
-            need = kind > 0
-            doc, pos, kind, key = doc[need], pos[need], kind[need], key[need]
-            if not len(doc):
-                continue
-            at = offsets[doc] + pos
-            left, right = np.maximum(at - reach, offsets[doc]), np.minimum(at + length, offsets[doc + 1])
-            parts = [(np.flatnonzero(kind == 1), None, 0, reach)]
-            if (kind == 2).any():
-                hashes = RangeHash(byte_values(data))
-                # strings that start low..high before the anchor all hold the bytes from low before it to length - high after it
-                for low, high in ((0, near), (near + 1, reach - near - 1), (reach - near, reach)):
-                    fits = np.flatnonzero((kind == 2) & (at - low >= left) & (at + length - high <= right))
-                    parts.append((fits, hashes(at[fits] - low, at[fits] + length - high), low, high))
+            need = np.flatnonzero(kind > 0)
+            need = need[np.argsort(offsets[doc[need]] + pos[need], kind="stable")]
             oid, tie = batch.column("oid").to_numpy(), batch.column("tie").to_numpy()
-            for take, context, low, high in parts:
-                if len(take):
-                    n = len(take)
-                    own = key[take] if context is None else (key[take].view(np.uint64) ^ context).view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own), pa.array(oid[doc[take]]), pa.array(tie[doc[take]]), pa.array(pos[take]), pa.array((at - left)[take].astype(np.int16)), pa.array(np.full(n, low, np.int16)), pa.array(np.full(n, high, np.int16)), slices(data, left[take], right[take])],
-                        ["key", "oid", "tie", "pos", "before", "low", "high", "text"],
-                    )
+            for k in range(0, len(need), PART_PIECES):
+                part = need[k : k + PART_PIECES]
+                yield from cut(data, offsets, oid, tie, doc[part], pos[part], kind[part], key[part])
+
+    def cut(data, offsets, oid, tie, doc, pos, kind, key) -> Iterator[pa.RecordBatch]:
+        at = offsets[doc] + pos
+        left, right = np.maximum(at - reach, offsets[doc]), np.minimum(at + length, offsets[doc + 1])
+        parts = [(np.flatnonzero(kind == 1), None, 0, reach)]
+        if (kind == 2).any():
+            # strings that start low..high before the anchor all hold the bytes from low before it to length - high after it
+            for low, high in ((0, near), (near + 1, reach - near - 1), (reach - near, reach)):
+                fits = np.flatnonzero((kind == 2) & (at - low >= left) & (at + length - high <= right))
+                parts.append((fits, _range_hashes(data, at[fits] - low, at[fits] + length - high), low, high))
+        for take, context, low, high in parts:
+            if len(take):
+                n = len(take)
+                own = key[take] if context is None else (key[take].view(np.uint64) ^ context).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own), pa.array(oid[doc[take]]), pa.array(tie[doc[take]]), pa.array(pos[take]), pa.array((at - left)[take].astype(np.int16)), pa.array(np.full(n, low, np.int16)), pa.array(np.full(n, high, np.int16)), slices(data, left[take], right[take])],
+                    ["key", "oid", "tie", "pos", "before", "low", "high", "text"],
+                )
 
     return work
 
@@ -317,15 +332,15 @@ def _intervals(length: int, seed: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in key_chunks(batches, ["key"], SHARD_PIECES):
             hit = covered_columns(table, length, seed)
-            edge = np.diff(np.pad(hit, ((0, 0), (1, 1))).astype(np.int8), axis=1)
-            row, first = np.nonzero(edge == 1)
-            _, stop = np.nonzero(edge == -1)
-            if len(row):
-                at = table.column("pos").to_numpy()[row] - reach
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(table.column("oid").to_numpy()[row]), pa.array(table.column("tie").to_numpy()[row]), pa.array(at + first), pa.array(at + stop - 1 + length)],
-                    ["oid", "tie", "start", "stop"],
-                )
+            oid, tie, pos = (table.column(c).to_numpy() for c in ("oid", "tie", "pos"))
+            for k in range(0, len(hit), PART_PIECES):
+                edge = np.diff(np.pad(hit[k : k + PART_PIECES], ((0, 0), (1, 1))).astype(np.int8), axis=1)
+                row, first = np.nonzero(edge == 1)
+                _, stop = np.nonzero(edge == -1)
+                if len(row):
+                    row += k
+                    at = pos[row] - reach
+                    yield pa.RecordBatch.from_arrays([pa.array(oid[row]), pa.array(tie[row]), pa.array(at + first), pa.array(at + stop - 1 + length)], ["oid", "tie", "start", "stop"])
 
     return work
 

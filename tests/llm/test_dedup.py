@@ -141,3 +141,35 @@ def test_a_hot_phrase_is_dealt_by_contexts_near_a_window():
     met = pieces.sort_by("key").combine_chunks().to_batches()
     got = pa.Table.from_batches(substring_fm._intervals(35, 8)(iter(met))).to_pydict()
     assert {(o, a, b) for o, a, b in zip(got["oid"], got["start"], got["stop"], strict=True)} == {(n, 30, 65), (n + 1, 30, 65)}
+
+
+def test_hot_pieces_take_little_memory():
+    """Contexts of hot anchors are hashed in blocks, with the hashes of the whole text, and pieces are cut in parts."""
+    rnd = np.random.default_rng(7)
+    data, size, n = rnd.integers(97, 123, 8 << 20).astype(np.uint8), 1 << 13, 1 << 10
+    offsets = np.arange(0, len(data) + 1, size, dtype=np.int32)
+    text = pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    at = [[{"pos": int(k), "kind": 2, "seed": 1} for k in (300, 100, size - 100, size - 24)] for _ in range(n)]
+    found = pa.array(at, pa.list_(pa.struct([("pos", pa.int64()), ("kind", pa.int8()), ("seed", pa.int64())])))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(np.arange(n)), text, found], ["oid", "tie", "text", "found"])
+    hashes = textops.RangeHash(textops.byte_values(data))
+    tracemalloc.start()
+    got = pa.Table.from_batches(suffix_dedup._pieces(100, 24)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(data)
+    place = got.column("oid").to_numpy() * size + got.column("pos").to_numpy()
+    low, high = (got.column(c).to_numpy().astype(np.int64) for c in ("low", "high"))
+    assert (got.column("key").to_numpy().view(np.uint64) == hashes(place - low, place + 100 - high) ^ np.uint64(1)).all()
+    assert got.num_rows == n * (3 + 3 + 3 + 1)  # the last one is too near the end for strings that start at or just before it
+
+
+def test_spans_of_a_large_shard_in_parts(monkeypatch):
+    rnd, n = np.random.default_rng(8), 300
+    text = [bytes(rnd.integers(97, 123, 76).astype(np.uint8)) + b"s" * 24 + bytes(rnd.integers(97, 123, 76).astype(np.uint8)) for _ in range(n)]
+    text[200] = b"x" * 30 + text[5][30:]
+    columns = [np.full(n, 1), np.arange(n), np.arange(n), np.full(n, 500)] + [np.full(n, k, np.int16) for k in (76, 0, 76)]
+    batch = pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns), pa.array(text, pa.binary())], ["key", "oid", "tie", "pos", "before", "low", "high", "text"])
+    monkeypatch.setattr(suffix_dedup, "PART_PIECES", 64)
+    got = pa.Table.from_batches(suffix_dedup._intervals(100, 24)(iter([batch]))).to_pylist()
+    assert got == [{"oid": 200, "tie": 200, "start": 500 - 76 + 30, "stop": 600}]
