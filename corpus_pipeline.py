@@ -12,7 +12,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import decontaminate, line_rules, mixing, ngram_join, suffix_dedup
-from strata.llm.queries import store, table
+from strata.llm.queries import store, store_alone, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the byte strings that start earlier elsewhere."""
-    return suffix_dedup.drop_repeats(docs)
+    return suffix_dedup.drop_repeats(docs, store=partial(store_alone, spark))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,10 @@ from strata.llm import (
     toxicity,
     whitening,
 )
-from strata.session import scratch_path
+from strata.session import in_own_session, scratch_path
+
+#: Whether a query's shuffle files go when it has ended, or when the driver collects its garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,8 +39,17 @@ def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def store_alone(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """:func:`store` for a plan of which only the stored rows are used again: its shuffle files go with it."""
+    path = scratch_path(spark, name)
+    with in_own_session(df) as (session, frame):
+        session.conf.set(FREE_SHUFFLES, "true")
+        frame.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), store=partial(store_alone, spark))
 
 
 def op2_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,9 @@ together.  Runs whose common prefix reaches ``LENGTH`` are equal strings: all
 but the earliest are covered.
 
 *Scale.*  Text is shuffled once (by document), anchors once (by seed), and
-pieces once.  Copies that meet within a block of a map task are settled there,
+pieces once.  Anchors are the most, but few of them go on: with a ``store``
+these are stored before text is shuffled, and the anchors' shuffle can go.
+Copies that meet within a block of a map task are settled there,
 so a hot seed is thinned before the shuffle.  Nothing is collected.  A seed with more than ``HOT`` occurrences
 is cut by longer contexts of which any string shares one, so no hot group
 stays in one task unless its strings are equal, and those are dropped above.
@@ -47,6 +49,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.llm.components import Store
 from strata.llm.textops import RangeHash, buffers, byte_values, cover, key_chunks, minimizers, mix, spread
 
 LENGTH = 100
@@ -144,9 +147,9 @@ def _resolve(hot: int, rows: int = 1 << 18):
         for table in key_chunks(batches, ["seed"], rows):
             settled = table.column("settled").to_numpy()
             if settled.any():
-                done = table.filter(pa.array(settled)).select(["oid", "tie", "pos", "seed"]).combine_chunks().to_batches()[0]
-                kind = pa.array(np.zeros(done.num_rows, np.int8))
-                yield pa.RecordBatch.from_arrays([done.column(0), done.column(1), done.column(2), kind, done.column(3)], ["oid", "tie", "pos", "kind", "seed"])
+                done = table.filter(pa.array(settled)).select(["oid", "tie", "pos"]).combine_chunks().to_batches()[0]
+                kind, none = pa.array(np.zeros(done.num_rows, np.int8)), pa.array(np.zeros(done.num_rows, np.int64))
+                yield pa.RecordBatch.from_arrays([done.column(0), done.column(1), done.column(2), kind, none], ["oid", "tie", "pos", "kind", "seed"])
                 table = table.filter(pa.array(~settled))
             seed, piece, oid, tie, pos = (table.column(c).to_numpy() for c in ("seed", "piece", "oid", "tie", "pos"))
             _, inverse, count = np.unique(seed, return_inverse=True, return_counts=True)
@@ -161,6 +164,7 @@ def _resolve(hot: int, rows: int = 1 << 18):
             pieces = np.bincount(group, new_piece)[group]
             total = np.bincount(group)[group]
             kind = np.where(new_piece, np.where(total > hot, 2, 1), 0).astype(np.int8)
+            seed = np.where(new_piece, seed, 0)  # nobody asks for it where no text is needed
             keep = ~new_piece | (pieces > 1)
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (oid, tie, pos, kind, seed)], ["oid", "tie", "pos", "kind", "seed"])
 
@@ -377,17 +381,22 @@ def _cut(length: int, seed: int, with_text: bool, carry: bool):
     return work
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot: int = HOT, with_text: bool = False, carry: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot: int = HOT, with_text: bool = False, carry: bool = False, store: Store | None = None) -> DataFrame:
     """Per document row: sizes and digest of what is left.
 
     ``with_text`` adds the bytes left, ``kept``; ``carry`` adds the row's
-    other columns, ``rest``.
+    other columns, ``rest``.  With ``store`` the documents are read twice, and
+    what the anchors need of the disk is free before text is shuffled; without,
+    this is one lazy plan.
     """
     n = width(docs.sparkSession)
     # every branch below takes all columns of ``texts``, so that Spark shuffles it once and reads the shuffle again
     texts = keyed(docs, carry=carry).repartition(n, "oid", "tie")
-    anchors = texts.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie long, pos long, settled boolean")
+    source = texts if store is None else keyed(docs).select("oid", "tie", "text")
+    anchors = source.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie long, pos long, settled boolean")
     found = anchors.repartition(n, "seed").sortWithinPartitions("seed").mapInArrow(_resolve(hot), "oid long, tie long, pos long, kind byte, seed long")
+    if store is not None:
+        found = store(found, "repeats_found")
     per_doc = found.groupBy("oid", "tie").agg(F.collect_list(F.struct("pos", "kind", "seed")).alias("found"))
     pieces = texts.join(per_doc.hint("shuffle_hash"), ["oid", "tie"]).mapInArrow(
         _pieces(length, seed), "key long, oid long, tie long, pos long, before short, low short, high short, text binary"
@@ -417,12 +426,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot:
     return out
 
 
-def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, store: Store | None = None) -> DataFrame:
     """The rows with the repeated bytes taken out of ``text``, other columns unchanged (``n_chars`` follows the text).
 
     A character of which only some bytes are left goes as well.
     """
-    cut = remove_repeats(docs, length, seed, with_text=True, carry=True)
+    cut = remove_repeats(docs, length, seed, with_text=True, carry=True, store=store)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

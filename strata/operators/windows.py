@@ -21,16 +21,14 @@ every ordering column share a piece; nothing can cut them.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import exact_sum
-from strata.session import own_session
+from strata.session import in_own_session
 
 PIECE = "__piece"
 _CH = "__chunk"
@@ -70,7 +68,7 @@ def stage_pieces(
     rows = stored.count()
     pieces = max(1, -(-rows // piece_rows))
     ranges = min(pieces, max(_RANGES, -(-rows // _RANGE_ROWS)))
-    with _own_session(stored) as (session, frame):
+    with in_own_session(stored) as (session, frame):  # the range exchange takes its sample size from its session when it runs
         sampled = min(int(session.conf.get(_SAMPLE_CONF)), _SAMPLED_TUPLES // ranges)
         session.conf.set(_SAMPLE_CONF, str(max(1, sampled)))
         cut = frame.repartitionByRange(ranges, *keys, *order).withColumn(PIECE, F.spark_partition_id().cast("long"))
@@ -83,23 +81,6 @@ def stage_pieces(
     return stored.sparkSession.read.parquet(path)
 
 
-@contextmanager
-def _own_session(df: DataFrame) -> Iterator[tuple[SparkSession, DataFrame]]:
-    """``df`` in a session of its own with the same settings.
-
-    The range exchange takes its sample size from its session when it runs.
-    Set there, it changes for this frame only: other jobs of the caller's
-    session, and other pieces staged at the same time, keep theirs.
-    """
-    spark = df.sparkSession
-    session, view = own_session(spark), f"strata_{uuid.uuid4().hex}"
-    df.createGlobalTempView(view)
-    try:
-        yield session, session.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{view}")
-    finally:
-        spark.catalog.dropGlobalTempView(view)
-
-
 _LOWEST_CHUNK = -(2**63)  # a NULL chunk number sorts first
 
 

@@ -15,8 +15,10 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -147,6 +149,22 @@ def own_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+@contextmanager
+def in_own_session(df: DataFrame) -> Iterator[tuple[SparkSession, DataFrame]]:
+    """``df`` in a session of its own with the same settings.
+
+    What is set there changes for this frame only: other jobs of the caller's
+    session, and other frames handled so at the same time, keep theirs.
+    """
+    spark = df.sparkSession
+    session, view = own_session(spark), f"strata_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
+    try:
+        yield session, session.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{view}")
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+
+
 def _bytes(spark: SparkSession, key: str) -> int:
     return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)))
 

@@ -7,9 +7,9 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import SF, docs_frame, out
+from helpers import SF, docs_frame, out, stored  # noqa: F401
 
-from strata.llm import substring_fm, suffix_dedup, textops
+from strata.llm import queries, substring_fm, suffix_dedup, textops
 
 BYTES = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 WORDS = ("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -173,3 +173,25 @@ def test_spans_of_a_large_shard_in_parts(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PART_PIECES", 64)
     got = pa.Table.from_batches(suffix_dedup._intervals(100, 24)(iter([batch]))).to_pylist()
     assert got == [{"oid": 200, "tie": 200, "start": 500 - 76 + 30, "stop": 600}]
+
+
+@pytest.mark.parametrize("hot", [50_000, 3])
+def test_byte_strings_with_stored_anchors(spark, stored, hot):
+    rows, names = fixture(5), []
+    got = suffix_dedup.remove_repeats(docs_frame(spark, rows, extra=True), hot=hot, with_text=True, store=lambda df, name: names.append(name) or stored(df, name))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert names == ["repeats_found"] and "hashpartitioning(seed" not in plan  # the anchors' shuffle is no part of it
+    assert out(got, *BYTES) == brute.suffix_dedup(rows)
+
+
+def test_shuffle_files_of_a_plan_stored_alone_are_gone(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size()) if found.apply(k).getName().startswith("shuffle")}
+
+    before = files()
+    op1 = queries.op1_suffix_dedup(spark, SF)
+    assert files() <= before
+    kept = queries.store(spark, op1, "kept")
+    assert files() - before and kept.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert spark.conf.get(queries.FREE_SHUFFLES) == "false"
