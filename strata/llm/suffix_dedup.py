@@ -24,7 +24,8 @@ but the earliest are covered.
 
 *Scale.*  Text is shuffled once (by document), anchors once (by seed), and
 pieces once.  Anchors are the most, but few of them go on: with a ``store``
-these are stored before text is shuffled, and the anchors' shuffle can go.
+these are stored first, so that the anchors' shuffle can go before the others
+come; text is then shuffled twice, never both on disk.
 Copies that meet within a block of a map task are settled there,
 so a hot seed is thinned before the shuffle.  Nothing is collected.  A seed with more than ``HOT`` occurrences
 is cut by longer contexts of which any string shares one, so no hot group
@@ -386,13 +387,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot:
 
     ``with_text`` adds the bytes left, ``kept``; ``carry`` adds the row's
     other columns, ``rest``.  With ``store`` the documents are read twice, and
-    what the anchors need of the disk is free before text is shuffled; without,
-    this is one lazy plan.
+    what the anchors need of the disk is free before the other shuffles;
+    without, this is one lazy plan.
     """
     n = width(docs.sparkSession)
     # every branch below takes all columns of ``texts``, so that Spark shuffles it once and reads the shuffle again
     texts = keyed(docs, carry=carry).repartition(n, "oid", "tie")
-    source = texts if store is None else keyed(docs).select("oid", "tie", "text")
+    source = texts if store is None else keyed(docs).select("oid", "tie", "text").repartition(n, "oid", "tie")
     anchors = source.mapInArrow(_anchors(length, seed), "seed long, piece long, oid long, tie long, pos long, settled boolean")
     found = anchors.repartition(n, "seed").sortWithinPartitions("seed").mapInArrow(_resolve(hot), "oid long, tie long, pos long, kind byte, seed long")
     if store is not None:
